@@ -126,13 +126,17 @@ def run_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.parse_run_log(logged).select("event_id", "kind", "message", "progress")
 
 
-def _event_files(spark: SparkSession, sf_dir: str, label: str) -> tuple[DataFrame, str, str]:
-    """Run events as a stream over files in time order, with an output and a checkpoint folder."""
+def _event_files(spark: SparkSession, sf_dir: str, label: str, slices: int = 6) -> tuple[DataFrame, str, str]:
+    """Run events as a stream of files that arrive in time order, with an output and a checkpoint folder."""
     folder = work_dir(spark, label)
     source = f"{folder}/in"
     events = run_events(spark, sf_dir)
-    events.repartitionByRange(6, "event_ts").write.parquet(source)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    first, last = events.agg(F.unix_micros(F.min("event_ts")), F.unix_micros(F.max("event_ts"))).first()
+    width = (last - first) // slices + 1
+    number = F.floor((F.unix_micros("event_ts") - first) / width)
+    for n in range(slices):
+        events.where(number == n).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
     return stream, f"{folder}/out", f"{folder}/checkpoint"
 
 
@@ -148,19 +152,13 @@ def run_latest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_latest(spark.read.parquet(out)).select("job_id", "event_id", "status")
 
 
-@query(f"""WITH {EVENTS}, gap AS (SELECT *, lead(event_ts) OVER (PARTITION BY job_id ORDER BY event_ts, event_id) AS nxt,
-  (SELECT max(event_ts) FROM ev) AS top FROM ev)
-SELECT DISTINCT l.job_id FROM latest l WHERE l.status IN ('completed', 'error')
-  AND date_diff('microsecond', l.event_ts, (SELECT max(event_ts) FROM ev)) > 7200000000""")
+@query(f"""WITH {EVENTS}, top AS (SELECT max(event_ts) AS newest FROM ev)
+SELECT job_id, status FROM latest, top WHERE status IN ('completed', 'error')
+  AND date_diff('millisecond', event_ts, newest) > 7200000""")
 def run_expired_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Jobs whose final state ran out within the stream: idle for an hour, behind a watermark of one hour."""
     stream, out, checkpoint = _event_files(spark, sf_dir, "run-expired")
     run_available(expired_stream(stream), _save_to(out), checkpoint)
     expired = spark.read.parquet(out)
-    final = runs.run_latest(run_events(spark, sf_dir))
-    return (
-        expired.join(final, "job_id", "left_semi")
-        .join(final.select("job_id", F.col("event_ts").alias("last_update")), ["job_id", "last_update"], "left_semi")
-        .select("job_id")
-        .distinct()
-    )
+    final = runs.run_latest(run_events(spark, sf_dir)).select("job_id", F.col("event_ts").alias("last_update"))
+    return expired.join(final, ["job_id", "last_update"], "left_semi").select("job_id", "status")

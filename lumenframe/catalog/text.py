@@ -86,7 +86,7 @@ def report_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT c_custkey,
   upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) || ' Segment' AS title,
-  CASE WHEN c_custkey % 4 = 0 THEN 'N/A' ELSE printf('%.2f%%', round(c_acctbal / 100, 4) + 0.0001) END AS pct2,
+  CASE WHEN c_custkey % 4 = 0 THEN 'N/A' ELSE printf('%.2f%%', c_acctbal / 100) END AS pct2,
   CASE WHEN c_custkey % 4 = 0 THEN 'N/A' ELSE printf('%.1f%%', c_nationkey * 1.5::DOUBLE) END AS pct1,
   CASE c_custkey % 3 WHEN 2 THEN c_name ELSE 'N/A' END AS name,
   CASE WHEN c_mktsegment = 'MACHINERY' THEN 'red' ELSE 'green' END AS colour,
@@ -100,7 +100,7 @@ def labels_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         "c_custkey",
         text.title_key(F.concat(F.lower("c_mktsegment"), F.lit("_segment"))).alias("title"),
-        text.percent_text(number(F.round(balance / 100, 4) + 0.0001)).alias("pct2"),
+        text.percent_text(number(balance / 100)).alias("pct2"),
         text.percent_text(number(F.col("c_nationkey") * 1.5), 1).alias("pct1"),
         text.or_default(name).alias("name"),
         text.highlight(F.col("c_mktsegment"), alert="MACHINERY").alias("colour"),

@@ -42,9 +42,29 @@ def title_key(key: Column) -> Column:
     return F.initcap(F.replace(key, F.lit("_"), F.lit(" ")))
 
 
+def round_exact(value: Column, digits: int) -> Column:
+    """Round the binary value itself, halves to even.
+
+    Spark's own rounding starts from the shortest decimal that names the value,
+    and takes 99.195 (in binary a little less) up to 99.2. For up to 3 digits.
+    """
+    if not 0 <= digits <= 3:
+        raise ValueError(f"digits must be 0 to 3, not {digits!r}")
+    size, scale = F.abs(value), 10**digits
+    whole = F.floor(size)
+    # the fraction as a 52-bit integer, then times the scale: exact in 64 bits
+    scaled = ((size - whole) * float(1 << 52)).cast("bigint") * F.lit(scale).cast("bigint")
+    steps = whole * scale + F.shiftright(scaled, 52)
+    left = scaled.bitwiseAND(F.lit((1 << 52) - 1))
+    half = F.lit(1 << 51)
+    up = (left > half) | ((left == half) & (steps % 2 == 1))
+    return (steps + up.cast("bigint")) / F.lit(float(scale)) * F.when(value < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+
+
 def percent_text(value: Column, digits: int = 2) -> Column:
     """``95.5`` → ``95.50%``; null → ``N/A``."""
-    return F.when(value.isNull(), F.lit("N/A")).otherwise(F.format_string(f"%.{digits}f%%", value))
+    text = F.format_string(f"%.{digits}f%%", round_exact(value.cast("double"), digits))
+    return F.when(value.isNull(), F.lit("N/A")).otherwise(text)
 
 
 def has_suffix(path: Column, suffix: str) -> Column:
