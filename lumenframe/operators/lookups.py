@@ -26,8 +26,13 @@ def attach_labels(df: DataFrame, labels: DataFrame, index: str) -> DataFrame:
 
 
 def unprocessed(listing: DataFrame, done: DataFrame, key: str = "path") -> DataFrame:
-    """Listed files without a result."""
-    return listing.join(done.select(key), key, "left_anti")
+    """Listed files without a result.
+
+    The results are made distinct first: that keeps one row per key and task
+    before the shuffle the join needs anyway, so a path with many results does
+    not pile up in one task.
+    """
+    return listing.join(done.select(key).distinct(), key, "left_anti")
 
 
 def latest_by(df: DataFrame, key: str, order: list[str]) -> DataFrame:

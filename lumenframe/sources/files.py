@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -131,7 +132,7 @@ def write_files(df: DataFrame, out_dir: str) -> DataFrame:
             names, contents = batch.column("name").to_pylist(), batch.column("content")
             for name, content in zip(names, contents):
                 target = f"{inner}/{name}"
-                part = f"{inner}/_{name}.{os.getpid()}"
+                part = f"{inner}/_{name}.{uuid.uuid4().hex}"
                 with fs.open_output_stream(part) as sink:
                     sink.write(content.as_buffer())
                 fs.move(part, target)
