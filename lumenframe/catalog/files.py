@@ -10,7 +10,7 @@ from lumenframe.catalog.registry import query
 from lumenframe.catalog.scoring import HEAD, WEIGHT_SQL
 from lumenframe.functions.maps import EXTENDED_KEYS
 from lumenframe.functions.text import base_name
-from lumenframe.operators.images import unpack_pixels
+from lumenframe.operators.images import explode_pixels, unpack_pixels
 from lumenframe.plans.stages import Settings, run_pipeline
 from lumenframe.session import work_dir
 from lumenframe.sources import dicom, files
@@ -18,8 +18,19 @@ from lumenframe.sources import dicom, files
 RUN_TS = "20240305060708"
 
 
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def shared_files(spark: SparkSession, sf_dir: str) -> str:
+    """The files of this session, written by the first query that needs them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = written(spark, sf_dir)
+    return _WRITTEN[key]
+
+
 def written(spark: SparkSession, sf_dir: str) -> str:
-    """Write every tile as a file, spread over folders, and return the top folder."""
+    """Write every tile as a file and return the folder."""
     out = work_dir(spark, "dicom")
     name = F.concat(F.lit("tile-"), F.col("vec_id").cast("string"), F.lit(".dcm"))
     metadata = F.create_map(
@@ -46,14 +57,15 @@ label::VARCHAR AS infer_results, '' AS infer_confidence, 'série ' || label AS o
 y * 8 + x AS pos, px16 AS px FROM stored""")
 def dicom_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = dicom.read_dicom(spark, written(spark, sf_dir), keys=EXTENDED_KEYS)
-    return df.select(
+    flat = df.select(
         base_name(F.col("path")).alias("name"),
         *[F.col("metadata")[k].alias(k) for k in EXTENDED_KEYS.values()],
         "image_dtype",
         F.get("image_shape", 0).alias("rows"),
         F.get("image_shape", 1).alias("cols"),
-        F.posexplode(unpack_pixels(F.col("image_data_bytes"), F.col("image_dtype"))).alias("pos", "px"),
+        unpack_pixels(F.col("image_data_bytes"), F.col("image_dtype")).alias("pixels"),
     )
+    return explode_pixels(flat, "pixels", *[c for c in flat.columns if c != "pixels"])
 
 
 @query("""SELECT 'tile-' || vec_id || '.dcm' AS name, t.keyword, t.vr, CASE t.keyword WHEN 'PatientID' THEN 'P' || vec_id
@@ -67,7 +79,7 @@ FROM embeddings, (VALUES ('PatientID', 'LO', ''), ('PatientName', 'PN', ''), ('I
   ('MediaStorageSOPClassUID', 'UI', '1.2.840.10008.5.1.4.1.1.1')) t(keyword, vr, value)""")
 def dicom_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tag table of the files, without the unique ids and the header length."""
-    tags = dicom.drop_sequences(dicom.dicom_tags(spark, written(spark, sf_dir)))
+    tags = dicom.drop_sequences(dicom.dicom_tags(spark, shared_files(spark, sf_dir)))
     skip = ("", "SOPInstanceUID", "MediaStorageSOPInstanceUID")
     return tags.where(~F.col("keyword").isin(*skip)).select(base_name(F.col("path")).alias("name"), "keyword", "vr", "value")
 
@@ -76,7 +88,7 @@ def dicom_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE vec_id % 3 WHEN 0 THEN 'P' || vec_id ELSE '' END AS patient_id FROM embeddings""")
 def dicom_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole, empty and cut-off files: every one gives a row."""
-    source = files.binary_files(spark, written(spark, sf_dir)).select(base_name(F.col("path")).alias("name"), "content")
+    source = files.binary_files(spark, shared_files(spark, sf_dir)).select(base_name(F.col("path")).alias("name"), "content")
     number = F.regexp_extract("name", "([0-9]+)", 1).cast("long")
     content = (
         F.when(number % 3 == 0, F.col("content")).when(number % 3 == 1, F.lit(b""))
@@ -92,7 +104,7 @@ def dicom_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT 'tile-' || vec_id || '.dcm' AS name, true AS has_size FROM embeddings")
 def list_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = files.list_images(spark, written(spark, sf_dir))
+    listed = files.list_images(spark, shared_files(spark, sf_dir))
     return listed.select(base_name(F.col("path")).alias("name"), (F.col("length") > 128).alias("has_size"))
 
 
@@ -109,7 +121,7 @@ SELECT 'P' || vec_id AS patient_id, CASE WHEN e0 >= e1 THEN 'NORMAL' ELSE 'PNEUM
 def _staged(spark: SparkSession, sf_dir: str, keep: tuple[str, ...], batch_size: int | None) -> DataFrame:
     out = work_dir(spark, "staged")
     settings = Settings(model=HEAD, size=(8, 8), keep=keep)
-    reports = run_pipeline(spark, written(spark, sf_dir), out, settings, RUN_TS, batch_size=batch_size)
+    reports = run_pipeline(spark, shared_files(spark, sf_dir), out, settings, RUN_TS, batch_size=batch_size)
     return reports.select(
         "patient_id", "prediction", F.round("confidence", 6).alias("confidence"), "report_status",
         F.size("lines").alias("n_lines"),

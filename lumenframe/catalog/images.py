@@ -26,7 +26,7 @@ def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def by_position(df: DataFrame, px: Column) -> DataFrame:
-    return df.select("vec_id", F.posexplode(px).alias("pos", "px"))
+    return images.explode_pixels(df, px, "vec_id")
 
 
 # --- SQL building blocks: long form, one row per pixel -----------------------
@@ -263,7 +263,7 @@ SELECT vec_id, 8 AS rows, 8 AS cols, y * 8 + x AS pos, floor(({NORMAL}) * 127.5:
 def processed_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Preprocessed tensors turned back into storable 8-bit pixels."""
     done = images.processed_images(images.preprocess_images(image_table(spark, sf_dir), size=(8, 8)), "vec_id")
-    return done.select("vec_id", "rows", "cols", F.posexplode("pixels").alias("pos", "px"))
+    return images.explode_pixels(done, "pixels", "vec_id", "rows", "cols")
 
 
 def damaged_table(spark: SparkSession, sf_dir: str) -> DataFrame:

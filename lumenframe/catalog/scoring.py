@@ -102,12 +102,11 @@ def score_sentinels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("vec_id", "prediction", F.round("confidence", 6).alias("confidence"))
 
 
-@query("""SELECT vec_id, CASE WHEN vec_id % 5 = 1 THEN 1 ELSE 0 END + CASE WHEN vec_id % 5 = 3 THEN 1 ELSE 0 END AS failed
-FROM embeddings WHERE vec_id % 5 IN (1, 3)""")
+@query("""SELECT count(*) AS total, count(*) FILTER (vec_id % 5 NOT IN (1, 3)) AS processed,
+       count(*) FILTER (vec_id % 5 IN (1, 3)) AS failed FROM embeddings""")
 def score_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows a scoring stage failed on, told from its error column."""
-    done = score(faulty_tensors(spark, sf_dir), HEAD)
-    return done.where(F.col("inference_error").isNotNull()).select("vec_id", F.lit(1).alias("failed"))
+    return summaries.stage_summary(score(faulty_tensors(spark, sf_dir), HEAD), "inference_error")
 
 
 @query("""SELECT p_partkey, 'classifier.' || CASE WHEN p_size % 2 = 0 THEN 'weight' ELSE 'bias' END || '.' || p_name AS name

@@ -19,8 +19,8 @@ from lumenframe.operators import kernels
 
 # Pixel dtypes that can be scaled to 8 bit.
 SUPPORTED_DTYPES = ("uint8", "uint16", "int16", "int32", "uint32", "float32", "float64")
-# Working memory of one kernel call, in pixels.
-CHUNK_PIXELS = 8_000_000
+# Pixels one kernel call works on, small enough for the processor cache.
+CHUNK_PIXELS = 1_000_000
 
 
 def _lists(values: np.ndarray, lengths: np.ndarray, valid: np.ndarray) -> pa.Array:
@@ -260,10 +260,20 @@ def split_errors(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col(column).isNull()), df.where(F.col(column).isNotNull())
 
 
+def explode_pixels(df: DataFrame, px: str | Column, *keys: str) -> DataFrame:
+    """One row per array element: ``keys``, ``pos``, ``px``. For tiles, not for full-size images.
+
+    The outer form keeps Spark from adding a not-empty filter below the explode,
+    which would run the UDF behind ``px`` a second time.
+    """
+    return df.select(*keys, F.posexplode_outer(px).alias("pos", "px")).where(F.col("pos").isNotNull())
+
+
 def pixel_rows(df: DataFrame, px: str, width: Column, *keys: str) -> DataFrame:
-    """One row per pixel: ``keys``, ``y``, ``x``, ``px``. For tiles, not for full-size images."""
-    return df.select(*keys, width.alias("_w"), F.posexplode(px).alias("_pos", "px")).select(
-        *keys, (F.col("_pos") / F.col("_w")).cast("int").alias("y"), (F.col("_pos") % F.col("_w")).alias("x"), "px"
+    """One row per pixel: ``keys``, ``y``, ``x``, ``px``."""
+    rows = explode_pixels(df.withColumn("_w", width), px, "_w", *keys)
+    return rows.select(
+        *keys, (F.col("pos") / F.col("_w")).cast("int").alias("y"), (F.col("pos") % F.col("_w")).alias("x"), "px"
     )
 
 
@@ -273,8 +283,11 @@ def pixel_histogram(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def processed_images(df: DataFrame, *keys: str) -> DataFrame:
-    """Preprocessed tensors as storable 8-bit images: ``keys``, ``rows``, ``cols``, ``pixels``."""
-    return df.where(F.col("tensor").isNotNull()).select(
+    """Preprocessed tensors as storable 8-bit images: ``keys``, ``rows``, ``cols``, ``pixels``.
+
+    Failed rows are told by their error, which needs no tensor to be computed.
+    """
+    return df.where(F.col("preprocess_error").isNull()).select(
         *keys,
         F.get("tensor_shape", 1).alias("rows"),
         F.get("tensor_shape", 2).alias("cols"),

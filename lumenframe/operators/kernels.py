@@ -40,10 +40,15 @@ def _resample(images: np.ndarray, n_out: int, axis: int) -> np.ndarray:
     pos, weight = triangle_taps(n_in, n_out)
     align = [1] * images.ndim
     align[axis] = n_out
-    total = np.int32(1 << (WEIGHT_BITS - 1))
+    size = list(images.shape)
+    size[axis] = n_out
+    total = np.full(size, 1 << (WEIGHT_BITS - 1), np.int32)
     for t in range(pos.shape[1]):
-        total = total + np.take(images, pos[:, t], axis=axis).astype(np.int32) * weight[:, t].reshape(align)
-    return np.clip(total >> WEIGHT_BITS, 0, 255).astype(np.uint8)
+        part = np.take(images, pos[:, t], axis=axis, mode="clip").astype(np.int32)
+        part *= weight[:, t].reshape(align)
+        total += part
+    total >>= WEIGHT_BITS
+    return np.clip(total, 0, 255, out=total).astype(np.uint8)
 
 
 def resize(images: np.ndarray, height: int, width: int) -> np.ndarray:
@@ -88,14 +93,22 @@ def to_tensor(images: np.ndarray) -> np.ndarray:
     return (images.astype(np.float32) / np.float32(255.0) - half) / half
 
 
+def _levels(distance: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """``trunc(distance / span * 255)``, zero where there is no span."""
+    safe = np.where(span > 0, span, 1.0)
+    return np.where(span > 0, np.clip(np.floor(distance / safe * 255.0), 0, 255), 0).astype(np.uint8)
+
+
 def scale_to_8bit(images: np.ndarray, how: str) -> np.ndarray:
     """``max`` or ``minmax`` scaling of each image in a stack, truncated to 8 bit."""
-    x = images.astype(np.float64)
-    top = x.max(axis=(1, 2), keepdims=True)
-    low = np.zeros_like(top) if how == "max" else x.min(axis=(1, 2), keepdims=True)
-    span = top - low
-    safe = np.where(span > 0, span, 1.0)
-    return np.where(span > 0, np.clip(np.floor((x - low) / safe * 255.0), 0, 255), 0).astype(np.uint8)
+    top = images.max(axis=(1, 2), keepdims=True).astype(np.float64)
+    low = np.zeros_like(top) if how == "max" else images.min(axis=(1, 2), keepdims=True).astype(np.float64)
+    if images.dtype == np.uint16 and images[0].size > 1 << 16:
+        # fewer levels than pixels: scale the levels and look the pixels up
+        span, base = (top - low).ravel(), low.ravel()
+        tables = [_levels(np.arange(int(t) + 1) - b, s) for t, b, s in zip(top.ravel(), base, span)]
+        return np.stack([np.take(table, image, mode="clip") for table, image in zip(tables, images)])
+    return _levels(images.astype(np.float64) - low, top - low)
 
 
 def select_frame(stack: np.ndarray, luma: tuple[int, int, int]) -> np.ndarray:

@@ -22,14 +22,15 @@ FINISHED = ("completed", "error")
 TTL_S = 3600
 
 
-def run_latest(events: DataFrame) -> DataFrame:
-    """Newest event of each job."""
-    return latest_by(events, "job_id", ["event_ts", "event_id"])
+def run_latest(events: DataFrame, *columns: str) -> DataFrame:
+    """Newest event of each job, with all its fields or only ``columns`` and the time and id."""
+    kept = events.select("job_id", "event_ts", "event_id", *columns) if columns else events
+    return latest_by(kept, "job_id", ["event_ts", "event_id"])
 
 
 def run_status(events: DataFrame, jobs: DataFrame) -> DataFrame:
     """State of each asked-for job; one without events is ``idle``."""
-    state = jobs.select("job_id").join(run_latest(events).select("job_id", "status", "message"), "job_id", "left")
+    state = jobs.select("job_id").join(run_latest(events, "status", "message").select("job_id", "status", "message"), "job_id", "left")
     return state.select(
         "job_id",
         F.coalesce("status", F.lit("idle")).alias("status"),
@@ -63,7 +64,7 @@ def run_listing(events: DataFrame) -> DataFrame:
 def run_summary(events: DataFrame) -> DataFrame:
     """How many jobs there are, by their newest state."""
     status = F.col("status")
-    return run_latest(events).agg(
+    return run_latest(events, "status").agg(
         F.count("*").alias("total_jobs"),
         F.count_if(status == "running").alias("running"),
         F.count_if(status == "completed").alias("completed"),
