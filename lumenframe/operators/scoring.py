@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,11 +85,11 @@ def tensor_problem(tensor: Column, shape: Column, expected: int | None = None) -
 
 def _batch_logits(spark: SparkSession, model: Model) -> Callable[..., Column]:
     """Arrow UDF that applies ``model`` to ``(n, elements)`` matrices, unpacked once per task."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(model))
 
     @F.arrow_udf("array<double>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        score_rows = shared.value
+        score_rows = cloudpickle.loads(shared.value)
         for tensors in batches:
             usable = tensors.is_valid().to_numpy(zero_copy_only=False)
             logits: list[np.ndarray | None] = [None] * len(tensors)

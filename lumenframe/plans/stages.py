@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -123,6 +124,10 @@ def run_pipeline(
     goes on where it was.
     """
     require_positive(max_images=max_images, batch_size=batch_size)
+    if not re.fullmatch("[0-9]{14}", run_ts):
+        raise ValueError(f"run_ts must be yyyyMMddHHmmss, not {run_ts!r}")
+    if max_images is not None and batch_size is not None:
+        raise ValueError("max_images and batch_size cannot be combined")
     append_event(spark, out, run_ts, 0, settings.clock(), "running", "Pipeline started")
     try:
         if batch_size is None:
@@ -130,8 +135,6 @@ def run_pipeline(
         else:
             from lumenframe.streaming.incremental import run_incremental
 
-            if max_images is not None:
-                raise ValueError("max_images and batch_size cannot be combined")
             counts = run_incremental(spark, src, out, settings, run_ts, batch_size, checkpoint)
     except Exception as e:
         append_event(spark, out, run_ts, 1, settings.clock(), "error", f"Pipeline failed: {str(e)[:500]}")
