@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenframe.functions.pixels import LUMA, denormalize, element_count
+from lumenframe.functions.pixels import denormalize, element_count
 from lumenframe.operators import kernels
 
 # Pixel dtypes that can be scaled to 8 bit.
@@ -36,6 +36,13 @@ def _flat(px: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return px.flatten().to_numpy(zero_copy_only=False), lengths, valid
 
 
+def _as_levels(values: np.ndarray) -> np.ndarray:
+    """Values as 8-bit levels; anything outside 0..255 is a caller's mistake, not to be wrapped."""
+    if values.size and (values.min() < 0 or values.max() > 255):
+        raise ValueError("pixels must be 8-bit levels; scale the image first")
+    return values.astype(np.uint8)
+
+
 def _by_shape(shapes: pa.Array, usable: np.ndarray) -> Iterator[tuple[tuple[int, ...], np.ndarray]]:
     """Row positions of each distinct shape, in pieces of bounded size."""
     rows: dict[tuple[int, ...], list[int]] = {}
@@ -60,7 +67,7 @@ def _map_images(fn: Callable[[np.ndarray], np.ndarray]):
             out: list[np.ndarray] = [np.empty(0, np.int32)] * len(px)
             for (h, w), rows in _by_shape(shapes, valid):
                 at = starts[rows][:, None] + np.arange(h * w)
-                result = fn(values[at].reshape(len(rows), h, w).astype(np.uint8))
+                result = fn(_as_levels(values[at]).reshape(len(rows), h, w))
                 for row, image in zip(rows, result):
                     out[row] = image.ravel()
             sizes = np.array([len(o) for o in out])
@@ -85,7 +92,7 @@ def _equalize_udf():
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for px in batches:
             values, lengths, valid = _flat(px)
-            yield _lists(kernels.equalize(values, lengths).astype(np.int32), lengths, valid)
+            yield _lists(kernels.equalize(_as_levels(values), lengths).astype(np.int32), lengths, valid)
 
     return run
 
@@ -184,25 +191,19 @@ def _preprocess_part(
             rows = members[names[members] == name]
             dtype = np.dtype(name).newbyteorder("<")
             stack = np.stack([np.frombuffer(data[int(i)].as_buffer(), dtype).reshape(shape) for i in rows])
-            frame = kernels.select_frame(stack, LUMA)
-            # under "minmax" an 8-bit image is already on the target scale
-            gray = frame.astype(np.uint8) if name == "uint8" and how == "minmax" else kernels.scale_to_8bit(frame, how)
-            smooth = kernels.blur5(kernels.resize(gray, height, width)).reshape(len(rows), -1)
-            flat = kernels.equalize(smooth.ravel(), np.full(len(rows), height * width))
-            tensors[rows] = kernels.to_tensor(flat).reshape(len(rows), -1)
+            tensors[rows] = kernels.preprocess(stack, name, height, width, how)
     lengths = np.where(usable, height * width, 0)
     return _lists(tensors[usable].ravel(), lengths, usable)
 
 
-def preprocess_problem(data: Column, shape: Column, dtype: Column) -> Column:
-    """Why an image cannot be preprocessed, or null. Checked before any Python runs."""
+def preprocess_problem(n_bytes: Column, shape: Column, dtype: Column) -> Column:
+    """Why an image of ``n_bytes`` pixel bytes cannot be preprocessed, or null."""
     name = resolve_dtype(dtype)
     width = dtype_width(name)
     dims = F.array_join(shape.cast("array<string>"), ", ")
-    n_bytes = F.octet_length(data)
     return (
         F.when(
-            data.isNull() | shape.isNull() | (F.size(shape) == 0) | dtype.isNull() | (dtype == ""),
+            n_bytes.isNull() | shape.isNull() | (F.size(shape) == 0) | dtype.isNull() | (dtype == ""),
             F.lit("Missing image data, shape, or dtype for preprocessing"),
         )
         .when(name.isNull(), F.concat(F.lit("Preprocessing error: Unsupported or unknown dtype string: "), dtype))
@@ -228,6 +229,17 @@ def preprocess_problem(data: Column, shape: Column, dtype: Column) -> Column:
     )
 
 
+def check_options(size: tuple[int, int], scale: str) -> None:
+    if scale not in ("minmax", "max"):
+        raise ValueError(f"scale must be 'minmax' or 'max', not {scale!r}")
+    if min(size) < 1:
+        raise ValueError(f"size must be positive, not {size!r}")
+
+
+def tensor_shape(good: Column, size: tuple[int, int]) -> Column:
+    return F.when(good, F.array(F.lit(1), F.lit(size[0]), F.lit(size[1])))
+
+
 def preprocess_images(
     df: DataFrame,
     size: tuple[int, int] = (224, 224),
@@ -240,18 +252,12 @@ def preprocess_images(
     ``tensor``, ``tensor_shape`` and ``preprocess_error``; rows that fail are kept
     with their reason and a null tensor. Pixel columns are dropped unless asked for.
     """
-    if scale not in ("minmax", "max"):
-        raise ValueError(f"scale must be 'minmax' or 'max', not {scale!r}")
-    height, width = size
-    if height < 1 or width < 1:
-        raise ValueError(f"size must be positive, not {size!r}")
+    check_options(size, scale)
     data, shape, dtype = F.col("image_data_bytes"), F.col("image_shape"), F.col("image_dtype")
-    checked = df.withColumn("preprocess_error", preprocess_problem(data, shape, dtype))
+    checked = df.withColumn("preprocess_error", preprocess_problem(F.octet_length(data), shape, dtype))
     good = F.col("preprocess_error").isNull()
-    tensor = _preprocess_udf(height, width, scale)(F.when(good, data), shape, resolve_dtype(dtype))
-    out = checked.withColumns(
-        {"tensor": tensor, "tensor_shape": F.when(good, F.array(F.lit(1), F.lit(height), F.lit(width)))}
-    )
+    tensor = _preprocess_udf(*size, scale)(F.when(good, data), shape, resolve_dtype(dtype))
+    out = checked.withColumns({"tensor": tensor, "tensor_shape": tensor_shape(good, size)})
     return out if keep_pixels else out.drop("image_data_bytes", "image_shape", "image_dtype")
 
 

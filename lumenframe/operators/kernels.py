@@ -11,6 +11,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from lumenframe.functions.pixels import LUMA
+
 # Fixed value: fraction bits of the resampling weights.
 WEIGHT_BITS = 22
 
@@ -111,7 +113,7 @@ def scale_to_8bit(images: np.ndarray, how: str) -> np.ndarray:
     return _levels(images.astype(np.float64) - low, top - low)
 
 
-def select_frame(stack: np.ndarray, luma: tuple[int, int, int]) -> np.ndarray:
+def select_frame(stack: np.ndarray) -> np.ndarray:
     """One 2-D frame per image of a stack ``(n, *shape)``; see ``functions.pixels.select_frame``."""
     if stack.ndim == 3:
         return stack
@@ -119,5 +121,15 @@ def select_frame(stack: np.ndarray, luma: tuple[int, int, int]) -> np.ndarray:
         if stack.shape[3] != 3:
             return stack[..., 0]
         rgb = stack.astype(np.int64) & 255
-        return (rgb @ np.array(luma) + 16384) >> 15
+        return (rgb @ np.array(LUMA) + 16384) >> 15
     return stack[:, 0]
+
+
+def preprocess(stack: np.ndarray, dtype: str, height: int, width: int, how: str) -> np.ndarray:
+    """Frame, scale, resize, blur, equalise and normalise a stack ``(n, *shape)``: ``(n, height * width)`` floats."""
+    frame = select_frame(stack)
+    # under "minmax" an 8-bit image is already on the target scale
+    gray = frame.astype(np.uint8) if dtype == "uint8" and how == "minmax" else scale_to_8bit(frame, how)
+    smooth = blur5(resize(gray, height, width))
+    flat = equalize(smooth.ravel(), np.full(len(stack), height * width))
+    return to_tensor(flat).reshape(len(stack), -1)

@@ -91,14 +91,18 @@ def _batch_logits(spark: SparkSession, model: Model) -> Callable[..., Column]:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         score_rows = cloudpickle.loads(shared.value)
         for tensors in batches:
-            usable = tensors.is_valid().to_numpy(zero_copy_only=False)
-            logits: list[np.ndarray | None] = [None] * len(tensors)
-            lengths = tensors.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            lengths = tensors.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
             values = tensors.flatten().to_numpy(zero_copy_only=False)
-            starts = np.concatenate([[0], np.cumsum(lengths)])
-            for length in np.unique(lengths[usable]):
-                rows = np.flatnonzero(usable & (lengths == length))
-                matrix = values[starts[rows][:, None] + np.arange(length)]
+            starts = np.concatenate([[0], np.cumsum(np.maximum(lengths, 0))])
+            logits: list[np.ndarray | None] = [None] * len(tensors)
+            present = [n for n in np.unique(lengths) if n >= 0]
+            for length in present:
+                rows = np.flatnonzero(lengths == length)
+                if len(present) == 1:
+                    # null rows take no space, so the values already are the matrix
+                    matrix = values.reshape(len(rows), length)
+                else:
+                    matrix = values[starts[rows][:, None] + np.arange(length)]
                 for row, scores in zip(rows, np.asarray(score_rows(matrix), dtype=np.float64)):
                     logits[row] = scores
             yield pa.array(logits, pa.list_(pa.float64()))

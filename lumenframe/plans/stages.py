@@ -15,7 +15,7 @@ from lumenframe.operators.quality import require_positive
 from lumenframe.operators.reports import build_reports
 from lumenframe.operators.runs import EVENT_SCHEMA
 from lumenframe.operators.scoring import LinearHead, Model, score
-from lumenframe.sources.dicom import read_dicom
+from lumenframe.sources.dicom import decode_table, image_files, preprocess_files
 from lumenframe.sources.snapshots import read_run, write_snapshot
 
 STAGES = ("dicom", "preprocessed", "inference", "reports")
@@ -52,12 +52,20 @@ def generated_at(run_ts: str) -> Column:
 
 
 def stage_plans(settings: Settings, run_ts: str) -> dict[str, Callable[[DataFrame], DataFrame]]:
-    """Each stage as a function of the one before."""
-    return {
-        "preprocessed": lambda df: preprocess_images(df, settings.size, settings.scale),
-        "inference": lambda df: score(df, settings.model),
-        "reports": lambda df: build_reports(df, generated_at(run_ts), settings.layout, settings.naming),
-    }
+    """Each stage as a function of the one before; the first takes files.
+
+    Where the ``dicom`` snapshot is not kept, decoding and preprocessing are one
+    step, so that pixels never return from the Python workers.
+    """
+    plans: dict[str, Callable[[DataFrame], DataFrame]] = {}
+    if "dicom" in settings.keep:
+        plans["dicom"] = decode_table
+        plans["preprocessed"] = lambda df: preprocess_images(df, settings.size, settings.scale)
+    else:
+        plans["preprocessed"] = lambda df: preprocess_files(df, settings.size, settings.scale)
+    plans["inference"] = lambda df: score(df, settings.model)
+    plans["reports"] = lambda df: build_reports(df, generated_at(run_ts), settings.layout, settings.naming)
+    return plans
 
 
 def _counts(written: DataFrame, stage: str) -> dict[str, int]:
@@ -72,26 +80,23 @@ def _counts(written: DataFrame, stage: str) -> dict[str, int]:
 
 
 def run_stages(
-    spark: SparkSession, dicom: DataFrame, out: str, settings: Settings, run_ts: str, batch: int | None = None
+    spark: SparkSession, files: DataFrame, out: str, settings: Settings, run_ts: str, batch: int | None = None
 ) -> dict[str, dict[str, int]]:
-    """Take a ``dicom`` table through all stages; returns the counts of the written ones."""
+    """Take files (``path``, ``content``) through all stages; returns the counts of the written ones."""
     unknown = set(settings.keep) - set(STAGES)
     if unknown or "reports" not in settings.keep:
         raise ValueError(f"keep must hold 'reports' and only names of {STAGES}")
-    plans = stage_plans(settings, run_ts)
     counts: dict[str, dict[str, int]] = {}
-    current = dicom
-    for stage in STAGES:
-        if stage in plans:
-            current = plans[stage](current)
+    current = files
+    for stage, plan in stage_plans(settings, run_ts).items():
+        current = plan(current)
         if stage not in settings.keep:
             continue
         if stage in SMALL_ROWS:
             # a task turns many megabytes of images into a few kilobytes of results:
             # without this the stage would be one tiny file per input split
             current = current.hint("rebalance")
-        base = f"{out.rstrip('/')}/{stage}"
-        target = write_snapshot(current, base, run_ts, batch)
+        target = write_snapshot(current, f"{out.rstrip('/')}/{stage}", run_ts, batch)
         current = spark.read.schema(current.schema).parquet(target)
         counts[stage] = _counts(current, stage)
     return counts
@@ -131,7 +136,7 @@ def run_pipeline(
     append_event(spark, out, run_ts, 0, settings.clock(), "running", "Pipeline started")
     try:
         if batch_size is None:
-            counts = run_stages(spark, read_dicom(spark, src, max_images), out, settings, run_ts)["reports"]
+            counts = run_stages(spark, image_files(spark, src, max_images), out, settings, run_ts)["reports"]
         else:
             from lumenframe.streaming.incremental import run_incremental
 

@@ -14,8 +14,15 @@ from pyspark.sql import functions as F
 
 from lumenframe.functions.maps import CANONICAL_KEYS, canonical_metadata, error_metadata
 from lumenframe.functions.pixels import stretch_16
-from lumenframe.operators.images import pack_pixels
-from lumenframe.sources.files import list_images, read_images, write_files
+from lumenframe.operators import kernels
+from lumenframe.operators.images import (
+    SUPPORTED_DTYPES,
+    check_options,
+    pack_pixels,
+    preprocess_problem,
+    tensor_shape,
+)
+from lumenframe.sources.files import binary_files, fetch_files, list_images, write_files
 
 # Public data element tags, as group, element → keyword, value type.
 ELEMENTS = {
@@ -130,6 +137,8 @@ def _elements(buf: memoryview, at: int, explicit: bool, group: int | None = None
 def parse_elements(data: bytes) -> list[Element]:
     """All top-level elements of a file, file header included."""
     buf = memoryview(data)
+    if not buf:
+        raise ValueError("empty file")
     at = 132 if bytes(buf[128:132]) == b"DICM" else 0
     found = []
     for element, after in _elements(buf, at, True, group=0x0002):
@@ -206,6 +215,13 @@ _ARROW_DECODED = pa.struct([("tags", pa.list_(_ARROW_TAG)), ("pixels", pa.binary
                             ("shape", pa.list_(pa.int32())), ("dtype", pa.string()),
                             ("error", pa.string())])
 
+PREPARED = f"struct<tags:{TAG_TYPE},shape:array<int>,dtype:string,n_bytes:bigint,tensor:array<float>,error:string>"
+_ARROW_PREPARED = pa.struct([("tags", pa.list_(_ARROW_TAG)), ("shape", pa.list_(pa.int32())), ("dtype", pa.string()),
+                             ("n_bytes", pa.int64()), ("tensor", pa.list_(pa.float32())),
+                             ("error", pa.string())])
+# Files whose tensors are handed back together.
+FILES_PER_YIELD = 32
+
 
 def _tag_row(element: Element) -> dict:
     tag, vr, value = element
@@ -236,61 +252,125 @@ def _decode_udf(pixels: bool):
         for contents in batches:
             for item in contents:
                 # one file at a time, so that memory holds one image and not a batch of them
-                yield pa.array([decode_file(item.as_buffer(), pixels)], _ARROW_DECODED)
+                row = decode_file(item.as_buffer(), pixels) if item.is_valid else None
+                yield pa.array([row], _ARROW_DECODED)
 
     return run
 
 
+@cache
+def _decode_preprocess_udf(height: int, width: int, how: str):
+    @F.arrow_udf(PREPARED)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for contents in batches:
+            for start in range(0, len(contents), FILES_PER_YIELD):
+                part = contents[start : start + FILES_PER_YIELD]
+                yield pa.array([_prepare(i.as_buffer(), height, width, how) if i.is_valid else None for i in part],
+                               _ARROW_PREPARED)
+
+    return run
+
+
+def _prepare(data: bytes, height: int, width: int, how: str) -> dict:
+    """Decode one file and preprocess its pixels, which do not leave the task."""
+    row = decode_file(data, True)
+    pixels, shape, dtype = row.pop("pixels"), row["shape"], row["dtype"]
+    row["n_bytes"] = None if pixels is None else len(pixels)
+    usable = row["error"] is None and len(shape) in (2, 3) and np.prod(shape) > 0 and dtype in SUPPORTED_DTYPES
+    if usable:
+        image = np.frombuffer(pixels, np.dtype(dtype).newbyteorder("<")).reshape(1, *shape)
+        row["tensor"] = kernels.preprocess(image, dtype, height, width, how)[0]
+    return row
+
+
 def _keyword(keyword: str) -> Column:
     """Value of a keyword among the decoded tags."""
     return F.try_element_at(F.filter("_d.tags", lambda t: t["keyword"] == keyword), F.lit(-1))["value"]
 
 
+def _failure(files: DataFrame) -> Column:
+    """Why a file has no image: it could not be fetched, or it could not be decoded."""
+    fetched = [F.col("fetch_error")] if "fetch_error" in files.columns else []
+    return F.coalesce(*fetched, F.col("_d.error"))
+
+
+def _with_metadata(decoded: DataFrame, keys: dict[str, str], *rest: Column) -> DataFrame:
+    """``path``, ``metadata``, ``rest``, ``decode_error``, ``patient_id`` of a decoded file ``_d``."""
+    error = F.col("decode_error")
+    metadata = F.when(error.isNull(), canonical_metadata(_keyword, keys)).otherwise(error_metadata(error))
+    table = decoded.select("path", metadata.alias("metadata"), *rest, "decode_error")
+    return table.withColumn("patient_id", F.col("metadata")["patient_id"])
+
+
 def decode_table(files: DataFrame, keys: dict[str, str] = CANONICAL_KEYS) -> DataFrame:
     """``path``, ``content`` → the ``dicom`` table: metadata, pixels, shape, dtype, patient and error."""
-    error = F.col("_d.error")
-    metadata = F.when(error.isNull(), canonical_metadata(_keyword, keys)).otherwise(error_metadata(error))
-    return (
-        files.withColumn("_d", _decode_udf(True)("content"))
-        .select(
-            "path",
-            metadata.alias("metadata"),
-            F.col("_d.pixels").alias("image_data_bytes"),
-            F.col("_d.shape").alias("image_shape"),
-            F.col("_d.dtype").alias("image_dtype"),
-            error.alias("decode_error"),
-        )
-        .withColumn("patient_id", F.col("metadata")["patient_id"])
+    decoded = files.withColumn("_d", _decode_udf(True)("content")).withColumn("decode_error", _failure(files))
+    return _with_metadata(
+        decoded,
+        keys,
+        F.col("_d.pixels").alias("image_data_bytes"),
+        F.col("_d.shape").alias("image_shape"),
+        F.col("_d.dtype").alias("image_dtype"),
     )
 
 
-def empty_rows(files: DataFrame) -> DataFrame:
-    """Error rows of the ``dicom`` table for files without content."""
-    message = F.lit("empty file")
-    return files.select(
-        "path",
-        error_metadata(message).alias("metadata"),
-        F.lit(None).cast("binary").alias("image_data_bytes"),
-        F.lit(None).cast("array<int>").alias("image_shape"),
-        F.lit(None).cast("string").alias("image_dtype"),
-        message.alias("decode_error"),
-        F.lit("").alias("patient_id"),
+def preprocess_files(
+    files: DataFrame,
+    size: tuple[int, int] = (224, 224),
+    scale: str = "minmax",
+    keys: dict[str, str] = CANONICAL_KEYS,
+) -> DataFrame:
+    """``preprocess_images(decode_table(files))`` in a single task step.
+
+    The pixels, by far the largest part of the data, go to Python once and never
+    come back; only tags and tensors do.
+    """
+    check_options(size, scale)
+    decoded = files.withColumn("_d", _decode_preprocess_udf(*size, scale)("content"))
+    problem = preprocess_problem(F.col("_d.n_bytes"), F.col("_d.shape"), F.col("_d.dtype"))
+    checked = decoded.withColumns({"decode_error": _failure(files), "preprocess_error": problem})
+    good = F.col("preprocess_error").isNull()
+    return _with_metadata(
+        checked,
+        keys,
+        F.col("preprocess_error"),
+        F.col("_d.tensor").alias("tensor"),
+        tensor_shape(good, size).alias("tensor_shape"),
     )
 
 
+def image_files(
+    spark: SparkSession, base: str, max_images: int | None = None, listing: DataFrame | None = None
+) -> DataFrame:
+    """``path``, ``content`` and ``fetch_error`` of every image file below ``base``, empty ones included.
+
+    All files are read through Spark's binary file source; a capped or given
+    ``listing`` (``path``, ``length``) is fetched file by file inside the tasks.
+    """
+    if listing is not None or max_images:
+        chosen = listing if listing is not None else list_images(spark, base, max_images=max_images)
+        return fetch_files(chosen)
+    no_error = F.lit(None).cast("string").alias("fetch_error")
+    read = binary_files(spark, base).select("path", "content", no_error)
+    empty = list_images(spark, base).where("length = 0").select("path", F.lit(b"").alias("content"), no_error)
+    return read.unionByName(empty)
+
+
 def read_dicom(
-    spark: SparkSession, base: str, max_images: int | None = None, keys: dict[str, str] = CANONICAL_KEYS
+    spark: SparkSession,
+    base: str,
+    max_images: int | None = None,
+    keys: dict[str, str] = CANONICAL_KEYS,
+    listing: DataFrame | None = None,
 ) -> DataFrame:
     """The ``dicom`` table of the files below ``base``; unreadable and empty files are error rows."""
-    listing = list_images(spark, base, max_images=max_images)
-    decoded = decode_table(read_images(spark, base, listing if max_images else None), keys)
-    return decoded.unionByName(empty_rows(listing.where("length = 0")))
+    return decode_table(image_files(spark, base, max_images, listing), keys)
 
 
 def dicom_tags(spark: SparkSession, base: str) -> DataFrame:
     """One row per element of each file: path, group, element, keyword, vr, value."""
-    files = read_images(spark, base).withColumn("_d", _decode_udf(False)("content"))
-    return files.select("path", F.inline("_d.tags"))
+    files = binary_files(spark, base).select("path", _decode_udf(False)("content").alias("_d"))
+    return files.select("path", F.inline_outer("_d.tags")).where(F.col("group").isNotNull())
 
 
 def drop_sequences(tags: DataFrame) -> DataFrame:

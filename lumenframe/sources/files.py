@@ -17,8 +17,8 @@ from lumenframe.session import work_dir
 
 DICOM_GLOB = "*.[dD][cC][mM]"
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
-# Up to this many capped paths are named to the reader one by one.
-NAMED_PATHS = 10_000
+# Bytes of image files one task fetches.
+TASK_BYTES = 256 << 20
 
 
 def binary_files(spark: SparkSession, paths: str | list[str], pattern: str = DICOM_GLOB) -> DataFrame:
@@ -42,21 +42,34 @@ def list_images(spark: SparkSession, base: str, suffix: str = ".dcm", max_images
     return files.orderBy("path").limit(max_images)
 
 
-def read_images(spark: SparkSession, base: str, capped: DataFrame | None = None) -> DataFrame:
-    """Path and content of the non-empty image files, or of those in the ``capped`` listing.
+def fetch_files(listing: DataFrame) -> DataFrame:
+    """Content of the listed files (``path``, ``length``), read inside the tasks.
 
-    Up to ``NAMED_PATHS`` capped files are named to the reader, so that no other
-    file is opened; a longer cap is applied by comparing with its last path.
+    For a capped listing, or an inventory table that is at hand already: nothing
+    is indexed on the driver, empty files keep their row, and a file that cannot
+    be read is a row with ``fetch_error``. Tasks get about equal bytes.
     """
-    if capped is None:
-        return binary_files(spark, base).select("path", "content")
-    rows = capped.where("length > 0").select("path").orderBy("path").limit(NAMED_PATHS + 1).collect()
-    if not rows:
-        return spark.createDataFrame([], "path string, content binary")
-    if len(rows) <= NAMED_PATHS:
-        return binary_files(spark, [r["path"] for r in rows]).select("path", "content")
-    last = capped.agg(F.max("path")).first()[0]
-    return binary_files(spark, base).where(F.col("path") <= F.lit(last)).select("path", "content")
+    spark = listing.sparkSession
+    total = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    spread = listing.select("path").repartition(int(tasks))
+    return spread.mapInArrow(_fetch, "path string, content binary, fetch_error string")
+
+
+def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            content = error = None
+            try:
+                fs, inner = pafs.FileSystem.from_uri(_split_uri(path)[0])
+                with fs.open_input_stream(inner) as source:
+                    content = source.read()
+            except Exception as e:
+                error = f"Worker processing error for {path}: {e}"
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([path], pa.string()), pa.array([content], pa.binary()), pa.array([error], pa.string())],
+                ["path", "content", "fetch_error"],
+            )
 
 
 def _split_uri(uri: str) -> tuple[str, str]:

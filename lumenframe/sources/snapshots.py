@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUN = "run_ts"
+# An image row may hold tens of megabytes: look at the size after every row, not
+# after the first hundred, or a row group would buffer gigabytes.
+LARGE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1"}
 
 
 def _folder(base: str, run_ts: str) -> str:
@@ -21,7 +24,7 @@ def _filesystem(spark: SparkSession, path: str):
 def write_snapshot(df: DataFrame, base: str, run_ts: str, batch: int | None = None) -> str:
     """Write a run's folder, or one batch of it; repeating the call replaces what it wrote."""
     target = _folder(base, run_ts) + ("" if batch is None else f"/batch={batch}")
-    df.write.mode("overwrite").parquet(target)
+    df.write.mode("overwrite").options(**LARGE_ROWS).parquet(target)
     return target
 
 

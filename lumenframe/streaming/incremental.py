@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from lumenframe.operators.quality import require_positive
 from lumenframe.plans.stages import Settings, run_stages
 from lumenframe.session import shared_dir
-from lumenframe.sources.dicom import decode_table, empty_rows
 from lumenframe.sources.files import BINARY_SCHEMA, DICOM_GLOB, list_images
 from lumenframe.sources.snapshots import mark_complete
 
@@ -69,7 +68,8 @@ def run_incremental(
     )
     empty = list_images(spark, src).where("length = 0")
     if not empty.isEmpty():
-        run_stages(spark, empty_rows(empty), out, settings, run_ts, EMPTY_BATCH)
+        files = empty.select("path", F.lit(b"").alias("content"))
+        run_stages(spark, files, out, settings, run_ts, EMPTY_BATCH)
     for stage in settings.keep:
         mark_complete(spark, f"{out.rstrip('/')}/{stage}", run_ts)
     written = spark.read.parquet(f"{out.rstrip('/')}/reports/run_ts={run_ts}")
@@ -77,4 +77,4 @@ def run_incremental(
 
 
 def _run_slice(files: DataFrame, n: int, out: str, settings: Settings, run_ts: str) -> None:
-    run_stages(files.sparkSession, decode_table(files.select("path", "content")), out, settings, run_ts, n)
+    run_stages(files.sparkSession, files.select("path", "content"), out, settings, run_ts, n)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenframe.functions.maps import EXTENDED_KEYS
+from lumenframe.operators.images import preprocess_images
 from lumenframe.operators.quality import verify_images
 from lumenframe.sources import dicom, files
 
@@ -108,7 +109,7 @@ def test_sequences_are_skipped(defined):
         (header(dicom.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes(), bits=1), "unsupported pixel width"),
         (header(dicom.EXPLICIT), "no pixel data"),
         (b"not an image at all, just text", ""),
-        (b"", "no pixel data"),
+        (b"", "empty file"),
     ],
 )
 def test_damaged_files(data, words):
@@ -175,9 +176,27 @@ def test_every_file_gives_a_row(spark, folder):
     assert names(dicom.read_dicom(spark, folder, max_images=4)) == ["a.dcm", "b.DCM", "c.Dcm", "empty.dcm"]
 
 
-def test_long_caps_do_not_lose_files(spark, folder, monkeypatch):
-    monkeypatch.setattr(files, "NAMED_PATHS", 1)
-    assert names(dicom.read_dicom(spark, folder, max_images=3)) == ["a.dcm", "b.DCM", "empty.dcm"]
+def test_given_listing(spark, folder):
+    listing = spark.createDataFrame(
+        [(f"{folder}/a.dcm", 10), (f"{folder}/deep/empty.dcm", 0), (f"{folder}/gone.dcm", 5), ("nofs://x/y.dcm", 5)],
+        "path string, length long",
+    )
+    rows = {r["path"].rsplit("/", 1)[-1]: r for r in dicom.read_dicom(spark, folder, listing=listing).collect()}
+    assert rows["a.dcm"]["decode_error"] is None and rows["a.dcm"]["image_shape"] == [2, 3]
+    assert rows["empty.dcm"]["decode_error"] == "empty file"
+    for name in ("gone.dcm", "y.dcm"):
+        assert rows[name]["decode_error"].startswith("Worker processing error for")
+        assert rows[name]["metadata"]["patient_id"] == ""
+
+
+def test_one_step_equals_two(spark, folder):
+    source = dicom.image_files(spark, folder)
+    two = preprocess_images(dicom.decode_table(source), size=(3, 4))
+    one = dicom.preprocess_files(source, size=(3, 4))
+    assert sorted(one.columns) == sorted(two.columns)
+    columns = sorted(one.columns)
+    rows = [sorted(map(str, df.select(columns).collect())) for df in (one, two)]
+    assert rows[0] == rows[1] and len(rows[0]) == 4
 
 
 def test_verification_statuses(spark, folder):

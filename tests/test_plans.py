@@ -9,7 +9,7 @@ from lumenframe.catalog.scoring import HEAD
 from lumenframe.operators import images
 from lumenframe.operators.scoring import score
 from lumenframe.plans.stages import Settings, stage_plans
-from lumenframe.sources import dicom, files
+from lumenframe.sources import files
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -38,13 +38,12 @@ def test_counts_do_not_compute_tensors(spark):
     assert counted.count("ArrowEvalPython") == 1
 
 
-def test_one_pass_decodes_once(spark, tmp_path):
-    content = spark.createDataFrame([("x", b"")], "path string, content binary")
-    stages = stage_plans(Settings(model=HEAD, size=(8, 8)), "20240101000000")
-    df = dicom.decode_table(content)
-    for stage in stages.values():
+@pytest.mark.parametrize(("keep", "python_nodes"), [(("reports",), 1), (("dicom", "reports"), 2)])
+def test_pixels_go_to_python_once_per_step(spark, keep, python_nodes):
+    df = spark.createDataFrame([("x", b"")], "path string, content binary")
+    for stage in stage_plans(Settings(model=HEAD, size=(8, 8), keep=keep), "20240101000000").values():
         df = stage(df)
-    assert plan(df).count("ArrowEvalPython") == 2
+    assert plan(df).count("ArrowEvalPython") == python_nodes
 
 
 def test_listing_does_not_open_files(spark, tmp_path):
