@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lumenframe.catalog.registry import query, table
 from lumenframe.functions import pixels
 from lumenframe.operators import images
-from lumenframe.operators.quality import verify_images
+from lumenframe.operators.quality import verify_images, with_pixels
 from lumenframe.operators.reports import thumbnail_pixels
 
 SIDE = 8
@@ -204,6 +204,13 @@ def pixels_equalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_position(tiles(spark, sf_dir), images.equalize(F.col("px8")))
 
 
+@query(f"WITH {TILES}, {PX8}, {sql_equalize('t8', 'e')} SELECT vec_id, y, x, px FROM e")
+def pixels_equalize_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The relational form: histogram, running sum per image, look-up join."""
+    rows = images.pixel_rows(tiles(spark, sf_dir), "px8", F.lit(SIDE), "vec_id")
+    return images.equalize_rows(rows, "vec_id")
+
+
 @query(f"WITH {TILES}, {PX8}, {sql_blur('t8', 8, 'b')} SELECT vec_id, y * 8 + x AS pos, px FROM b")
 def pixels_blur5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_position(tiles(spark, sf_dir), images.blur5(F.col("px8"), F.col("shape")))
@@ -320,6 +327,13 @@ def verification(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.withColumn("shape", F.array_join(F.col("shape").cast("array<string>"), "x"))
 
 
+@query("SELECT vec_id, 64 AS n_pixels FROM embeddings WHERE vec_id % 8 <> 1")
+def images_with_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that have pixel bytes and a shape."""
+    kept = with_pixels(damaged_table(spark, sf_dir))
+    return kept.select("vec_id", (F.octet_length("image_data_bytes") / 2).cast("int").alias("n_pixels"))
+
+
 @query(f"""WITH {TILES}, f AS (SELECT * FROM tile WHERE vec_id % 2 = 0 OR pos < 16),
 e AS (SELECT vec_id, min(px16) AS lo, max(px16) AS hi FROM f GROUP BY vec_id)
 SELECT vec_id, pos, px16 // 256 AS by_depth,

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenframe.catalog.registry import query, table
-from lumenframe.catalog.scoring import SCORES, scored_table
+from lumenframe.catalog.scoring import HEAD, SCORES, scored_table
 from lumenframe.operators import reports, summaries
+from lumenframe.plans.stages import Settings, run_reports
+from lumenframe.session import work_dir
+from lumenframe.sources.snapshots import write_snapshot
 
 RUN_TS = "2024-03-05 06:07:08"
 
@@ -158,3 +161,28 @@ def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select(F.from_json("value", schema).alias("_j")).select(
         "_j.path", "_j.prediction", "_j.confidence", F.col("_j.metadata")["obs"].alias("obs")
     )
+
+
+@query(f"""WITH {INPUT} SELECT path, prediction, confidence, patient_id,
+  CASE WHEN has_meta THEN 6 ELSE 0 END AS n_lines FROM inp""")
+def stored_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report documents written as JSON files and read back."""
+    built = reports.build_reports(report_input(spark, sf_dir), _generated(), "keys")
+    folder = reports.write_reports(built, work_dir(spark, "reports"), "20240305060708")
+    schema = "path string, prediction string, confidence double, patient_id string, lines array<struct<text:string>>"
+    stored = spark.read.schema(schema).json(folder)
+    return stored.select(
+        "path", "prediction", "confidence", "patient_id", F.coalesce(F.size("lines"), F.lit(0)).alias("n_lines")
+    )
+
+
+@query(f"""WITH {INPUT} SELECT 'reports/' || replace(substr(path, 6), '/', '_') || '.pdf' AS report_path, confidence FROM inp
+WHERE path IS NOT NULL""")
+def report_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of the newest of two stored scored runs; the older one has no rows of its own."""
+    out = work_dir(spark, "report-run")
+    scored = report_input(spark, sf_dir)
+    write_snapshot(scored.withColumn("path", F.lit("gs://old/x.dcm")), f"{out}/inference", "20230101000000")
+    write_snapshot(scored, f"{out}/inference", "20240305060708")
+    done = run_reports(spark, out, Settings(model=HEAD), "20240305060709")
+    return done.select("report_path", "confidence")

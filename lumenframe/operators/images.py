@@ -12,6 +12,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lumenframe.functions.pixels import denormalize, element_count
@@ -288,6 +289,27 @@ def pixel_histogram(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys, "px").agg(F.count("*").alias("n"))
 
 
+def equalize_rows(rows: DataFrame, *keys: str) -> DataFrame:
+    """Histogram equalisation of ``pixel_rows``: histogram, running sum, look-up join.
+
+    The window sees one row per occupied level, 256 per image at most, however
+    large the image is. For whole images in one row ``equalize`` needs no shuffle.
+    """
+    by_level = W.partitionBy(*keys).orderBy("px")
+    counts = pixel_histogram(rows, *keys).select(
+        *keys,
+        "px",
+        F.sum("n").over(by_level).alias("cdf"),
+        F.first("n").over(by_level).alias("base"),
+        F.sum("n").over(W.partitionBy(*keys)).alias("total"),
+    )
+    spread = (F.col("total") - F.col("base")).cast("float")
+    step = (F.lit(255.0) / F.nullif(spread, F.lit(0).cast("float"))).cast("float")
+    level = F.rint(((F.col("cdf") - F.col("base")).cast("float") * step).cast("double")).cast("int")
+    table = counts.select(*keys, "px", F.coalesce(level, F.col("px")).alias("level"))
+    return rows.join(table, [*keys, "px"]).select(*keys, "y", "x", F.col("level").alias("px"))
+
+
 def processed_images(df: DataFrame, *keys: str) -> DataFrame:
     """Preprocessed tensors as storable 8-bit images: ``keys``, ``rows``, ``cols``, ``pixels``.
 

@@ -35,6 +35,11 @@ def require_positive(**values: int | None) -> None:
             raise ValueError(f"{name} must be a positive integer, not {value!r}")
 
 
+def with_pixels(df: DataFrame) -> DataFrame:
+    """Decoded images that have pixel bytes and a shape."""
+    return df.where(F.col("image_data_bytes").isNotNull() & F.col("image_shape").isNotNull())
+
+
 @cache
 def _range_udf():
     @F.arrow_udf("struct<px_min:double,px_max:double>")

@@ -182,6 +182,13 @@ def write_reports(reports: DataFrame, base: str, run_ts: str, fmt: str = "json")
     return folder
 
 
+def write_json_reports(df: DataFrame, base: str, run_ts: str) -> str:
+    """Write the JSON documents of a run, one per line, into a folder a retry overwrites."""
+    folder = f"{base.rstrip('/')}/run_ts={run_ts}"
+    report_json(df).select("value").write.mode("overwrite").text(folder)
+    return folder
+
+
 def thumbnail_pixels(px: Column, shape: Column, dtype: Column, how: str = "depth") -> Column:
     """8-bit pixels of the first frame, for display, by ``max``, ``minmax`` or bit ``depth``."""
     frame = first_frame(px, shape)

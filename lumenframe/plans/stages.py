@@ -11,14 +11,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenframe.operators.images import preprocess_images
-from lumenframe.operators.quality import require_positive
-from lumenframe.operators.reports import build_reports
+from lumenframe.operators.quality import require_columns, require_positive, require_rows
+from lumenframe.operators.reports import REQUIRED, build_reports
 from lumenframe.operators.runs import EVENT_SCHEMA
 from lumenframe.operators.scoring import LinearHead, Model, score
+from lumenframe.operators.summaries import good_reports
 from lumenframe.sources.dicom import decode_table, image_files, preprocess_files
-from lumenframe.sources.snapshots import read_run, write_snapshot
+from lumenframe.sources.snapshots import RUN, read_latest, read_run, write_snapshot
 
 STAGES = ("dicom", "preprocessed", "inference", "reports")
+NEEDED = {
+    "preprocessed": ["path", "image_data_bytes", "image_shape", "image_dtype"],
+    "inference": ["path", "tensor", "tensor_shape"],
+    "reports": REQUIRED,
+}
 # Stages without pixels or tensors, cheap to even out before they are written.
 SMALL_ROWS = ("inference", "reports")
 ERROR_OF = {
@@ -102,6 +108,30 @@ def run_stages(
     return counts
 
 
+def run_stage(spark: SparkSession, out: str, stage: str, settings: Settings, run_ts: str) -> DataFrame:
+    """Run one stage on the newest snapshot of the stage before it, as a job of its own.
+
+    Fails on a missing or empty snapshot, and names every missing column of one
+    written by something else.
+    """
+    if stage not in STAGES[1:]:
+        raise ValueError(f"stage must be one of {STAGES[1:]}, not {stage!r}")
+    source = f"{out.rstrip('/')}/{STAGES[STAGES.index(stage) - 1]}"
+    newest = read_latest(spark, source)
+    require_columns(newest, NEEDED[stage])
+    require_rows(newest, source)
+    result = stage_plans(settings, run_ts)[stage](newest.drop(RUN, "batch"))
+    if stage in SMALL_ROWS:
+        result = result.hint("rebalance")
+    write_snapshot(result, f"{out.rstrip('/')}/{stage}", run_ts)
+    return read_run(spark, f"{out.rstrip('/')}/{stage}", run_ts)
+
+
+def run_reports(spark: SparkSession, out: str, settings: Settings, run_ts: str) -> DataFrame:
+    """Reports of the newest scored run; returns those that have a usable path."""
+    return good_reports(run_stage(spark, out, "reports", settings, run_ts))
+
+
 def append_event(
     spark: SparkSession, out: str, run_ts: str, event_id: int, now: datetime, status: str, message: str,
     processed: int = 0, total: int = 0, batch: int = 0,

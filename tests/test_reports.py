@@ -87,7 +87,9 @@ def test_sinks(spark, scored, tmp_path):
         reports.write_reports(built, str(tmp_path / "x"), "1", "pdf")
 
 
-def test_json_keeps_nulls(scored):
+def test_json_keeps_nulls(spark, scored, tmp_path):
+    folder = reports.write_json_reports(scored, str(tmp_path), "20240305060708")
+    assert spark.read.text(folder).count() == 2
     documents = [json.loads(r["value"]) for r in reports.report_json(scored).collect()]
     assert documents[0]["metadata"]["patient_name"] == "Reporter One" and documents[0]["confidence"] == 95.5
     assert documents[1] == {"metadata": None, "prediction": None, "confidence": None, "path": "gs://mock-bucket/bad.dcm"}

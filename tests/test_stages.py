@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenframe.operators.scoring import LinearHead
-from lumenframe.plans.stages import STAGES, Settings, run_pipeline
+from lumenframe.plans.stages import STAGES, Settings, run_pipeline, run_reports, run_stage
 from lumenframe.sources import dicom, snapshots
 
 HEAD = LinearHead((tuple(np.linspace(-1, 1, 16)), tuple(np.linspace(1, -1, 16))), (0.0, 0.1))
@@ -114,3 +114,21 @@ def test_arguments(spark, source, tmp_path):
         run_pipeline(spark, source, out, Settings(model=HEAD, keep=("dicom",)), RUN)
     capped = run_pipeline(spark, source, out, SETTINGS, RUN, max_images=2)
     assert capped.agg(F.max("path")).first()[0].endswith("i0.dcm") and capped.count() == 2
+
+
+def test_stages_as_separate_jobs(spark, source, tmp_path):
+    out = str(tmp_path / "out")
+    with pytest.raises(FileNotFoundError):
+        run_stage(spark, out, "preprocessed", SETTINGS, RUN)
+    whole = run_pipeline(spark, source, out, SETTINGS, "20240305060708", batch_size=5, checkpoint=str(tmp_path / "cp"))
+    wanted = result(whole)
+    for stage in STAGES[1:]:
+        again = run_stage(spark, out, stage, SETTINGS, "20240305060709")
+    body = lambda rows: [r[:6] + r[7:] for r in rows]  # noqa: E731  (the text names the run's time)
+    assert body(result(again)) == body(wanted)
+    assert run_reports(spark, out, SETTINGS, "20240305060710").count() == 9
+    snapshots.write_snapshot(spark.range(3), out + "/inference", "20250101000000")
+    with pytest.raises(ValueError, match="'path', 'patient_id', 'metadata', 'prediction', 'confidence'"):
+        run_reports(spark, out, SETTINGS, "20250101000001")
+    with pytest.raises(ValueError):
+        run_stage(spark, out, "dicom", SETTINGS, RUN)
