@@ -113,6 +113,15 @@ def scale_to_8bit(images: np.ndarray, how: str) -> np.ndarray:
     return _levels(images.astype(np.float64) - low, top - low)
 
 
+def stretch_16(values: np.ndarray) -> np.ndarray:
+    """One image spread over 0..65535, rounded half to even; a constant image gives zeros."""
+    x = values.astype(np.float64)
+    low, top = (x.min(), x.max()) if x.size else (0.0, 0.0)
+    if top == low:
+        return np.zeros(len(x), np.uint16)
+    return np.rint((x - low) * 65535.0 / (top - low)).astype(np.uint16)
+
+
 def select_frame(stack: np.ndarray) -> np.ndarray:
     """One 2-D frame per image of a stack ``(n, *shape)``; see ``functions.pixels.select_frame``."""
     if stack.ndim == 3:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,13 @@ class LinearHead:
     def width(self) -> int:
         return len(self.weights[0])
 
+    @cached_property
+    def _arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.array(self.weights).T, np.array(self.bias)
+
     def __call__(self, batch: np.ndarray) -> np.ndarray:
-        return batch.astype(np.float64) @ np.array(self.weights).T + np.array(self.bias)
+        weights, bias = self._arrays
+        return batch.astype(np.float64) @ weights + bias
 
 
 def rename_parameter(name: Column) -> Column:

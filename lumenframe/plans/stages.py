@@ -40,7 +40,8 @@ class Settings:
     """What a run does; ``keep`` names the stages whose snapshots are written.
 
     Leaving out ``dicom`` and ``preprocessed`` saves writing pixels and tensors,
-    and runs decode, preprocessing and scoring as one pass over the files.
+    and runs decode, preprocessing and scoring as one pass over the files. For
+    ``through_spark`` see ``image_files``.
     """
 
     model: LinearHead | Model
@@ -49,6 +50,7 @@ class Settings:
     layout: str = "full"
     naming: str = "path"
     keep: tuple[str, ...] = STAGES
+    through_spark: bool = False
     clock: Callable[[], datetime] = field(default=lambda: datetime.now(timezone.utc))
 
 
@@ -88,7 +90,7 @@ def _counts(written: DataFrame, stage: str) -> dict[str, int]:
 def run_stages(
     spark: SparkSession, files: DataFrame, out: str, settings: Settings, run_ts: str, batch: int | None = None
 ) -> dict[str, dict[str, int]]:
-    """Take files (``path``, ``content``) through all stages; returns the counts of the written ones."""
+    """Take files, listed or with their content, through all stages; returns the counts of the written ones."""
     unknown = set(settings.keep) - set(STAGES)
     if unknown or "reports" not in settings.keep:
         raise ValueError(f"keep must hold 'reports' and only names of {STAGES}")
@@ -166,7 +168,8 @@ def run_pipeline(
     append_event(spark, out, run_ts, 0, settings.clock(), "running", "Pipeline started")
     try:
         if batch_size is None:
-            counts = run_stages(spark, image_files(spark, src, max_images), out, settings, run_ts)["reports"]
+            files = image_files(spark, src, max_images, through_spark=settings.through_spark)
+            counts = run_stages(spark, files, out, settings, run_ts)["reports"]
         else:
             from lumenframe.streaming.incremental import run_incremental
 

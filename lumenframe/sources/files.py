@@ -42,18 +42,33 @@ def list_images(spark: SparkSession, base: str, suffix: str = ".dcm", max_images
     return files.orderBy("path").limit(max_images)
 
 
-def fetch_files(listing: DataFrame) -> DataFrame:
-    """Content of the listed files (``path``, ``length``), read inside the tasks.
+def spread_listing(listing: DataFrame) -> DataFrame:
+    """Paths of a listing (``path``, ``length``), dealt out so that tasks get about equal bytes."""
+    sizes = listing.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    by_size = max(listing.sparkSession.sparkContext.defaultParallelism, -(-sizes[0] // TASK_BYTES))
+    return listing.select("path").repartition(max(1, int(min(by_size, sizes[1]))))
+
+
+def read_file(path: str, attempts: int = 3) -> bytes:
+    """Content of one file, read in the task that needs it; a read that breaks is tried again."""
+    try:
+        fs, inner = pafs.FileSystem.from_uri(_split_uri(path)[0])
+        for left in reversed(range(attempts)):
+            try:
+                with fs.open_input_stream(inner) as source:
+                    return source.read()
+            except FileNotFoundError:
+                raise
+            except OSError:
+                if not left:
+                    raise
+    except Exception as e:
+        raise OSError(f"Worker processing error for {path}: {e}") from e
 
-    For a capped listing, or an inventory table that is at hand already: nothing
-    is indexed on the driver, empty files keep their row, and a file that cannot
-    be read is a row with ``fetch_error``. Tasks get about equal bytes.
-    """
-    spark = listing.sparkSession
-    total = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    tasks = max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
-    spread = listing.select("path").repartition(int(tasks))
-    return spread.mapInArrow(_fetch, "path string, content binary, fetch_error string")
+
+def fetch_files(listing: DataFrame) -> DataFrame:
+    """Content of the listed files; one that cannot be read is a row with ``fetch_error``."""
+    return spread_listing(listing).mapInArrow(_fetch, "path string, content binary, fetch_error string")
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,11 +76,9 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path in batch.column("path").to_pylist():
             content = error = None
             try:
-                fs, inner = pafs.FileSystem.from_uri(_split_uri(path)[0])
-                with fs.open_input_stream(inner) as source:
-                    content = source.read()
+                content = read_file(path)
             except Exception as e:
-                error = f"Worker processing error for {path}: {e}"
+                error = str(e)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([path], pa.string()), pa.array([content], pa.binary()), pa.array([error], pa.string())],
                 ["path", "content", "fetch_error"],

@@ -68,8 +68,7 @@ def run_incremental(
     )
     empty = list_images(spark, src).where("length = 0")
     if not empty.isEmpty():
-        files = empty.select("path", F.lit(b"").alias("content"))
-        run_stages(spark, files, out, settings, run_ts, EMPTY_BATCH)
+        run_stages(spark, empty, out, settings, run_ts, EMPTY_BATCH)
     for stage in settings.keep:
         mark_complete(spark, f"{out.rstrip('/')}/{stage}", run_ts)
     written = spark.read.parquet(f"{out.rstrip('/')}/reports/run_ts={run_ts}")
@@ -77,4 +76,5 @@ def run_incremental(
 
 
 def _run_slice(files: DataFrame, n: int, out: str, settings: Settings, run_ts: str) -> None:
-    run_stages(files.sparkSession, files.select("path", "content"), out, settings, run_ts, n)
+    chosen = files.select("path", "content" if settings.through_spark else "length")
+    run_stages(files.sparkSession, chosen, out, settings, run_ts, n)

@@ -176,6 +176,16 @@ def test_every_file_gives_a_row(spark, folder):
     assert names(dicom.read_dicom(spark, folder, max_images=4)) == ["a.dcm", "b.DCM", "c.Dcm", "empty.dcm"]
 
 
+def test_both_ways_to_read_agree(spark, folder):
+    columns = ["path", "metadata", "image_data_bytes", "image_shape", "image_dtype", "decode_error", "patient_id"]
+    ways = [dicom.read_dicom(spark, folder, through_spark=t).select(columns).collect() for t in (False, True)]
+    assert sorted(map(str, ways[0])) == sorted(map(str, ways[1])) and len(ways[0]) == 4
+    with pytest.raises(ValueError):
+        dicom.read_dicom(spark, folder, max_images=1, through_spark=True)
+    fetched = files.fetch_files(files.list_images(spark, folder)).collect()
+    assert sorted(len(r["content"]) == 0 for r in fetched) == [False, False, False, True]
+
+
 def test_given_listing(spark, folder):
     listing = spark.createDataFrame(
         [(f"{folder}/a.dcm", 10), (f"{folder}/deep/empty.dcm", 0), (f"{folder}/gone.dcm", 5), ("nofs://x/y.dcm", 5)],
@@ -189,8 +199,9 @@ def test_given_listing(spark, folder):
         assert rows[name]["metadata"]["patient_id"] == ""
 
 
-def test_one_step_equals_two(spark, folder):
-    source = dicom.image_files(spark, folder)
+@pytest.mark.parametrize("through_spark", [False, True])
+def test_one_step_equals_two(spark, folder, through_spark):
+    source = dicom.image_files(spark, folder, through_spark=through_spark)
     two = preprocess_images(dicom.decode_table(source), size=(3, 4))
     one = dicom.preprocess_files(source, size=(3, 4))
     assert sorted(one.columns) == sorted(two.columns)

@@ -163,3 +163,19 @@ def test_zero_and_constant_images(spark):
     assert [r["mm"] for r in rows] == [[0, 0, 0], [0, 0, 0], [], None]
     assert [r["s"] for r in rows] == [[0, 0, 0], [0, 0, 0], [], None]
     assert [r["e"] for r in rows] == [[0, 0, 0], [9, 9, 9], [], None]
+
+
+def test_stretch_kernel_equals_expression(spark):
+    rng = np.random.default_rng(2)
+    rows = [(rng.integers(0, 256, n).tolist(),) for n in (1, 2, 64, 500)] + [([7] * 9,), ([],)]
+    df = spark.createDataFrame(rows, "px array<int>")
+    for row in df.select("px", pixels.stretch_16(F.col("px")).alias("wide")).collect():
+        assert kernels.stretch_16(np.array(row["px"], np.int32)).tolist() == row["wide"]
+
+
+def test_images_must_be_scaled_first(spark):
+    df = spark.createDataFrame([([0, 300, 5, 6],)], "px array<int>")
+    with pytest.raises(Exception, match="8-bit levels"):
+        df.select(images.equalize(F.col("px"))).collect()
+    with pytest.raises(Exception, match="8-bit levels"):
+        df.select(images.blur5(F.col("px"), F.array(F.lit(2), F.lit(2)))).collect()

@@ -38,12 +38,14 @@ def test_counts_do_not_compute_tensors(spark):
     assert counted.count("ArrowEvalPython") == 1
 
 
+@pytest.mark.parametrize("column", ["content", "length"])
 @pytest.mark.parametrize(("keep", "python_nodes"), [(("reports",), 1), (("dicom", "reports"), 2)])
-def test_pixels_go_to_python_once_per_step(spark, keep, python_nodes):
-    df = spark.createDataFrame([("x", b"")], "path string, content binary")
+def test_pixels_go_to_python_once_per_step(spark, keep, python_nodes, column):
+    df = spark.createDataFrame([], f"path string, {column} {'binary' if column == 'content' else 'long'}")
     for stage in stage_plans(Settings(model=HEAD, size=(8, 8), keep=keep), "20240101000000").values():
         df = stage(df)
-    assert plan(df).count("ArrowEvalPython") == python_nodes
+    text = plan(df)
+    assert text.count("ArrowEvalPython") + text.count("MapInArrow") == python_nodes
 
 
 def test_listing_does_not_open_files(spark, tmp_path):

@@ -67,7 +67,11 @@ def test_staged_sliced_and_one_pass_runs_agree(spark, source, tmp_path):
     one_pass = run_pipeline(
         spark, source, str(tmp_path / "c"), Settings(model=HEAD, size=(4, 4), keep=("reports",)), "20240305060708"
     )
-    assert result(staged) == result(sliced) == result(one_pass)
+    by_spark = run_pipeline(
+        spark, source, str(tmp_path / "d"), Settings(model=HEAD, size=(4, 4), keep=("reports",), through_spark=True),
+        "20240305060708", batch_size=100,
+    )
+    assert result(staged) == result(sliced) == result(one_pass) == result(by_spark)
     assert sorted({r["batch"] for r in sliced.select("batch").collect()}) == [-1, 0, 1, 2]
     for stage in STAGES:
         assert snapshots.latest_run(spark, str(tmp_path / "a" / stage)) == "20240305060708"
