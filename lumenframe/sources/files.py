@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -52,7 +53,7 @@ def spread_listing(listing: DataFrame) -> DataFrame:
 def read_file(path: str, attempts: int = 3) -> bytes:
     """Content of one file, read in the task that needs it; a read that breaks is tried again."""
     try:
-        fs, inner = pafs.FileSystem.from_uri(_split_uri(path)[0])
+        fs, inner, _ = locate(path)
         for left in reversed(range(attempts)):
             try:
                 with fs.open_input_stream(inner) as source:
@@ -85,14 +86,25 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _split_uri(uri: str) -> tuple[str, str]:
-    """A full URI and the prefix Spark puts before the file system's own paths."""
-    if uri.startswith("file:"):
-        uri = uri.removeprefix("file:").replace("//", "", 1) if uri.startswith("file://") else uri[5:]
-    if "://" not in uri:
-        return "file://" + os.path.abspath(uri), "file:"
-    _, inner = pafs.FileSystem.from_uri(uri)
-    return uri, uri.rstrip("/").removesuffix(inner.rstrip("/"))
+@lru_cache(maxsize=64)
+def _remote(scheme: str, authority: str) -> tuple[pafs.FileSystem, str]:
+    """One client per store and Python worker, not one per file."""
+    return pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
+
+
+def locate(path: str) -> tuple[pafs.FileSystem, str, str]:
+    """File system of a path, its path there, and the prefix that turns such paths into Spark's.
+
+    Paths are taken as they are, without URI escapes, the way Spark lists them.
+    """
+    scheme, mark, rest = path.partition("://")
+    if not mark or scheme == "file":
+        local = rest if mark else path.removeprefix("file:")
+        return pafs.LocalFileSystem(), os.path.abspath(local), "file:"
+    authority, _, key = rest.partition("/")
+    fs, root = _remote(scheme, authority)
+    prefix = f"{scheme}://" if root.startswith(authority) else f"{scheme}://{authority}"
+    return fs, f"{root.rstrip('/')}/{key}".rstrip("/"), prefix
 
 
 _LISTING = pa.schema(
@@ -108,8 +120,7 @@ _LISTING = pa.schema(
 def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for folder in batch.column("path").to_pylist():
-            uri, prefix = _split_uri(folder)
-            fs, inner = pafs.FileSystem.from_uri(uri)
+            fs, inner, prefix = locate(folder)
             found = fs.get_file_info(pafs.FileSelector(inner))
             yield pa.RecordBatch.from_pydict(
                 {
@@ -149,10 +160,9 @@ def write_files(df: DataFrame, out_dir: str) -> DataFrame:
     A file is written beside its target and moved over it, so a lost or repeated
     task leaves whole files only. The manifest is stored under ``_manifest``.
     """
-    root, prefix = _split_uri(out_dir)
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, inner = pafs.FileSystem.from_uri(root)
+        fs, inner, prefix = locate(out_dir)
         fs.create_dir(inner, recursive=True)
         for batch in batches:
             names, contents = batch.column("name").to_pylist(), batch.column("content")

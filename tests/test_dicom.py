@@ -176,6 +176,30 @@ def test_every_file_gives_a_row(spark, folder):
     assert names(dicom.read_dicom(spark, folder, max_images=4)) == ["a.dcm", "b.DCM", "c.Dcm", "empty.dcm"]
 
 
+def test_awkward_names(spark, tmp_path):
+    good = header(dicom.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes())
+    wanted = ["a b.dcm", "c#d.dcm", "e%20f.dcm", "é.dcm"]
+    (tmp_path / "x y").mkdir()
+    for name in wanted:
+        (tmp_path / "x y" / name).write_bytes(good)
+    for base in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}/"):
+        rows = dicom.read_dicom(spark, base).collect()
+        assert sorted(r["path"].rsplit("/", 1)[-1] for r in rows) == wanted
+        assert all(r["decode_error"] is None for r in rows)
+    listed = {r["path"] for r in files.list_images(spark, str(tmp_path)).collect()}
+    assert listed == {r["path"] for r in files.binary_files(spark, str(tmp_path)).select("path").collect()}
+
+
+@pytest.mark.parametrize(
+    ("path", "root", "inner", "prefix"),
+    [("s3://bucket/a b/c.dcm", "bucket", "bucket/a b/c.dcm", "s3://"), ("hdfs://nn:8020/a/b.dcm", "/", "/a/b.dcm", "hdfs://nn:8020")],
+)
+def test_paths_of_other_file_systems(monkeypatch, path, root, inner, prefix):
+    monkeypatch.setattr(files, "_remote", lambda scheme, authority: ("fs", root))
+    assert files.locate(path) == ("fs", inner, prefix)
+    assert prefix + inner == path
+
+
 def test_both_ways_to_read_agree(spark, folder):
     columns = ["path", "metadata", "image_data_bytes", "image_shape", "image_dtype", "decode_error", "patient_id"]
     ways = [dicom.read_dicom(spark, folder, through_spark=t).select(columns).collect() for t in (False, True)]
