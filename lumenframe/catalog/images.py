@@ -317,7 +317,7 @@ s AS (SELECT *, CASE vec_id % 8 WHEN 1 THEN 'prior_error' WHEN 2 THEN 'bad_dtype
 SELECT 'gs://tiles/' || vec_id || '.dcm' AS path,
        CASE vec_id % 8 WHEN 3 THEN '8x9' WHEN 4 THEN '2x2x2x8' WHEN 5 THEN '16x8' WHEN 6 THEN '4x4x4' ELSE '8x8' END AS shape,
        CASE vec_id % 8 WHEN 4 THEN 4 WHEN 6 THEN 3 ELSE 2 END AS ndim,
-       n_bytes, expected_bytes, n_bytes = expected_bytes AS bytes_ok,
+       n_bytes, expected_bytes, coalesce(n_bytes = expected_bytes, false) AS bytes_ok,
        CASE WHEN status = 'ok' THEN CASE WHEN vec_id % 8 = 6 THEN lo0 ELSE lo END END::DOUBLE AS px_min,
        CASE WHEN status = 'ok' THEN CASE WHEN vec_id % 8 = 6 THEN hi0 ELSE hi END END::DOUBLE AS px_max,
        status

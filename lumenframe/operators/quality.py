@@ -87,6 +87,6 @@ def verify_images(df: DataFrame) -> DataFrame:
     pixels = F.when(F.col("status") == "ok", F.col("_data"))
     return (
         facts.withColumn("_range", _range_udf()(pixels, F.col("shape"), F.col("_dtype")))
-        .withColumn("bytes_ok", F.col("n_bytes") == F.col("expected_bytes"))
+        .withColumn("bytes_ok", F.coalesce(F.col("n_bytes") == F.col("expected_bytes"), F.lit(False)))
         .select("path", "shape", "ndim", "n_bytes", "expected_bytes", "bytes_ok", "_range.px_min", "_range.px_max", "status")
     )

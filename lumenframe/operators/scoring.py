@@ -22,6 +22,8 @@ NATIVE_WIDTH = 1024
 # Most parameter values a head may have; they are broadcast to every task.
 MAX_PARAMETERS = 5_000_000
 
+MISSING_TENSOR = "Missing tensor"
+
 Model = Callable[[np.ndarray], np.ndarray]
 
 
@@ -80,13 +82,21 @@ def load_linear_head(spark: SparkSession, path: str | None) -> LinearHead:
     return LinearHead(tuple(map(tuple, matrix.tolist())), tuple(map(float, bias["values"])))
 
 
+def _wrong_size(wanted: Column, got: Column) -> Column:
+    text = F.concat(F.lit("Expected "), wanted.cast("string"), F.lit(" elements, got "), got.cast("string"))
+    return F.when(got != wanted, text)
+
+
 def tensor_problem(tensor: Column, shape: Column, expected: int | None = None) -> Column:
     """Why a tensor cannot be scored, or null."""
     wanted = element_count(shape) if expected is None else F.lit(expected).cast("long")
-    return F.when(tensor.isNull(), F.lit("Missing tensor")).when(
-        F.size(tensor) != wanted,
-        F.concat(F.lit("Expected "), wanted.cast("string"), F.lit(" elements, got "), F.size(tensor).cast("string")),
-    )
+    return F.when(tensor.isNull(), F.lit(MISSING_TENSOR)).otherwise(_wrong_size(wanted, F.size(tensor)))
+
+
+def planned_problem(missing: Column, elements: int, model: LinearHead | Model) -> Column:
+    """The same for tensors of a known size that are not at hand as a column."""
+    width = model.width if isinstance(model, LinearHead) else elements
+    return F.when(missing, F.lit(MISSING_TENSOR)).otherwise(_wrong_size(F.lit(width), F.lit(elements)))
 
 
 def _batch_logits(spark: SparkSession, model: Model) -> Callable[..., Column]:
@@ -145,17 +155,24 @@ def score(
     problem = tensor_problem(tensor, F.col(shape) if shape else F.lit(None), expected)
     checked = df.withColumn("inference_error", problem)
     usable = F.when(F.col("inference_error").isNull(), tensor)
-    logits = checked.withColumn("_logits", logits_of(df.sparkSession, usable, model))
-    scored = logits.withColumn("_p", softmax(F.col("_logits")))
+    scored = checked.withColumn("_logits", logits_of(df.sparkSession, usable, model))
+    drop = [features] + ([shape] if shape else [])
+    return label_logits(scored, tensor.isNull(), labels, compat_sentinels).drop(*drop)
+
+
+def label_logits(
+    df: DataFrame, missing: Column, labels: tuple[str, ...] = LABELS, compat_sentinels: bool = False
+) -> DataFrame:
+    """``_logits`` and ``inference_error`` → ``prediction`` and ``confidence``."""
     failed = F.col("inference_error").isNotNull()
     prediction = label_of(argmax(F.col("_p")), labels)
     confidence = F.array_max("_p") * 100
     if compat_sentinels:
-        sentinel = F.when(tensor.isNull(), F.lit("ERROR_NULL_INPUT")).otherwise(F.lit("ERROR_INFERENCE_WORKER"))
+        sentinel = F.when(missing, F.lit("ERROR_NULL_INPUT")).otherwise(F.lit("ERROR_INFERENCE_WORKER"))
         prediction = F.when(failed, sentinel).otherwise(prediction)
         confidence = F.when(failed, F.lit(0.0)).otherwise(confidence)
     else:
         prediction = F.when(~failed, prediction)
         confidence = F.when(~failed, confidence)
-    drop = ["_logits", "_p", features] + ([shape] if shape else [])
-    return scored.withColumns({"prediction": prediction, "confidence": confidence}).drop(*drop)
+    shares = df.withColumn("_p", softmax(F.col("_logits")))
+    return shares.withColumns({"prediction": prediction, "confidence": confidence}).drop("_logits", "_p")

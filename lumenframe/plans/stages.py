@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +16,7 @@ from lumenframe.operators.reports import REQUIRED, build_reports
 from lumenframe.operators.runs import EVENT_SCHEMA
 from lumenframe.operators.scoring import LinearHead, Model, score
 from lumenframe.operators.summaries import good_reports
-from lumenframe.sources.dicom import decode_table, image_files, preprocess_files
+from lumenframe.sources.dicom import decode_table, image_files, preprocess_files, score_files
 from lumenframe.sources.snapshots import RUN, read_latest, read_run, write_snapshot
 
 STAGES = ("dicom", "preprocessed", "inference", "reports")
@@ -62,16 +62,21 @@ def generated_at(run_ts: str) -> Column:
 def stage_plans(settings: Settings, run_ts: str) -> dict[str, Callable[[DataFrame], DataFrame]]:
     """Each stage as a function of the one before; the first takes files.
 
-    Where the ``dicom`` snapshot is not kept, decoding and preprocessing are one
-    step, so that pixels never return from the Python workers.
+    What is not kept is not handed on either: without the ``dicom`` snapshot the
+    pixels, and without the ``preprocessed`` one the tensors, never leave the
+    task that made them.
     """
+    image = (settings.size, settings.scale)
     plans: dict[str, Callable[[DataFrame], DataFrame]] = {}
     if "dicom" in settings.keep:
         plans["dicom"] = decode_table
-        plans["preprocessed"] = lambda df: preprocess_images(df, settings.size, settings.scale)
+        plans["preprocessed"] = lambda df: preprocess_images(df, *image)
+    elif "preprocessed" in settings.keep:
+        plans["preprocessed"] = lambda df: preprocess_files(df, *image)
+    if "preprocessed" in plans:
+        plans["inference"] = lambda df: score(df, settings.model)
     else:
-        plans["preprocessed"] = lambda df: preprocess_files(df, settings.size, settings.scale)
-    plans["inference"] = lambda df: score(df, settings.model)
+        plans["inference"] = lambda df: score_files(df, settings.model, *image)
     plans["reports"] = lambda df: build_reports(df, generated_at(run_ts), settings.layout, settings.naming)
     return plans
 
@@ -122,7 +127,7 @@ def run_stage(spark: SparkSession, out: str, stage: str, settings: Settings, run
     newest = read_latest(spark, source)
     require_columns(newest, NEEDED[stage])
     require_rows(newest, source)
-    result = stage_plans(settings, run_ts)[stage](newest.drop(RUN, "batch"))
+    result = stage_plans(replace(settings, keep=STAGES), run_ts)[stage](newest.drop(RUN, "batch"))
     if stage in SMALL_ROWS:
         result = result.hint("rebalance")
     write_snapshot(result, f"{out.rstrip('/')}/{stage}", run_ts)

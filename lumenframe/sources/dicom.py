@@ -10,6 +10,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ from lumenframe.operators.images import (
     preprocess_problem,
     tensor_shape,
 )
+from lumenframe.operators.scoring import LABELS, LinearHead, Model, label_logits, planned_problem
 from lumenframe.sources.files import binary_files, list_images, read_file, spread_listing, write_files
 
 # Public data element tags, as group, element → keyword, value type.
@@ -219,6 +221,10 @@ _ARROW_PREPARED = pa.struct([("tags", pa.list_(_ARROW_TAG)), ("shape", pa.list_(
                              ("n_bytes", pa.int64()), ("tensor", pa.list_(pa.float32())),
                              ("error", pa.string())])
 
+SCORED = PREPARED.replace("tensor:array<float>", "logits:array<double>")
+_ARROW_SCORED = pa.struct([pa.field("logits", pa.list_(pa.float64())) if f.name == "tensor" else f
+                           for f in _ARROW_PREPARED])
+
 
 def _tag_row(element: Element) -> dict:
     tag, vr, value = element
@@ -262,16 +268,20 @@ class _Step:
     spark_type: str
     arrow_type: pa.StructType
     rows_per_yield: int
+    # makes, once per task, what finishes the rows of one yield
+    finisher: Callable[[], Callable[[list[dict]], None]] = lambda: lambda rows: None
 
     def over_listing(self, listing: DataFrame) -> DataFrame:
         """``path``, ``_d``: every file is read by the task that works on it."""
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            finish = self.finisher()
             for batch in batches:
                 paths = batch.column("path")
                 for start in range(0, len(paths), self.rows_per_yield):
                     part = paths[start : start + self.rows_per_yield]
                     rows = [self.of_path(path) for path in part.to_pylist()]
+                    finish(rows)
                     yield pa.RecordBatch.from_arrays([part, pa.array(rows, self.arrow_type)], ["path", "_d"])
 
         return spread_listing(listing).mapInArrow(work, f"path string, _d {self.spark_type}")
@@ -288,10 +298,12 @@ class _Step:
 
         @F.arrow_udf(self.spark_type)
         def work(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            finish = self.finisher()
             for contents in batches:
                 for start in range(0, len(contents), self.rows_per_yield):
                     part = contents[start : start + self.rows_per_yield]
-                    rows = [self.run(item.as_buffer()) if item.is_valid else None for item in part]
+                    rows = [self.run(item.as_buffer()) if item.is_valid else {"error": "no content"} for item in part]
+                    finish(rows)
                     yield pa.array(rows, self.arrow_type)
 
         return files.withColumn("_d", work("content"))
@@ -309,6 +321,21 @@ def _prepare_step(size: tuple[int, int], how: str) -> _Step:
     return _Step(lambda data: _prepare(data, *size, how), PREPARED, _ARROW_PREPARED, 32)
 
 
+def _score_step(size: tuple[int, int], how: str, model: Broadcast) -> _Step:
+    def finisher() -> Callable[[list[dict]], None]:
+        score_rows = cloudpickle.loads(model.value)
+
+        def finish(rows: list[dict]) -> None:
+            tensors = [(row, row.pop("tensor")) for row in rows if "tensor" in row]
+            if tensors:
+                for (row, _), logits in zip(tensors, score_rows(np.stack([t for _, t in tensors]))):
+                    row["logits"] = np.asarray(logits, dtype=np.float64)
+
+        return finish
+
+    return _Step(lambda data: _prepare(data, *size, how), SCORED, _ARROW_SCORED, 32, finisher)
+
+
 def _keyword(keyword: str) -> Column:
     """Value of a keyword among the decoded tags."""
     return F.try_element_at(F.filter("_d.tags", lambda t: t["keyword"] == keyword), F.lit(-1))["value"]
@@ -356,9 +383,7 @@ def preprocess_files(
     Python; over a listing they do not pass through the JVM at all.
     """
     check_options(size, scale)
-    decoded = _prepare_step(size, scale).over(files)
-    problem = preprocess_problem(F.col("_d.n_bytes"), F.col("_d.shape"), F.col("_d.dtype"))
-    checked = decoded.withColumns({"decode_error": _failure(files), "preprocess_error": problem})
+    checked = _checked(_prepare_step(size, scale).over(files), files)
     good = F.col("preprocess_error").isNull()
     return _with_metadata(
         checked,
@@ -369,6 +394,36 @@ def preprocess_files(
     )
 
 
+def _checked(decoded: DataFrame, files: DataFrame) -> DataFrame:
+    problem = preprocess_problem(F.col("_d.n_bytes"), F.col("_d.shape"), F.col("_d.dtype"))
+    return decoded.withColumns({"decode_error": _failure(files), "preprocess_error": problem})
+
+
+def score_files(
+    files: DataFrame,
+    model: LinearHead | Model,
+    size: tuple[int, int] = (224, 224),
+    scale: str = "minmax",
+    keys: dict[str, str] = CANONICAL_KEYS,
+    labels: tuple[str, ...] = LABELS,
+    compat_sentinels: bool = False,
+) -> DataFrame:
+    """``score(preprocess_files(files), model)`` in a single task step: only tags and logits leave it."""
+    check_options(size, scale)
+    if model is None:
+        raise ValueError("a model must be given")
+    shared = files.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    elements = size[0] * size[1]
+    fits = not isinstance(model, LinearHead) or model.width == elements
+    step = _score_step(size, scale, shared) if fits else _prepare_step(size, scale)
+    checked = _checked(step.over(files), files)
+    missing = F.col("preprocess_error").isNotNull()
+    logits = F.col("_d.logits") if fits else F.lit(None).cast("array<double>")
+    problem = planned_problem(missing, elements, model).alias("inference_error")
+    table = _with_metadata(checked, keys, F.col("preprocess_error"), problem, logits.alias("_logits"))
+    return label_logits(table, missing, labels, compat_sentinels)
+
+
 def image_files(
     spark: SparkSession,
     base: str,

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from lumenframe.functions.maps import EXTENDED_KEYS
 from lumenframe.operators.images import preprocess_images
 from lumenframe.operators.quality import verify_images
+from lumenframe.operators.scoring import LinearHead, score
 from lumenframe.sources import dicom, files
 
 
+HEAD = LinearHead(((1.0, 0.0), (0.0, 1.0)), (0.25, 0.0))
+
+
 def explicit(tag, vr, value):
     if len(value) % 2:
         value += b" "
@@ -176,6 +180,18 @@ def test_every_file_gives_a_row(spark, folder):
     assert names(dicom.read_dicom(spark, folder, max_images=4)) == ["a.dcm", "b.DCM", "c.Dcm", "empty.dcm"]
 
 
+@pytest.mark.parametrize("head", [HEAD, np.negative, LinearHead(((1.0,), (2.0,)), (0.0, 0.0))])
+@pytest.mark.parametrize("sentinels", [False, True])
+def test_scoring_in_the_same_step(spark, folder, head, sentinels):
+    source = dicom.image_files(spark, folder)
+    two = score(dicom.preprocess_files(source, size=(1, 2)), head, compat_sentinels=sentinels)
+    one = dicom.score_files(source, head, size=(1, 2), compat_sentinels=sentinels)
+    columns = sorted(two.columns)
+    assert sorted(one.columns) == columns
+    rows = [sorted(map(str, df.select(columns).collect())) for df in (one, two)]
+    assert rows[0] == rows[1] and len(rows[0]) == 4
+
+
 def test_awkward_names(spark, tmp_path):
     good = header(dicom.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes())
     wanted = ["a b.dcm", "c#d.dcm", "e%20f.dcm", "é.dcm"]

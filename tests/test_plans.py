@@ -39,7 +39,7 @@ def test_counts_do_not_compute_tensors(spark):
 
 
 @pytest.mark.parametrize("column", ["content", "length"])
-@pytest.mark.parametrize(("keep", "python_nodes"), [(("reports",), 1), (("dicom", "reports"), 2)])
+@pytest.mark.parametrize(("keep", "python_nodes"), [(("reports",), 1), (("preprocessed", "reports"), 1), (("dicom", "reports"), 2)])
 def test_pixels_go_to_python_once_per_step(spark, keep, python_nodes, column):
     df = spark.createDataFrame([], f"path string, {column} {'binary' if column == 'content' else 'long'}")
     for stage in stage_plans(Settings(model=HEAD, size=(8, 8), keep=keep), "20240101000000").values():
