@@ -20,6 +20,11 @@ from lumenframe.operators import kernels
 
 # Pixel dtypes that can be scaled to 8 bit.
 SUPPORTED_DTYPES = ("uint8", "uint16", "int16", "int32", "uint32", "float32", "float64")
+# Why an image cannot be preprocessed.
+NO_INPUT = "Missing image data, shape, or dtype for preprocessing"
+UNKNOWN_DTYPE = "Preprocessing error: Unsupported or unknown dtype string: "
+NOT_2D = "Image after initial processing is not 2D, shape: "
+UNSUPPORTED_DTYPE = "Unsupported numpy dtype for PIL conversion: "
 # Pixels one kernel call works on, small enough for the processor cache.
 CHUNK_PIXELS = 1_000_000
 
@@ -205,9 +210,9 @@ def preprocess_problem(n_bytes: Column, shape: Column, dtype: Column) -> Column:
     return (
         F.when(
             n_bytes.isNull() | shape.isNull() | (F.size(shape) == 0) | dtype.isNull() | (dtype == ""),
-            F.lit("Missing image data, shape, or dtype for preprocessing"),
+            F.lit(NO_INPUT),
         )
-        .when(name.isNull(), F.concat(F.lit("Preprocessing error: Unsupported or unknown dtype string: "), dtype))
+        .when(name.isNull(), F.concat(F.lit(UNKNOWN_DTYPE), dtype))
         .when(
             n_bytes != element_count(shape) * width,
             F.concat(
@@ -220,12 +225,12 @@ def preprocess_problem(n_bytes: Column, shape: Column, dtype: Column) -> Column:
         )
         .when(
             ~F.size(shape).isin(2, 3),
-            F.concat(F.lit("Image after initial processing is not 2D, shape: ("), dims, F.lit(")")),
+            F.concat(F.lit(NOT_2D + "("), dims, F.lit(")")),
         )
         .when(element_count(shape) == 0, F.lit("Preprocessing error: image has no pixels"))
         .when(
             ~name.isin(*SUPPORTED_DTYPES),
-            F.concat(F.lit("Unsupported numpy dtype for PIL conversion: "), name),
+            F.concat(F.lit(UNSUPPORTED_DTYPE), name),
         )
     )
 

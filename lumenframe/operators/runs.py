@@ -17,6 +17,11 @@ EVENT_SCHEMA = (
     "job_id string, event_ts timestamp, event_id long, status string, message string, "
     "progress double, processed long, total long, current_batch long"
 )
+# Messages, and the words in a log line that call for them.
+NOT_FOUND = "Job not found."
+PROGRESS_MARK = "PROGRESS:"
+START_MARK, START_MESSAGE = "Starting pipeline", "Initializing Spark pipeline..."
+SUCCESS_MARK, SUCCESS_MESSAGE = "Pipeline completed successfully", "Pipeline completed successfully!"
 # End states, and seconds they are kept.
 FINISHED = ("completed", "error")
 TTL_S = 3600
@@ -34,7 +39,7 @@ def run_status(events: DataFrame, jobs: DataFrame) -> DataFrame:
     return state.select(
         "job_id",
         F.coalesce("status", F.lit("idle")).alias("status"),
-        F.when(F.col("status").isNull(), F.lit("Job not found.")).otherwise(F.col("message")).alias("message"),
+        F.when(F.col("status").isNull(), F.lit(NOT_FOUND)).otherwise(F.col("message")).alias("message"),
     )
 
 
@@ -98,10 +103,10 @@ def run_progress(events: DataFrame, batch_size: Column) -> DataFrame:
 def parse_run_log(lines: DataFrame) -> DataFrame:
     """Log lines → event updates; lines that say nothing new only touch the update time."""
     line = F.regexp_replace("line", r"^\s+|\s+$", "")
-    progress = F.contains(line, F.lit("PROGRESS:"))
-    starting = F.contains(line, F.lit("Starting pipeline"))
-    finished = F.contains(line, F.lit("Pipeline completed successfully"))
-    stripped = F.regexp_replace(F.replace(line, F.lit("PROGRESS:"), F.lit("")), r"^\s+|\s+$", "")
+    progress = F.contains(line, F.lit(PROGRESS_MARK))
+    starting = F.contains(line, F.lit(START_MARK))
+    finished = F.contains(line, F.lit(SUCCESS_MARK))
+    stripped = F.regexp_replace(F.replace(line, F.lit(PROGRESS_MARK), F.lit("")), r"^\s+|\s+$", "")
     kind = (
         F.when(progress, F.lit("progress")).when(starting, F.lit("start")).when(finished, F.lit("success"))
     ).otherwise(F.lit("touch"))
@@ -109,8 +114,8 @@ def parse_run_log(lines: DataFrame) -> DataFrame:
         {
             "kind": kind,
             "message": F.when(progress, stripped)
-            .when(starting, F.lit("Initializing Spark pipeline..."))
-            .when(finished, F.lit("Pipeline completed successfully!")),
+            .when(starting, F.lit(START_MESSAGE))
+            .when(finished, F.lit(SUCCESS_MESSAGE)),
             "progress": F.when(~progress & ~starting & finished, F.lit(100.0)),
         }
     )

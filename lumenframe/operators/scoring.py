@@ -8,7 +8,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +22,8 @@ NATIVE_WIDTH = 1024
 # Most parameter values a head may have; they are broadcast to every task.
 MAX_PARAMETERS = 5_000_000
 
+# Largest pickled model that is sent to every executor.
+MAX_MODEL_BYTES = 1 << 30
 MISSING_TENSOR = "Missing tensor"
 
 Model = Callable[[np.ndarray], np.ndarray]
@@ -99,9 +101,17 @@ def planned_problem(missing: Column, elements: int, model: LinearHead | Model) -
     return F.when(missing, F.lit(MISSING_TENSOR)).otherwise(_wrong_size(F.lit(width), F.lit(elements)))
 
 
+def ship_model(spark: SparkSession, model: Model) -> Broadcast:
+    """The pickled model as a broadcast, unpickled once per task; its size is checked first."""
+    data = cloudpickle.dumps(model)
+    if len(data) > MAX_MODEL_BYTES:
+        raise ValueError(f"the model takes {len(data)} bytes, more than {MAX_MODEL_BYTES}; load it inside the callable")
+    return spark.sparkContext.broadcast(data)
+
+
 def _batch_logits(spark: SparkSession, model: Model) -> Callable[..., Column]:
     """Arrow UDF that applies ``model`` to ``(n, elements)`` matrices, unpacked once per task."""
-    shared = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+    shared = ship_model(spark, model)
 
     @F.arrow_udf("array<double>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lumenframe.operators.images import preprocess_images
 from lumenframe.operators.quality import require_columns, require_positive, require_rows
 from lumenframe.operators.reports import REQUIRED, build_reports
-from lumenframe.operators.runs import EVENT_SCHEMA
+from lumenframe.operators.runs import EVENT_SCHEMA, SUCCESS_MESSAGE
 from lumenframe.operators.scoring import LinearHead, Model, score
 from lumenframe.operators.summaries import good_reports
 from lumenframe.sources.dicom import decode_table, image_files, preprocess_files, score_files
@@ -184,7 +184,7 @@ def run_pipeline(
         raise
     done = counts["total"]
     append_event(
-        spark, out, run_ts, 1, settings.clock(), "completed", "Pipeline completed successfully!", done, done,
+        spark, out, run_ts, 1, settings.clock(), "completed", SUCCESS_MESSAGE, done, done,
         -(-done // batch_size) if batch_size else 1,
     )
     return read_run(spark, f"{out.rstrip('/')}/reports", run_ts)

@@ -22,7 +22,7 @@ from lumenframe.operators.images import (
     preprocess_problem,
     tensor_shape,
 )
-from lumenframe.operators.scoring import LABELS, LinearHead, Model, label_logits, planned_problem
+from lumenframe.operators.scoring import LABELS, LinearHead, Model, label_logits, planned_problem, ship_model
 from lumenframe.sources.files import binary_files, list_images, read_file, spread_listing, write_files
 
 # Public data element tags, as group, element → keyword, value type.
@@ -412,7 +412,7 @@ def score_files(
     check_options(size, scale)
     if model is None:
         raise ValueError("a model must be given")
-    shared = files.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    shared = ship_model(files.sparkSession, model)
     elements = size[0] * size[1]
     fits = not isinstance(model, LinearHead) or model.width == elements
     step = _score_step(size, scale, shared) if fits else _prepare_step(size, scale)

@@ -122,15 +122,17 @@ def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for folder in batch.column("path").to_pylist():
             fs, inner, prefix = locate(folder)
             found = fs.get_file_info(pafs.FileSelector(inner))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "path": [prefix + f.path for f in found],
-                    "length": [f.size for f in found],
-                    "modificationTime": [f.mtime for f in found],
-                    "is_folder": [f.type == pafs.FileType.Directory for f in found],
-                },
-                schema=_LISTING,
-            )
+            for start in range(0, len(found), 10_000):
+                part = found[start : start + 10_000]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "path": [prefix + f.path for f in part],
+                        "length": [f.size for f in part],
+                        "modificationTime": [f.mtime for f in part],
+                        "is_folder": [f.type == pafs.FileType.Directory for f in part],
+                    },
+                    schema=_LISTING,
+                )
 
 
 def walk_files(spark: SparkSession, base: str) -> DataFrame:

@@ -76,3 +76,27 @@ def test_lookups(spark):
     listing = spark.createDataFrame([("a",), ("b",)], "path string")
     done = spark.createDataFrame([("a",)] * 5, "path string")
     assert [r[0] for r in lookups.unprocessed(listing, done).collect()] == ["b"]
+
+
+def test_newest_row_of_a_hot_key(spark):
+    df = spark.range(0, 3000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("v")
+    )
+    found = {r["k"]: r["v"] for r in lookups.latest_by(df, "k", ["v"]).collect()}
+    assert found["hot"] == 2997 and found["2999"] == 2999 and len(found) == 2001
+
+
+def test_hot_key_joins_without_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        results = spark.range(3000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+        )
+        metadata = spark.range(1500).select(F.col("id").alias("k"), F.lit("m").alias("name"))
+        merged = lookups.merge_metadata(results, metadata, "k", ["name"])
+        counts = {r["name"]: r["count"] for r in merged.groupBy("name").count().collect()}
+        assert counts == {"m": 1000 + 1000, "N/A": 1000}
+        done = results.select("k")
+        assert lookups.unprocessed(metadata, done, "k").count() == 499
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

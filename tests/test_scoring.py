@@ -104,6 +104,12 @@ def test_rename_only_touches_prefixes(spark):
     ]
 
 
+def test_large_models_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "MAX_MODEL_BYTES", 10)
+    with pytest.raises(ValueError, match="load it inside"):
+        score(tensors(spark, [("a", [1.0], [1, 1])]), Doubling())
+
+
 def test_bad_models(spark):
     df = tensors(spark, [("a", [1.0], [1, 1])])
     with pytest.raises(ValueError):
