@@ -126,7 +126,7 @@ def run_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.parse_run_log(logged).select("event_id", "kind", "message", "progress")
 
 
-def _event_files(spark: SparkSession, sf_dir: str, label: str, slices: int = 6) -> tuple[DataFrame, str, str]:
+def _event_files(spark: SparkSession, sf_dir: str, label: str, slices: int = 3) -> tuple[DataFrame, str, str]:
     """Run events as a stream of files that arrive in time order, with an output and a checkpoint folder."""
     folder = work_dir(spark, label)
     source = f"{folder}/in"

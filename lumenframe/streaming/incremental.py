@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from lumenframe.operators.quality import require_positive
 from lumenframe.plans.stages import Settings, run_stages
-from lumenframe.session import shared_dir
 from lumenframe.sources.files import BINARY_SCHEMA, DICOM_GLOB, list_images
 from lumenframe.sources.snapshots import mark_complete
 
@@ -57,10 +56,11 @@ def run_incremental(
 ) -> dict[str, int]:
     """All stages, slice by slice. A slice that is repeated after a failure replaces its own output.
 
+    What is done is remembered beside the output unless a ``checkpoint`` is named.
     Zero-byte files never reach a file stream; they are taken from the listing
     at the end and written as one more slice of error rows.
     """
-    where = checkpoint or f"{shared_dir(spark)}/lumenframe/stream-{run_ts}"
+    where = checkpoint or f"{out.rstrip('/')}/_stream/{run_ts}"
     run_available(
         file_stream(spark, src, batch_size),
         lambda files, n: _run_slice(files, n, out, settings, run_ts),

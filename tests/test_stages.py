@@ -93,6 +93,12 @@ def test_restart_takes_only_new_files(spark, source, tmp_path):
     assert before == after
 
 
+def test_each_output_remembers_its_own_progress(spark, source, tmp_path):
+    only = Settings(model=HEAD, size=(4, 4), keep=("reports",))
+    for name in ("one", "two", "one"):
+        assert run_pipeline(spark, source, str(tmp_path / name), only, RUN, batch_size=8).count() == 9
+
+
 def test_failed_run_is_recorded(spark, source, tmp_path):
     class Broken:
         def __call__(self, batch):
