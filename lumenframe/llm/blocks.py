@@ -104,7 +104,7 @@ def chunk_name(ids: np.ndarray, keys: np.ndarray) -> int:
 
 
 def text_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(id, key, text): the id or 0, a hash of id and text that tells rows of one id apart, UTF-8 bytes (null: empty).
+    """(id, key, text): the id (null: below all others), a hash of id and text that tells rows of one id apart, UTF-8 bytes (null: empty).
 
     Rows alike in both are copies in every respect that an operator sees, and get the same answer.
     """
@@ -113,7 +113,7 @@ def text_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
 
 
 def row_id(doc_id: str = "doc_id") -> Column:
-    return F.coalesce(F.col(doc_id).cast("long"), F.lit(0).cast("long"))
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
 
 
 def row_key(text: str = "text", doc_id: str = "doc_id") -> Column:
