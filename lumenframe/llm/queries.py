@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import substrings
+from lumenframe.llm import substrings, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,3 +33,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.remove_repeated_windows(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_earlier_strings(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
