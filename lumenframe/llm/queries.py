@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import substrings, suffixes
+from lumenframe.llm import lines, mixing, simhash, substrings, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,3 +39,37 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffixes.remove_earlier_strings(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+#: Sources in code-point order weigh this, repeating; their targets add up to this share of all words.
+MIX_WEIGHTS, MIX_SHARE = (3.0, 1.0, 2.0), 1.5
+
+
+@query()
+def op1_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_SHARE)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query("""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+line AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS pos, unnest(ls) AS x FROM split),
+run AS (
+  SELECT doc_id, pos, x || chr(10) || lead(x, 1) OVER w || chr(10) || lead(x, 2) OVER w AS three
+  FROM line WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+),
+ranked AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY three ORDER BY doc_id, pos) AS r FROM run WHERE three IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1, pos + 2]) AS pos FROM ranked WHERE r > 1)
+SELECT doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
+       sha256(coalesce(string_agg(x, chr(10) ORDER BY l.pos) FILTER (g.pos IS NULL), '')) AS kept_sha256
+FROM line l LEFT JOIN gone g USING (doc_id, pos) GROUP BY doc_id
+""")
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.remove_earlier_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query()
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
