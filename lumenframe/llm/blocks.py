@@ -28,6 +28,9 @@ from lumenframe.session import ensure_checkpoint_dir
 #: Bytes of text in a chunk; bounds what a task holds at a time.
 CHUNK_BYTES = 8_000_000
 
+#: Stands for a null id.
+NO_ID = -(1 << 63)
+
 BLOCK = "bucket long, chunk long, body binary"
 _ARROW = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("body", pa.binary())])
 
@@ -113,7 +116,7 @@ def text_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
 
 
 def row_id(doc_id: str = "doc_id") -> Column:
-    return F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
 
 
 def row_key(text: str = "text", doc_id: str = "doc_id") -> Column:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import lines, mixing, simhash, substrings, suffixes
+from lumenframe.llm import lines, mixing, simhash, substrings, suffixes, tokenfiles
+from lumenframe.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,3 +74,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "tokens")
+    tokenfiles.write_tokens(table(spark, sf_dir, "documents"), folder)
+    return tokenfiles.checked_tokens(spark, folder)

@@ -138,7 +138,7 @@ def anchor_blocks(size: int, buckets: int):
             repeat = np.zeros(len(order), dtype=bool)
             repeat[order] = later
             own = chunk % buckets + buckets
-            directory = (ids, keys, B.steps(np.bincount(doc, minlength=len(ids)).cumsum()), place.astype(np.uint32 if place.max() < 1 << 32 else np.int64), (hi - lo).astype(np.uint8))
+            directory = (ids, keys, offsets, B.steps(piece.at), B.steps(lo), (hi - lo).astype(np.uint8))
             rows = [(own, chunk, B.pack(np.zeros(1, np.int8), *directory))]
             if repeat.any():
                 rows.append((own, chunk, B.pack(np.ones(1, np.int8), B.steps(np.flatnonzero(repeat)))))
@@ -195,18 +195,19 @@ def to_spans(size: int):
                 state.append((int(kind[0]), B.back(arrays[0])))
         if directory is None:
             raise RuntimeError("members of a chunk came back, but not its directory: its rows came in another order")
-        ids, keys, ends, place, span = directory
-        place = place.astype(np.int64)
-        what = np.zeros(len(place), dtype=np.int8)
+        ids, keys, offsets, at, lo, span = directory
+        at, lo = B.back(at), B.back(lo)
+        what = np.zeros(len(lo), dtype=np.int8)
         for kind, n in state:
             what[n] = kind
         n = np.flatnonzero(what)
-        doc = np.searchsorted(B.back(ends), n, side="right")
+        doc = np.searchsorted(at, lo[n], side="right") - 1
         rows = []
         for d, (m,) in B.deal(doc, n):
-            shut, still = m[what[m] == 1], m[what[m] == 2]
-            ranges = (place[shut], place[shut] + span[shut], place[still], place[still] + span[still])
-            rows.append((int(ids[d]), int(keys[d]), *(r.astype(np.int64).tobytes() for r in ranges)))
+            place = lo[m] - at[d] + offsets[d]
+            shut, still = what[m] == 1, what[m] == 2
+            ends = (place[shut], place[shut] + span[m][shut], place[still], place[still] + span[m][still])
+            rows.append((int(ids[d]), int(keys[d]), *(r.astype(np.int64).tobytes() for r in ends)))
         return pa.Table.from_batches([B.batch(rows, _SPANS)])
 
     return run
@@ -278,7 +279,7 @@ def cut_bytes(size: int):
                 removed = np.cumsum(change)[: len(text)] > 0
                 start, end = intervals(removed)
                 kept = text if not len(start) else np.frombuffer(text, dtype=np.uint8)[~removed].tobytes()
-                rows.append((doc_id, len(text), int(removed.sum()), len(start), hashlib.sha256(kept).hexdigest(), start.tolist(), end.tolist()))
+                rows.append((None if doc_id == B.NO_ID else doc_id, len(text), int(removed.sum()), len(start), hashlib.sha256(kept).hexdigest(), start.tolist(), end.tolist()))
             yield B.batch(rows, _CUT)
 
     return run
@@ -291,7 +292,7 @@ def remove_earlier_strings(docs: DataFrame, size: int = SIZE, text: str = "text"
     A byte goes if a string of ``size`` bytes (at least ``2 Q``) that covers it
     also starts earlier: in a document of smaller id, or before it in its own.
     Rows of one id count as one document: equal strings at equal places in them
-    do not remove each other. Null ids come before all others, null texts are
+    do not remove each other. Null ids come before all others (the least long number stands for them), null texts are
     empty, shorter texts lose nothing, other columns are not read, an empty
     table gives no rows.
     """
@@ -303,15 +304,13 @@ def remove_earlier_strings(docs: DataFrame, size: int = SIZE, text: str = "text"
     states = members.groupBy("bucket").applyInArrow(refine_bucket(buckets), B.BLOCK)
     per_piece = states.groupBy("chunk").applyInArrow(to_spans(size), SPANS)
     lists = [F.collect_list(c).alias(c) for c in ("lo", "hi", "open_lo", "open_hi")]
-    spans = B.checkpoint(per_piece.distinct().groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(*lists))
+    spans = B.checkpoint(per_piece.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(*lists))
     on = (F.col("id") == F.col("_id")) & (F.col("key") == F.col("_key"))
     still = spans.where(F.exists("open_lo", lambda x: F.length(x) > 0))
     strings = texts.join(still, on).select("id", "key", "text", "open_lo", "open_hi").mapInArrow(string_blocks(size, buckets), B.BLOCK)
     starts = strings.groupBy("bucket").applyInArrow(refine_strings, STARTS)
     per_doc = starts.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(F.collect_list("start").alias("one"))
     found = spans.select("_id", "_key", "lo", "hi").join(per_doc, ["_id", "_key"], "full")
-    rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), B.row_id(doc_id).alias("id"), B.row_key(text, doc_id).alias("key"),
-        F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"),
-    )
-    return rows.join(found, on, "left").select("doc_id", "text", "lo", "hi", "one").mapInArrow(cut_bytes(size), CUT)
+    # the same columns of the texts as above, so that they are shuffled once
+    rows = texts.join(found, on, "left").select("id", "text", "lo", "hi", "one")
+    return rows.mapInArrow(cut_bytes(size), CUT)
