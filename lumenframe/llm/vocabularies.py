@@ -32,10 +32,11 @@ class Remember(dict):
         self.ask = ask
 
     def learn(self, units: Iterable) -> None:
-        new = [u for u in set(units) if u not in self]
+        wanted = set(units)
+        new = [u for u in wanted if u not in self]
         if len(self) + len(new) > REMEMBERED:
             self.clear()
-            new = list(set(units))
+            new = list(wanted)
         for at in range(0, len(new), 50_000):
             some = new[at : at + 50_000]
             self.update(zip(some, self.ask(some), strict=True))
