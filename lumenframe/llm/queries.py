@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import lines, mixing, simhash, substrings, suffixes, tokenfiles
+from lumenframe.llm import fertility, lines, mixing, simhash, substrings, suffixes, tokenfiles
 from lumenframe.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "tokens")
     tokenfiles.write_tokens(table(spark, sf_dir, "documents"), folder)
     return tokenfiles.checked_tokens(spark, folder)
+
+
+@query()
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = fertility.quality(table(spark, sf_dir, "documents"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select("doc_id", *base, "chars_per_token", "byte_share", "token_entropy", "script")
