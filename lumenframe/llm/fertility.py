@@ -21,8 +21,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumenframe.llm import blocks as B
 from lumenframe.llm.substrings import covered
@@ -113,12 +114,12 @@ def duplicate_lines(text: bytes) -> int:
 
 
 _FIELDS = [
-    ("doc_id", pa.int64()), ("lang", pa.string()), ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()),
+    ("lang", pa.string()), ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()),
     ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("n_tokens", pa.int64()), ("n_byte_tokens", pa.int64()),
     ("token_entropy", pa.float64()), ("script", pa.string()),
 ]
 _MEASURES = pa.schema(_FIELDS)
-MEASURES = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, n_byte_tokens long, token_entropy double, script string"
+MEASURES = "lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, n_byte_tokens long, token_entropy double, script string"
 
 
 def measure_text(text: str, raw: bytes, words: list[bytes], known: dict) -> tuple:
@@ -132,53 +133,60 @@ def measure_text(text: str, raw: bytes, words: list[bytes], known: dict) -> tupl
     )
 
 
-def measures(docs: DataFrame, vocabulary: str | None = None, text: str = "text", doc_id: str = "doc_id", lang: str = "lang") -> DataFrame:
-    """One row per document: plain counts, tokens, byte tokens, token entropy and main script.
+def measured(docs: DataFrame, vocabulary: str | None = None, text: str = "text", lang: str = "lang", column: str = "__measures") -> DataFrame:
+    """``docs`` as they are, with a column of all measures.
 
     A null text has no words, all counts zero and no script.
     """
     path = vocabulary or public_path(VOCABULARY)
+    places = {c: docs.columns.index(c) for c in (text, lang) if c in docs.columns}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = PieceCounts(path)
-        for part in batches:
-            ids, langs, texts = (c.to_pylist() for c in part.columns)
-            for lo in range(0, len(texts), 500):
-                some = texts[lo : lo + 500]
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 500):
+                part = whole.slice(lo, 500)
+                some = [t or "" for t in part.column(places[text]).cast(pa.string()).to_pylist()]
+                langs = part.column(places[lang]).cast(pa.string()).to_pylist() if lang in places else [None] * len(some)
                 raw = [t.encode("utf-8") for t in some]
                 words = [r.split() for r in raw]
                 pieces.known.learn(w for ws in words for w in ws)
-                rows = [(i, n, *measure_text(t, r, w, pieces.known)) for i, n, t, r, w in zip(ids[lo : lo + 500], langs[lo : lo + 500], some, raw, words, strict=True)]
-                yield B.batch(rows, _MEASURES)
+                rows = [(n, *measure_text(t, r, w, pieces.known)) for n, t, r, w in zip(langs, some, raw, words, strict=True)]
+                found = pa.StructArray.from_arrays(B.batch(rows, _MEASURES).columns, names=_MEASURES.names)
+                yield pa.RecordBatch.from_arrays([*part.columns, found], names=[*part.schema.names, column])
 
-    language = F.col(lang).cast("string") if lang in docs.columns else F.lit(None).cast("string")
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), language.alias("lang"), body.alias("text")).mapInArrow(run, MEASURES)
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.StructType.fromDDL(MEASURES))]))
 
 
-def judge(measured: DataFrame, bands: dict[str, Band] = BANDS, by_lang: bool = False) -> DataFrame:
-    """``measured`` with ``base_failed``, ``chars_per_token``, ``byte_share`` and ``kept``.
+def verdict(of: Column, bands: dict[str, Band] = BANDS, by_lang: bool = False) -> dict[str, Column]:
+    """``base_failed``, ``chars_per_token``, ``byte_share`` and ``kept`` from a column of measures.
 
     Too short or repetitive texts fail at once. The others are kept inside the
     band of their script (or language), or that under "" where it has none.
     """
-    group = F.col("lang" if by_lang else "script")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    chars = F.col("word_chars") / F.nullif(F.col("n_tokens"), F.lit(0))
-    share = F.col("n_byte_tokens") / F.nullif(F.col("n_tokens"), F.lit(0))
+    group = of["lang" if by_lang else "script"]
+    failed = (of["n_words"] < MIN_WORDS) | (100 * of["n_repeat_words"] > MAX_REPEATED * of["n_words"])
+    chars = of["word_chars"] / F.nullif(of["n_tokens"], F.lit(0))
+    share = of["n_byte_tokens"] / F.nullif(of["n_tokens"], F.lit(0))
 
-    def inside(b: Band):
-        return chars.between(b.least_chars, b.most_chars) & (share <= b.most_bytes) & (F.col("token_entropy") >= b.least_entropy)
+    def inside(b: Band) -> Column:
+        return chars.between(b.least_chars, b.most_chars) & (share <= b.most_bytes) & (of["token_entropy"] >= b.least_entropy)
 
-    verdict = F.lit(None).cast("boolean")
+    passed = inside(bands[""])
     for name, band in bands.items():
         if name:
-            verdict = F.when(group == name, inside(band)).otherwise(verdict)
-    known = F.coalesce(group.isin([b for b in bands if b]), F.lit(False))
-    verdict = F.coalesce(F.when(known, verdict).otherwise(inside(bands[""])), F.lit(False))
-    return measured.select("*", failed.alias("base_failed"), chars.alias("chars_per_token"), share.alias("byte_share"), (~failed & verdict).alias("kept"))
+            passed = F.when(group == name, inside(band)).otherwise(passed)
+    return {"base_failed": failed, "chars_per_token": chars, "byte_share": share, "kept": ~failed & F.coalesce(passed, F.lit(False))}
 
 
 def quality(docs: DataFrame, vocabulary: str | None = None, bands: dict[str, Band] = BANDS, by_lang: bool = False) -> DataFrame:
-    """Measures and verdict for every document; rows of one id get one each. Other columns are not read."""
-    return judge(measures(docs, vocabulary), bands, by_lang)
+    """``doc_id``, all measures and the verdict for every document; rows of one id get one each. Other columns are not read."""
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).cast("string").alias(c) for c in ("text", "lang") if c in docs.columns))
+    rows = measured(read, vocabulary)
+    judged = verdict(F.col("__measures"), bands, by_lang)
+    return rows.select("doc_id", "__measures.*", *(c.alias(n) for n, c in judged.items()))
+
+
+def good_documents(docs: DataFrame, vocabulary: str | None = None, bands: dict[str, Band] = BANDS, by_lang: bool = False) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, columns as they were; judged where they are read, without a shuffle."""
+    return measured(docs, vocabulary).where(verdict(F.col("__measures"), bands, by_lang)["kept"]).drop("__measures")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import fertility, lines, mixing, simhash, substrings, suffixes, tokenfiles
+from lumenframe.llm import decontaminate, fertility, lines, mixing, pitmanyor, simhash, substrings, suffixes, tokenfiles, toxicity
 from lumenframe.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = fertility.quality(table(spark, sf_dir, "documents"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return judged.select("doc_id", *base, "chars_per_token", "byte_share", "token_entropy", "script")
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("contaminated", F.lit(True))
+
+
+@query()
+def op7_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.score_documents(table(spark, sf_dir, "documents"))

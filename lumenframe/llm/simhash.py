@@ -50,19 +50,18 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-_FINGERPRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+_FINGERPRINTS = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("fp", pa.int64())])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp): fingerprints as signed 64-bit numbers."""
+    """(id, key, fp): rows as ``blocks.text_rows`` names them, fingerprints as signed 64-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            fps = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(fps.view(np.int64))], schema=_FINGERPRINTS)
+            fps = np.array([fingerprint(t, shingle) for t in part.column(2).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps.view(np.int64))], schema=_FINGERPRINTS)
 
-    body = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return B.text_rows(docs, text, doc_id).mapInArrow(run, "id long, key long, fp long")
 
 
 def position_sets(distance: int = DISTANCE, key_bytes: int = KEY_BYTES) -> list[tuple[int, ...]]:
@@ -136,8 +135,19 @@ def _edge_rows(edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_EDGES)
 
 
+def links(fps: DataFrame, distance: int = DISTANCE, key_bytes: int = KEY_BYTES) -> DataFrame:
+    """(a, b): edges that connect different fingerprints as all their links do."""
+    masks = [sum(0xFF << 8 * p for p in s) for s in position_sets(distance, key_bytes)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    posting = F.explode(F.array(*(F.struct(F.lit(i).alias("n"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed))))
+    posted = fps.select("fp", posting.alias("p")).select("p.n", "p.key", "fp")
+    dealt = posted.repartition(B.partitions(fps), "n", "key").sortWithinPartitions("n", "key")
+    return dealt.mapInArrow(link_postings(distance), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, key_bytes: int = KEY_BYTES, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: ``doc_id``, ``fp``, ``component_id`` (the least id that links reach, its own included).
+    """One row per document: ``doc_id``, ``fp``, ``component_id`` (the least id that links reach, its own included),
+    and ``id``, ``key``, ``first`` (the row as ``blocks.text_rows`` names it, and the least such row of its group).
 
     Copies share a fingerprint and enter the index once. Null, empty and
     wordless texts have fingerprint 0 and link like any other; fewer words than
@@ -145,15 +155,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     its ids are null. Other columns are not read. An empty table gives no rows.
     """
     marked = B.checkpoint(fingerprints(docs, shingle, text, doc_id))
-    different = B.checkpoint(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    masks = [sum(0xFF << 8 * p for p in s) for s in position_sets(distance, key_bytes)]
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = F.explode(F.array(*(F.struct(F.lit(i).alias("n"), F.col("fp").bitwiseAND(F.lit(m))).alias("key") for i, m in enumerate(signed))))
-    posted = different.select(keys.alias("p"), "fp").select(F.col("p.n").alias("n"), F.col("p").getField("col2").alias("key"), "fp")
-    dealt = posted.repartition(B.partitions(docs), "n", "key").sortWithinPartitions("n", "key")
-    edges = dealt.mapInArrow(link_postings(distance), "a long, b long")
-    roots = components(edges)
+    own_id = F.when(F.col("id") != B.NO_ID, F.col("id"))
+    different = B.checkpoint(marked.groupBy("fp").agg(F.min(own_id).alias("least_id"), F.min(F.struct("id", "key")).alias("least")))
+    roots = components(links(different.select("fp"), distance, key_bytes))
     rooted = different.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    ids = rooted.join(least, "root").select("fp", "component_id")
-    return marked.join(ids, "fp").select("doc_id", "fp", "component_id")
+    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), F.min("least").alias("first"))
+    ids = rooted.join(least, "root").select("fp", "component_id", "first")
+    return marked.join(ids, "fp").select(own_id.alias("doc_id"), "fp", "component_id", "id", "key", "first")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``docs`` that come first in their groups, by id, once each; columns as they were."""
+    first = near_duplicates(docs, shingle, distance).where(F.col("first") == F.struct("id", "key")).select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct()
+    rows = docs.withColumns({"__id": B.row_id(), "__key": B.row_key()}).dropDuplicates(["__id", "__key"])
+    return rows.join(first, (F.col("__id") == F.col("_id")) & (F.col("__key") == F.col("_key")), "left_semi").drop("__id", "__key")
