@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from lumenframe.llm import blocks as B
 from lumenframe.llm.substrings import covered
-from lumenframe.llm.vocabularies import Remember, public_path
+from lumenframe.llm.vocabularies import Remember, in_worker, public_path
 
 VOCABULARY = "piece_bpe_32k.model"
 SYMBOLS = "#*$%&|<>"
@@ -142,7 +142,7 @@ def measured(docs: DataFrame, vocabulary: str | None = None, text: str = "text",
     places = {c: docs.columns.index(c) for c in (text, lang) if c in docs.columns}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = PieceCounts(path)
+        pieces = in_worker(PieceCounts, path)
         for whole in batches:
             for lo in range(0, whole.num_rows, 500):
                 part = whole.slice(lo, 500)

@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lumenframe.llm import blocks as B
-from lumenframe.llm.vocabularies import ByteTokenizer, public_path
+from lumenframe.llm.vocabularies import ByteTokenizer, in_worker, public_path
 
 END = 0
 VOCABULARY = "byte_bpe_50k.json"
@@ -34,7 +34,7 @@ ORC = {
 
 def encode(path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, at = ByteTokenizer(path), 0
+        tokenizer, at = in_worker(ByteTokenizer, path), 0
         last = np.array([end], dtype="<i4").tobytes()
         for part in batches:
             doc_ids, texts = (c.to_pylist() for c in part.columns)

@@ -10,10 +10,12 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterable
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
-#: Units a task remembers; when full, it starts anew.
+#: Units a worker remembers; when full, those in use move to a new store and the others go.
 REMEMBERED = 400_000
 _ODD_SPACE = re.compile(r"(?:\s|^) (?:\s|$)")
 
@@ -29,19 +31,29 @@ class Remember(dict):
 
     def __init__(self, ask: Callable[[list[str]], Iterable]):
         super().__init__()
-        self.ask = ask
+        self.ask, self.before = ask, {}
 
     def learn(self, units: Iterable) -> None:
         wanted = set(units)
         new = [u for u in wanted if u not in self]
         if len(self) + len(new) > REMEMBERED:
+            self.before = dict(self)
             self.clear()
             new = list(wanted)
+        if self.before:
+            self.update((u, self.before[u]) for u in new if u in self.before)
+            new = [u for u in new if u not in self]
         for at in range(0, len(new), 50_000):
             some = new[at : at + 50_000]
             self.update(zip(some, self.ask(some), strict=True))
 
 
+@lru_cache(4)
+def in_worker(kind: type, path: str):
+    """One encoder of a kind and file for all tasks of a worker process, with what it remembers."""
+    return kind(path)
+
+
 def units(text: str) -> list[str]:
     """Pieces of a text that can be encoded one by one; joined they are the text."""
     pieces = text.split(" ")
@@ -68,7 +80,10 @@ class ByteTokenizer:
         self.known = Remember(self._ask)
 
     def _ask(self, units: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<i4").tobytes() for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        ends = np.cumsum([4 * len(ids) for ids in encoded]).tolist()
+        data = np.fromiter(chain.from_iterable(encoded), dtype="<i4").tobytes()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [units(t) for t in texts]
