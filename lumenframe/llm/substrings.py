@@ -155,7 +155,7 @@ def cut_words(size: int):
                 words = text.split()
                 removed = np.zeros(len(words), dtype=bool)
                 if parts is not None:
-                    removed = covered(len(words), np.unique(np.frombuffer(parts, dtype=np.uint32)).astype(np.int64), size)
+                    removed = covered(len(words), np.unique(np.frombuffer(b"".join(parts), dtype=np.uint32)).astype(np.int64), size)
                     words = [w for w, gone in zip(words, removed.tolist(), strict=True) if not gone]
                 start, end = intervals(removed)
                 rows.append((doc_id, len(removed), int(removed.sum()), b" ".join(words), start.tolist(), end.tolist()))
@@ -174,7 +174,8 @@ def remove_repeated_windows(docs: DataFrame, size: int = SIZE, text: str = "text
     as they come: two rows of one text repeat each other, whatever their ids,
     null ids included. Other columns are not read. An empty table gives none.
     """
-    hits = repeated_windows(docs, size, text, doc_id).withColumnsRenamed({"id": "_id", "key": "_key"})
+    hits = repeated_windows(docs, size, text, doc_id)
+    hits = hits.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(F.collect_list("at").alias("at"))  # rows alike share them
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), B.row_id(doc_id).alias("id"), B.row_key(text, doc_id).alias("key"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"),
