@@ -123,6 +123,19 @@ def row_key(text: str = "text", doc_id: str = "doc_id") -> Column:
     return F.xxhash64(F.col(doc_id).cast("long"), F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
+#: Names that ``named`` adds to the columns of documents.
+OWN_ID, OWN_KEY = "__lumenframe_row_id", "__lumenframe_row_key"
+
+
+def named(docs: DataFrame) -> DataFrame:
+    """``docs`` with the names of their rows that ``text_rows`` uses."""
+    return docs.withColumns({OWN_ID: row_id(), OWN_KEY: row_key()})
+
+
+def columns_of(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

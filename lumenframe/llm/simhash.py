@@ -166,6 +166,6 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """The rows of ``docs`` that come first in their groups, by id, once each; columns as they were."""
-    first = near_duplicates(docs, shingle, distance).where(F.col("first") == F.struct("id", "key")).select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct()
-    rows = docs.withColumns({"__id": B.row_id(), "__key": B.row_key()}).dropDuplicates(["__id", "__key"])
-    return rows.join(first, (F.col("__id") == F.col("_id")) & (F.col("__key") == F.col("_key")), "left_semi").drop("__id", "__key")
+    near = near_duplicates(docs, shingle, distance).where(F.col("first") == F.struct("id", "key"))
+    first = near.select(F.col("id").alias(B.OWN_ID), F.col("key").alias(B.OWN_KEY)).distinct()
+    return B.named(docs).dropDuplicates([B.OWN_ID, B.OWN_KEY]).join(first, [B.OWN_ID, B.OWN_KEY], "left_semi").select(*B.columns_of(docs))
