@@ -62,9 +62,11 @@ def round_exact(value: Column, digits: int) -> Column:
 
 
 def percent_text(value: Column, digits: int = 2) -> Column:
-    """``95.5`` → ``95.50%``; null → ``N/A``."""
-    text = F.format_string(f"%.{digits}f%%", round_exact(value.cast("double"), digits))
-    return F.when(value.isNull(), F.lit("N/A")).otherwise(text)
+    """``95.5`` → ``95.50%``; null, NaN and infinite → ``N/A``."""
+    number = value.cast("double")
+    finite = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+    text = F.format_string(f"%.{digits}f%%", round_exact(finite, digits))
+    return F.when(finite.isNull(), F.lit("N/A")).otherwise(text)
 
 
 def has_suffix(path: Column, suffix: str) -> Column:

@@ -18,7 +18,6 @@ DISCLAIMER = (
     "Consult a qualified medical professional for diagnosis."
 )
 KEY_ORDER = ("patient_id", "patient_name", "study_description", "Inference_Prediction", "Inference_Confidence")
-METADATA_LINES = 21
 
 
 def _line(section: str, value: Column) -> Column:
@@ -97,7 +96,7 @@ def _keys() -> Column:
 
 def _metadata() -> Column:
     metadata = F.col("metadata")
-    entries = F.transform(entry_lines(metadata, METADATA_LINES), lambda t: _line("info", t))
+    entries = F.transform(entry_lines(metadata), lambda t: _line("info", t))
     head = F.array(
         _line("title", F.lit("DICOM Report")),
         _labelled("info", "Patient ID", get_or(or_empty(metadata), ["patient_id"], "")),

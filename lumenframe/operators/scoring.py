@@ -24,6 +24,7 @@ MAX_PARAMETERS = 5_000_000
 
 # Largest pickled model that is sent to every executor.
 MAX_MODEL_BYTES = 1 << 30
+NOT_FINITE = "Inference failed: scores that are not finite"
 MISSING_TENSOR = "Missing tensor"
 
 Model = Callable[[np.ndarray], np.ndarray]
@@ -109,11 +110,28 @@ def ship_model(spark: SparkSession, model: Model) -> Broadcast:
     return spark.sparkContext.broadcast(data)
 
 
+def row_logits(score_rows: Model, matrix: np.ndarray) -> list[tuple[np.ndarray | None, str | None]]:
+    """Logits or a failure for each row of ``matrix``.
+
+    A batch that raises, or comes back with another number of rows, is tried row
+    by row, so that one bad image does not take others with it.
+    """
+    try:
+        logits = np.asarray(score_rows(matrix), dtype=np.float64)
+        if logits.ndim != 2 or len(logits) != len(matrix):
+            raise ValueError(f"the model gave {logits.shape} for {len(matrix)} rows")
+    except Exception as e:  # noqa: BLE001  a failing model is a result, not the end of the job
+        if len(matrix) == 1:
+            return [(None, f"Inference failed: {e}")]
+        return [row_logits(score_rows, matrix[k : k + 1])[0] for k in range(len(matrix))]
+    return [(row, None) if np.isfinite(row).all() else (None, NOT_FINITE) for row in logits]
+
+
 def _batch_logits(spark: SparkSession, model: Model) -> Callable[..., Column]:
     """Arrow UDF that applies ``model`` to ``(n, elements)`` matrices, unpacked once per task."""
     shared = ship_model(spark, model)
 
-    @F.arrow_udf("array<double>")
+    @F.arrow_udf("logits array<double>, error string")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         score_rows = cloudpickle.loads(shared.value)
         for tensors in batches:
@@ -121,6 +139,7 @@ def _batch_logits(spark: SparkSession, model: Model) -> Callable[..., Column]:
             values = tensors.flatten().to_numpy(zero_copy_only=False)
             starts = np.concatenate([[0], np.cumsum(np.maximum(lengths, 0))])
             logits: list[np.ndarray | None] = [None] * len(tensors)
+            errors: list[str | None] = [None] * len(tensors)
             present = [n for n in np.unique(lengths) if n >= 0]
             for length in present:
                 rows = np.flatnonzero(lengths == length)
@@ -129,16 +148,20 @@ def _batch_logits(spark: SparkSession, model: Model) -> Callable[..., Column]:
                     matrix = values.reshape(len(rows), length)
                 else:
                     matrix = values[starts[rows][:, None] + np.arange(length)]
-                for row, scores in zip(rows, np.asarray(score_rows(matrix), dtype=np.float64)):
-                    logits[row] = scores
-            yield pa.array(logits, pa.list_(pa.float64()))
+                for row, (scores, error) in zip(rows, row_logits(score_rows, matrix), strict=True):
+                    logits[row], errors[row] = scores, error
+            yield pa.StructArray.from_arrays([pa.array(logits, pa.list_(pa.float64())), pa.array(errors, pa.string())], names=["logits", "error"])
 
     return run
 
 
 def logits_of(spark: SparkSession, tensor: Column, model: LinearHead | Model) -> Column:
+    """Struct of ``logits`` and ``error``."""
     if isinstance(model, LinearHead) and model.width <= NATIVE_WIDTH:
-        return F.array(*[dot(tensor, row, b) for row, b in zip(model.weights, model.bias)])
+        logits = F.array(*[dot(tensor, row, b) for row, b in zip(model.weights, model.bias)])
+        odd = F.exists(logits, lambda x: F.isnan(x) | (F.abs(x) == float("inf")))
+        error = F.when(tensor.isNotNull() & odd, F.lit(NOT_FINITE))
+        return F.struct(F.when(error.isNull(), logits).alias("logits"), error.alias("error"))
     return _batch_logits(spark, model)(tensor)
 
 
@@ -165,7 +188,9 @@ def score(
     problem = tensor_problem(tensor, F.col(shape) if shape else F.lit(None), expected)
     checked = df.withColumn("inference_error", problem)
     usable = F.when(F.col("inference_error").isNull(), tensor)
-    scored = checked.withColumn("_logits", logits_of(df.sparkSession, usable, model))
+    scored = checked.withColumn("_scored", logits_of(df.sparkSession, usable, model))
+    failed = F.coalesce("inference_error", "_scored.error")
+    scored = scored.withColumns({"_logits": F.col("_scored.logits"), "inference_error": failed}).drop("_scored")
     drop = [features] + ([shape] if shape else [])
     return label_logits(scored, tensor.isNull(), labels, compat_sentinels).drop(*drop)
 

@@ -180,7 +180,7 @@ def run_pipeline(
 
             counts = run_incremental(spark, src, out, settings, run_ts, batch_size, checkpoint)
     except Exception as e:
-        append_event(spark, out, run_ts, 1, settings.clock(), "error", f"Pipeline failed: {str(e)[:500]}")
+        append_event(spark, out, run_ts, 1, settings.clock(), "error", f"Pipeline failed: {e}")
         raise
     done = counts["total"]
     append_event(

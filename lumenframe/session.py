@@ -36,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":  # local-cluster is a cluster
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     made = tempfile.mkdtemp(prefix="lumenframe-")
     spark.conf.set("spark.checkpoint.dir", made)

@@ -22,7 +22,7 @@ from lumenframe.operators.images import (
     preprocess_problem,
     tensor_shape,
 )
-from lumenframe.operators.scoring import LABELS, LinearHead, Model, label_logits, planned_problem, ship_model
+from lumenframe.operators.scoring import LABELS, LinearHead, Model, label_logits, planned_problem, row_logits, ship_model
 from lumenframe.sources.files import binary_files, list_images, read_file, spread_listing, write_files
 
 # Public data element tags, as group, element → keyword, value type.
@@ -221,9 +221,10 @@ _ARROW_PREPARED = pa.struct([("tags", pa.list_(_ARROW_TAG)), ("shape", pa.list_(
                              ("n_bytes", pa.int64()), ("tensor", pa.list_(pa.float32())),
                              ("error", pa.string())])
 
-SCORED = PREPARED.replace("tensor:array<float>", "logits:array<double>")
-_ARROW_SCORED = pa.struct([pa.field("logits", pa.list_(pa.float64())) if f.name == "tensor" else f
-                           for f in _ARROW_PREPARED])
+SCORED = PREPARED.replace("tensor:array<float>", "logits:array<double>,logits_error:string")
+_ARROW_SCORED = pa.struct([f for g in _ARROW_PREPARED for f in (
+    (pa.field("logits", pa.list_(pa.float64())), pa.field("logits_error", pa.string())) if g.name == "tensor" else (g,)
+)])
 
 
 def _tag_row(element: Element) -> dict:
@@ -328,8 +329,9 @@ def _score_step(size: tuple[int, int], how: str, model: Broadcast) -> _Step:
         def finish(rows: list[dict]) -> None:
             tensors = [(row, row.pop("tensor")) for row in rows if "tensor" in row]
             if tensors:
-                for (row, _), logits in zip(tensors, score_rows(np.stack([t for _, t in tensors]))):
-                    row["logits"] = np.asarray(logits, dtype=np.float64)
+                found = row_logits(score_rows, np.stack([t for _, t in tensors]))
+                for (row, _), (logits, error) in zip(tensors, found, strict=True):
+                    row["logits"], row["logits_error"] = logits, error
 
         return finish
 
@@ -419,7 +421,8 @@ def score_files(
     checked = _checked(step.over(files), files)
     missing = F.col("preprocess_error").isNotNull()
     logits = F.col("_d.logits") if fits else F.lit(None).cast("array<double>")
-    problem = planned_problem(missing, elements, model).alias("inference_error")
+    failed = F.col("_d.logits_error") if fits else F.lit(None).cast("string")
+    problem = F.coalesce(planned_problem(missing, elements, model), failed).alias("inference_error")
     table = _with_metadata(checked, keys, F.col("preprocess_error"), problem, logits.alias("_logits"))
     return label_logits(table, missing, labels, compat_sentinels)
 

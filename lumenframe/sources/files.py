@@ -146,7 +146,9 @@ def walk_files(spark: SparkSession, base: str) -> DataFrame:
     level = 0
     frontier = spark.createDataFrame([(base,)], "path string")
     while not frontier.isEmpty():
-        listed = frontier.repartition("path").mapInArrow(
+        # a number of partitions of its own, or adaptive execution merges small levels into one task
+        spread = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        listed = frontier.repartition(spread, "path").mapInArrow(
             _list_folders, "path string, length long, modificationTime timestamp, is_folder boolean"
         )
         listed.write.mode("overwrite").parquet(f"{out}/level={level}")

@@ -67,11 +67,11 @@ def test_compact_layout_truncates(spark):
     assert lines[-2:] == ["Prediction: NORMAL", "Confidence: 66.7%"]
 
 
-def test_metadata_layout_stops_after_21_entries(spark):
+def test_metadata_layout_has_all_entries(spark):
     meta = {f"k{i:02d}": str(i) for i in range(22)}
     df = spark.createDataFrame([("gs://b/f.dcm", "p", meta, "NORMAL", 1.0, None, None)], SCHEMA)
     lines = bodies(df, "metadata")["gs://b/f.dcm"]["body"].split("\n")
-    assert len(lines) == 2 + 21 and lines[1] == "Patient ID: "
+    assert len(lines) == 2 + 22 and lines[1] == "Patient ID: "
 
 
 def test_sinks(spark, scored, tmp_path):

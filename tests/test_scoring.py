@@ -4,9 +4,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lumenframe.functions.text import percent_text
 from lumenframe.functions.vectors import argmax, label_of, softmax
 from lumenframe.operators import scoring
-from lumenframe.operators.scoring import LinearHead, load_linear_head, score
+from lumenframe.operators.scoring import LinearHead, load_linear_head, row_logits, score
 
 
 class Doubling:
@@ -120,3 +121,34 @@ def test_bad_models(spark):
         LinearHead(((1.0,), (1.0, 2.0)), (0.0, 0.0))
     with pytest.raises(ValueError):
         LinearHead(((1.0,),), (0.0, 0.0))
+
+
+class Unsteady:
+    """Raises on some rows, is not finite on others, and loses one of every batch of several."""
+
+    def __call__(self, batch):
+        if (batch[:, 0] == 1).any():
+            raise ValueError("no ones")
+        out = np.stack([batch[:, 0], np.where(batch[:, 0] == 2, np.nan, 1.0)], axis=1)
+        return out if len(out) == 1 else out[1:]
+
+
+def test_failures_are_rows(spark):
+    rows = [(n, [float(n % 4), 0.0]) for n in range(12)]
+    df = spark.createDataFrame(rows, "id long, tensor array<double>").coalesce(1).withColumn("tensor_shape", F.array(F.lit(2)))
+    got = {r["id"]: r for r in score(df, Unsteady()).collect()}
+    assert len(got) == 12
+    for n, r in got.items():
+        wanted = {1: "Inference failed: no ones", 2: "Inference failed: scores that are not finite"}.get(n % 4)
+        assert r["inference_error"] == wanted
+        assert (r["prediction"] is None) == (r["confidence"] is None) == (wanted is not None)
+
+
+def test_batch_failures_stay_with_their_rows():
+    found = row_logits(Unsteady(), np.array([[0.0, 0.0], [1.0, 0.0], [2.0, 0.0], [3.0, 0.0]]))
+    assert [logits is None for logits, _ in found] == [False, True, True, False]
+
+
+def test_percent_of_no_number(spark):
+    df = spark.createDataFrame([(95.5,), (float("nan"),), (float("inf"),), (None,)], "v double")
+    assert [r[0] for r in df.select(percent_text(F.col("v"))).collect()] == ["95.50%", "N/A", "N/A", "N/A"]

@@ -100,9 +100,12 @@ def test_each_output_remembers_its_own_progress(spark, source, tmp_path):
 
 
 def test_failed_run_is_recorded(spark, source, tmp_path):
-    class Broken:
+    class Broken:  # cannot be loaded; one that fails on images gives error rows
+        def __reduce__(self):
+            return exec, ("raise RuntimeError('no such model')",)
+
         def __call__(self, batch):
-            raise RuntimeError("no such model")
+            return batch[:, :2]
 
     out = str(tmp_path / "out")
     with pytest.raises(Exception, match="no such model"):
