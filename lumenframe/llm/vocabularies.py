@@ -17,7 +17,8 @@ import numpy as np
 
 #: Units a worker remembers; when full, those in use move to a new store and the others go.
 REMEMBERED = 400_000
-_ODD_SPACE = re.compile(r"(?:\s|^) (?:\s|$)")
+#: A space before white space or at the end: only there a cut may be wrong.
+_ODD_SPACE = re.compile(r" (?:\s|$)")
 
 
 def public_path(name: str) -> str:
@@ -69,6 +70,20 @@ def units(text: str) -> list[str]:
     return out
 
 
+#: Units in a string that is encoded at once; a unit of this form starts at the one token that starts with its space.
+GROUP = 1000
+_PLAIN = re.compile(r"\S[^ ]*")
+
+
+def unit_keys(text: str) -> list:
+    """The units of a text by their names in the store: one that starts with a space goes without it, any other in a tuple."""
+    if _ODD_SPACE.search(text):
+        return [u[1:] if u[:1] == " " else (u,) for u in units(text)]
+    pieces = text.split(" ")
+    pieces[0] = (pieces[0],)
+    return pieces
+
+
 class ByteTokenizer:
     """Token ids of whole texts by a ``tokenizers`` file, as little-endian 32-bit integers."""
 
@@ -77,15 +92,34 @@ class ByteTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known = Remember(self._ask)
 
-    def _ask(self, units: list[str]) -> list[bytes]:
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
-        ends = np.cumsum([4 * len(ids) for ids in encoded]).tolist()
-        data = np.fromiter(chain.from_iterable(encoded), dtype="<i4").tobytes()
-        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    def _ids(self, strings: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<i4") for e in found]
+
+    def _ask(self, keys: list) -> list[bytes]:
+        plain = [k for k in keys if type(k) is str and _PLAIN.fullmatch(k)]
+        groups = [plain[at : at + GROUP] for at in range(0, len(plain), GROUP)]
+        answers, alone = {}, [k for k in keys if type(k) is tuple or not _PLAIN.fullmatch(k)]
+        for group, ids in zip(groups, self._ids([" " + " ".join(g) for g in groups]), strict=True):
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) != len(group) or starts[0]:  # not a byte-level vocabulary
+                alone += group
+                continue
+            cuts, data = [*(4 * starts).tolist(), ids.nbytes], ids.tobytes()
+            answers.update((k, data[a:b]) for k, a, b in zip(group, cuts, cuts[1:], strict=False))
+        whole = [k[0] if type(k) is tuple else " " + k for k in alone]
+        answers.update((k, ids.tobytes()) for k, ids in zip(alone, self._ids(whole), strict=True))
+        return [answers[k] for k in keys]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [units(t) for t in texts]
-        self.known.learn(u for c in cut for u in c)
-        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
+        # a text that spells an added token is not cut, as such a token ends the piece before it
+        special = [any(a in t for a in self.added) for t in texts]
+        cut = [[] if odd else unit_keys(t) for t, odd in zip(texts, special, strict=True)]
+        self.known.learn(chain.from_iterable(cut))
+        return [self._ids([t])[0].tobytes() if odd else b"".join(map(self.known.__getitem__, c)) for t, c, odd in zip(texts, cut, special, strict=True)]
