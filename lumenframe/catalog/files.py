@@ -18,17 +18,6 @@ from lumenframe.sources import dicom, files
 RUN_TS = "20240305060708"
 
 
-_WRITTEN: dict[tuple[str, str], str] = {}
-
-
-def shared_files(spark: SparkSession, sf_dir: str) -> str:
-    """The files of this session, written by the first query that needs them."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _WRITTEN:
-        _WRITTEN[key] = written(spark, sf_dir)
-    return _WRITTEN[key]
-
-
 def written(spark: SparkSession, sf_dir: str) -> str:
     """Write every tile as a file and return the folder."""
     out = work_dir(spark, "dicom")
@@ -79,7 +68,7 @@ FROM embeddings, (VALUES ('PatientID', 'LO', ''), ('PatientName', 'PN', ''), ('I
   ('MediaStorageSOPClassUID', 'UI', '1.2.840.10008.5.1.4.1.1.1')) t(keyword, vr, value)""")
 def dicom_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tag table of the files, without the unique ids and the header length."""
-    tags = dicom.drop_sequences(dicom.dicom_tags(spark, shared_files(spark, sf_dir)))
+    tags = dicom.drop_sequences(dicom.dicom_tags(spark, written(spark, sf_dir)))
     skip = ("", "SOPInstanceUID", "MediaStorageSOPInstanceUID")
     return tags.where(~F.col("keyword").isin(*skip)).select(base_name(F.col("path")).alias("name"), "keyword", "vr", "value")
 
@@ -88,7 +77,7 @@ def dicom_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE vec_id % 3 WHEN 0 THEN 'P' || vec_id ELSE '' END AS patient_id FROM embeddings""")
 def dicom_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole, empty and cut-off files: every one gives a row."""
-    source = files.binary_files(spark, shared_files(spark, sf_dir)).select(base_name(F.col("path")).alias("name"), "content")
+    source = files.binary_files(spark, written(spark, sf_dir)).select(base_name(F.col("path")).alias("name"), "content")
     number = F.regexp_extract("name", "([0-9]+)", 1).cast("long")
     content = (
         F.when(number % 3 == 0, F.col("content")).when(number % 3 == 1, F.lit(b""))
@@ -104,7 +93,7 @@ def dicom_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT 'tile-' || vec_id || '.dcm' AS name, true AS has_size FROM embeddings")
 def list_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = files.list_images(spark, shared_files(spark, sf_dir))
+    listed = files.list_images(spark, written(spark, sf_dir))
     return listed.select(base_name(F.col("path")).alias("name"), (F.col("length") > 128).alias("has_size"))
 
 
@@ -121,7 +110,7 @@ SELECT 'P' || vec_id AS patient_id, CASE WHEN e0 >= e1 THEN 'NORMAL' ELSE 'PNEUM
 def _staged(spark: SparkSession, sf_dir: str, keep: tuple[str, ...], batch_size: int | None) -> DataFrame:
     out = work_dir(spark, "staged")
     settings = Settings(model=HEAD, size=(8, 8), keep=keep)
-    reports = run_pipeline(spark, shared_files(spark, sf_dir), out, settings, RUN_TS, batch_size=batch_size)
+    reports = run_pipeline(spark, written(spark, sf_dir), out, settings, RUN_TS, batch_size=batch_size)
     return reports.select(
         "patient_id", "prediction", F.round("confidence", 6).alias("confidence"), "report_status",
         F.size("lines").alias("n_lines"),
@@ -142,5 +131,5 @@ def one_pass_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(STAGED)
 def sliced_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same through a file stream, a quarter of a thousand files at a time."""
+    """The same in slices of 250 files."""
     return _staged(spark, sf_dir, ("inference", "reports"), 250)

@@ -58,12 +58,13 @@ def with_entries(metadata: Column, extra: dict[str, Column]) -> Column:
 
 
 def from_pairs(pairs: Column) -> Column:
-    """``array<struct<key,value>>`` → map, the last of equal keys winning."""
-    return F.aggregate(
-        pairs,
-        F.create_map().cast(METADATA_TYPE),
-        lambda acc, p: F.map_concat(F.map_filter(acc, lambda k, _: k != p["key"]), F.create_map(p["key"], p["value"])),
-    )
+    """``array<struct<key,value>>`` → map, the last of equal keys winning, in the order of those last ones."""
+    numbered = F.transform(pairs, lambda p, i: F.struct(p["key"].alias("key"), i.alias("at"), p["value"].alias("value")))
+    by_key = F.sort_array(numbered)
+    # only a neighbour can have the same key; past the end there is null
+    last = F.filter(by_key, lambda p, i: ~p["key"].eqNullSafe(F.get(by_key, i + 1)["key"]))
+    placed = F.sort_array(F.transform(last, lambda p: F.struct(p["at"].alias("at"), p["key"].alias("key"), p["value"].alias("value"))))
+    return F.map_from_entries(F.transform(placed, lambda p: F.struct(p["key"].alias("key"), p["value"].alias("value"))))
 
 
 def entry_lines(metadata: Column, limit: int | None = None) -> Column:

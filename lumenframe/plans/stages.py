@@ -157,34 +157,40 @@ def run_pipeline(
     run_ts: str,
     max_images: int | None = None,
     batch_size: int | None = None,
-    checkpoint: str | None = None,
+    listing: DataFrame | None = None,
 ) -> DataFrame:
     """Run all stages over the image files below ``src`` and return the reports of the run.
 
-    With ``batch_size`` the files are taken that many at a time through a file
-    stream whose ``checkpoint`` remembers what is done, so that a stopped run
-    goes on where it was.
+    ``listing`` (``path``, ``length``) names the files instead of ``src``;
+    ``max_images`` takes the first so many by path. With ``batch_size`` they are
+    taken that many at a time, with an event after each slice, and a stopped run
+    goes on behind its last whole slice.
     """
     require_positive(max_images=max_images, batch_size=batch_size)
     if not re.fullmatch("[0-9]{14}", run_ts):
         raise ValueError(f"run_ts must be yyyyMMddHHmmss, not {run_ts!r}")
-    if max_images is not None and batch_size is not None:
-        raise ValueError("max_images and batch_size cannot be combined")
+    steps = 1
     append_event(spark, out, run_ts, 0, settings.clock(), "running", "Pipeline started")
     try:
         if batch_size is None:
-            files = image_files(spark, src, max_images, through_spark=settings.through_spark)
-            counts = run_stages(spark, files, out, settings, run_ts)["reports"]
+            files = image_files(spark, src, max_images, listing, settings.through_spark)
+            counts = {**run_stages(spark, files, out, settings, run_ts)["reports"], "slices": 1}
         else:
             from lumenframe.streaming.incremental import run_incremental
 
-            counts = run_incremental(spark, src, out, settings, run_ts, batch_size, checkpoint)
+            def progress(done: int, total: int, batch: int) -> None:
+                nonlocal steps
+                message = f"Processed batch {batch}"
+                append_event(spark, out, run_ts, steps, settings.clock(), "running", message, done, total, batch)
+                steps += 1
+
+            files = image_files(spark, src, max_images, listing)
+            counts = run_incremental(spark, files, out, settings, run_ts, batch_size, progress)
     except Exception as e:
-        append_event(spark, out, run_ts, 1, settings.clock(), "error", f"Pipeline failed: {e}")
+        append_event(spark, out, run_ts, steps, settings.clock(), "error", f"Pipeline failed: {e}")
         raise
     done = counts["total"]
     append_event(
-        spark, out, run_ts, 1, settings.clock(), "completed", SUCCESS_MESSAGE, done, done,
-        -(-done // batch_size) if batch_size else 1,
-    )
+        spark, out, run_ts, steps, settings.clock(), "completed", SUCCESS_MESSAGE, done, done, counts["slices"]
+    )
     return read_run(spark, f"{out.rstrip('/')}/reports", run_ts)

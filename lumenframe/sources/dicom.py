@@ -10,7 +10,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, cloudpickle
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +22,18 @@ from lumenframe.operators.images import (
     preprocess_problem,
     tensor_shape,
 )
-from lumenframe.operators.scoring import LABELS, LinearHead, Model, label_logits, planned_problem, row_logits, ship_model
-from lumenframe.sources.files import binary_files, list_images, read_file, spread_listing, write_files
+from lumenframe.operators.scoring import LABELS, LinearHead, Model, label_logits, loaded_model, planned_problem, row_logits, ship_model
+from lumenframe.sources.files import (
+    binary_files,
+    fetch_files,
+    first_files,
+    list_images,
+    locate,
+    read_file,
+    spark_content,
+    spread_listing,
+    write_files,
+)
 
 # Public data element tags, as group, element → keyword, value type.
 ELEMENTS = {
@@ -324,7 +334,7 @@ def _prepare_step(size: tuple[int, int], how: str) -> _Step:
 
 def _score_step(size: tuple[int, int], how: str, model: Broadcast) -> _Step:
     def finisher() -> Callable[[list[dict]], None]:
-        score_rows = cloudpickle.loads(model.value)
+        score_rows = loaded_model(model)
 
         def finish(rows: list[dict]) -> None:
             tensors = [(row, row.pop("tensor")) for row in rows if "tensor" in row]
@@ -438,18 +448,25 @@ def image_files(
 
     By default a listing, whose files the tasks read themselves: measured at
     twice the speed, because pixels do not cross from the JVM to Python.
-    ``through_spark`` reads them with Spark's binary file source instead, for
-    storage that only Hadoop connectors reach.
+    ``through_spark`` reads them with Spark's binary file source instead, all but
+    those whose names or folders that source skips, which the tasks read.
     """
     if listing is not None:
-        return listing.select("path", "length")
-    listed = list_images(spark, base, max_images=max_images)
+        listed = listing.select("path", "length")
+        listed = first_files(listed, max_images) if max_images else listed
+    else:
+        listed = list_images(spark, base, max_images=max_images).select("path", "length")
     if not through_spark:
-        return listed.select("path", "length")
+        return listed
     if max_images:
-        raise ValueError("a capped listing is read by the tasks, not through Spark")
-    empty = listed.where("length = 0").select("path", F.lit(b"").alias("content"))
-    return binary_files(spark, base).select("path", "content").unionByName(empty)
+        return spark_content(listed)
+    if listing is not None:
+        raise ValueError("an uncapped listing is read through Spark in slices only: give batch_size")
+    _, inner, prefix = locate(base)
+    hidden = F.rlike(F.substring("path", len(prefix + inner) + 1, 1 << 20), F.lit("/[_.]"))
+    empty = listed.where("length = 0").select("path", F.lit(b"").alias("content"), F.lit(None).cast("string").alias("fetch_error"))
+    seen = binary_files(spark, base).where(~hidden).select("path", "content", F.lit(None).cast("string").alias("fetch_error"))
+    return seen.unionByName(empty).unionByName(fetch_files(listed.where((F.col("length") > 0) & hidden)))
 
 
 def read_dicom(

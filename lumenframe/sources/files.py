@@ -12,12 +12,15 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.functions.text import has_suffix
+from lumenframe.functions.text import base_name, has_suffix
 from lumenframe.operators.quality import require_positive
+from lumenframe.operators.ranks import global_rank
 from lumenframe.session import work_dir
 
 DICOM_GLOB = "*.[dD][cC][mM]"
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+# Names that Hadoop has for a store, and the usual one.
+STORES = {"s3a": "s3", "s3n": "s3"}
 # Bytes of image files one task fetches.
 TASK_BYTES = 256 << 20
 
@@ -39,8 +42,13 @@ def list_images(spark: SparkSession, base: str, suffix: str = ".dcm", max_images
     files = walk_files(spark, base).where(has_suffix(F.col("path"), suffix))
     if not max_images:
         return files
-    require_positive(max_images=max_images)
-    return files.orderBy("path").limit(max_images)
+    return first_files(files, max_images)
+
+
+def first_files(listing: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` files of a listing by path; no task merges them."""
+    require_positive(max_images=n)
+    return global_rank(listing, "path").where(F.col("rank") <= n).drop("rank")
 
 
 def spread_listing(listing: DataFrame) -> DataFrame:
@@ -86,10 +94,29 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def spark_content(listing: DataFrame) -> DataFrame:
+    """``path``, ``content``, ``fetch_error`` of a slice (``path``, ``length``), read by Spark's file source.
+
+    The paths of the slice go through the driver, where that source keeps them
+    anyway: it is for slices of a size that the caller sets. Files that Spark
+    skips or would take for a pattern, by their names, are read by the tasks.
+    """
+    odd = F.rlike(base_name(F.col("path")), F.lit(r"^[_.]")) | F.rlike("path", F.lit(r"[\[\]{}*?\\]"))
+    empty = F.col("length") == 0
+    no_error = F.lit(None).cast("string").alias("fetch_error")
+    found = listing.where(empty).select("path", F.lit(b"").alias("content"), no_error)
+    found = found.unionByName(fetch_files(listing.where(~empty & odd)))
+    paths = [r["path"] for r in listing.where(~empty & ~odd).select("path").collect()]
+    if paths:
+        read = listing.sparkSession.read.format("binaryFile").load(paths)
+        found = found.unionByName(read.select("path", "content", no_error))
+    return found
+
+
 @lru_cache(maxsize=64)
 def _remote(scheme: str, authority: str) -> tuple[pafs.FileSystem, str]:
     """One client per store and Python worker, not one per file."""
-    return pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return pafs.FileSystem.from_uri(f"{STORES.get(scheme, scheme)}://{authority}/")
 
 
 def locate(path: str) -> tuple[pafs.FileSystem, str, str]:

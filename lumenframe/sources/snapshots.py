@@ -34,6 +34,16 @@ def mark_complete(spark: SparkSession, base: str, run_ts: str) -> None:
     fs.create(path, True).close()
 
 
+def complete_batches(spark: SparkSession, base: str, run_ts: str) -> list[int]:
+    """Numbers of a run's batches that are wholly written."""
+    jvm, path, fs = _filesystem(spark, _folder(base, run_ts))
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    done = lambda n: fs.exists(jvm.org.apache.hadoop.fs.Path(f"{_folder(base, run_ts)}/{n}/_SUCCESS"))
+    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch=") and done(n))
+
+
 def list_runs(spark: SparkSession, base: str) -> list[str]:
     """Complete runs below ``base``, oldest first: one folder listing, no file is opened."""
     jvm, path, fs = _filesystem(spark, base)

@@ -1,4 +1,4 @@
-"""Image files in slices of fixed size through all stages, as a file stream that runs until done."""
+"""Image files in slices of fixed size through all stages, and streams that run until done."""
 
 from __future__ import annotations
 
@@ -7,28 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.operators.quality import require_positive
+from lumenframe.operators.ranks import file_batches
 from lumenframe.plans.stages import Settings, run_stages
-from lumenframe.sources.files import BINARY_SCHEMA, DICOM_GLOB, list_images
-from lumenframe.sources.snapshots import mark_complete
-
-# Batch folder of the files a stream cannot see; stream batches count from 0.
-EMPTY_BATCH = -1
-
-
-def file_stream(spark: SparkSession, src: str, batch_size: int, pattern: str = DICOM_GLOB) -> DataFrame:
-    """Files below ``src``, ``batch_size`` of them per micro-batch."""
-    require_positive(batch_size=batch_size)
-    return (
-        spark.readStream.format("binaryFile")
-        .schema(BINARY_SCHEMA)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", batch_size)
-        # a file is never skipped for being older than the ones already taken
-        .option("maxFileAge", "36500d")
-        .load(src)
-    )
+from lumenframe.session import work_dir
+from lumenframe.sources.files import spark_content
+from lumenframe.sources.snapshots import complete_batches, mark_complete
 
 
 def run_available(
@@ -47,34 +30,41 @@ def run_available(
 
 def run_incremental(
     spark: SparkSession,
-    src: str,
+    listing: DataFrame,
     out: str,
     settings: Settings,
     run_ts: str,
     batch_size: int,
-    checkpoint: str | None = None,
+    progress: Callable[[int, int, int], None] = lambda done, total, batch: None,
 ) -> dict[str, int]:
-    """All stages, slice by slice. A slice that is repeated after a failure replaces its own output.
+    """All stages over the files of a listing (``path``, ``length``), in slices by path.
 
-    What is done is remembered beside the output unless a ``checkpoint`` is named.
-    Zero-byte files never reach a file stream; they are taken from the listing
-    at the end and written as one more slice of error rows.
+    Files with a report in a complete slice of the run are left out, so a
+    stopped run goes on where it was; a slice that broke off gives its number
+    and folders to the next one. After each slice ``progress`` gets the files
+    done, the files in all and the number of slices so far.
     """
-    where = checkpoint or f"{out.rstrip('/')}/_stream/{run_ts}"
-    run_available(
-        file_stream(spark, src, batch_size),
-        lambda files, n: _run_slice(files, n, out, settings, run_ts),
-        where,
-    )
-    empty = list_images(spark, src).where("length = 0")
-    if not empty.isEmpty():
-        run_stages(spark, empty, out, settings, run_ts, EMPTY_BATCH)
+    reports = f"{out.rstrip('/')}/reports"
+    written = complete_batches(spark, reports, run_ts)
+    files, done, first = listing.select("path", "length"), 0, max(written, default=-1) + 1
+    if written:
+        seen = spark.read.parquet(*[f"{reports}/run_ts={run_ts}/batch={n}" for n in written]).select("path")
+        done = seen.count()
+        files = files.join(seen, "path", "left_anti")
+    folder = work_dir(spark, "slices")
+    file_batches(files, batch_size, "path").write.partitionBy("batch").parquet(folder)
+    stored = spark.read.schema("path string, length long, batch long").parquet(folder)
+    left, slices = stored.agg(F.count("*"), F.coalesce(F.max("batch"), F.lit(0))).first()
+    if not slices and not written:
+        run_stages(spark, stored.select("path", "length"), out, settings, run_ts, first)
+    total = done + left
+    for n in range(slices):
+        part = spark.read.schema("path string, length long").parquet(f"{folder}/batch={n + 1}")
+        chosen = spark_content(part) if settings.through_spark else part
+        done += run_stages(spark, chosen, out, settings, run_ts, first + n)["reports"]["total"]
+        progress(done, total, first + n + 1)
     for stage in settings.keep:
         mark_complete(spark, f"{out.rstrip('/')}/{stage}", run_ts)
-    written = spark.read.parquet(f"{out.rstrip('/')}/reports/run_ts={run_ts}")
-    return written.agg(F.count("*").alias("total"), F.count_if(F.col("report_path").isNull()).alias("failed")).first().asDict()
-
-
-def _run_slice(files: DataFrame, n: int, out: str, settings: Settings, run_ts: str) -> None:
-    chosen = files.select("path", "content" if settings.through_spark else "length")
-    run_stages(files.sparkSession, chosen, out, settings, run_ts, n)
+    rows = spark.read.parquet(f"{reports}/run_ts={run_ts}")
+    counts = rows.agg(F.count("*").alias("total"), F.count_if(F.col("report_path").isNull()).alias("failed")).first().asDict()
+    return {**counts, "slices": first + slices}

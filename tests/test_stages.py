@@ -1,4 +1,4 @@
-"""Snapshots, the staged run, slices of a file stream, and restarts."""
+"""Snapshots, the staged run, slices of a listing, and restarts."""
 
 from dataclasses import replace
 from datetime import datetime
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.operators.scoring import LinearHead
 from lumenframe.plans.stages import STAGES, Settings, run_pipeline, run_reports, run_stage
-from lumenframe.sources import dicom, snapshots
+from lumenframe.sources import dicom, files, snapshots
 
 HEAD = LinearHead((tuple(np.linspace(-1, 1, 16)), tuple(np.linspace(1, -1, 16))), (0.0, 0.1))
 RUN = "20240305060708"
@@ -63,7 +63,7 @@ def test_staged_sliced_and_one_pass_runs_agree(spark, source, tmp_path):
         assert rows[bad]["prediction"] is None and rows[bad]["decode_error"] and rows[bad]["preprocess_error"]
         assert rows[bad]["inference_error"] == "Missing tensor"
     sliced = run_pipeline(
-        spark, source, str(tmp_path / "b"), SETTINGS, "20240305060708", batch_size=3, checkpoint=str(tmp_path / "cp")
+        spark, source, str(tmp_path / "b"), SETTINGS, "20240305060708", batch_size=3
     )
     one_pass = run_pipeline(
         spark, source, str(tmp_path / "c"), Settings(model=HEAD, size=(4, 4), keep=("reports",)), "20240305060708"
@@ -73,7 +73,7 @@ def test_staged_sliced_and_one_pass_runs_agree(spark, source, tmp_path):
         "20240305060708", batch_size=100,
     )
     assert result(staged) == result(sliced) == result(one_pass) == result(by_spark)
-    assert sorted({r["batch"] for r in sliced.select("batch").collect()}) == [-1, 0, 1, 2]
+    assert sorted({r["batch"] for r in sliced.select("batch").collect()}) == [0, 1, 2]
     for stage in STAGES:
         assert snapshots.latest_run(spark, str(tmp_path / "a" / stage)) == "20240305060708"
         assert snapshots.latest_run(spark, str(tmp_path / "b" / stage)) == "20240305060708"
@@ -83,8 +83,8 @@ def test_staged_sliced_and_one_pass_runs_agree(spark, source, tmp_path):
 
 
 def test_restart_takes_only_new_files(spark, source, tmp_path):
-    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
-    args = dict(batch_size=4, checkpoint=checkpoint)
+    out = str(tmp_path / "out")
+    args = dict(batch_size=4)
     first = result(run_pipeline(spark, source, out, SETTINGS, "20240101000000", **args))
     before = {p: p.stat().st_mtime_ns for p in (tmp_path / "out" / "reports").rglob("batch=[0-9]*/*.parquet")}
     again = run_pipeline(spark, source, out, SETTINGS, "20240101000000", **args)
@@ -93,6 +93,47 @@ def test_restart_takes_only_new_files(spark, source, tmp_path):
     assert before == after
 
 
+def test_broken_slice_is_done_again(spark, source, tmp_path):
+    out = tmp_path / "out"
+    first = result(run_pipeline(spark, source, str(out), SETTINGS, RUN, batch_size=4))
+    (out / "reports" / f"run_ts={RUN}" / "batch=2" / "_SUCCESS").unlink()
+    assert result(run_pipeline(spark, source, str(out), SETTINGS, RUN, batch_size=4)) == first
+
+
+def test_no_file_is_skipped_for_its_name(spark, tmp_path):
+    """Names and folders that file sources skip, an empty file among them, on every way through the stages."""
+    folder = tmp_path / "src"
+    rows = [(n, list(range(36)), 6, 6, {"patient_id": n}) for n in ("a.dcm", "_b.dcm", ".c.dcm", "e.dcm", "g.dcm", "h[1].dcm")]
+    schema = "name string, pixels array<int>, rows int, cols int, metadata map<string,string>"
+    dicom.write_dicom(spark.createDataFrame(rows, schema), str(folder / "_d" / "k"))
+    for name in ("a.dcm", "_b.dcm", ".c.dcm", "h[1].dcm"):
+        (folder / name).write_bytes((folder / "_d" / "k" / name).read_bytes())
+    (folder / "_none.dcm").write_bytes(b"")
+    only = replace(SETTINGS, keep=("reports",))
+    runs = [
+        run_pipeline(spark, str(folder), str(tmp_path / str(n)), replace(only, through_spark=by_spark), RUN, batch_size=size)
+        for n, (by_spark, size) in enumerate([(False, None), (True, None), (False, 4), (True, 4)])
+    ]
+    assert runs[0].count() == 11
+    assert all(result(run) == result(runs[0]) for run in runs[1:])
+    events = spark.read.parquet(str(tmp_path / "2" / "run_events")).orderBy("event_id").collect()
+    assert [(e["status"], e["processed"], e["total"]) for e in events] == [
+        ("running", 0, 0), ("running", 4, 11), ("running", 8, 11), ("running", 11, 11), ("completed", 11, 11)
+    ]
+
+
+def test_listing_cap_and_slices_together(spark, source, tmp_path):
+    listing = files.list_images(spark, source).where("path NOT LIKE '%i3.dcm'")
+    for n, by_spark in enumerate((False, True)):
+        run = run_pipeline(
+            spark, source, str(tmp_path / str(n)), replace(SETTINGS, keep=("reports",), through_spark=by_spark), RUN,
+            max_images=5, batch_size=2, listing=listing,
+        )
+        assert sorted(r["path"].rsplit("/", 1)[-1] for r in run.collect()) == ["empty.dcm", "i0.dcm", "i1.dcm", "i2.dcm", "i4.dcm"]
+        assert {r["batch"] for r in run.collect()} == {0, 1, 2}
+    assert run_pipeline(spark, source, str(tmp_path / "none"), SETTINGS, RUN, batch_size=2, listing=listing.where("false")).count() == 0
+
+
 def test_each_output_remembers_its_own_progress(spark, source, tmp_path):
     only = Settings(model=HEAD, size=(4, 4), keep=("reports",))
     for name in ("one", "two", "one"):
@@ -122,8 +163,6 @@ def test_arguments(spark, source, tmp_path):
     out = str(tmp_path / "x")
     with pytest.raises(ValueError):
         run_pipeline(spark, source, out, SETTINGS, RUN, batch_size=0)
-    with pytest.raises(ValueError):
-        run_pipeline(spark, source, out, SETTINGS, RUN, max_images=2, batch_size=2)
     with pytest.raises(ValueError):
         run_pipeline(spark, source, out, Settings(model=HEAD, keep=("dicom",)), RUN)
     capped = run_pipeline(spark, source, out, SETTINGS, RUN, max_images=2)
@@ -134,7 +173,7 @@ def test_stages_as_separate_jobs(spark, source, tmp_path):
     out = str(tmp_path / "out")
     with pytest.raises(FileNotFoundError):
         run_stage(spark, out, "preprocessed", SETTINGS, RUN)
-    whole = run_pipeline(spark, source, out, SETTINGS, "20240305060708", batch_size=5, checkpoint=str(tmp_path / "cp"))
+    whole = run_pipeline(spark, source, out, SETTINGS, "20240305060708", batch_size=5)
     wanted = result(whole)
     for stage in STAGES[1:]:
         again = run_stage(spark, out, stage, replace(SETTINGS, keep=("reports",)), "20240305060709")
