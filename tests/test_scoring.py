@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lumenframe.functions.text import percent_text
 from lumenframe.functions.vectors import argmax, label_of, softmax
 from lumenframe.operators import scoring
-from lumenframe.operators.scoring import LinearHead, load_linear_head, row_logits, score
+from lumenframe.operators.scoring import LinearHead, load_linear_head, logits_of, row_logits, score
 
 
 class Doubling:
@@ -152,3 +152,16 @@ def test_batch_failures_stay_with_their_rows():
 def test_percent_of_no_number(spark):
     df = spark.createDataFrame([(95.5,), (float("nan"),), (float("inf"),), (None,)], "v double")
     assert [r[0] for r in df.select(percent_text(F.col("v"))).collect()] == ["95.50%", "N/A", "N/A", "N/A"]
+
+
+def test_head_is_the_same_to_the_last_bit_on_both_ways(spark):
+    """As a column expression, and as the callable that wide heads and ``score_files`` use."""
+    rng = np.random.default_rng(5)
+    head = LinearHead(tuple(map(tuple, rng.normal(size=(2, 64)).tolist())), (0.1, -0.3))
+    tensors = rng.normal(size=(200, 64)).astype(np.float32)
+    rows = [(k, t.tolist()) for k, t in enumerate(tensors)]
+    df = spark.createDataFrame(rows, "id int, tensor array<float>")
+    scored = df.select("id", logits_of(spark, F.col("tensor"), head)["logits"].alias("z")).collect()
+    expected = head(tensors)
+    assert all(r["z"] == expected[r["id"]].tolist() for r in scored)
+    assert (head(tensors[:1]) == expected[:1]).all()
