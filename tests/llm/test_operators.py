@@ -295,6 +295,24 @@ def test_decontamination(spark, docs, rows, empty):
     assert decontaminate.contaminated(docs, benchmark.limit(0)).count() == 0
 
 
+def test_rewordings_at_the_limits_are_found(spark):
+    rng = random.Random(6)
+    common, rare = [f"c{n}" for n in range(200)], [f"r{n}" for n in range(60)]
+    item = [w for a, b in zip(common[:12], rare[:12]) for w in (a, b)] + rare[12:20]  # half of it common words
+    hidden = set(range(1, 24, 2)) - {1, 3, 5}  # what is left is common, in order, with the answer
+    docs, wanted = [], set()
+    for n in range(40):  # long neighbours full of words that stand nowhere else
+        left, right = ([f"x{n}-{side}-{k}" for k in range(60)] for side in "lr")
+        cut = rng.randint(0, 31)
+        text = [w if k not in hidden else f"other{n}-{k}" for k, w in enumerate(item)]
+        docs.append((n, " ".join(left[cut:] + text + right)))
+        wanted.add(n)
+    docs += [(100 + n, " ".join(rng.choice(common) for _ in range(400))) for n in range(100)]
+    some = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontaminate.contaminated(some, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert {r["doc_id"] for r in found.collect()} == wanted
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(3)
     for _ in range(50):
