@@ -313,6 +313,22 @@ def test_rewordings_at_the_limits_are_found(spark):
     assert {r["doc_id"] for r in found.collect()} == wanted
 
 
+def test_verbatim_items_of_any_length_are_found(spark):
+    rng = random.Random(7)
+    common = [f"c{n}" for n in range(300)]
+    items = {n: " ".join([f"i{n}-{k}" if k % 3 == 0 else rng.choice(common) for k in range(n)]) for n in (*range(3, 17), 24, 33, 40, 70)}
+    docs = []
+    for n, item in items.items():
+        for at in range(0, 33, 11):
+            left, right = (" ".join(f"y{n}-{at}-{side}-{k}" for k in range(40 + at)) for side in "lr")
+            docs.append((n, f"{left} {item} {right}"))
+    docs += [(100 + n, " ".join(rng.choice(common) for _ in range(200))) for n in range(100)]
+    some = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r["cosine"] for r in decontaminate.contaminated(some, benchmark).collect()}
+    assert set(found) == {(n, n) for n in items} and min(found.values()) >= 0.8  # the best passage may hold a part
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(3)
     for _ in range(50):
