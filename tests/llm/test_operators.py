@@ -329,6 +329,16 @@ def test_verbatim_items_of_any_length_are_found(spark):
     assert set(found) == {(n, n) for n in items} and min(found.values()) >= 0.8  # the best passage may hold a part
 
 
+def test_frequencies_are_of_words_not_of_slots(spark):
+    many = [(n, " ".join(f"z{n}-{k}-{k % 7}" for k in range(4000))) for n in range(100)]  # more words than any small table holds
+    some = spark.createDataFrame([*many, (1000, "quince quince medlar")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, "Quince, medlar loquat")], "item_id long, text string")
+    known = decontaminate.Vocabulary(decontaminate.words_of(benchmark))
+    counts, _ = decontaminate.word_frequencies(decontaminate.texts(some), known)
+    names = decontaminate.Words([b"quince medlar loquat z7"]).hash
+    assert counts[known.places(names[:3])].tolist() == [2, 1, 0] and known.places(names[3:]).tolist() == [-1]
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(3)
     for _ in range(50):
