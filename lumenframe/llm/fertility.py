@@ -2,9 +2,10 @@
 
 A vocabulary made from much clean text cuts such text into long pieces. Junk
 falls into short ones, or into single bytes, and repeated text uses few
-different ones. Three measures, each with bands per language or script outside
+different ones. Three measures, each with bands per language and script outside
 of which a document is rejected: characters per token, share of tokens that
-are single bytes, and entropy of the document's tokens in bits.
+are single bytes, and entropy of the document's tokens in bits. The bands come
+from the corpus itself: medians and quartiles of all documents of a group.
 
 Words are encoded one by one (the vocabulary never crosses white space), so a
 word that recurs is encoded once a task.
@@ -14,20 +15,21 @@ from __future__ import annotations
 
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumenframe.llm import blocks as B
 from lumenframe.llm.substrings import covered
 from lumenframe.llm.vocabularies import Remember, in_worker, public_path
+from lumenframe.session import work_dir
 
 VOCABULARY = "piece_bpe_32k.model"
 SYMBOLS = "#*$%&|<>"
@@ -45,15 +47,25 @@ class Band(NamedTuple):
     least_entropy: float
 
 
-#: By language (the column ``lang``, if ``by_lang``) or by script. Alphabets take two to five characters a token in
-#: prose; scripts that the vocabulary hardly covers fall back to bytes, so only their entropy says much.
+#: Bands where there are too few documents to learn from, by script; "" is for text without letters, "*" for other scripts,
+#: which fall back to bytes, so only their entropy says much. Given bands go by language (the column ``lang``, if
+#: ``by_lang``) or script, and "" is for all that have none.
 BANDS = {
     "LATIN": Band(1.3, 12.0, 0.10, 3.0),
     "CYRILLIC": Band(1.2, 12.0, 0.10, 3.0),
     "GREEK": Band(0.7, 12.0, 0.30, 3.0),
-    "": Band(0.3, 12.0, 0.95, 3.0),
+    "": Band(1.3, 12.0, 0.10, 3.0),
+    "*": Band(0.3, 12.0, 0.95, 3.0),
 }
 
+#: Documents of a script and language from which a band is learnt.
+LEAST_DOCS = 30
+#: Robust standard deviations (quartile distance over 1.349) by which a document may differ from its group's median. Short
+#: texts vary more, as one over the root of their words; from ``STEADY_WORDS`` on, tables and lists do and not chance.
+SPREADS, STEADY_WORDS = 12.0, 300
+#: A spread is at least this share of the median; single bytes may always be this share, and entropy is never less.
+LEAST_SPREAD, FREE_BYTES, LEAST_ENTROPY = 0.01, 0.10, 3.0
+
 
 class PieceCounts:
     """For words: ids of their tokens, how many those are, how many of them single bytes, code points, script."""
@@ -158,6 +170,10 @@ def measured(docs: DataFrame, vocabulary: str | None = None, text: str = "text",
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.StructType.fromDDL(MEASURES))]))
 
 
+def base_failed(of: Callable[[str], Column]) -> Column:
+    return (of("n_words") < MIN_WORDS) | (100 * of("n_repeat_words") > MAX_REPEATED * of("n_words"))
+
+
 def verdict(of: Column, bands: dict[str, Band] = BANDS, by_lang: bool = False) -> dict[str, Column]:
     """``base_failed``, ``chars_per_token``, ``byte_share`` and ``kept`` from a column of measures.
 
@@ -165,7 +181,6 @@ def verdict(of: Column, bands: dict[str, Band] = BANDS, by_lang: bool = False) -
     band of their script (or language), or that under "" where it has none.
     """
     group = of["lang" if by_lang else "script"]
-    failed = (of["n_words"] < MIN_WORDS) | (100 * of["n_repeat_words"] > MAX_REPEATED * of["n_words"])
     chars = of["word_chars"] / F.nullif(of["n_tokens"], F.lit(0))
     share = of["n_byte_tokens"] / F.nullif(of["n_tokens"], F.lit(0))
 
@@ -176,17 +191,78 @@ def verdict(of: Column, bands: dict[str, Band] = BANDS, by_lang: bool = False) -
     for name, band in bands.items():
         if name:
             passed = F.when(group == name, inside(band)).otherwise(passed)
-    return {"base_failed": failed, "chars_per_token": chars, "byte_share": share, "kept": ~failed & F.coalesce(passed, F.lit(False))}
+    return {"base_failed": base_failed(of.getField), "chars_per_token": chars, "byte_share": share, "kept": ~base_failed(of.getField) & F.coalesce(passed, F.lit(False))}
+
 
+def learnt(measures: DataFrame) -> dict[str, list[Row]]:
+    """Bands by ``group_key`` from the documents of a table of measures that are neither too short nor repetitive.
 
-def quality(docs: DataFrame, vocabulary: str | None = None, bands: dict[str, Band] = BANDS, by_lang: bool = False) -> DataFrame:
-    """``doc_id``, all measures and the verdict for every document; rows of one id get one each. Other columns are not read."""
+    A group that is too small goes by any band of its script, or else of all scripts; text without letters makes
+    no band of its own. Without any group to learn from, ``BANDS`` hold.
+    """
+    words = F.least(F.col("n_words"), F.lit(STEADY_WORDS))
+    values = {"chars": F.col("word_chars") / F.col("n_tokens"), "bytes": F.col("n_byte_tokens") / F.col("n_tokens"), "entropy": F.col("token_entropy"), "words": words}
+    quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 10_000).alias(n) for n, c in values.items()]
+    good = measures.where(~base_failed(F.col) & (F.col("script") != "") & (F.col("n_tokens") > 0))
+    groups = good.groupBy("script", F.coalesce("lang", F.lit("")).alias("lang")).agg(F.count("*").alias("n"), *quartiles)
+    out: dict[str, list[Row]] = {}
+    for g in groups.where(F.col("n") >= LEAST_DOCS).collect():
+
+        def around(q: list[float]) -> float:
+            return SPREADS * max((q[2] - q[0]) / 1.349, LEAST_SPREAD * q[1])
+
+        band = Row(
+            middle=float(g["chars"][1]), width=float(around(g["chars"]) * g["words"][1] ** 0.5), most_bytes=float(g["bytes"][1] + max(FREE_BYTES, around(g["bytes"]))),
+            least_entropy=float(max(LEAST_ENTROPY, g["entropy"][1] - around(g["entropy"]))),
+        )
+        for key in (f"{g['script']}\0{g['lang']}", g["script"], "*"):
+            out.setdefault(key, []).append(band)
+    for script, b in BANDS.items():
+        if script not in out and (script or not out):
+            width = (b.most_chars - b.least_chars) / 2 * STEADY_WORDS**0.5
+            out[script] = [Row(middle=(b.least_chars + b.most_chars) / 2, width=width, most_bytes=b.most_bytes, least_entropy=b.least_entropy)]
+    return out
+
+
+def learnt_verdict(of: Column, bands: dict[str, list[Row]]) -> dict[str, Column]:
+    """As ``verdict``, with the bands of ``learnt``."""
+    as_column = [F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in b.asDict().items())) for b in some)) for some in bands.values()]
+    of_group = F.create_map(*chain.from_iterable(zip(map(F.lit, bands), as_column, strict=True)))
+    script, lang = of["script"], F.coalesce(of["lang"], F.lit(""))
+    some = F.coalesce(F.try_element_at(of_group, F.concat(script, F.lit("\0"), lang)), F.try_element_at(of_group, script), F.try_element_at(of_group, F.lit("*")))
+    measures = verdict(of)
+    chars, share = measures["chars_per_token"], measures["byte_share"]
+    root = F.sqrt(F.least(of["n_words"], F.lit(STEADY_WORDS)))
+    fits = F.exists(some, lambda b: (F.abs(chars - b["middle"]) * root <= b["width"]) & (share <= b["most_bytes"]) & (of["token_entropy"] >= b["least_entropy"]))
+    return {**measures, "kept": ~measures["base_failed"] & F.coalesce(fits, F.lit(False))}
+
+
+def quality(docs: DataFrame, vocabulary: str | None = None, bands: dict[str, Band] | None = None, by_lang: bool = False) -> DataFrame:
+    """``doc_id``, all measures and the verdict for every document; rows of one id get one each. Other columns are not read.
+
+    Without ``bands`` they are learnt from all of ``docs``.
+    """
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).cast("string").alias(c) for c in ("text", "lang") if c in docs.columns))
-    rows = measured(read, vocabulary)
-    judged = verdict(F.col("__measures"), bands, by_lang)
+    rows, of = measured(read, vocabulary), F.col("__measures")
+    if bands is None:
+        rows = B.checkpoint(rows.select("doc_id", "__measures"))
+        judged = learnt_verdict(of, learnt(rows.select("__measures.*")))
+    else:
+        judged = verdict(of, bands, by_lang)
     return rows.select("doc_id", "__measures.*", *(c.alias(n) for n, c in judged.items()))
 
 
-def good_documents(docs: DataFrame, vocabulary: str | None = None, bands: dict[str, Band] = BANDS, by_lang: bool = False) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, columns as they were; judged where they are read, without a shuffle."""
-    return measured(docs, vocabulary).where(verdict(F.col("__measures"), bands, by_lang)["kept"]).drop("__measures")
+def good_documents(docs: DataFrame, vocabulary: str | None = None, bands: dict[str, Band] | None = None, by_lang: bool = False) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, columns as they were, without a shuffle.
+
+    Given ``bands`` judge where rows are read. To learn them, rows are written once with their measures, which are not taken twice.
+    """
+    rows, of = measured(docs, vocabulary), F.col("__measures")
+    if bands is None:
+        folder = work_dir(docs.sparkSession, "measures")
+        rows.write.parquet(folder)
+        rows = docs.sparkSession.read.schema(rows.schema).parquet(folder)
+        judged = learnt_verdict(of, learnt(rows.select("__measures.*")))
+    else:
+        judged = verdict(of, bands, by_lang)
+    return rows.where(judged["kept"]).drop("__measures")

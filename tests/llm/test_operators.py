@@ -219,6 +219,24 @@ def test_bytes_are_rejected(spark):
     assert [r["doc_id"] for r in fertility.good_documents(docs, bands=bands).collect()] == [1]
 
 
+def test_bands_learnt_from_the_corpus_reject_junk(spark):
+    rng = random.Random(8)
+    parts = {"en": "the th in er an re on at en nd ti es or te of ed is it al ar".split(), "fr": "le de ou eau é è que ment tion en ai re ch et pas".split()}
+
+    def prose(lang, n):
+        return " ".join("".join(rng.choice(parts[lang]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+
+    def of(letters, n):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+    clean = [(n, prose(lang, rng.randint(55, 600)), lang) for n in range(200) for lang in (["en", "fr"][n % 2],)]
+    letters, marks, runes = "abcdefghijklmnopqrstuvwxyz", "!?.,;:-()[]/+=", [chr(0x16A0 + k) for k in range(70)]
+    junk = [(1000 + k, of(some, 300), lang) for k, (some, lang) in enumerate([(letters, "en"), (letters, "fr"), (letters, None), (marks, "en"), (marks, None), (runes, "en"), (runes, None)])]
+    docs = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string").repartition(3)
+    assert sorted(r["doc_id"] for r in fertility.good_documents(docs).collect()) == [n for n, *_ in clean]
+    assert {r["doc_id"] for r in fertility.quality(docs).where("kept").collect()} == {n for n, *_ in clean}
+
+
 def test_units_are_encoded_as_the_whole():
     rng = random.Random(1)
     parts = [" ", " ", "  ", "\n", "\t", "a", "Ab", "é", "<|endoftext|>", "12", "!", "'s", "\r\n", "漢", " ", "\x1c"]
