@@ -296,6 +296,33 @@ def test_seating_is_that_of_the_process():
     assert ((moved >= 1) & (moved <= 6)).all()
 
 
+def stirling_weights(n, pull, discount):
+    """Shares of 1 .. n tables of n customers in the stationary distribution, customer by customer."""
+    w, k = np.zeros(n + 2), np.arange(n + 2)
+    w[0] = 1.0
+    for j in range(n):
+        w = np.append(0.0, w[:-1]) * pull + np.maximum(j - discount * k, 0.0) * w
+        w /= w.max()
+    return w[1 : n + 1] / w[1 : n + 1].sum()
+
+
+@pytest.mark.parametrize("pull", [1e-3, 1.0, 20.0, 400.0, 5000.0])
+@pytest.mark.parametrize("discount", [0.05, 0.5, 0.75, 0.95])
+def test_tables_are_drawn_from_the_stationary_distribution(pull, discount):
+    for n in (1000, 3000):
+        t, logs = pitmanyor.log_weights(n, pull, discount)
+        wanted, got = stirling_weights(n, pull, discount), np.zeros(n)
+        got[t - 1] = np.exp(logs - logs.max())
+        assert np.abs(got / got.sum() - wanted).sum() < 1e-4
+    rng = np.random.default_rng(2)
+    for n in (2, 10, 400, 1000):
+        wanted = stirling_weights(n, pull, discount)
+        mean = (wanted * np.arange(1, n + 1)).sum()
+        spread = math.sqrt((wanted * (np.arange(1, n + 1) - mean) ** 2).sum())
+        got = pitmanyor.draw(np.full(200, n), np.full(200, pull), discount, rng)
+        assert abs(got.mean() - mean) < 5 * spread / math.sqrt(200) + 0.02
+
+
 def test_decontamination(spark, docs, rows, empty):
     rng = random.Random(2)
     item = [f"item{n}" for n in range(40)]
