@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import decontaminate, fertility, lines, mixing, pitmanyor, simhash, substrings, suffixes, tokenfiles, toxicity
+from lumenframe.llm import decontaminate, fertility, lines, mixing, pitmanyor, simhash, substrings, suffixes, tokenfiles, toxicity, urls
 from lumenframe.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,58 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query()
 def op7_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitmanyor.score_documents(table(spark, sf_dir, "documents"))
+
+
+#: Rules that come before the list of URLs.
+URL_RULES = (
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+)
+#: A host with one of these names is on the list, with each of its pages that was seen.
+LISTED_NAMES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+_LISTED = f"(^|[.])({'|'.join(LISTED_NAMES)})[.]"
+
+
+def listed_pages(pages: DataFrame) -> DataFrame:
+    """The list of URLs: what is known of hosts with a listed name."""
+    return pages.where(F.rlike(urls.host_of(F.col("url")), F.lit(_LISTED))).select("url")
+
+
+_HOST_SQL = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(host, '^[^@]*@', ''), ':(80|443)?$', ''), '[.]$', ''), '^www[.]', '')"
+_RULES_SQL = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
+
+
+@query(f"""
+WITH cut AS (
+  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+part AS (
+  SELECT page_id, url,
+         translate(regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) AS path,
+         list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*[?]([^#]*)', 1), '&'),
+                               lambda p: p <> '' AND NOT regexp_matches(p, '{urls.TRACKING}'))) AS params
+  FROM cut
+),
+page AS (
+  SELECT page_id, host, path, CASE WHEN {_HOST_SQL} <> '' THEN
+           {_HOST_SQL} || regexp_replace(path, '/(index[.]html?)?$', '') || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END
+         END AS canonical, row_number() OVER () AS r
+  FROM part
+),
+rule (verdict, rule_host, rule_path) AS (VALUES {_RULES_SQL}),
+fit AS (
+  SELECT r, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(verdict, length(rule_host || rule_path)) AS verdict
+  FROM page JOIN rule ON (host = rule_host OR suffix(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY r
+),
+listed AS (SELECT DISTINCT canonical FROM page WHERE canonical IS NOT NULL AND regexp_matches(host, '{_LISTED}'))
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM page LEFT JOIN fit USING (r)
+""")
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge(pages, URL_RULES, listed_pages(pages)).select("page_id", "host", "path", "rule", "verdict")
