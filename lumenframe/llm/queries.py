@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import decontaminate, fertility, lines, mixing, pitmanyor, simhash, substrings, suffixes, tokenfiles, toxicity, urls
+from lumenframe.llm import decontaminate, fertility, lines, merkle, mixing, pitmanyor, simhash, substrings, suffixes, tokenfiles, toxicity, urls
 from lumenframe.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,3 +160,77 @@ FROM page LEFT JOIN fit USING (r)
 def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return urls.judge(pages, URL_RULES, listed_pages(pages)).select("page_id", "host", "path", "rule", "verdict")
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of ASCII text, bit by bit."""
+    step = "list_reduce(range(8), lambda x, y: xor(x >> 1, (x & 1) * 3988292384), xor(c, b))"
+    codes = f"list_transform(list_filter(string_split({text}, ''), lambda s: s <> ''), lambda s: ord(s)::BIGINT)"
+    return f"xor(4294967295::BIGINT, list_reduce({codes}, lambda c, b: {step}, 4294967295::BIGINT))"
+
+
+_UPPER, _LOWER = f"'{ascii_uppercase}'", f"'{ascii_lowercase}'"
+
+
+def _field_sql(value: str) -> str:
+    text = f"({value})::VARCHAR"
+    return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+
+def _climb_sql(name: str, key: str, levels: int) -> str:
+    """``name``_0 (key, pos, d) up to ``name``_``levels``, and paths from ``name``_path_0 (r, key, pos, now, proof) up."""
+    key_of = f"{key}, " if key else ""
+    same = f"n.{key} IS NOT DISTINCT FROM p.{key} AND " if key else ""
+    over = f"OVER (PARTITION BY {key})" if key else "OVER ()"
+    out = []
+    for k in range(levels):
+        out.append(f"""
+{name}_run_{k} AS (
+  SELECT {key_of}up, max(n) AS n, list(d ORDER BY pos) AS ds
+  FROM (SELECT {key_of}pos, pos // 8 AS up, d, count(*) {over} AS n FROM {name}_{k}) GROUP BY {key_of}up
+),
+{name}_{k + 1} AS (
+  SELECT {key_of}up AS pos, CASE WHEN n > 1 THEN sha256(array_to_string(ds, '')) ELSE ds[1] END AS d FROM {name}_run_{k}
+),
+{name}_path_{k + 1} AS (
+  SELECT r, {f"p.{key}, " if key else ""}up AS pos,
+         CASE WHEN n > 1 THEN sha256(array_to_string(ds[1:(p.pos % 8)::INT], '') || now || array_to_string(ds[(p.pos % 8)::INT + 2:], '')) ELSE now END AS now,
+         CASE WHEN n > 1 THEN proof || array_to_string(ds[1:(p.pos % 8)::INT], '') || array_to_string(ds[(p.pos % 8)::INT + 2:], '') ELSE proof END AS proof
+  FROM {name}_path_{k} p JOIN {name}_run_{k} n ON {same}n.up = p.pos // 8
+),""")
+    return "".join(out)
+
+
+#: Levels that the SQL has: 8^7 documents of a language, 8^3 languages.
+_LANG_LEVELS, _TOP_LEVELS = 7, 3
+
+
+@query(f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, lang,
+         sha256(concat({", ".join(_field_sql(f) for f in merkle.FIELDS)})) AS leaf,
+         sha256(concat({", ".join(_field_sql(f) for f in merkle.FIELDS[:-1])}, {_field_sql(
+             f"CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 3 = 0 THEN translate(text, {_UPPER}, {_LOWER}) ELSE text END")})) AS now
+  FROM documents
+),
+leaf AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM doc),
+t_0 AS (SELECT lang, pos, leaf AS d FROM leaf),
+t_path_0 AS (SELECT r, lang, pos, now, '' AS proof FROM leaf),
+{_climb_sql("t", "lang", _LANG_LEVELS)}
+lang AS (SELECT lang, d, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos FROM t_{_LANG_LEVELS}),
+u_0 AS (SELECT pos, d FROM lang),
+u_path_0 AS (SELECT r, l.pos, now, proof FROM t_path_{_LANG_LEVELS} p JOIN lang l ON l.lang IS NOT DISTINCT FROM p.lang),
+{_climb_sql("u", "", _TOP_LEVELS)}
+root AS (SELECT d AS root FROM u_{_TOP_LEVELS})
+SELECT doc_id, leaf, l.d AS subroot, root, sha256(proof) AS proof_sha256, p.now AS folded_root, p.now = root AS verified
+FROM leaf JOIN u_path_{_TOP_LEVELS} p USING (r) JOIN lang l ON l.lang IS NOT DISTINCT FROM leaf.lang, root
+""")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # what a careless store would give back for a third of the documents
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    copy = F.when(hit, F.translate("text", ascii_uppercase, ascii_lowercase)).otherwise(F.col("text"))
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), copy)
+    folded = merkle.fold(F.col("copy_leaf"), F.col("places"), F.col("siblings"))
+    proven = rows.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.hex_text(F.col("siblings")), 256).alias("proof_sha256"), folded.alias("folded_root"))
+    hexed = {c: merkle.hex_text(F.col(c)) for c in ("leaf", "subroot", "root")}
+    return proven.withColumns(hexed).withColumn("verified", F.col("folded_root") == F.col("root"))
