@@ -8,7 +8,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.llm import decontaminate, fertility, lines, merkle, mixing, pitmanyor, simhash, substrings, suffixes, tokenfiles, toxicity, urls
+from lumenframe.llm import blocks, decontaminate, fertility, lines, merkle, mixing, pitmanyor, simhash, substrings, suffixes, tokenfiles, toxicity, trie, urls
 from lumenframe.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,3 +234,47 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     proven = rows.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.hex_text(F.col("siblings")), 256).alias("proof_sha256"), folded.alias("folded_root"))
     hexed = {c: merkle.hex_text(F.col(c)) for c in ("leaf", "subroot", "root")}
     return proven.withColumns(hexed).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+#: Conversations begin with up to three turns of the first one of their twenty.
+LEADS, LEAD_SPAN = 4, 20
+_WORDS_SQL = "len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))"
+
+
+@query(f"""
+WITH said AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS h
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+told AS (SELECT c, h, {_WORDS_SQL} AS words, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, h) - 1 AS pos FROM said),
+conv AS (SELECT c, c - c % {LEAD_SPAN} AS base, {crc32_sql("c::VARCHAR")} % {LEADS} AS lead FROM (SELECT DISTINCT c FROM told)),
+rebuilt AS (
+  SELECT c, 0 AS part, pos, h, words FROM conv JOIN (SELECT c AS base, pos, h, words FROM told) USING (base) WHERE pos < lead
+  UNION ALL
+  SELECT c, 1, pos, h, words FROM told JOIN conv USING (c) WHERE pos >= lead
+),
+path AS (
+  SELECT c, row_number() OVER w AS d, list(h) OVER w AS seq, words FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY part, pos ROWS UNBOUNDED PRECEDING)
+  UNION ALL
+  SELECT c, 0, []::VARCHAR[], 0 FROM conv
+),
+node AS (SELECT d, seq, count(*) AS n, min(c) AS id, any_value(words) AS words, row_number() OVER () AS k FROM path GROUP BY d, seq),
+on_path AS (SELECT c, p.d, k FROM path p JOIN node n ON n.d = p.d AND n.seq = p.seq),
+last AS (SELECT c, max(d) AS d FROM path GROUP BY c),
+ends AS (SELECT k, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends FROM on_path JOIN last USING (c, d) GROUP BY k),
+up AS (SELECT n.k, p.k AS parent FROM node n JOIN on_path p ON p.c = n.id AND p.d = n.d - 1),
+children AS (SELECT parent AS k, count(*) AS n_children FROM up GROUP BY parent),
+below AS (
+  SELECT p.k, sum(CASE WHEN ch.k IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n.n - 1) * n.words) AS saved
+  FROM node n JOIN on_path p ON p.c = n.id AND p.d <= n.d LEFT JOIN children ch ON ch.k = n.k GROUP BY p.k
+)
+SELECT node.id AS conv_id, node.d AS depth, above.id AS parent_conv_id, node.n AS n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       saved AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM node JOIN below USING (k) LEFT JOIN children USING (k) LEFT JOIN ends USING (k) LEFT JOIN up USING (k) LEFT JOIN node above ON above.k = up.parent
+""")
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = blocks.checkpoint(trie.turn_digests(table(spark, sf_dir, "conversations")))
+    conv = F.col("conv")
+    lead = F.crc32(conv.cast("string").cast("binary")) % LEADS
+    return trie.trie(trie.with_lead(turns, lead, conv - conv % LEAD_SPAN, LEADS - 1), turns.select("conv").distinct())
