@@ -1,10 +1,10 @@
-"""DICOM files ↔ tables: uncompressed little-endian images, one per row."""
+"""DICOM files ↔ tables: uncompressed images, one per row."""
 
 from __future__ import annotations
 
 import hashlib
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cache
 
@@ -23,6 +23,21 @@ from lumenframe.operators.images import (
     tensor_shape,
 )
 from lumenframe.operators.scoring import LABELS, LinearHead, Model, label_logits, loaded_model, planned_problem, row_logits, ship_model
+from lumenframe.sources.elements import (
+    ELEMENTS,
+    EXPLICIT,
+    SYNTAXES,
+    TAG_OF,
+    Dictionary,
+    Element,
+    as_text,
+    encode_element,
+    encode_sequence,
+    encode_text,
+    lookup,
+    parse,
+    terms_of,
+)
 from lumenframe.sources.files import (
     binary_files,
     fetch_files,
@@ -34,164 +49,20 @@ from lumenframe.sources.files import (
     spread_listing,
     write_files,
 )
+from lumenframe.sources.image_source import image_source
 
-# Public data element tags, as group, element → keyword, value type.
-ELEMENTS = {
-    (0x0002, 0x0002): ("MediaStorageSOPClassUID", "UI"),
-    (0x0002, 0x0003): ("MediaStorageSOPInstanceUID", "UI"),
-    (0x0002, 0x0010): ("TransferSyntaxUID", "UI"),
-    (0x0008, 0x0005): ("SpecificCharacterSet", "CS"),
-    (0x0008, 0x0008): ("ImageType", "CS"),
-    (0x0008, 0x0016): ("SOPClassUID", "UI"),
-    (0x0008, 0x0018): ("SOPInstanceUID", "UI"),
-    (0x0008, 0x0020): ("StudyDate", "DA"),
-    (0x0008, 0x0030): ("StudyTime", "TM"),
-    (0x0008, 0x0050): ("AccessionNumber", "SH"),
-    (0x0008, 0x0060): ("Modality", "CS"),
-    (0x0008, 0x0064): ("ConversionType", "CS"),
-    (0x0008, 0x0070): ("Manufacturer", "LO"),
-    (0x0008, 0x0080): ("InstitutionName", "LO"),
-    (0x0008, 0x0090): ("ReferringPhysicianName", "PN"),
-    (0x0008, 0x1030): ("StudyDescription", "LO"),
-    (0x0008, 0x103E): ("SeriesDescription", "LO"),
-    (0x0008, 0x1140): ("ReferencedImageSequence", "SQ"),
-    (0x0010, 0x0010): ("PatientName", "PN"),
-    (0x0010, 0x0020): ("PatientID", "LO"),
-    (0x0010, 0x0030): ("PatientBirthDate", "DA"),
-    (0x0010, 0x0040): ("PatientSex", "CS"),
-    (0x0010, 0x1010): ("PatientAge", "AS"),
-    (0x0018, 0x0015): ("BodyPartExamined", "CS"),
-    (0x0018, 0x5101): ("ViewPosition", "CS"),
-    (0x0020, 0x000D): ("StudyInstanceUID", "UI"),
-    (0x0020, 0x000E): ("SeriesInstanceUID", "UI"),
-    (0x0020, 0x0010): ("StudyID", "SH"),
-    (0x0020, 0x0011): ("SeriesNumber", "IS"),
-    (0x0020, 0x0013): ("InstanceNumber", "IS"),
-    (0x0020, 0x0020): ("PatientOrientation", "CS"),
-    (0x0020, 0x4000): ("ImageComments", "LT"),
-    (0x0028, 0x0002): ("SamplesPerPixel", "US"),
-    (0x0028, 0x0004): ("PhotometricInterpretation", "CS"),
-    (0x0028, 0x0006): ("PlanarConfiguration", "US"),
-    (0x0028, 0x0008): ("NumberOfFrames", "IS"),
-    (0x0028, 0x0010): ("Rows", "US"),
-    (0x0028, 0x0011): ("Columns", "US"),
-    (0x0028, 0x0030): ("PixelSpacing", "DS"),
-    (0x0028, 0x0100): ("BitsAllocated", "US"),
-    (0x0028, 0x0101): ("BitsStored", "US"),
-    (0x0028, 0x0102): ("HighBit", "US"),
-    (0x0028, 0x0103): ("PixelRepresentation", "US"),
-    (0x0028, 0x1050): ("WindowCenter", "DS"),
-    (0x0028, 0x1051): ("WindowWidth", "DS"),
-    (0x7FE0, 0x0008): ("FloatPixelData", "OF"),
-    (0x7FE0, 0x0009): ("DoubleFloatPixelData", "OD"),
-    (0x7FE0, 0x0010): ("PixelData", "OW"),
-}
-TAG_OF = {keyword: tag for tag, (keyword, _) in ELEMENTS.items()}
-IMPLICIT, EXPLICIT = "1.2.840.10008.1.2", "1.2.840.10008.1.2.1"
 CR_IMAGE = "1.2.840.10008.5.1.4.1.1.1"
-LONG_TYPES = {"OB", "OD", "OF", "OL", "OV", "OW", "SQ", "SV", "UC", "UN", "UR", "UT", "UV"}
-NUMBER_TYPES = {"US": "<u2", "SS": "<i2", "UL": "<u4", "SL": "<i4", "FL": "<f4", "FD": "<f8"}
-ITEM, ITEM_END, SEQUENCE_END = (0xFFFE, 0xE000), (0xFFFE, 0xE00D), (0xFFFE, 0xE0DD)
-UNDEFINED = 0xFFFFFFFF
-
-Element = tuple[tuple[int, int], str, memoryview]
-
-
-def _header(buf: memoryview, at: int, explicit: bool) -> tuple[tuple[int, int], str, int, int]:
-    """Tag, type, value length and value position of the element at ``at``."""
-    tag = struct.unpack_from("<HH", buf, at)
-    if tag[0] == 0xFFFE or not explicit:
-        vr = ELEMENTS.get(tag, ("", "UN"))[1]
-        return tag, vr, struct.unpack_from("<I", buf, at + 4)[0], at + 8
-    vr = bytes(buf[at + 4 : at + 6]).decode("ascii", "replace")
-    if vr in LONG_TYPES:
-        return tag, vr, struct.unpack_from("<I", buf, at + 8)[0], at + 12
-    return tag, vr, struct.unpack_from("<H", buf, at + 6)[0], at + 8
-
-
-def _skip_items(buf: memoryview, at: int, explicit: bool) -> int:
-    """Position after a sequence of undefined length."""
-    while True:
-        tag, _, length, at = _header(buf, at, explicit)
-        if tag == SEQUENCE_END:
-            return at
-        if tag != ITEM:
-            raise ValueError("broken sequence")
-        if length != UNDEFINED:
-            at += length
-            continue
-        while True:
-            tag, _, length, at = _header(buf, at, explicit)
-            if tag == ITEM_END:
-                break
-            at = _skip_items(buf, at, explicit) if length == UNDEFINED else at + length
-
-
-def _elements(buf: memoryview, at: int, explicit: bool, group: int | None = None) -> Iterator[tuple[Element, int]]:
-    """Top-level elements with the position after each; only those of ``group`` if given."""
-    while at + 8 <= len(buf):
-        tag, vr, length, at = _header(buf, at, explicit)
-        if group is not None and tag[0] != group:
-            return
-        if length == UNDEFINED:
-            if tag == TAG_OF["PixelData"]:
-                raise ValueError("Unsupported transfer syntax: encapsulated pixel data")
-            at = _skip_items(buf, at, explicit)
-            yield (tag, "SQ", buf[:0]), at
-            continue
-        if at + length > len(buf):
-            raise ValueError(f"file ends inside element ({tag[0]:04x},{tag[1]:04x})")
-        yield (tag, vr, buf[at : at + length]), at + length
-        at += length
-
-
-def parse_elements(data: bytes) -> list[Element]:
-    """All top-level elements of a file, file header included."""
-    buf = memoryview(data)
-    if not buf:
-        raise ValueError("empty file")
-    at = 132 if bytes(buf[128:132]) == b"DICM" else 0
-    found = []
-    for element, after in _elements(buf, at, True, group=0x0002):
-        found.append(element)
-        at = after
-    syntax = next((as_text("UI", v) for tag, _, v in found if tag == TAG_OF["TransferSyntaxUID"]), "")
-    if syntax not in ("", IMPLICIT, EXPLICIT):
-        raise ValueError(f"Unsupported transfer syntax: {syntax}")
-    explicit = syntax == EXPLICIT
-    if not syntax:
-        # no header: an explicit element spells its value type in two capitals
-        code = bytes(buf[at + 4 : at + 6])
-        explicit = len(code) == 2 and code.isalpha() and code.isupper()
-    found += [element for element, _ in _elements(buf, at, explicit)]
-    return found
-
-
-def as_text(vr: str, value: memoryview) -> str | None:
-    """Value as text; several values as a bracketed list; binary and sequence values as null."""
-    if vr in NUMBER_TYPES:
-        items = [str(v) for v in np.frombuffer(value, NUMBER_TYPES[vr]).tolist()]
-    elif vr in LONG_TYPES - {"UC", "UR", "UT"} or vr == "AT":
-        return None
-    else:
-        try:
-            full = bytes(value).decode("utf-8")
-        except UnicodeDecodeError:
-            full = bytes(value).decode("latin-1")
-        full = full.rstrip("\0 ")
-        if vr in ("LT", "ST", "UT", "UR") or "\\" not in full:
-            return full.strip(" ") if vr in ("IS", "DS") else full
-        parts = full.split("\\")
-        items = [p.strip(" ") for p in parts] if vr in ("IS", "DS") else [repr(p) for p in parts]
-    return items[0] if len(items) == 1 else f"[{', '.join(items)}]" if items else ""
+UTF_8 = "ISO_IR 192"
+#: Bound of a dictionary, which goes to every task.
+MOST_ELEMENTS = 20_000
 
 
 def decode_pixels(values: dict[tuple[int, int], Element]) -> tuple[bytes, list[int], str]:
-    """Pixel bytes, shape and dtype name."""
+    """Pixel bytes in little-endian order, shape and dtype name."""
 
     def number(keyword: str, default: int | None = None) -> int:
         element = values.get(TAG_OF[keyword])
-        text = as_text(element[1], element[2]) if element else None
+        text = as_text(element) if element else None
         if not text and default is None:
             raise ValueError(f"missing {keyword}")
         return int(text) if text else default
@@ -207,9 +78,13 @@ def decode_pixels(values: dict[tuple[int, int], Element]) -> tuple[bytes, list[i
     dtype = kinds[source] or f"{'int' if number('PixelRepresentation', 0) else 'uint'}{bits}"
     count = frames * rows * columns * samples
     size = count * np.dtype(dtype).itemsize
-    raw = values[TAG_OF[source]][2]
+    _, vr, raw, big = values[TAG_OF[source]]
     if len(raw) < size:
         raise ValueError(f"pixel data has {len(raw)} bytes, {size} expected")
+    if big:
+        # words are swapped as they are wide; two pixels of a byte share one where they were written as words
+        wide = max(np.dtype(dtype).itemsize, 2 if vr == "OW" else 1)
+        raw = np.frombuffer(raw, "u1", len(raw) // wide * wide).reshape(-1, wide)[:, ::-1].tobytes()
     pixels = bytes(raw[:size])
     if samples > 1 and number("PlanarConfiguration", 0) == 1:
         planes = np.frombuffer(pixels, dtype).reshape(frames, samples, rows, columns)
@@ -237,23 +112,24 @@ _ARROW_SCORED = pa.struct([f for g in _ARROW_PREPARED for f in (
 )])
 
 
-def _tag_row(element: Element) -> dict:
-    tag, vr, value = element
+def _tag_row(element: Element, terms: tuple[str, ...], dictionary: Dictionary) -> dict:
     try:
-        shown = as_text(vr, value)
+        shown = as_text(element, terms)
     except Exception:
         shown = "Error reading value"
-    return {"group": tag[0], "element": tag[1], "keyword": ELEMENTS.get(tag, ("",))[0], "vr": vr, "value": shown}
+    tag = element.tag
+    return {"group": tag[0], "element": tag[1], "keyword": lookup(tag, dictionary)[0], "vr": element.vr, "value": shown}
 
 
-def decode_file(data: bytes, pixels: bool) -> dict:
+def decode_file(data: bytes, pixels: bool, dictionary: Dictionary = ELEMENTS) -> dict:
     """Tags and pixels of one file; anything that goes wrong becomes its ``error``."""
     row: dict = {"tags": None, "pixels": None, "shape": None, "dtype": None, "error": None}
     try:
-        found = parse_elements(data)
-        row["tags"] = [_tag_row(e) for e in found]
+        found = parse(data, dictionary)
+        terms = terms_of(found)
+        row["tags"] = [_tag_row(e, terms, dictionary) for e in found]
         if pixels:
-            row["pixels"], row["shape"], row["dtype"] = decode_pixels({e[0]: e for e in found})
+            row["pixels"], row["shape"], row["dtype"] = decode_pixels({e.tag: e for e in found})
     except Exception as e:
         row["error"] = str(e)
     return row
@@ -323,9 +199,9 @@ class _Step:
         return self.over_content(files) if "content" in files.columns else self.over_listing(files)
 
 
-def _decode_step(pixels: bool) -> _Step:
+def _decode_step(pixels: bool, dictionary: Dictionary = ELEMENTS) -> _Step:
     # one image at a time, so that memory holds one image and not a batch of them
-    return _Step(lambda data: decode_file(data, pixels), DECODED, _ARROW_DECODED, 1 if pixels else 256)
+    return _Step(lambda data: decode_file(data, pixels, dictionary), DECODED, _ARROW_DECODED, 1 if pixels else 256)
 
 
 def _prepare_step(size: tuple[int, int], how: str) -> _Step:
@@ -443,6 +319,7 @@ def image_files(
     max_images: int | None = None,
     listing: DataFrame | None = None,
     through_spark: bool = False,
+    through_source: bool = False,
 ) -> DataFrame:
     """The image files below ``base``, empty ones included, for the steps above.
 
@@ -450,12 +327,16 @@ def image_files(
     twice the speed, because pixels do not cross from the JVM to Python.
     ``through_spark`` reads them with Spark's binary file source instead, all but
     those whose names or folders that source skips, which the tasks read.
+    ``through_source`` reads them with the data source of ``image_source``, which
+    takes over filters on ``path`` and ``length``.
     """
     if listing is not None:
         listed = listing.select("path", "length")
         listed = first_files(listed, max_images) if max_images else listed
     else:
         listed = list_images(spark, base, max_images=max_images).select("path", "length")
+    if through_source:
+        return image_source(spark, listing=listed)
     if not through_spark:
         return listed
     if max_images:
@@ -476,14 +357,27 @@ def read_dicom(
     keys: dict[str, str] = CANONICAL_KEYS,
     listing: DataFrame | None = None,
     through_spark: bool = False,
+    through_source: bool = False,
 ) -> DataFrame:
     """The ``dicom`` table of the files below ``base``; unreadable and empty files are error rows."""
-    return decode_table(image_files(spark, base, max_images, listing, through_spark), keys)
+    return decode_table(image_files(spark, base, max_images, listing, through_spark, through_source), keys)
+
 
+def read_dictionary(table: DataFrame) -> Dictionary:
+    """Names and types of elements from a table (``group``, ``element``, ``keyword``, ``vr``), beside those built in.
 
-def dicom_tags(spark: SparkSession, base: str) -> DataFrame:
+    For vendors' elements and those of the standard that are not built in; the
+    whole standard has some five thousand.
+    """
+    rows = table.select("group", "element", "keyword", "vr").limit(MOST_ELEMENTS + 1).collect()
+    if len(rows) > MOST_ELEMENTS:
+        raise ValueError(f"a dictionary has at most {MOST_ELEMENTS} elements")
+    return {**ELEMENTS, **{(r["group"], r["element"]): (r["keyword"], r["vr"]) for r in rows}}
+
+
+def dicom_tags(spark: SparkSession, base: str, dictionary: Dictionary = ELEMENTS) -> DataFrame:
     """One row per element of each file: path, group, element, keyword, vr, value."""
-    decoded = _decode_step(False).over(image_files(spark, base))
+    decoded = _decode_step(False, dictionary).over(image_files(spark, base))
     return decoded.select("path", F.inline_outer("_d.tags")).where(F.col("group").isNotNull())
 
 
@@ -491,37 +385,34 @@ def drop_sequences(tags: DataFrame) -> DataFrame:
     return tags.where(F.col("vr") != "SQ")
 
 
-def _encode_element(keyword: str, value: bytes) -> bytes:
-    tag = TAG_OF[keyword]
-    vr = ELEMENTS[tag][1]
-    if len(value) % 2:
-        value += b"\0" if vr in ("UI", "OB") else b" "
-    size = struct.pack("<HI", 0, len(value)) if vr in LONG_TYPES else struct.pack("<H", len(value))
-    return struct.pack("<HH", *tag) + vr.encode() + size + value
-
+def encode_file(
+    name: str, pixels: np.ndarray, texts: dict[str, str], syntax: str = EXPLICIT, charset: str = UTF_8, references: Sequence[str] = ()
+) -> bytes:
+    """A computed-radiography file with 16-bit unsigned ``pixels`` (rows, columns); the same bytes for the same input.
 
-def encode_file(name: str, pixels: bytes, rows: int, columns: int, texts: dict[str, str]) -> bytes:
-    """A computed-radiography file with 16-bit unsigned pixels; the same bytes for the same input."""
+    ``syntax`` is one of the uncompressed ones, ``charset`` the defined terms of the
+    character sets that ``texts`` are written in, ``references`` the unique ids of images it refers to.
+    """
     uid = "2.25." + str(int(hashlib.md5(name.encode()).hexdigest(), 16))
-    values = {
-        **texts, "Modality": "CR", "SOPClassUID": CR_IMAGE, "SOPInstanceUID": uid,
-        "PhotometricInterpretation": "MONOCHROME2", "SamplesPerPixel": 1, "Rows": rows, "Columns": columns,
-        "BitsAllocated": 16, "BitsStored": 16, "HighBit": 15, "PixelRepresentation": 0, "PixelData": pixels,
+    how, terms = SYNTAXES[syntax], tuple(charset.split("\\"))
+    numbers = {
+        "SamplesPerPixel": 1, "Rows": pixels.shape[0], "Columns": pixels.shape[1], "BitsAllocated": 16, "BitsStored": 16,
+        "HighBit": 15, "PixelRepresentation": 0,
     }
-    raw = {
-        k: struct.pack("<H", v) if isinstance(v, int) else v.encode() if isinstance(v, str) else v
-        for k, v in values.items()
-    }
-    body = b"".join(_encode_element(k, raw[k]) for k in sorted(raw, key=TAG_OF.__getitem__))
-    meta = b"".join(
-        _encode_element(k, v.encode())
-        for k, v in (
-            ("MediaStorageSOPClassUID", CR_IMAGE),
-            ("MediaStorageSOPInstanceUID", uid),
-            ("TransferSyntaxUID", EXPLICIT),
-        )
-    )
-    length = struct.pack("<HH2sHI", 0x0002, 0x0000, b"UL", 4, len(meta))
+    raw = {k: struct.pack(f"{how.order}H", v) for k, v in numbers.items()}
+    raw |= {k: encode_text(v, terms, ELEMENTS[TAG_OF[k]][1]) for k, v in texts.items()}
+    fixed = {"SpecificCharacterSet": charset, "Modality": "CR", "SOPClassUID": CR_IMAGE, "SOPInstanceUID": uid, "PhotometricInterpretation": "MONOCHROME2"}
+    raw |= {k: v.encode() for k, v in fixed.items()}
+    raw["PixelData"] = pixels.astype(f"{how.order}u2").tobytes()
+    parts = {TAG_OF[k]: encode_element(TAG_OF[k], ELEMENTS[TAG_OF[k]][1], v, how) for k, v in raw.items()}
+    if references:
+        tag, inner = TAG_OF["ReferencedImageSequence"], ("ReferencedSOPClassUID", "ReferencedSOPInstanceUID")
+        items = [b"".join(encode_element(TAG_OF[k], "UI", v.encode(), how) for k, v in zip(inner, (CR_IMAGE, r), strict=True)) for r in references]
+        parts[tag] = encode_sequence(tag, items, how)
+    body = b"".join(parts[tag] for tag in sorted(parts))
+    first = {"MediaStorageSOPClassUID": CR_IMAGE, "MediaStorageSOPInstanceUID": uid, "TransferSyntaxUID": syntax}
+    meta = b"".join(encode_element(TAG_OF[k], "UI", v.encode()) for k, v in first.items())
+    length = encode_element((0x0002, 0x0000), "UL", struct.pack("<I", len(meta)))
     return b"\0" * 128 + b"DICM" + length + meta + body
 
 
@@ -529,12 +420,13 @@ def encode_file(name: str, pixels: bytes, rows: int, columns: int, texts: dict[s
 def _encode_udf(keywords: tuple[str, ...]):
     @F.arrow_udf("binary")
     def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for names, pixels, rows, columns, *texts in batches:
+        for names, pixels, rows, columns, syntaxes, charsets, references, *texts in batches:
             for i, name in enumerate(names.to_pylist()):
                 image = kernels.stretch_16(pixels[i].values.to_numpy(zero_copy_only=False))
+                image = image.reshape(rows[i].as_py(), columns[i].as_py())
                 named = {k: t[i].as_py() for k, t in zip(keywords, texts)}
-                data = image.astype("<u2").tobytes()
-                yield pa.array([encode_file(name, data, rows[i].as_py(), columns[i].as_py(), named)], pa.binary())
+                data = encode_file(name, image, named, syntaxes[i].as_py(), charsets[i].as_py(), references[i].as_py())
+                yield pa.array([data], pa.binary())
 
     return run
 
@@ -552,10 +444,14 @@ WRITE_KEYS = {
 def write_dicom(df: DataFrame, out_dir: str) -> DataFrame:
     """One file per row of ``name``, ``pixels`` (8-bit), ``rows``, ``cols``, ``metadata``.
 
-    Pixels are stretched to 16 bit. Returns the manifest of the written files.
+    Pixels are stretched to 16 bit. Columns ``syntax``, ``charset`` and
+    ``references`` say how, where the table has them (see ``encode_file``);
+    otherwise files are explicit little-endian with texts in UTF-8. Returns the manifest of the written files.
     """
     texts = [F.coalesce(F.element_at("metadata", F.lit(k)), F.lit("")) for k in WRITE_KEYS]
+    usual = {"syntax": F.lit(EXPLICIT), "charset": F.lit(UTF_8), "references": F.array().cast("array<string>")}
+    how = [F.coalesce(F.col(k), v) if k in df.columns else v for k, v in usual.items()]
     content = _encode_udf(tuple(WRITE_KEYS.values()))(
-        F.col("name"), F.col("pixels"), F.col("rows").cast("int"), F.col("cols").cast("int"), *texts
+        F.col("name"), F.col("pixels"), F.col("rows").cast("int"), F.col("cols").cast("int"), *how, *texts
     )
     return write_files(df.select("name", content.alias("content")), out_dir)

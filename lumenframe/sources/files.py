@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import os
 import uuid
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lumenframe.functions.text import base_name, has_suffix
 from lumenframe.operators.quality import require_positive
 from lumenframe.operators.ranks import global_rank
-from lumenframe.session import work_dir
+from lumenframe.session import ensure_checkpoint_dir, work_dir
 
 DICOM_GLOB = "*.[dD][cC][mM]"
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -23,6 +26,10 @@ BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content b
 STORES = {"s3a": "s3", "s3n": "s3"}
 # Bytes of image files one task fetches.
 TASK_BYTES = 256 << 20
+# Bytes that could be read in the time it takes to open a file.
+OPEN_BYTES = 64 << 10
+# Names of one folder that one task lists.
+FOLDER_NAMES = 20_000
 
 
 def binary_files(spark: SparkSession, paths: str | list[str], pattern: str = DICOM_GLOB) -> DataFrame:
@@ -51,11 +58,40 @@ def first_files(listing: DataFrame, n: int) -> DataFrame:
     return global_rank(listing, "path").where(F.col("rank") <= n).drop("rank")
 
 
+def task_numbers(listing: DataFrame, task_bytes: int = TASK_BYTES, least: int | None = None) -> tuple[DataFrame, int]:
+    """A listing (``path``, ``length``) with ``task``, and the number of tasks: files in order of path, cut at equal shares of all bytes.
+
+    A task has at most its share and half a file at either end. Bytes are summed
+    up within the partitions of a range sort; only one sum a partition is added
+    up beyond that. Opening a file counts as ``OPEN_BYTES``, so that many small
+    files are dealt out by number. There are at least ``least`` tasks, unless the
+    files are fewer (default: as many as run at a time).
+    """
+    spark = listing.sparkSession
+    ensure_checkpoint_dir(spark)
+    weight = (F.coalesce("length", F.lit(0)) + OPEN_BYTES).alias("_weight")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = listing.select("*", weight).repartitionByRange(parts, "path").withColumn("_part", F.spark_partition_id()).checkpoint()
+    sums = dealt.groupBy("_part").agg(F.sum("_weight").alias("_bytes"), F.count("*").alias("_files")).orderBy("_part").collect()
+    total, files = sum(r["_bytes"] for r in sums), sum(r["_files"] for r in sums)
+    wanted = max(least or spark.sparkContext.defaultParallelism, -(-total // task_bytes))
+    n = max(1, min(wanted, files))
+    starts, at = [], 0
+    for r in sums:  # one row a partition
+        starts.append((r["_part"], at))
+        at += r["_bytes"]
+    offsets = F.broadcast(spark.createDataFrame(starts, "_part int, _start long"))
+    before = F.sum("_weight").over(W.partitionBy("_part").orderBy("path").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("_weight")
+    middle = F.col("_start") + F.col("_before") + F.col("_weight") / 2
+    number = F.least(F.floor(middle * n / max(1, total)), F.lit(n - 1)).cast("int")
+    numbered = dealt.withColumn("_before", before).join(offsets, "_part").withColumn("task", number)
+    return numbered.drop("_part", "_weight", "_before", "_start"), n
+
+
 def spread_listing(listing: DataFrame) -> DataFrame:
     """Paths of a listing (``path``, ``length``), dealt out so that tasks get about equal bytes."""
-    sizes = listing.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
-    by_size = max(listing.sparkSession.sparkContext.defaultParallelism, -(-sizes[0] // TASK_BYTES))
-    return listing.select("path").repartition(max(1, int(min(by_size, sizes[1]))))
+    numbered, n = task_numbers(listing.select("path", "length"))
+    return numbered.repartitionById(n, "task").select("path")
 
 
 def read_file(path: str, attempts: int = 3) -> bytes:
@@ -140,47 +176,89 @@ _LISTING = pa.schema(
         ("length", pa.int64()),
         ("modificationTime", pa.timestamp("us", "UTC")),
         ("is_folder", pa.bool_()),
+        ("share", pa.int64()),
+        ("shares", pa.int64()),
     ]
 )
+_LISTED = "path string, length long, modificationTime timestamp, is_folder boolean, share long, shares long"
 
+Found = tuple[str, int | None, int | None, bool, int, int]
 
-def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for folder in batch.column("path").to_pylist():
-            fs, inner, prefix = locate(folder)
-            found = fs.get_file_info(pafs.FileSelector(inner))
-            for start in range(0, len(found), 10_000):
-                part = found[start : start + 10_000]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "path": [prefix + f.path for f in part],
-                        "length": [f.size for f in part],
-                        "modificationTime": [f.mtime for f in part],
-                        "is_folder": [f.type == pafs.FileType.Directory for f in part],
-                    },
-                    schema=_LISTING,
-                )
-
-
-def walk_files(spark: SparkSession, base: str) -> DataFrame:
+
+def _local_share(folder: str, prefix: str, share: int, shares: int) -> Iterator[Found]:
+    """Entries of a local folder whose name belongs to a share; names are streamed, only those of the share are looked at."""
+    with os.scandir(folder) as entries:
+        for entry in entries:
+            if shares > 1 and zlib.crc32(os.fsencode(entry.name)) % shares != share:
+                continue
+            try:
+                is_folder, found = entry.is_dir(), entry.stat()
+            except OSError:  # gone meanwhile, or a link to nothing: reading it will say so
+                yield f"{prefix}{entry.path}", None, None, False, 0, 0
+                continue
+            yield f"{prefix}{entry.path}", None if is_folder else found.st_size, found.st_mtime_ns // 1000, is_folder, 0, 0
+
+
+def _local_entries(folder: str, prefix: str, share: int, shares: int, most: int) -> Iterator[Found]:
+    """Entries of a local folder; of one with more than ``most`` names, the shares that tasks of the next round take."""
+    if not shares:
+        with os.scandir(folder) as entries:
+            names = sum(1 for _ in entries)
+        shares = -(-names // most)
+        if shares > 1:
+            yield from ((f"{prefix}{folder}", None, None, True, k, shares) for k in range(shares))
+            return
+    yield from _local_share(folder, prefix, share, shares)
+
+
+def _store_entries(fs: pafs.FileSystem, folder: str, prefix: str) -> Iterator[Found]:
+    for f in fs.get_file_info(pafs.FileSelector(folder)):
+        micros = None if f.mtime_ns is None else f.mtime_ns // 1000
+        yield prefix + f.path, f.size, micros, f.type == pafs.FileType.Directory, 0, 0
+
+
+def folder_entries(path: str) -> Iterator[tuple[str, int | None, int | None, bool]]:
+    """(path, length, time in microseconds, is a folder) of what is in one folder."""
+    fs, inner, prefix = locate(path)
+    local = isinstance(fs, pafs.LocalFileSystem)
+    for found in _local_share(inner, prefix, 0, 1) if local else _store_entries(fs, inner, prefix):
+        yield found[:4]
+
+
+def _lister(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder, share, shares in zip(*(batch.column(c).to_pylist() for c in ("path", "share", "shares")), strict=True):
+                fs, inner, prefix = locate(folder)
+                local = isinstance(fs, pafs.LocalFileSystem)
+                found = _local_entries(inner, prefix, share, shares, most) if local else _store_entries(fs, inner, prefix)
+                while part := list(islice(found, 10_000)):
+                    columns = zip(*part, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LISTING, strict=True)], schema=_LISTING)
+
+    return run
+
+
+def walk_files(spark: SparkSession, base: str, most: int = FOLDER_NAMES) -> DataFrame:
     """Every file below ``base`` with its size, zero-byte files included.
 
     Spark's file sources skip empty files, so this lists folder by folder: one
     job per level of the tree, its folders spread over the executors, each level
-    written to the shared folder. No listing passes through the driver.
+    written to the shared folder. No listing passes through the driver. A local
+    folder of more than ``most`` names is listed by several tasks, each of which
+    streams all names and looks at those of its share; the client of a store gives
+    the names of one folder at once, to one task.
     """
     out = work_dir(spark, "walk")
     level = 0
-    frontier = spark.createDataFrame([(base,)], "path string")
+    frontier = spark.createDataFrame([(base, 0, 0)], "path string, share long, shares long")
     while not frontier.isEmpty():
         # a number of partitions of its own, or adaptive execution merges small levels into one task
         spread = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        listed = frontier.repartition(spread, "path").mapInArrow(
-            _list_folders, "path string, length long, modificationTime timestamp, is_folder boolean"
-        )
+        listed = frontier.repartition(spread, "path", "share").mapInArrow(_lister(most), _LISTED)
         listed.write.mode("overwrite").parquet(f"{out}/level={level}")
         seen = spark.read.parquet(f"{out}/level={level}")
-        frontier = seen.where("is_folder").select("path")
+        frontier = seen.where("is_folder").select("path", "share", "shares")
         level += 1
     return spark.read.parquet(out).where("NOT is_folder").select("path", "length", "modificationTime")
 

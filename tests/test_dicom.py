@@ -10,7 +10,7 @@ from lumenframe.functions.maps import EXTENDED_KEYS
 from lumenframe.operators.images import preprocess_images
 from lumenframe.operators.quality import verify_images
 from lumenframe.operators.scoring import LinearHead, score
-from lumenframe.sources import dicom, files
+from lumenframe.sources import dicom, elements, files
 
 
 HEAD = LinearHead(((1.0, 0.0), (0.0, 1.0)), (0.25, 0.0))
@@ -19,7 +19,7 @@ HEAD = LinearHead(((1.0, 0.0), (0.0, 1.0)), (0.25, 0.0))
 def explicit(tag, vr, value):
     if len(value) % 2:
         value += b" "
-    long = vr in dicom.LONG_TYPES
+    long = vr in elements.LONG_TYPES
     size = struct.pack("<HI", 0, len(value)) if long else struct.pack("<H", len(value))
     return struct.pack("<HH", *tag) + vr.encode() + size + value
 
@@ -35,7 +35,7 @@ def us(v):
 
 
 def body(encode, pixels, rows=2, cols=3, bits=16, extra=()):
-    tag = dicom.TAG_OF
+    tag = elements.TAG_OF
     parts = {
         tag["PatientID"]: ("LO", b"P7"),
         tag["Rows"]: ("US", us(rows)),
@@ -48,7 +48,7 @@ def body(encode, pixels, rows=2, cols=3, bits=16, extra=()):
 
 
 def header(syntax):
-    meta = explicit(dicom.TAG_OF["TransferSyntaxUID"], "UI", syntax.encode())
+    meta = explicit(elements.TAG_OF["TransferSyntaxUID"], "UI", syntax.encode())
     return b"\0" * 128 + b"DICM" + meta
 
 
@@ -60,8 +60,8 @@ AS_IMPLICIT = lambda t, vr, v: implicit(t, v)
 @pytest.mark.parametrize(
     "data",
     [
-        header(dicom.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes()),
-        header(dicom.IMPLICIT) + body(AS_IMPLICIT, IMAGE.tobytes()),
+        header(elements.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes()),
+        header(elements.IMPLICIT) + body(AS_IMPLICIT, IMAGE.tobytes()),
         body(AS_IMPLICIT, IMAGE.tobytes()),
         body(AS_EXPLICIT, IMAGE.tobytes()),
     ],
@@ -74,14 +74,14 @@ def test_header_variants(data):
 
 
 def test_frames_channels_and_sign():
-    tag = dicom.TAG_OF
+    tag = elements.TAG_OF
     frames = np.arange(12, dtype="<i2") - 6
     extra = [(tag["NumberOfFrames"], ("IS", b"2")), (tag["PixelRepresentation"], ("US", us(1)))]
-    row = dicom.decode_file(header(dicom.EXPLICIT) + body(AS_EXPLICIT, frames.tobytes(), extra=extra), True)
+    row = dicom.decode_file(header(elements.EXPLICIT) + body(AS_EXPLICIT, frames.tobytes(), extra=extra), True)
     assert (row["shape"], row["dtype"]) == ([2, 2, 3], "int16")
     planes = np.arange(18, dtype=np.uint8).reshape(3, 2, 3)
     extra = [(tag["SamplesPerPixel"], ("US", us(3))), (tag["PlanarConfiguration"], ("US", us(1)))]
-    row = dicom.decode_file(header(dicom.EXPLICIT) + body(AS_EXPLICIT, planes.tobytes(), bits=8, extra=extra), True)
+    row = dicom.decode_file(header(elements.EXPLICIT) + body(AS_EXPLICIT, planes.tobytes(), bits=8, extra=extra), True)
     assert (row["shape"], row["dtype"]) == ([2, 3, 3], "uint8")
     assert row["pixels"] == planes.transpose(1, 2, 0).tobytes()
 
@@ -89,16 +89,16 @@ def test_frames_channels_and_sign():
 @pytest.mark.parametrize("defined", [True, False])
 def test_sequences_are_skipped(defined):
     inner = explicit((0x0008, 0x1150), "UI", b"1.2")
-    nested = struct.pack("<HHI", *dicom.ITEM, dicom.UNDEFINED) + inner + struct.pack("<HHI", *dicom.ITEM_END, 0)
+    nested = struct.pack("<HHI", *elements.ITEM, elements.UNDEFINED) + inner + struct.pack("<HHI", *elements.ITEM_END, 0)
     if defined:
-        sequence = explicit((0x0008, 0x1140), "SQ", struct.pack("<HHI", *dicom.ITEM, len(inner)) + inner)
+        sequence = explicit((0x0008, 0x1140), "SQ", struct.pack("<HHI", *elements.ITEM, len(inner)) + inner)
     else:
         sequence = (
-            struct.pack("<HH2sHI", 0x0008, 0x1140, b"SQ", 0, dicom.UNDEFINED)
-            + nested + struct.pack("<HHI", *dicom.ITEM, len(inner)) + inner
-            + struct.pack("<HHI", *dicom.SEQUENCE_END, 0)
+            struct.pack("<HH2sHI", 0x0008, 0x1140, b"SQ", 0, elements.UNDEFINED)
+            + nested + struct.pack("<HHI", *elements.ITEM, len(inner)) + inner
+            + struct.pack("<HHI", *elements.SEQUENCE_END, 0)
         )
-    row = dicom.decode_file(header(dicom.EXPLICIT) + sequence + body(AS_EXPLICIT, IMAGE.tobytes()), True)
+    row = dicom.decode_file(header(elements.EXPLICIT) + sequence + body(AS_EXPLICIT, IMAGE.tobytes()), True)
     assert row["error"] is None and row["shape"] == [2, 3]
     kinds = [t["vr"] for t in row["tags"]]
     assert kinds.count("SQ") == 1 and "1.2" not in [t["value"] for t in row["tags"]]
@@ -108,10 +108,10 @@ def test_sequences_are_skipped(defined):
     ("data", "words"),
     [
         (header("1.2.840.10008.1.2.4.70") + body(AS_EXPLICIT, IMAGE.tobytes()), "Unsupported transfer syntax"),
-        (header(dicom.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes())[:-4], "file ends inside"),
-        (header(dicom.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes()[:-4]), "bytes, 12 expected"),
-        (header(dicom.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes(), bits=1), "unsupported pixel width"),
-        (header(dicom.EXPLICIT), "no pixel data"),
+        (header(elements.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes())[:-4], "file ends inside"),
+        (header(elements.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes()[:-4]), "bytes, 12 expected"),
+        (header(elements.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes(), bits=1), "unsupported pixel width"),
+        (header(elements.EXPLICIT), "no pixel data"),
         (b"not an image at all, just text", ""),
         (b"", "empty file"),
     ],
@@ -133,17 +133,104 @@ def test_damaged_files(data, words):
         ("PN", "Silvão".encode("latin-1"), "Silvão"),
         ("LO", b"", ""),
         ("OB", b"\1\2", None),
+        ("UN", b"\1\2", None),
+        ("UN", b"as text ", "as text"),
+        ("AT", us(0x28) + us(0x10), "(0028,0010)"),
+        ("SV", b"\xff" * 8, "-1"),
     ],
 )
 def test_values_as_text(vr, value, wanted):
-    assert dicom.as_text(vr, memoryview(value)) == wanted
+    assert elements.as_text(elements.Element((8, 8), vr, memoryview(value))) == wanted
+
+
+def big(tag, vr, value):
+    return elements.encode_element(tag, vr, value, elements.SYNTAXES[elements.BIG_ENDIAN])
+
+
+@pytest.mark.parametrize(("dtype", "vr"), [(">u2", "OW"), (">u4", "OW"), (">i2", "OW"), ("u1", "OB"), ("u1", "OW"), (">f4", "OF"), (">f8", "OD")])
+@pytest.mark.parametrize("with_header", [True, False])
+def test_big_endian(dtype, vr, with_header):
+    tag = elements.TAG_OF
+    pixels = (np.arange(6) * 7).astype(dtype)
+    data = pixels.tobytes()
+    if vr == "OW" and dtype == "u1":  # words of two pixels, swapped
+        data = pixels.reshape(-1, 2)[:, ::-1].tobytes()
+    name = {"OF": "FloatPixelData", "OD": "DoubleFloatPixelData"}.get(vr, "PixelData")
+    numbers = {"Rows": 2, "Columns": 3, "BitsAllocated": pixels.itemsize * 8, "PixelRepresentation": int(dtype == ">i2")}
+    parts = {tag[k]: ("US", struct.pack(">H", v)) for k, v in numbers.items()}
+    parts |= {tag[name]: (vr, data), (0x0018, 0x9999): ("FD", struct.pack(">d", 2.5)), tag["PatientID"]: ("LO", b"P7")}
+    parts[tag["ReferencedImageSequence"]] = ("SQ", struct.pack(">HHI", *elements.ITEM, 10) + big(tag["ReferencedSOPClassUID"], "UI", b"1"))
+    file = b"".join(big(t, v, x) for t, (v, x) in sorted(parts.items()))
+    row = dicom.decode_file((header(elements.BIG_ENDIAN) if with_header else b"") + file, True)
+    assert row["error"] is None and row["shape"] == [2, 3]
+    assert row["pixels"] == pixels.astype(pixels.dtype.newbyteorder("<")).tobytes()
+    values = {(t["keyword"], t["vr"]): t["value"] for t in row["tags"]}
+    assert values["Rows", "US"] == "2" and values["", "FD"] == "2.5" and values["PatientID", "LO"] == "P7"
+
+
+TERMS = {
+    ("ISO_IR 100",): "Müller^Jörg",
+    ("ISO_IR 101",): "Łukasz^Żak",
+    ("ISO_IR 144",): "Люкceмбypг",
+    ("ISO_IR 126",): "Διονυσιος",
+    ("ISO_IR 138",): "שרון^דבורה",
+    ("ISO_IR 166",): "สวัสดี",
+    ("ISO_IR 13", "ISO 2022 IR 87"): "ﾔﾏﾀﾞ^ﾀﾛｳ=山田^太郎=やまだ^たろう",
+    ("", "ISO 2022 IR 87"): "Yamada^Tarou=山田^太郎=やまだ^たろう",
+    ("", "ISO 2022 IR 159", "ISO 2022 IR 87"): "A^丂=山田",
+    ("", "ISO 2022 IR 149"): "Hong^Gildong=洪^吉洞=홍^길동",
+    ("", "ISO 2022 IR 58"): "Zhang^XiaoDong=张^小东=",
+    ("ISO 2022 IR 100", "ISO 2022 IR 144", "ISO 2022 IR 126"): "Buc^Jérôme=Люк^Διο",
+    ("GB18030",): "王^小東",
+    ("GBK",): "王^小东",
+    ("ISO_IR 192",): "Wang^XiaoDong=王^小東=é",
+}
+
+
+@pytest.mark.parametrize("terms", sorted(TERMS))
+@pytest.mark.parametrize("vr", ["PN", "LO"])
+def test_character_sets(terms, vr):
+    text = TERMS[terms]
+    stored = elements.encode_text(text, terms, vr)
+    assert elements.decode_text(stored, terms, vr) == text
+    found = [elements.Element((8, 5), "CS", memoryview("\\".join(terms).encode())), elements.Element((0x10, 0x10), vr, memoryview(stored))]
+    assert elements.as_text(found[1], elements.terms_of(found)) == text
+
+
+def test_fixed_bytes_of_character_sets():
+    """Bytes as the standard's examples have them."""
+    korean = b"Hong^Gildong=\x1b$)C\xfb\xf3^\x1b$)C\xd1\xce\xd4\xd7=\x1b$)C\xc8\xab^\x1b$)C\xb1\xe6\xb5\xbf"
+    assert elements.decode_text(korean, ("", "ISO 2022 IR 149"), "PN") == "Hong^Gildong=洪^吉洞=홍^길동"
+    japanese = b"Yamada^Tarou=\x1b$B;3ED\x1b(B^\x1b$BB@O:\x1b(B=\x1b$B$d$^$@\x1b(B^\x1b$B$?$m$&\x1b(B"
+    assert elements.decode_text(japanese, ("", "ISO 2022 IR 87"), "PN") == "Yamada^Tarou=山田^太郎=やまだ^たろう"
+    katakana = b"\xd4\xcf\xc0\xde^\xc0\xdb\xb3=\x1b$B;3ED\x1b(J^\x1b$BB@O:\x1b(J"
+    assert elements.decode_text(katakana, ("ISO_IR 13", "ISO 2022 IR 87"), "PN") == "ﾔﾏﾀﾞ^ﾀﾛｳ=山田^太郎"
+    assert elements.decode_text(b"\xff\xfeab", ("ISO_IR 192",), "LO").endswith("ab")
+    assert elements.decode_text(b"M\xfcller", ("no such set",), "LO") == "M\ufffdller"
+
+
+def test_elements_of_ranges_and_a_given_dictionary(spark, tmp_path):
+    assert elements.lookup((0x6002, 0x3000)) == ("OverlayData", "OW")
+    assert elements.lookup((0x0009, 0x0010)) == ("", "LO") and elements.lookup((0x0009, 0x1010)) == ("", "UN")
+    assert elements.lookup((0x0011, 0x0000)) == ("GenericGroupLength", "UL")
+    extra = [((0x0009, 0x1001), ("UN", b"maker's text")), ((0x0009, 0x1002), ("UN", struct.pack("<H", 300)))]
+    file = header(elements.IMPLICIT) + body(AS_IMPLICIT, IMAGE.tobytes(), extra=extra)
+    (tmp_path / "a.dcm").write_bytes(file)
+    table = spark.createDataFrame([(0x0009, 0x1002, "VendorNumber", "US")], "group int, element int, keyword string, vr string")
+    for dictionary, wanted in ((elements.ELEMENTS, ("", "UN", None)), (dicom.read_dictionary(table), ("VendorNumber", "US", "300"))):
+        rows = {(r["group"], r["element"]): r for r in dicom.dicom_tags(spark, str(tmp_path), dictionary).collect()}
+        assert rows[9, 0x1001]["value"] == "maker's text"
+        assert tuple(rows[9, 0x1002][c] for c in ("keyword", "vr", "value")) == wanted
+    unknown = implicit((0x0009, 0x1003), struct.pack("<HHI", *elements.ITEM, 0))
+    kinds = [t["vr"] for t in dicom.decode_file(header(elements.IMPLICIT) + unknown, False)["tags"]]
+    assert kinds == ["UI", "SQ"]
 
 
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("images")
     (base / "deep" / "er").mkdir(parents=True)
-    good = header(dicom.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes())
+    good = header(elements.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes())
     (base / "a.dcm").write_bytes(good)
     (base / "deep" / "b.DCM").write_bytes(good)
     (base / "deep" / "er" / "c.Dcm").write_bytes(good[:-3])
@@ -193,7 +280,7 @@ def test_scoring_in_the_same_step(spark, folder, head, sentinels):
 
 
 def test_awkward_names(spark, tmp_path):
-    good = header(dicom.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes())
+    good = header(elements.EXPLICIT) + body(AS_EXPLICIT, IMAGE.tobytes())
     wanted = ["a b.dcm", "c#d.dcm", "e%20f.dcm", "é.dcm"]
     (tmp_path / "x y").mkdir()
     for name in wanted:
