@@ -57,6 +57,7 @@ def odd():
     rows += [(c, t, "user", "copy of all") for c in range(50, 90) for t in range(5)]  # copies
     rows += [(c, 0, "user", "hello") for c in range(100, 140)] + [(c, 1, "user", f"own {c}") for c in range(100, 140)]
     rows += [(200, None, None, None), (200, 3, None, "a  b\t\nc"), (200, 3, "user", None), (200, 3, "user", None), (201, None, "", ""), (-7, 1, "user", "first words 0")]
+    rows += [(223, 1, "user", "lost"), (243, 0, "user", "one"), (243, 1, "user", "two"), (262, 2, "user", "kept to two")]
     rows += [(None, 1, "user", "nobody"), (None, None, None, None), (202, 5, "us", "er:x"), (203, 5, "user", ":x"), (204, 1, "user", "漢字 Ünï " * 3000)]
     return rows
 
