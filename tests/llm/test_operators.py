@@ -12,7 +12,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lumenframe.llm import decontaminate, fertility, lines, mixing, pitmanyor, simhash, substrings, suffixes, tokenfiles, toxicity
+from lumenframe.llm import decontaminate, fertility, lines, mixing, pitmanyor, simhash, substrings, suffixes, tokenfiles, toxicity, vocabularies
 from lumenframe.llm.queries import ORACLE, QUERIES
 from lumenframe.llm.vocabularies import ByteTokenizer, public_path, units
 from tests.compare import differences
@@ -243,9 +243,23 @@ def test_units_are_encoded_as_the_whole():
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
     path = public_path("byte_bpe_50k.json")
     whole = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
-    got = ByteTokenizer(path).encode(texts)
+    tokenizer = ByteTokenizer(path)
     assert all("".join(units(t)) == t for t in texts)
-    assert all(np.frombuffer(g, "<i4").tolist() == w.ids for g, w in zip(got, whole))
+    for size in (1, 7, 1000):  # units come again, in other company
+        for at in range(0, 200 if size == 1 else len(texts), size):
+            got = tokenizer.encode(texts[at : at + size], [0])
+            assert got.to_pylist() == [[*w.ids, 0] for w in whole[at : at + size]]
+
+
+def test_units_that_are_forgotten(monkeypatch):
+    path = public_path("byte_bpe_50k.json")
+    monkeypatch.setattr(vocabularies, "KNOWN_UNITS", 5)
+    tokenizer, texts = ByteTokenizer(path), [f"word{i} word{i % 7} other{i % 3}  x" for i in range(60)]
+    whole = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    for at in range(0, 60, 4):
+        assert tokenizer.encode(texts[at : at + 4]).to_pylist() == [w.ids for w in whole[at : at + 4]]
+    assert len(tokenizer.names) < 20
+    assert len(tokenizer.encode([])) == 0
 
 
 def test_token_files(spark, docs, rows, empty, tmp_path):
@@ -262,6 +276,13 @@ def test_token_files(spark, docs, rows, empty, tmp_path):
         assert r["start"] == at
         at += r["n_tokens"]
     assert tokenfiles.lookup(spark, folder, [3]).count() == 1
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 4)  # many files a task
+    try:
+        tokenfiles.write_tokens(docs, folder + "-many")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert len(spark.read.orc(folder + "-many").inputFiles()) >= len(rows) / 4
+    assert Counter(map(tuple, tokenfiles.checked_tokens(spark, folder + "-many").collect())) == Counter(map(tuple, got))
     tokenfiles.write_tokens(empty, folder + "-empty")
     assert tokenfiles.checked_tokens(spark, folder + "-empty").count() == 0
 
