@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +13,12 @@ from lumenframe.catalog.registry import query, table
 from lumenframe.catalog.scoring import HEAD, WEIGHT_SQL
 from lumenframe.functions.maps import EXTENDED_KEYS
 from lumenframe.functions.text import base_name
+from lumenframe.operators import ranks
 from lumenframe.operators.images import explode_pixels, unpack_pixels
 from lumenframe.plans.stages import Settings, run_pipeline
 from lumenframe.session import work_dir
 from lumenframe.sources import dicom, elements, files, image_source
+from lumenframe.streaming import slices
 
 RUN_TS = "20240305060708"
 
@@ -212,6 +215,33 @@ def tasks_of_equal_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tasks.select(F.col("path").alias("name"), "length", "task")
 
 
+@query(f"""SELECT name, length, (row_number() OVER (ORDER BY name) - 1) // 100 AS slice, 1 AS n_times FROM ({DOCUMENT_FILES})""")
+def slices_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored listing as a stream of slices: the first run breaks off in its third slice, half the files come later."""
+    folder = work_dir(spark, "restarted")
+    listed = document_files(spark, sf_dir).select(F.col("name").alias("path"), F.octet_length("content").cast("long").alias("length"))
+    calls = []
+
+    def handle(n: int, files: DataFrame) -> None:
+        files.withColumn("slice", F.lit(n)).write.mode("overwrite").parquet(f"{folder}/out/batch={n}")
+        calls.append(n)
+        if calls == [0, 1, 2]:
+            raise InterruptedError("lost while the third slice is being done")
+
+    half = ranks.global_rank(listed, "path")
+    whole_slices = half.count() // 200 * 100
+    for part in (half.where(F.col("rank") <= whole_slices), half):
+        slices.add_slices(spark, f"{folder}/plan", part, 100)
+        for _ in range(2):  # the second time goes on where the first one was lost
+            try:
+                slices.run_slices(spark, f"{folder}/plan", handle, f"{folder}/checkpoint")
+                break
+            except StreamingQueryException:
+                continue
+    rows = spark.read.parquet(f"{folder}/out").groupBy(F.col("path").alias("name"), "length", F.col("slice").cast("long").alias("slice"))
+    return rows.agg(F.count("*").alias("n_times"))
+
+
 STAGED = f"""WITH {STORED}, {sql_scale('stored', 'px16', 'minmax', 's')}, {sql_blur('s', 8, 'b')}, {sql_equalize('b', 'e')},
 feat AS (SELECT vec_id, y * 8 + x AS pos, (((px::FLOAT / 255::FLOAT) - 0.5::FLOAT) / 0.5::FLOAT)::DOUBLE AS f FROM e),
 logit AS (SELECT vec_id, sum(f * ({WEIGHT_SQL[0]}) ORDER BY pos) + 0.25::DOUBLE AS z0,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from lumenframe.catalog.scoring import HEAD, SCORES, scored_table
 from lumenframe.operators import reports, summaries
 from lumenframe.plans.stages import Settings, run_reports
 from lumenframe.session import work_dir
+from lumenframe.sources import report_files
 from lumenframe.sources.snapshots import write_snapshot
 
 RUN_TS = "2024-03-05 06:07:08"
@@ -186,3 +188,59 @@ def report_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_snapshot(scored, f"{out}/inference", "20240305060708")
     done = run_reports(spark, out, Settings(model=HEAD), "20240305060709")
     return done.select("report_path", "confidence")
+
+
+BODY_SQL = """'X-Ray Inference Report' || chr(10) || 'Report Generated: {stamp}' || chr(10) || 'Patient & Image Information' || chr(10)
+  || 'Patient ID: ' || coalesce(nullif(patient_id, ''), 'N/A') || chr(10)
+  || 'Original Image Path: ' || CASE WHEN length(path) > 70 THEN left(path, 35) || '...' || right(path, 30) ELSE path END || chr(10)
+  || 'Patient Name: ' || CASE WHEN has_meta THEN m_name ELSE 'N/A (metadata issue)' END || chr(10)
+  || 'Observation/Series: ' || CASE WHEN has_meta THEN m_obs ELSE 'N/A (metadata issue)' END || chr(10)
+  || 'Inference Results' || chr(10) || 'Prediction: ' || coalesce(prediction, 'N/A') || chr(10)
+  || CASE WHEN confidence IS NULL THEN 'N/A' ELSE 'Confidence: ' || printf('%.2f%%', confidence) END || chr(10) || '{end}'""".format(
+    stamp=RUN_TS, end=reports.DISCLAIMER
+)
+
+
+@query(f"""WITH {INPUT} SELECT md5(path)[1:20] AS hash, {BODY_SQL} AS text FROM (SELECT * REPLACE (
+  CASE WHEN vec_id % 2 = 0 THEN 'gs://bucket/a/' ELSE 'gs://bucket/a_' END || (vec_id // 2) || '.dcm' AS path) FROM inp)""")
+def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document a report, of paths that only differ in a slash; the first run breaks off in the middle."""
+    half = F.floor(F.col("vec_id") / 2).cast("string")
+    start = F.when(F.col("vec_id") % 2 == 0, F.lit("gs://bucket/a/")).otherwise(F.lit("gs://bucket/a_"))
+    built = reports.build_reports(report_input(spark, sf_dir).withColumn("path", F.concat(start, half, F.lit(".dcm"))), _generated(), "full", naming="unique")
+    folder = work_dir(spark, "documents")
+    lost = F.when(F.crc32(F.col("path").cast("binary")) % 50 == 0, F.raise_error(F.lit("lost"))).otherwise(F.col("body"))
+    try:
+        reports.write_reports(built.withColumn("body", lost), folder, "20240305060708", "documents")
+    except PySparkException:
+        if report_files.is_complete(f"{folder}/run_ts=20240305060708"):
+            raise
+    out = reports.write_reports(built, folder, "20240305060708", "documents")
+    stored = spark.read.option("pathGlobFilter", "*.txt").text(out, wholetext=True)
+    manifest = report_files.read_manifest(spark, out)
+    name = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)[.]txt$", 1)
+    found = stored.select(F.element_at(F.split(name, "-"), -1).alias("hash"), F.col("value").alias("text"))
+    listed = manifest.select(F.element_at(F.split(F.regexp_extract("path", "([^/]+)[.]txt$", 1), "-"), -1).alias("hash"))
+    return found.join(listed, "hash")
+
+
+@query(f"""WITH {INPUT} SELECT path, prediction, confidence, CASE WHEN has_meta THEN m_id END AS patient_id,
+  CASE WHEN has_meta THEN m_name END AS patient_name, CASE WHEN has_meta THEN m_obs END AS obs FROM inp""")
+def report_json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON reports written as files and read back, all fields of them."""
+    folder = reports.write_json_reports(report_input(spark, sf_dir), work_dir(spark, "json-reports"), "20240305060708")
+    schema = "metadata map<string,string>, prediction string, confidence double, path string"
+    stored = spark.read.schema(schema).json(folder)
+    return stored.select("path", "prediction", "confidence", *[F.col("metadata")[k].alias(k) for k in ("patient_id", "patient_name", "obs")])
+
+
+@query(f"WITH {INPUT} SELECT path, {BODY_SQL} AS text FROM inp")
+def report_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports written to files of many and taken apart again; the path is that in the reports' table."""
+    built = reports.build_reports(report_input(spark, sf_dir), _generated(), "full")
+    folder = reports.write_reports(built, work_dir(spark, "text-reports"), "20240305060708", "text")
+    stored = spark.read.option("lineSep", reports.REPORT_END).text(folder)
+    bodies = stored.groupBy(F.col("value").alias("text")).agg(F.count("*").alias("n"))
+    paths = built.select("path", F.col("body").alias("text"))
+    counted = paths.groupBy("text").agg(F.count("*").alias("m"))
+    return paths.join(bodies.join(counted, "text").where("n = m"), "text").select("path", "text")

@@ -131,3 +131,8 @@ def report_name_for_patient(patient_id: Column, path: Column) -> Column:
         strip_extension(base_name(path)),
         F.lit(".pdf"),
     )
+
+
+def report_name_unique(path: Column, ending: str = ".pdf") -> Column:
+    """``reports/{safe base name}-{hash of the whole path}.pdf``: paths that differ anywhere have names that differ."""
+    return F.concat(F.lit("reports/"), safe_id(strip_extension(base_name(path))), F.lit("-"), F.substring(F.md5(path.cast("binary")), 1, 20), F.lit(ending))

@@ -9,6 +9,7 @@ from lumenframe.functions import text, times
 from lumenframe.functions.maps import entry_lines, get_or, or_empty, with_entries
 from lumenframe.functions.pixels import display_depth, first_frame, scale_max, scale_minmax
 from lumenframe.operators.quality import require_columns
+from lumenframe.sources.report_files import write_documents
 
 REQUIRED = ["path", "patient_id", "metadata", "prediction", "confidence"]
 
@@ -17,6 +18,8 @@ DISCLAIMER = (
     "Disclaimer: This report is auto-generated and for informational purposes only. "
     "Consult a qualified medical professional for diagnosis."
 )
+# What ends a report in a file of many.
+REPORT_END = "\f\n"
 KEY_ORDER = ("patient_id", "patient_name", "study_description", "Inference_Prediction", "Inference_Confidence")
 
 
@@ -122,13 +125,15 @@ def build_reports(
     """Report summary per image: name, status, lines and text, with earlier errors carried along.
 
     ``naming`` is ``path`` (from the image path), ``patient`` (patient and file
-    name) or ``stamped`` (patient and ``generated``). All are the same on a retry.
+    name), ``stamped`` (patient and ``generated``) or ``unique`` (file name and a
+    hash of the whole path, the only one that tells any two paths apart). All are the same on a retry.
     """
     require_columns(df, REQUIRED)
     names = {
         "path": text.report_name_from_path(F.col("path")),
         "patient": text.report_name_for_patient(F.col("patient_id"), F.col("path")),
         "stamped": text.report_name_stamped(prefix, F.col("patient_id"), times.micro_stamp(generated)),
+        "unique": text.report_name_unique(F.col("path")),
     }
     if naming not in names:
         raise ValueError(f"naming must be one of {sorted(names)}, not {naming!r}")
@@ -170,14 +175,22 @@ def report_json(df: DataFrame) -> DataFrame:
 
 
 def write_reports(reports: DataFrame, base: str, run_ts: str, fmt: str = "json") -> str:
-    """Write the reports of a run once, into a folder a retry overwrites."""
+    """Write the reports of a run once, into a folder a retry overwrites.
+
+    ``documents`` writes one text file a report, under the last part of its
+    name; it needs names that differ (``unique``). ``text`` puts a form feed and
+    a line feed (``REPORT_END``) behind each report, by which it can be read back.
+    """
     folder = f"{base.rstrip('/')}/run_ts={run_ts}"
-    if fmt == "text":
-        reports.select(F.col("body").alias("value")).write.mode("overwrite").text(folder)
+    if fmt == "documents":
+        named = reports.where(F.col("report_path").isNotNull())
+        write_documents(named.select(text.base_name(F.regexp_replace("report_path", "[.]pdf$", ".txt")).alias("name"), F.col("body").alias("content")), folder)
+    elif fmt == "text":
+        reports.select(F.col("body").alias("value")).write.mode("overwrite").option("lineSep", REPORT_END).text(folder)
     elif fmt in ("json", "parquet"):
         reports.write.mode("overwrite").format(fmt).save(folder)
     else:
-        raise ValueError(f"fmt must be 'json', 'parquet' or 'text', not {fmt!r}")
+        raise ValueError(f"fmt must be 'json', 'parquet', 'text' or 'documents', not {fmt!r}")
     return folder
 
 

@@ -7,11 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.operators.ranks import file_batches
 from lumenframe.plans.stages import Settings, run_stages
-from lumenframe.session import work_dir
 from lumenframe.sources.files import spark_content
 from lumenframe.sources.snapshots import complete_batches, mark_complete
+from lumenframe.streaming.slices import add_slices, planned_files, run_slices, slice_files
 
 
 def run_available(
@@ -39,32 +38,32 @@ def run_incremental(
 ) -> dict[str, int]:
     """All stages over the files of a listing (``path``, ``length``), in slices by path.
 
-    Files with a report in a complete slice of the run are left out, so a
-    stopped run goes on where it was; a slice that broke off gives its number
-    and folders to the next one. After each slice ``progress`` gets the files
-    done, the files in all and the number of slices so far.
+    The listing is stored with the run and read as a stream of slices, whose
+    checkpoint lies beside it: a stopped run goes on behind its last whole slice,
+    and files that its plan lacks form further slices. A slice whose reports
+    are not whole, though it was done once, is done again. After each slice
+    ``progress`` gets the files done, the files in all and the number of slices so far.
     """
-    reports = f"{out.rstrip('/')}/reports"
-    written = complete_batches(spark, reports, run_ts)
-    files, done, first = listing.select("path", "length"), 0, max(written, default=-1) + 1
-    if written:
-        seen = spark.read.parquet(*[f"{reports}/run_ts={run_ts}/batch={n}" for n in written]).select("path")
-        done = seen.count()
-        files = files.join(seen, "path", "left_anti")
-    folder = work_dir(spark, "slices")
-    file_batches(files, batch_size, "path").write.partitionBy("batch").parquet(folder)
-    stored = spark.read.schema("path string, length long, batch long").parquet(folder)
-    left, slices = stored.agg(F.count("*"), F.coalesce(F.max("batch"), F.lit(0))).first()
-    if not slices and not written:
-        run_stages(spark, stored.select("path", "length"), out, settings, run_ts, first)
-    total = done + left
-    for n in range(slices):
-        part = spark.read.schema("path string, length long").parquet(f"{folder}/batch={n + 1}")
-        chosen = spark_content(part) if settings.through_spark else part
-        done += run_stages(spark, chosen, out, settings, run_ts, first + n)["reports"]["total"]
-        progress(done, total, first + n + 1)
+    reports, plan = f"{out.rstrip('/')}/reports", f"{out.rstrip('/')}/_slices/run_ts={run_ts}"
+    slices = add_slices(spark, plan, listing, batch_size)
+    if not slices:
+        run_stages(spark, listing.select("path", "length"), out, settings, run_ts, 0)
+    sizes = planned_files(spark, plan).groupBy("batch").count()
+    total = sizes.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    whole = complete_batches(spark, reports, run_ts)
+    done = sizes.where(F.col("batch").isin(whole)).agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+
+    def handle(n: int, files: DataFrame) -> None:
+        nonlocal done
+        chosen = spark_content(files) if settings.through_spark else files
+        done += run_stages(spark, chosen, out, settings, run_ts, n)["reports"]["total"]
+        progress(done, total, n + 1)
+
+    run_slices(spark, plan, handle, f"{plan}/checkpoint")
+    for n in sorted(set(range(slices)) - set(complete_batches(spark, reports, run_ts))):
+        handle(n, slice_files(spark, plan, n))
     for stage in settings.keep:
         mark_complete(spark, f"{out.rstrip('/')}/{stage}", run_ts)
     rows = spark.read.parquet(f"{reports}/run_ts={run_ts}")
     counts = rows.agg(F.count("*").alias("total"), F.count_if(F.col("report_path").isNull()).alias("failed")).first().asDict()
-    return {**counts, "slices": first + slices}
+    return {**counts, "slices": slices}

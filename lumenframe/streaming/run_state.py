@@ -1,61 +1,141 @@
-"""Run bookkeeping as a stream: the newest state per job, and expiry of finished jobs."""
+"""Run bookkeeping as a stream: the newest state per job, and expiry of finished jobs.
+
+A job's state is its newest event. It ends as soon as the watermark has passed
+what it is for: no event that is still accepted can be older then, so a job that
+reports again starts over with the same result.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lumenframe.operators.runs import FINISHED, TTL_S
 
 WATERMARK = "1 hour"
+EVENT = "job_id string, status string, event_ts timestamp, event_id long"
+#: A run of events of a job with no long gap: its last event, and when it began.
+RUN = f"{EVENT}, began timestamp"
+#: Timers need this state store.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def latest_stream(events: DataFrame) -> DataFrame:
-    """Newest status per job, for the ``update`` output mode; state is one row per job."""
-    order = F.struct("event_ts", "event_id")
-    return events.groupBy("job_id").agg(
-        F.max_by(F.struct("status", "event_ts", "event_id"), order).alias("_s")
-    ).select("job_id", "_s.status", "_s.event_ts", "_s.event_id")
+def _micros(times: pd.Series) -> np.ndarray:
+    return times.to_numpy("datetime64[us]").astype("int64")
 
 
-def expired_stream(events: DataFrame, ttl_s: int = TTL_S, watermark: str = WATERMARK) -> DataFrame:
-    """Finished jobs, each emitted once event time has moved ``ttl_s`` seconds past its last event.
+def _combine(ttl_us: int | None):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if not len(rows):
+                continue
+            rows = rows.sort_values(["job_id", "event_ts", "event_id"], kind="stable")
+            job, at = rows["job_id"].to_numpy(), _micros(rows["event_ts"])
+            ends = np.append(job[1:] != job[:-1], True)
+            if ttl_us is not None:
+                ends |= np.append(at[1:] - at[:-1] > ttl_us, False)
+            starts = np.append(0, np.flatnonzero(ends)[:-1] + 1)
+            yield rows[ends].assign(began=rows["event_ts"].to_numpy()[starts])
+
+    return run
+
+
+def combined(events: DataFrame, ttl_s: int | None = None) -> DataFrame:
+    """Runs of events of a job, cut at gaps longer than ``ttl_s`` (none: not cut): before any shuffle, as a job may have any number of them."""
+    rows = events.select("job_id", "status", "event_ts", "event_id").where("job_id IS NOT NULL AND event_ts IS NOT NULL")
+    return rows.mapInPandas(_combine(None if ttl_s is None else ttl_s * 1_000_000), RUN)
+
+
+class _Newest(StatefulProcessor):
+    """Keeps the newest event of a job until the watermark has passed it."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.newest = handle.getValueState("newest", "ts long, event_id long, status string")
+
+    def _known(self) -> tuple[int, int, str] | None:
+        return tuple(self.newest.get()) if self.newest.exists() else None
+
+    def _keep(self, event: tuple[int, int, str], until_us: int, now_ms: int) -> None:
+        self.newest.update(event)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        # the timer may not lie before the watermark
+        self.handle.registerTimer(max(until_us // 1000 + 1, now_ms + 1))
+
+    @staticmethod
+    def _sorted(rows: Iterator[pd.DataFrame]) -> list[tuple[int, tuple[int, int, str]]]:
+        """When each run began, and its last event, in the order of the beginnings."""
+        out = []
+        for part in rows:
+            events = zip(_micros(part["event_ts"]).tolist(), part["event_id"].fillna(-1).astype("int64").tolist(), part["status"], strict=True)
+            out += zip(_micros(part["began"]).tolist(), events, strict=True)
+        return sorted(out, key=lambda r: (r[0], r[1][:2]))
+
+    def close(self) -> None:
+        pass
 
-    The state of a job is its newest event only. It is dropped on expiry; a job
-    that reports again afterwards starts over.
-    """
 
-    def follow(
-        key: tuple[str], batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            status, last, _ = state.get
-            state.remove()
-            yield pd.DataFrame({"job_id": [key[0]], "status": [status], "last_update": [pd.Timestamp(last, unit="us")]})
+class Latest(_Newest):
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        old, new = self._known(), max((event for _, event in self._sorted(rows)), key=lambda e: e[:2])
+        if old is not None and new[:2] <= old[:2]:
             return
-        best = (state.get[1], state.get[2], state.get[0]) if state.exists else None
-        for pdf in batches:
-            micros = pdf["event_ts"].to_numpy("datetime64[us]").astype("int64")
-            top = max(zip(micros.tolist(), pdf["event_id"].tolist(), pdf["status"]))
-            best = max(best, top) if best else top
-        state.update((best[2], best[0], best[1]))
-        if best[2] in FINISHED:
-            # the timer may not lie before the watermark
-            due = max(best[0] // 1000 + ttl_s * 1000, state.getCurrentWatermarkMs() + 1)
-            state.setTimeoutTimestamp(due)
-
-    return (
-        events.withWatermark("event_ts", watermark)
-        .groupBy("job_id")
-        .applyInPandasWithState(
-            follow,
-            "job_id string, status string, last_update timestamp",
-            "status string, last long, event_id long",
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
-    )
+        self._keep(new, new[0], timerValues.getCurrentWatermarkInMs())
+        yield pd.DataFrame({"job_id": [key[0]], "status": [new[2]], "event_ts": [pd.Timestamp(new[0], unit="us")], "event_id": [new[1]]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.newest.clear()
+        return iter(())
+
+
+class Expired(_Newest):
+    def __init__(self, ttl_s: int):
+        self.ttl_us = ttl_s * 1_000_000
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        before, gone = self._known(), []
+        newest = before
+        for began, last in self._sorted(rows):
+            if newest is not None and newest[2] in FINISHED and began - newest[0] > self.ttl_us:
+                gone.append(newest)  # it ran out before the job reported again
+            if newest is None or last[:2] > newest[:2]:
+                newest = last
+        if newest is not before:
+            until = newest[0] + (self.ttl_us if newest[2] in FINISHED else 0)
+            self._keep(newest, until, timerValues.getCurrentWatermarkInMs())
+        yield self._rows(key, gone)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        newest = self._known()
+        self.newest.clear()
+        yield self._rows(key, [newest] if newest and newest[2] in FINISHED else [])
+
+    @staticmethod
+    def _rows(key, gone: list[tuple[int, int, str]]) -> pd.DataFrame:
+        at = pd.to_datetime(pd.Series([e[0] for e in gone], dtype="int64"), unit="us")
+        return pd.DataFrame({"job_id": pd.Series([key[0]] * len(gone), dtype="str"), "status": pd.Series([e[2] for e in gone], dtype="str"), "last_update": at})
+
+
+def latest_stream(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+    """Newest status per job, for the ``update`` output mode; a job has state until the watermark passes its newest event."""
+    events.sparkSession.conf.set(*STATE_STORE)
+    grouped = combined(events).withWatermark("event_ts", watermark).groupBy("job_id")
+    return grouped.transformWithStateInPandas(Latest(), EVENT, "Update", "EventTime")
+
+
+def expired_stream(events: DataFrame, ttl_s: int = TTL_S, watermark: str = WATERMARK) -> DataFrame:
+    """Each time that a job had finished and then said nothing for longer than ``ttl_s`` seconds: job, status, time of its last event.
+
+    A row is given as soon as the job reports again after so long, or the
+    watermark has passed; how events are cut into batches makes no difference
+    while none comes later than the watermark allows. Unfinished jobs never run out, and
+    have state only until the watermark passes their newest event.
+    """
+    events.sparkSession.conf.set(*STATE_STORE)
+    grouped = combined(events, ttl_s).withWatermark("event_ts", watermark).groupBy("job_id")
+    return grouped.transformWithStateInPandas(Expired(ttl_s), "job_id string, status string, last_update timestamp", "Append", "EventTime")

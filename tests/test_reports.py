@@ -3,10 +3,12 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lumenframe.operators import reports, summaries
 from lumenframe.operators.quality import require_columns, require_positive, require_rows
+from lumenframe.sources import report_files
 
 META = {"patient_id": "ReportTest001", "patient_name": "Reporter One", "study_description": "Chest X-Ray", "error": None}
 SCHEMA = (
@@ -81,8 +83,8 @@ def test_sinks(spark, scored, tmp_path):
         for _ in range(2):
             folder = reports.write_reports(built, base, "20240305060708", fmt)
         assert folder.endswith("run_ts=20240305060708")
-        read = spark.read.text(folder, wholetext=False) if fmt == "text" else spark.read.format(fmt).load(folder)
-        assert read.count() == (7 if fmt == "text" else 2)
+        read = spark.read.text(folder, lineSep=reports.REPORT_END) if fmt == "text" else spark.read.format(fmt).load(folder)
+        assert read.count() == 2
     with pytest.raises(ValueError):
         reports.write_reports(built, str(tmp_path / "x"), "1", "pdf")
 
@@ -125,3 +127,30 @@ def test_thumbnails(spark):
     ).first()
     assert row["depth"] == [0, 1, 255, 1]
     assert row["max"] == row["minmax"] == [0, 0, 255, 1]
+
+
+def test_documents_are_whole_or_not_there(spark, tmp_path):
+    folder = str(tmp_path / "docs")
+    rows = spark.range(200).select(F.format_string("r%03d.txt", "id").alias("name"), F.repeat(F.lit("é"), F.col("id").cast("int")).alias("content"), "id")
+    lost = rows.withColumn("content", F.when(F.col("id") % 90 == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("content")))
+    with pytest.raises(PySparkException):
+        report_files.write_documents(lost, folder)
+    assert not report_files.is_complete(folder)
+    with pytest.raises(FileNotFoundError):
+        report_files.read_manifest(spark, folder)
+    assert not list((tmp_path / "docs").glob("_aside/*")) and not list((tmp_path / "docs").glob("_manifest/*.parquet"))
+    for _ in range(2):
+        manifest = report_files.write_documents(rows, folder)
+    assert sorted((r["path"].rsplit("/", 1)[-1], r["length"]) for r in manifest.collect()) == [(f"r{i:03d}.txt", 2 * i) for i in range(200)]
+    assert {p.name: p.read_text() for p in (tmp_path / "docs").glob("*.txt")} == {f"r{i:03d}.txt": "é" * i for i in range(200)}
+    with pytest.raises(PySparkException):
+        report_files.write_documents(rows.union(rows.where("id = 5")), folder)
+    empty = report_files.write_documents(rows.limit(0), folder)
+    assert empty.count() == 0 and not list((tmp_path / "docs").glob("*.txt"))
+
+
+def test_names_of_paths_that_look_alike(spark, scored):
+    paths = ["gs://b/a/x.dcm", "gs://b/a_x.dcm", "gs://b/a/x.DCM", "s3://b/a/x.dcm", "gs://b/a/x"]
+    rows = spark.createDataFrame([(p, "p", META, "NORMAL", 1.0, None, None) for p in paths], SCHEMA)
+    names = [r["report_path"] for r in reports.build_reports(rows, generated(), naming="unique").collect()]
+    assert len(set(names)) == len(paths) and all(n.startswith("reports/") and n.endswith(".pdf") and n.count("/") == 1 for n in names)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lumenframe.operators.scoring import LinearHead
 from lumenframe.plans.stages import STAGES, Settings, run_pipeline, run_reports, run_stage
 from lumenframe.sources import dicom, files, snapshots
+from lumenframe.streaming import slices
 
 HEAD = LinearHead((tuple(np.linspace(-1, 1, 16)), tuple(np.linspace(1, -1, 16))), (0.0, 0.1))
 RUN = "20240305060708"
@@ -185,3 +186,31 @@ def test_stages_as_separate_jobs(spark, source, tmp_path):
         run_reports(spark, out, SETTINGS, "20250101000001")
     with pytest.raises(ValueError):
         run_stage(spark, out, "dicom", SETTINGS, RUN)
+
+
+def test_slices_are_appended_and_survive_a_broken_addition(spark, tmp_path):
+    plan, ids = str(tmp_path / "plan"), lambda n: spark.range(n).selectExpr("format_string('f%04d', id) AS path", "id AS length")
+    assert slices.add_slices(spark, plan, ids(0), 10) == 0 and slices.planned_files(spark, plan).count() == 0
+    assert slices.add_slices(spark, plan, ids(25), 10) == 3
+    # an addition that wrote more and was lost before it was logged
+    ids(99).selectExpr("*", "3 + id % 7 AS batch").write.mode("append").partitionBy("batch").parquet(f"{plan}/listing")
+    assert slices.planned_files(spark, plan).count() == 25
+    assert slices.add_slices(spark, plan, ids(40), 10) == 5
+    rows = sorted(tuple(r) for r in slices.planned_files(spark, plan).collect())
+    assert [r[0] for r in rows] == [f"f{i:04d}" for i in range(40)]
+    assert [r[2] for r in rows] == [0] * 10 + [1] * 10 + [2] * 5 + [3] * 10 + [4] * 5
+    seen = []
+    slices.run_slices(spark, plan, lambda n, files: seen.append((n, files.count())), str(tmp_path / "checkpoint"))
+    assert seen == [(0, 10), (1, 10), (2, 5), (3, 10), (4, 5)]
+    slices.run_slices(spark, plan, lambda n, files: seen.append(n), str(tmp_path / "checkpoint"))
+    assert len(seen) == 5
+
+
+def test_new_files_of_a_run_form_new_slices(spark, source, tmp_path):
+    out, only = str(tmp_path / "out"), Settings(model=HEAD, size=(4, 4), keep=("reports",))
+    listing = files.list_images(spark, source)
+    some = listing.where("path LIKE '%i1.dcm' OR path LIKE '%i2.dcm' OR path LIKE '%i3.dcm'")
+    assert run_pipeline(spark, source, out, only, RUN, batch_size=2, listing=some).count() == 3
+    again = run_pipeline(spark, source, out, only, RUN, batch_size=4, listing=listing)
+    assert again.count() == 9 and again.select("path").distinct().count() == 9
+    assert {r["batch"] for r in again.select("batch").distinct().collect()} == {0, 1, 2, 3}
