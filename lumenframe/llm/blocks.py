@@ -123,13 +123,18 @@ def row_key(text: str = "text", doc_id: str = "doc_id") -> Column:
     return F.xxhash64(F.col(doc_id).cast("long"), F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
-#: Names that ``named`` adds to the columns of documents.
-OWN_ID, OWN_KEY = "__lumenframe_row_id", "__lumenframe_row_key"
-
-
-def named(docs: DataFrame) -> DataFrame:
-    """``docs`` with the names of their rows that ``text_rows`` uses."""
-    return docs.withColumns({OWN_ID: row_id(), OWN_KEY: row_key()})
+def free_name(docs: DataFrame, wanted: str) -> str:
+    """A column name that ``docs`` does not have, whatever the case."""
+    taken = {c.lower() for c in docs.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def named(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` with the names of their rows that ``text_rows`` uses, and the two columns they are in."""
+    own_id, own_key = free_name(docs, "__lumenframe_row_id"), free_name(docs, "__lumenframe_row_key")
+    return docs.withColumns({own_id: row_id(), own_key: row_key()}), own_id, own_key
 
 
 def columns_of(docs: DataFrame) -> list[Column]:

@@ -64,6 +64,8 @@ LEAST_DOCS = 30
 #: lists and tables of a third of sf0.1 reach 8.5, its prose 5.1. Short
 #: texts vary more, as one over the root of their words; from ``STEADY_WORDS`` on, tables and lists do and not chance.
 SPREADS, STEADY_WORDS = 9.0, 300
+#: A language is learnt from only if its median is within this many spreads of all documents of its script: others are junk, or too odd to tell.
+GROUP_SPREADS = 3.0
 #: A spread is at least this share of the median; single bytes may always be this share, and entropy is never less.
 LEAST_SPREAD, FREE_BYTES, LEAST_ENTROPY = 0.01, 0.10, 3.0
 
@@ -146,8 +148,8 @@ def measure_text(text: str, raw: bytes, words: list[bytes], known: dict) -> tupl
     )
 
 
-def measured(docs: DataFrame, vocabulary: str | None = None, text: str = "text", lang: str = "lang", column: str = "__measures") -> DataFrame:
-    """``docs`` as they are, with a column of all measures.
+def measured(docs: DataFrame, column: str, vocabulary: str | None = None, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` as they are, with a column of all measures, whose name ``docs`` must not have.
 
     A null text has no words, all counts zero and no script.
     """
@@ -198,7 +200,8 @@ def verdict(of: Column, bands: dict[str, Band] = BANDS, by_lang: bool = False) -
 def learnt(measures: DataFrame) -> dict[str, list[Row]]:
     """Bands by ``group_key`` from the documents of a table of measures that are neither too short nor repetitive.
 
-    A group that is too small goes by any band of its script, or else of all scripts; text without letters makes
+    A group that is too small, or whose characters per token are far from those of its script (random letters under a
+    language of their own), goes by any band of its script, or else of all scripts; text without letters makes
     no band of its own. Without any group to learn from, ``BANDS`` hold.
     """
     words = F.least(F.col("n_words"), F.lit(STEADY_WORDS))
@@ -206,12 +209,18 @@ def learnt(measures: DataFrame) -> dict[str, list[Row]]:
     quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 10_000).alias(n) for n, c in values.items()]
     good = measures.where(~base_failed(F.col) & (F.col("script") != "") & (F.col("n_tokens") > 0))
     groups = good.groupBy("script", F.coalesce("lang", F.lit("")).alias("lang")).agg(F.count("*").alias("n"), *quartiles)
+    whole = {r["script"]: r["chars"] for r in good.groupBy("script").agg(quartiles[0]).collect()}
     out: dict[str, list[Row]] = {}
-    for g in groups.where(F.col("n") >= LEAST_DOCS).collect():
 
-        def around(q: list[float]) -> float:
-            return SPREADS * max((q[2] - q[0]) / 1.349, LEAST_SPREAD * q[1])
+    def spread(q: list[float]) -> float:
+        return max((q[2] - q[0]) / 1.349, LEAST_SPREAD * q[1])
+
+    def around(q: list[float]) -> float:
+        return SPREADS * spread(q)
 
+    for g in groups.where(F.col("n") >= LEAST_DOCS).collect():
+        if abs(g["chars"][1] - whole[g["script"]][1]) > GROUP_SPREADS * spread(whole[g["script"]]):
+            continue
         band = Row(
             middle=float(g["chars"][1]), width=float(around(g["chars"]) * g["words"][1] ** 0.5), most_bytes=float(g["bytes"][1] + max(FREE_BYTES, around(g["bytes"]))),
             least_entropy=float(max(LEAST_ENTROPY, g["entropy"][1] - around(g["entropy"]))),
@@ -241,10 +250,11 @@ def learnt_verdict(of: Column, bands: dict[str, list[Row]]) -> dict[str, Column]
 def quality(docs: DataFrame, vocabulary: str | None = None, bands: dict[str, Band] | None = None, by_lang: bool = False) -> DataFrame:
     """``doc_id``, all measures and the verdict for every document; rows of one id get one each. Other columns are not read.
 
-    Without ``bands`` they are learnt from all of ``docs``.
+    Without ``bands`` they are learnt from all of ``docs``. Null and empty texts have no words and fail; texts are
+    measured whole, however long; equal measures get equal verdicts, so copies do. An empty table gives no rows.
     """
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).cast("string").alias(c) for c in ("text", "lang") if c in docs.columns))
-    rows, of = measured(read, vocabulary), F.col("__measures")
+    rows, of = measured(read, "__measures", vocabulary), F.col("__measures")
     if bands is None:
         rows = B.checkpoint(rows.select("doc_id", "__measures"))
         judged = learnt_verdict(of, learnt(rows.select("__measures.*")))
@@ -256,14 +266,16 @@ def quality(docs: DataFrame, vocabulary: str | None = None, bands: dict[str, Ban
 def good_documents(docs: DataFrame, vocabulary: str | None = None, bands: dict[str, Band] | None = None, by_lang: bool = False) -> DataFrame:
     """The rows of ``docs`` that the rules keep, columns as they were, without a shuffle.
 
-    Given ``bands`` judge where rows are read. To learn them, rows are written once with their measures, which are not taken twice.
+    Given ``bands`` judge where rows are read. To learn them, rows are written once with their measures, which are not
+    taken twice. Rows alike in all columns are judged alike; an empty table stays empty, and columns may have any names.
     """
-    rows, of = measured(docs, vocabulary), F.col("__measures")
+    column = B.free_name(docs, "__measures")
+    rows, of = measured(docs, column, vocabulary), F.col(column)
     if bands is None:
         folder = work_dir(docs.sparkSession, "measures")
         rows.write.parquet(folder)
         rows = docs.sparkSession.read.schema(rows.schema).parquet(folder)
-        judged = learnt_verdict(of, learnt(rows.select("__measures.*")))
+        judged = learnt_verdict(of, learnt(rows.select(f"{column}.*")))
     else:
         judged = verdict(of, bands, by_lang)
-    return rows.where(judged["kept"]).drop("__measures")
+    return rows.where(judged["kept"]).drop(column)

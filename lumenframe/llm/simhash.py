@@ -165,7 +165,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` that come first in their groups, by id, once each; columns as they were."""
+    """The rows of ``docs`` that come first in their groups, by id, once each; columns as they were.
+
+    Of rows alike in id and text any one stays, as nothing that is compared tells them apart. Null and empty texts
+    are one group. An empty table stays empty.
+    """
+    rows, own_id, own_key = B.named(docs)
     near = near_duplicates(docs, shingle, distance).where(F.col("first") == F.struct("id", "key"))
-    first = near.select(F.col("id").alias(B.OWN_ID), F.col("key").alias(B.OWN_KEY)).distinct()
-    return B.named(docs).dropDuplicates([B.OWN_ID, B.OWN_KEY]).join(first, [B.OWN_ID, B.OWN_KEY], "left_semi").select(*B.columns_of(docs))
+    first = near.select(F.col("id").alias(own_id), F.col("key").alias(own_key)).distinct()
+    return rows.dropDuplicates([own_id, own_key]).join(first, [own_id, own_key], "left_semi").select(*B.columns_of(docs))

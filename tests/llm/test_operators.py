@@ -204,12 +204,24 @@ def test_quality(docs, rows, empty):
         inside = {q for k in range(len(w) - 2) if c[tuple(w[k : k + 3])] > 1 for q in range(k, k + 3)}
         r = got[(i, len(w), sum(len(x.decode()) for x in w))]
         assert r["n_repeat_words"] == len(inside)
+        lines = [x for x in (t or "").split("\n") if x.encode().split()]
+        assert r["n_dup_lines"] == len(lines) - len(set(lines)) and r["n_symbols"] == sum(c in "#*$%&|<>" for c in t or "")
         assert r["base_failed"] == (len(w) < 50 or 100 * len(inside) > 50 * len(w)) and not (r["kept"] and r["base_failed"])
     kept = fertility.good_documents(docs)
     assert kept.columns == docs.columns and kept.count() == sum(r["kept"] for r in fertility.quality(docs).collect())
     assert fertility.quality(empty).count() == 0
 
 
+def test_clashing_names(spark):
+    text = " ".join(f"word{k}" for k in range(80))
+    names = ["__measures", "__MEASURES_", "__lumenframe_row_id", "__lumenframe_row_key", "_doc", "id", "key", "fp"]
+    docs = spark.createDataFrame([(1, text, "en", "s", *[7] * 8), (2, text, "en", "s", *[8] * 8)], ["doc_id", "text", "lang", "source", *names])
+    benchmark = spark.createDataFrame([(1, "nothing that the documents would hold")], "item_id long, text string")
+    for kept, n in ((fertility.good_documents(docs), 2), (simhash.one_of_each(docs), 1), (decontaminate.clean_documents(docs, benchmark), 2)):
+        assert kept.columns == docs.columns and kept.count() == n
+    assert mixing.mixed_documents(docs, (1.0,), 1.0).columns == docs.columns
+
+
 def test_bytes_are_rejected(spark):
     names = ["river", "garden", "window", "letter", "summer", "teacher", "music", "bridge", "market", "forest", "paper"]
     clean = " ".join(f"{names[n % 11]} {names[n * n % 7]} number {n}" for n in range(60))
@@ -232,6 +244,7 @@ def test_bands_learnt_from_the_corpus_reject_junk(spark):
     clean = [(n, prose(lang, rng.randint(55, 600)), lang) for n in range(200) for lang in (["en", "fr"][n % 2],)]
     letters, marks, runes = "abcdefghijklmnopqrstuvwxyz", "!?.,;:-()[]/+=", [chr(0x16A0 + k) for k in range(70)]
     junk = [(1000 + k, of(some, 300), lang) for k, (some, lang) in enumerate([(letters, "en"), (letters, "fr"), (letters, None), (marks, "en"), (marks, None), (runes, "en"), (runes, None)])]
+    junk += [(2000 + k, of(letters, 300), "zz") for k in range(40)]  # a language of its own, enough to learn from
     docs = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string").repartition(3)
     assert sorted(r["doc_id"] for r in fertility.good_documents(docs).collect()) == [n for n, *_ in clean]
     assert {r["doc_id"] for r in fertility.quality(docs).where("kept").collect()} == {n for n, *_ in clean}
