@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from lumenframe.catalog.images import PX8, SIDE, TILES, image_table, sql_equalize, tiles
 from lumenframe.catalog.registry import query, table
 from lumenframe.functions import pixels
-from lumenframe.operators import images, lookups, scoring, summaries
+from lumenframe.operators import images, lookups, model_files, scoring, summaries
 from lumenframe.operators.scoring import LABELS, LinearHead, score
+from lumenframe.session import work_dir
 
 # Weight i of class 0 and 1, written the same way in SQL.
 HEAD = LinearHead(
@@ -123,6 +124,19 @@ def model_param_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.rename_params(part.select("p_partkey", raw.alias("name")))
 
 
+@query(f"""WITH {SCORES} SELECT vec_id, prediction, round(confidence, 6) AS confidence FROM scored""")
+def score_mapped_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same head in a file that the workers map, written from parameter rows of a few values each."""
+    folder = work_dir(spark, "mapped")
+    flat = [w for row in HEAD.weights for w in row]
+    rows = [("module.classifier.1.weight", [2, HEAD.width], at, flat[at : at + 23]) for at in range(0, len(flat), 23)] + [("classifier.bias", [2], 0, list(HEAD.bias))]
+    params = spark.createDataFrame(rows, "name string, shape array<int>, offset long, values array<double>")
+    params.write.parquet(f"{folder}/params")
+    head = model_files.write_mapped_head(spark, spark.read.parquet(f"{folder}/params"), f"{folder}/head-{folder[-12:]}.npy")
+    scored = score(feature_table(spark, sf_dir), head)
+    return scored.select("vec_id", "prediction", F.round("confidence", 6).alias("confidence"))
+
+
 @query("""SELECT vec_id, label % 3 AS class, CASE label % 3 WHEN 0 THEN 'NORMAL' WHEN 1 THEN 'PNEUMONIA' ELSE 'UNKNOWN' END AS label
 FROM embeddings""")
 def class_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

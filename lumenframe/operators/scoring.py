@@ -80,7 +80,7 @@ def load_linear_head(spark: SparkSession, path: str | None) -> LinearHead:
     if rows != 2:
         raise ValueError(f"{path} must hold classifier.weight and classifier.bias once each")
     if total > MAX_PARAMETERS:
-        raise ValueError(f"{path} holds {total} head parameters, more than {MAX_PARAMETERS}")
+        raise ValueError(f"{path} holds {total} head parameters, more than {MAX_PARAMETERS}; write_mapped_head makes a file of them")
     found = {r["name"]: r for r in params.collect()}
     weight, bias = found["classifier.weight"], found["classifier.bias"]
     if weight["shape"][0] != len(bias["values"]) or int(np.prod(weight["shape"])) != len(weight["values"]):
@@ -94,6 +94,12 @@ def _wrong_size(wanted: Column, got: Column) -> Column:
     return F.when(got != wanted, text)
 
 
+def width_of(model: LinearHead | Model) -> int | None:
+    """Elements that a model asks for, if it says so."""
+    width = getattr(model, "width", None)
+    return width if isinstance(width, int) else None
+
+
 def tensor_problem(tensor: Column, shape: Column, expected: int | None = None) -> Column:
     """Why a tensor cannot be scored, or null."""
     wanted = element_count(shape) if expected is None else F.lit(expected).cast("long")
@@ -102,22 +108,26 @@ def tensor_problem(tensor: Column, shape: Column, expected: int | None = None) -
 
 def planned_problem(missing: Column, elements: int, model: LinearHead | Model) -> Column:
     """The same for tensors of a known size that are not at hand as a column."""
-    width = model.width if isinstance(model, LinearHead) else elements
+    width = width_of(model) or elements
     return F.when(missing, F.lit(MISSING_TENSOR)).otherwise(_wrong_size(F.lit(width), F.lit(elements)))
 
 
 def ship_model(spark: SparkSession, model: Model) -> Broadcast:
-    """The pickled model as a broadcast, unpickled once per worker; its size is checked first."""
-    data = cloudpickle.dumps(model)
+    """The pickled model as a broadcast, unpickled once per worker; its size is checked first.
+
+    A model with a method ``ship``, such as a ``ModelFile``, goes to the nodes in its own way, and what that gives is broadcast.
+    """
+    data = cloudpickle.dumps(model.ship(spark) if hasattr(model, "ship") else model)
     if len(data) > MAX_MODEL_BYTES:
-        raise ValueError(f"the model takes {len(data)} bytes, more than {MAX_MODEL_BYTES}; load it inside the callable")
+        raise ValueError(f"the model takes {len(data)} bytes, more than {MAX_MODEL_BYTES}; give it as a ModelFile")
     return spark.sparkContext.broadcast(data)
 
 
 def loaded_model(shared: Broadcast) -> Model:
     """The model of a broadcast; a worker's later tasks find it on the broadcast, which the worker keeps."""
     if not hasattr(shared, "_loaded_model"):
-        shared._loaded_model = cloudpickle.loads(shared.value)
+        model = cloudpickle.loads(shared.value)
+        shared._loaded_model = model.opened() if hasattr(model, "opened") else model
     return shared._loaded_model
 
 
@@ -193,7 +203,7 @@ def score(
     if model is None:
         raise ValueError("a model must be given")
     tensor = F.col(features)
-    expected = model.width if isinstance(model, LinearHead) else None
+    expected = width_of(model)
     if expected is None and shape is None:
         raise ValueError("a callable model needs the shape column to check tensors against")
     problem = tensor_problem(tensor, F.col(shape) if shape else F.lit(None), expected)

@@ -22,7 +22,7 @@ from lumenframe.operators.images import (
     preprocess_problem,
     tensor_shape,
 )
-from lumenframe.operators.scoring import LABELS, LinearHead, Model, label_logits, loaded_model, planned_problem, row_logits, ship_model
+from lumenframe.operators.scoring import LABELS, LinearHead, Model, label_logits, loaded_model, planned_problem, row_logits, ship_model, width_of
 from lumenframe.sources.elements import (
     ELEMENTS,
     EXPLICIT,
@@ -302,7 +302,7 @@ def score_files(
         raise ValueError("a model must be given")
     shared = ship_model(files.sparkSession, model)
     elements = size[0] * size[1]
-    fits = not isinstance(model, LinearHead) or model.width == elements
+    fits = width_of(model) in (None, elements)
     step = _score_step(size, scale, shared) if fits else _prepare_step(size, scale)
     checked = _checked(step.over(files), files)
     missing = F.col("preprocess_error").isNotNull()

@@ -1,11 +1,17 @@
-"""Stage snapshots: one Parquet folder per run, the newest complete one readable."""
+"""Stage snapshots: one Parquet folder per run, the newest complete one readable.
+
+Beside the runs lies a log with an empty file for each complete one, so that all
+of them are known from one listing, however many there are.
+"""
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUN = "run_ts"
+LOG = "_runs"
 # An image row may hold tens of megabytes: look at the size after every row, not
 # after the first hundred, or a row group would buffer gigabytes.
 LARGE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1"}
@@ -24,14 +30,44 @@ def _filesystem(spark: SparkSession, path: str):
 def write_snapshot(df: DataFrame, base: str, run_ts: str, batch: int | None = None) -> str:
     """Write a run's folder, or one batch of it; repeating the call replaces what it wrote."""
     target = _folder(base, run_ts) + ("" if batch is None else f"/batch={batch}")
+    _strike(df.sparkSession, base, run_ts)  # not complete while it is written again
     df.write.mode("overwrite").options(**LARGE_ROWS).parquet(target)
+    if batch is None:
+        _enter(df.sparkSession, base, run_ts)
     return target
 
 
+def _entry(base: str, run_ts: str) -> str:
+    return f"{base.rstrip('/')}/{LOG}/{run_ts}"
+
+
+def _enter(spark: SparkSession, base: str, *runs: str) -> None:
+    for run_ts in runs:
+        _, path, fs = _filesystem(spark, _entry(base, run_ts))
+        fs.create(path, True).close()
+
+
+def _strike(spark: SparkSession, base: str, run_ts: str) -> None:
+    _, path, fs = _filesystem(spark, _entry(base, run_ts))
+    fs.delete(path, False)
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none if there is no such folder: one listing."""
+    jvm, path, fs = _filesystem(spark, folder)
+    try:
+        return [s.getPath().getName() for s in fs.listStatus(path)]
+    except Py4JJavaError as e:
+        if "FileNotFoundException" in str(e.java_exception):
+            return []
+        raise
+
+
 def mark_complete(spark: SparkSession, base: str, run_ts: str) -> None:
     """Mark a run written in batches as readable."""
-    jvm, path, fs = _filesystem(spark, _folder(base, run_ts) + "/_SUCCESS")
+    _, path, fs = _filesystem(spark, _folder(base, run_ts) + "/_SUCCESS")
     fs.create(path, True).close()
+    _enter(spark, base, run_ts)
 
 
 def complete_batches(spark: SparkSession, base: str, run_ts: str) -> list[int]:
@@ -45,14 +81,20 @@ def complete_batches(spark: SparkSession, base: str, run_ts: str) -> list[int]:
 
 
 def list_runs(spark: SparkSession, base: str) -> list[str]:
-    """Complete runs below ``base``, oldest first: one folder listing, no file is opened."""
-    jvm, path, fs = _filesystem(spark, base)
-    if not fs.exists(path):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
-    runs = [n.removeprefix(f"{RUN}=") for n in names if n.startswith(f"{RUN}=")]
-    done = lambda r: fs.exists(jvm.org.apache.hadoop.fs.Path(_folder(base, r) + "/_SUCCESS"))
-    return sorted(r for r in runs if done(r))
+    """Complete runs below ``base``, oldest first: two folder listings, no file is opened.
+
+    A folder that the log lacks was written by something else, or its writer was
+    lost before the entry: its marker is looked for, and found ones are entered.
+    """
+    logged = set(_names(spark, f"{base.rstrip('/')}/{LOG}"))
+    runs = {n.removeprefix(f"{RUN}=") for n in _names(spark, base) if n.startswith(f"{RUN}=")}
+    found = []
+    for run_ts in sorted(runs - logged):
+        _, path, fs = _filesystem(spark, _folder(base, run_ts) + "/_SUCCESS")
+        if fs.exists(path):
+            found.append(run_ts)
+    _enter(spark, base, *found)
+    return sorted((runs & logged) | set(found))
 
 
 def read_run(spark: SparkSession, base: str, run_ts: str, schema: str | None = None) -> DataFrame:

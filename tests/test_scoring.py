@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.functions.text import percent_text
 from lumenframe.functions.vectors import argmax, label_of, softmax
-from lumenframe.operators import scoring
+from lumenframe.operators import model_files, scoring
 from lumenframe.operators.scoring import LinearHead, load_linear_head, logits_of, row_logits, score
 
 
@@ -107,7 +107,7 @@ def test_rename_only_touches_prefixes(spark):
 
 def test_large_models_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(scoring, "MAX_MODEL_BYTES", 10)
-    with pytest.raises(ValueError, match="load it inside"):
+    with pytest.raises(ValueError, match="give it as a ModelFile"):
         score(tensors(spark, [("a", [1.0], [1, 1])]), Doubling())
 
 
@@ -165,3 +165,32 @@ def test_head_is_the_same_to_the_last_bit_on_both_ways(spark):
     expected = head(tensors)
     assert all(r["z"] == expected[r["id"]].tolist() for r in scored)
     assert (head(tensors[:1]) == expected[:1]).all()
+
+
+@pytest.mark.parametrize("width", [1, 7, model_files.BLOCK + 5])
+def test_mapped_head_is_the_head_to_the_last_bit(tmp_path, width):
+    rng = np.random.default_rng(2)
+    weights, bias = rng.normal(size=(2, width)), rng.normal(size=2)
+    np.save(tmp_path / "h.npy", np.concatenate([weights, bias[:, None]], axis=1))
+    batch = rng.normal(size=(3, width)).astype(np.float32)
+    head = LinearHead(tuple(map(tuple, weights.tolist())), tuple(bias.tolist()))
+    mapped = model_files.MappedHead(str(tmp_path / "h.npy"))
+    assert isinstance(mapped.weights, np.memmap)
+    assert (mapped(batch) == head(batch)).all()
+
+
+def test_model_files(spark, tmp_path):
+    rows = [("classifier.weight", [2, 3], 4, [5.0, 6.0]), ("module.classifier.1.weight", [2, 3], 0, [1.0, 2.0, 3.0, 4.0]), ("classifier.bias", [2], 0, [0.5, -0.5]), ("other", [1], 0, [9.0])]
+    params = spark.createDataFrame(rows, "name string, shape array<int>, offset long, values array<double>")
+    head = model_files.write_mapped_head(spark, params, str(tmp_path / "mapped.npy"))
+    assert np.load(tmp_path / "mapped.npy").tolist() == [[1, 2, 3, 0.5], [4, 5, 6, -0.5]]
+    tensors = spark.createDataFrame([(1, [1.0, 0.0, 0.0]), (2, [0.0, 0.0, -2.0]), (3, [1.0]), (4, None)], "id int, tensor array<float>")
+    plain = LinearHead(((1.0, 2.0, 3.0), (4.0, 5.0, 6.0)), (0.5, -0.5))
+    found, wanted = (sorted(map(str, score(tensors, m, shape=None).collect())) for m in (head, plain))
+    assert found == wanted
+    for broken in (params.where("offset = 0"), params.where("name <> 'classifier.bias'"), params.where("name LIKE 'module%' OR name = 'classifier.bias'")):
+        with pytest.raises(Exception, match="must hold|do not fit|missing"):
+            model_files.write_mapped_head(spark, broken, str(tmp_path / "broken.npy"))
+    twice = model_files.ModelFile(str(tmp_path / "mapped.npy"), lambda path: lambda batch: 2 * model_files.MappedHead(path)(batch))
+    shaped = tensors.where("id < 3").withColumn("tensor_shape", F.array(F.lit(1), F.lit(1), F.lit(3)))
+    assert score(shaped, twice).where("inference_error IS NULL").count() == 2

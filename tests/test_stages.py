@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lumenframe.operators import previews
 from lumenframe.operators.scoring import LinearHead
 from lumenframe.plans.stages import STAGES, Settings, run_pipeline, run_reports, run_stage
 from lumenframe.sources import dicom, files, snapshots
@@ -193,7 +194,7 @@ def test_slices_are_appended_and_survive_a_broken_addition(spark, tmp_path):
     assert slices.add_slices(spark, plan, ids(0), 10) == 0 and slices.planned_files(spark, plan).count() == 0
     assert slices.add_slices(spark, plan, ids(25), 10) == 3
     # an addition that wrote more and was lost before it was logged
-    ids(99).selectExpr("*", "3 + id % 7 AS batch").write.mode("append").partitionBy("batch").parquet(f"{plan}/listing")
+    ids(99).selectExpr("*", "3 + length % 7 AS batch").write.mode("append").partitionBy("batch").parquet(f"{plan}/listing")
     assert slices.planned_files(spark, plan).count() == 25
     assert slices.add_slices(spark, plan, ids(40), 10) == 5
     rows = sorted(tuple(r) for r in slices.planned_files(spark, plan).collect())
@@ -214,3 +215,33 @@ def test_new_files_of_a_run_form_new_slices(spark, source, tmp_path):
     again = run_pipeline(spark, source, out, only, RUN, batch_size=4, listing=listing)
     assert again.count() == 9 and again.select("path").distinct().count() == 9
     assert {r["batch"] for r in again.select("batch").distinct().collect()} == {0, 1, 2, 3}
+
+
+def test_log_of_complete_runs(spark, tmp_path):
+    base = str(tmp_path / "snap")
+    runs = [f"2024{n:010d}" for n in range(40)]
+    for run in runs:
+        snapshots.mark_complete(spark, base, run)
+    (tmp_path / "snap" / "run_ts=20250000000000").mkdir()  # being written
+    (tmp_path / "snap" / "run_ts=20230000000000").mkdir()
+    (tmp_path / "snap" / "run_ts=20230000000000" / "_SUCCESS").touch()  # written by something else
+    (tmp_path / "snap" / "_runs" / "20260000000000").touch()  # its folder is gone
+    assert snapshots.list_runs(spark, base) == ["20230000000000", *runs]
+    assert (tmp_path / "snap" / "_runs" / "20230000000000").exists()
+    for run in runs:  # known from the log alone
+        (tmp_path / "snap" / f"run_ts={run}" / "_SUCCESS").unlink()
+    assert snapshots.list_runs(spark, base) == ["20230000000000", *runs]
+    snapshots.write_snapshot(spark.range(3), base, runs[-1])
+    assert snapshots.read_latest(spark, base).count() == 3
+    with pytest.raises(Exception, match="lost"):
+        snapshots.write_snapshot(spark.range(3).select(F.raise_error(F.lit("lost")).alias("x")), base, runs[-1])
+    assert snapshots.latest_run(spark, base) == runs[-2]
+
+
+def test_previews(spark):
+    df = spark.createDataFrame([(2, "x" * 30, None), (1, "short", [1, 2])], "a int, b string, `c d` array<int>")
+    assert [tuple(r) for r in previews.schema_rows(df).collect()] == [(1, "a", "int"), (2, "b", "string"), (3, "c d", "array<int>")]
+    assert [tuple(r) for r in previews.shown_rows(df, 5, "a").collect()] == [("1", "short", "[1, 2]"), ("2", "x" * 17 + "...", "NULL")]
+    assert [r["a"] for r in previews.first_rows(df, 1, "a").collect()] == [1]
+    with pytest.raises(ValueError):
+        previews.first_rows(df, 0, "a")
