@@ -278,3 +278,15 @@ def one_pass_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sliced_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same in slices of 250 files."""
     return _staged(spark, sf_dir, ("inference", "reports"), 250)
+
+
+@query(f"""WITH {STORED}, top AS (SELECT vec_id, max(px16) AS hi FROM stored GROUP BY vec_id)
+SELECT 'P' || vec_id AS patient_id, 8 AS rows, 8 AS cols, y * 8 + x AS pos, CASE WHEN hi = 0 THEN 0 ELSE floor(px16::DOUBLE / hi * 255) END::INT AS level
+FROM stored JOIN top USING (vec_id)""")
+def report_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The images that the reports of a staged run show."""
+    settings = Settings(model=HEAD, size=(8, 8), keep=("dicom", "reports"), thumbnails="max")
+    reports = run_pipeline(spark, written(spark, sf_dir), work_dir(spark, "shown"), settings, RUN_TS)
+    levels = unpack_pixels(F.col("thumbnail.pixels"), F.lit("uint8"))
+    shown = reports.select("patient_id", F.col("thumbnail.rows").alias("rows"), F.col("thumbnail.cols").alias("cols"), levels.alias("level"))
+    return explode_pixels(shown, "level", "patient_id", "rows", "cols").withColumnRenamed("px", "level")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lumenframe.functions.pixels import denormalize, element_count
+from lumenframe.functions.pixels import element_count
 from lumenframe.operators import kernels
 
 # Pixel dtypes that can be scaled to 8 bit.
@@ -315,14 +315,64 @@ def equalize_rows(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.join(table, [*keys, "px"]).select(*keys, "y", "x", F.col("level").alias("px"))
 
 
+@cache
+def _denormalize_udf():
+    @F.arrow_udf("array<int>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scale = np.float32(127.5)
+        for tensors in batches:
+            values, lengths, valid = _flat(tensors)
+            yield _lists(np.floor(values.astype(np.float32) * scale + scale).astype(np.int32), lengths, valid)
+
+    return run
+
+
 def processed_images(df: DataFrame, *keys: str) -> DataFrame:
     """Preprocessed tensors as storable 8-bit images: ``keys``, ``rows``, ``cols``, ``pixels``.
 
     Failed rows are told by their error, which needs no tensor to be computed.
+    The levels are those of ``pixels.denormalize``, made from whole Arrow batches.
     """
     return df.where(F.col("preprocess_error").isNull()).select(
         *keys,
         F.get("tensor_shape", 1).alias("rows"),
         F.get("tensor_shape", 2).alias("cols"),
-        denormalize(F.col("tensor")).alias("pixels"),
+        _denormalize_udf()("tensor").alias("pixels"),
     )
+
+
+#: How pixels are spread for display.
+DISPLAY = ("max", "minmax", "depth")
+
+
+@cache
+def _thumbnail_udf(how: str, side: int | None):
+    schema = pa.struct([("rows", pa.int32()), ("cols", pa.int32()), ("pixels", pa.binary())])
+
+    @F.arrow_udf("struct<rows:int,cols:int,pixels:binary>")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for data, shapes, dtypes in batches:
+            out = []
+            for item, shape, name in zip(data, shapes.to_pylist(), dtypes.to_pylist(), strict=True):
+                shown = None
+                if item.is_valid and name and shape and len(shape) in (2, 3) and np.prod(shape):
+                    image = np.frombuffer(item.as_buffer(), np.dtype(name).newbyteorder("<")).reshape(shape)
+                    shown = kernels.thumbnail(image[0] if image.ndim == 3 else image, name, how, side)
+                out.append(None if shown is None else {"rows": shown.shape[0], "cols": shown.shape[1], "pixels": shown.tobytes()})
+            yield pa.array(out, schema)
+
+    return run
+
+
+def thumbnails(df: DataFrame, how: str = "max", side: int | None = None, key: str = "path") -> DataFrame:
+    """``key``, ``rows``, ``cols``, ``pixels`` (bytes, one a pixel) of the first frame of each decoded image, for display.
+
+    Spread by ``max``, ``minmax`` or bit ``depth`` as ``reports.thumbnail_pixels``
+    does, from the stored bytes; an image whose longer side is above ``side`` is
+    made smaller, aspect kept. Images that were not decoded have no row.
+    """
+    if how not in DISPLAY:
+        raise ValueError(f"how must be one of {DISPLAY}, not {how!r}")
+    known = df.where(F.col("image_data_bytes").isNotNull() & resolve_dtype(F.col("image_dtype")).isNotNull())
+    shown = _thumbnail_udf(how, side)("image_data_bytes", "image_shape", resolve_dtype(F.col("image_dtype")))
+    return known.select(key, shown.alias("_t")).where("_t IS NOT NULL").select(key, "_t.*")

@@ -142,3 +142,22 @@ def preprocess(stack: np.ndarray, dtype: str, height: int, width: int, how: str)
     smooth = blur5(resize(gray, height, width))
     flat = equalize(smooth.ravel(), np.full(len(stack), height * width))
     return to_tensor(flat).reshape(len(stack), -1)
+
+
+def thumbnail(image: np.ndarray, dtype: str, how: str, side: int | None) -> np.ndarray:
+    """A 2-D image as 8-bit levels for display, its longer side at most ``side``."""
+    values, top, low = image.astype(np.float64), float(image.max()), float(image.min())
+    if how == "max":
+        levels = np.floor(values / top * 255.0) if top else values
+    elif how == "minmax":
+        levels = values if dtype == "uint8" else np.floor((values - low) / (top - low) * 255.0) if top > low else values * 0
+    elif dtype == "uint16":
+        levels = image >> 8
+    else:
+        levels = values if top <= 255 else np.floor((values - low) * 255.0 / (top - low)) if top > low else values * 0
+    levels = levels.astype(np.int64).astype(np.uint8)
+    longest = max(levels.shape)
+    if side is None or longest <= side:
+        return levels
+    rows, cols = (max(1, round(n * side / longest)) for n in levels.shape)
+    return _resample(_resample(levels[None], cols, 2), rows, 1)[0]

@@ -121,12 +121,15 @@ def build_reports(
     layout: str = "full",
     naming: str = "path",
     prefix: str = "reports",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Report summary per image: name, status, lines and text, with earlier errors carried along.
 
     ``naming`` is ``path`` (from the image path), ``patient`` (patient and file
     name), ``stamped`` (patient and ``generated``) or ``unique`` (file name and a
     hash of the whole path, the only one that tells any two paths apart). All are the same on a retry.
+    ``keep`` names further columns to carry along, such as ``metadata``, whose
+    texts a layout may cut.
     """
     require_columns(df, REQUIRED)
     names = {
@@ -156,6 +159,7 @@ def build_reports(
             "lines",
             F.array_join(F.transform("lines", lambda x: x["text"]), "\n").alias("body"),
             *errors,
+            *keep,
         )
     )
 

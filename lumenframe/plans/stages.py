@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenframe.operators.images import preprocess_images
+from lumenframe.operators.images import preprocess_images, thumbnails
 from lumenframe.operators.quality import require_columns, require_positive, require_rows
 from lumenframe.operators.reports import REQUIRED, build_reports
 from lumenframe.operators.runs import EVENT_SCHEMA, SUCCESS_MESSAGE
@@ -41,7 +41,9 @@ class Settings:
 
     Leaving out ``dicom`` and ``preprocessed`` saves writing pixels and tensors,
     and runs decode, preprocessing and scoring as one pass over the files. For
-    ``through_spark`` see ``image_files``.
+    ``through_spark`` see ``image_files``. With ``thumbnails`` (``max``, ``minmax`` or
+    ``depth``) reports carry the image for display, at most ``thumbnail_side`` wide and
+    high; that needs the ``dicom`` snapshot, from which they are made.
     """
 
     model: LinearHead | Model
@@ -51,6 +53,8 @@ class Settings:
     naming: str = "path"
     keep: tuple[str, ...] = STAGES
     through_spark: bool = False
+    thumbnails: str | None = None
+    thumbnail_side: int = 256
     clock: Callable[[], datetime] = field(default=lambda: datetime.now(timezone.utc))
 
 
@@ -92,6 +96,12 @@ def _counts(written: DataFrame, stage: str) -> dict[str, int]:
     return written.agg(F.count("*").alias("total"), F.count_if(bad).alias("failed")).first().asDict()
 
 
+def with_thumbnails(reports: DataFrame, images: DataFrame, settings: Settings) -> DataFrame:
+    """Reports with ``thumbnail`` (``rows``, ``cols``, ``pixels``), null where there is no image."""
+    small = thumbnails(images, settings.thumbnails, settings.thumbnail_side)
+    return reports.join(small.select("path", F.struct("rows", "cols", "pixels").alias("thumbnail")), "path", "left")
+
+
 def run_stages(
     spark: SparkSession, files: DataFrame, out: str, settings: Settings, run_ts: str, batch: int | None = None
 ) -> dict[str, dict[str, int]]:
@@ -99,18 +109,23 @@ def run_stages(
     unknown = set(settings.keep) - set(STAGES)
     if unknown or "reports" not in settings.keep:
         raise ValueError(f"keep must hold 'reports' and only names of {STAGES}")
+    if settings.thumbnails and "dicom" not in settings.keep:
+        raise ValueError("thumbnails are made from the 'dicom' snapshot, which keep must name")
     counts: dict[str, dict[str, int]] = {}
-    current = files
+    current, images = files, None
     for stage, plan in stage_plans(settings, run_ts).items():
         current = plan(current)
         if stage not in settings.keep:
             continue
+        if stage == "reports" and settings.thumbnails:
+            current = with_thumbnails(current, images, settings)
         if stage in SMALL_ROWS:
             # a task turns many megabytes of images into a few kilobytes of results:
             # without this the stage would be one tiny file per input split
             current = current.hint("rebalance")
         target = write_snapshot(current, f"{out.rstrip('/')}/{stage}", run_ts, batch)
         current = spark.read.schema(current.schema).parquet(target)
+        images = current if stage == "dicom" else images
         counts[stage] = _counts(current, stage)
     return counts
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lumenframe.functions import pixels
 from lumenframe.operators import images, kernels
+from lumenframe.operators.reports import thumbnail_pixels
 
 sides = st.integers(1, 12)
 uint8_stack = st.tuples(st.integers(1, 3), sides, sides).flatmap(lambda s: arrays(np.uint8, s))
@@ -179,3 +180,19 @@ def test_images_must_be_scaled_first(spark):
         df.select(images.equalize(F.col("px"))).collect()
     with pytest.raises(Exception, match="8-bit levels"):
         df.select(images.blur5(F.col("px"), F.array(F.lit(2), F.lit(2)))).collect()
+
+
+@pytest.mark.parametrize("dtype", ["uint8", "uint16", "int16", "uint32"])
+@pytest.mark.parametrize("how", ["max", "minmax", "depth"])
+def test_thumbnails_from_bytes_are_those_of_the_expressions(spark, dtype, how):
+    rng = np.random.default_rng(4)
+    stacks = [rng.integers(0, high, size) for high, size in ((200, (4, 6)), (60000 if dtype in ("uint16", "uint32") else 120, (3, 5)), (1, (2, 2)), (90, (3, 4, 5)))]
+    rows = [(f"p{k}", x.astype(dtype).tobytes(), list(x.shape), dtype, x.ravel().tolist()) for k, x in enumerate(stacks)]
+    rows += [("none", None, [2, 2], dtype, None), ("odd", b"", [], dtype, None)]
+    df = spark.createDataFrame(rows, "path string, image_data_bytes binary, image_shape array<int>, image_dtype string, px array<int>")
+    shown = {r["path"]: (r["rows"], r["cols"], list(r["pixels"])) for r in images.thumbnails(df, how).collect()}
+    plain = df.where("px IS NOT NULL").select("path", thumbnail_pixels(F.col("px"), F.col("image_shape"), F.lit(dtype), how).alias("t")).collect()
+    assert {p: v[2] for p, v in shown.items()} == {r["path"]: r["t"] for r in plain}
+    assert [shown[f"p{k}"][:2] for k in range(4)] == [x.shape[-2:] for x in stacks]
+    small = {r["path"]: (r["rows"], r["cols"], len(r["pixels"])) for r in images.thumbnails(df, how, 3).collect()}
+    assert small == {"p0": (2, 3, 6), "p1": (2, 3, 6), "p2": (2, 2, 4), "p3": (2, 3, 6)}
