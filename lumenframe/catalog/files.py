@@ -15,6 +15,7 @@ from lumenframe.functions.maps import EXTENDED_KEYS
 from lumenframe.functions.text import base_name
 from lumenframe.operators import ranks
 from lumenframe.operators.images import explode_pixels, unpack_pixels
+from lumenframe.operators.reports import DISCLAIMER
 from lumenframe.plans.stages import Settings, run_pipeline
 from lumenframe.session import work_dir
 from lumenframe.sources import dicom, elements, files, image_source
@@ -149,7 +150,7 @@ def dicom_byte_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_pixels(flat, "pixels", *[c for c in flat.columns if c != "pixels"])
 
 
-@query("""SELECT 'tile-' || vec_id || '.dcm' AS name, CASE vec_id % 3 WHEN 0 THEN 'ok' WHEN 1 THEN 'empty' ELSE 'broken' END AS state,
+@query("""SELECT 'tile-' || vec_id || '.dcm' AS name, CASE vec_id % 3 WHEN 1 THEN 'empty file' WHEN 2 THEN 'file ends inside element (7fe0,0010)' END AS decode_error,
   CASE vec_id % 3 WHEN 0 THEN 'P' || vec_id ELSE '' END AS patient_id FROM embeddings""")
 def dicom_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole, empty and cut-off files: every one gives a row."""
@@ -161,10 +162,7 @@ def dicom_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "dicom-damaged")
     files.write_files(source.withColumn("content", content), out)
     df = dicom.read_dicom(spark, out)
-    state = (
-        F.when(F.col("decode_error").isNull(), F.lit("ok")).when(F.col("decode_error") == "empty file", F.lit("empty"))
-    ).otherwise(F.lit("broken"))
-    return df.select(base_name(F.col("path")).alias("name"), state.alias("state"), "patient_id")
+    return df.select(base_name(F.col("path")).alias("name"), "decode_error", "patient_id")
 
 
 @query("SELECT 'tile-' || vec_id || '.dcm' AS name, true AS has_size FROM embeddings")
@@ -249,17 +247,21 @@ logit AS (SELECT vec_id, sum(f * ({WEIGHT_SQL[0]}) ORDER BY pos) + 0.25::DOUBLE
 prob AS (SELECT vec_id, exp(z0 - greatest(z0, z1)) AS e0, exp(z1 - greatest(z0, z1)) AS e1 FROM logit)
 SELECT 'P' || vec_id AS patient_id, CASE WHEN e0 >= e1 THEN 'NORMAL' ELSE 'PNEUMONIA' END AS prediction,
   round(greatest(e0, e1) / (e0 + e1) * 100, 6) AS confidence, 'Report generated successfully.' AS report_status,
-  11 AS n_lines FROM prob"""
+  'X-Ray Inference Report' || chr(10) || 'Report Generated: 2024-03-05 06:07:08' || chr(10) || 'Patient & Image Information' || chr(10)
+  || 'Patient ID: P' || vec_id || chr(10) || 'Original Image Path: ' || chr(10) || 'Patient Name: Tile^' || label || chr(10)
+  || 'Observation/Series: série ' || label || chr(10) || 'Inference Results' || chr(10)
+  || 'Prediction: ' || CASE WHEN e0 >= e1 THEN 'NORMAL' ELSE 'PNEUMONIA' END || chr(10)
+  || 'Confidence: ' || printf('%.2f%%', greatest(e0, e1) / (e0 + e1) * 100) || chr(10) || '{DISCLAIMER}' AS body
+FROM prob JOIN embeddings USING (vec_id)"""
 
 
 def _staged(spark: SparkSession, sf_dir: str, keep: tuple[str, ...], batch_size: int | None) -> DataFrame:
     out = work_dir(spark, "staged")
     settings = Settings(model=HEAD, size=(8, 8), keep=keep)
     reports = run_pipeline(spark, written(spark, sf_dir), out, settings, RUN_TS, batch_size=batch_size)
-    return reports.select(
-        "patient_id", "prediction", F.round("confidence", 6).alias("confidence"), "report_status",
-        F.size("lines").alias("n_lines"),
-    )
+    # the folder has another name each time
+    body = F.regexp_replace("body", "Original Image Path: [^\n]*", "Original Image Path: ")
+    return reports.select("patient_id", "prediction", F.round("confidence", 6).alias("confidence"), "report_status", body.alias("body"))
 
 
 @query(STAGED)

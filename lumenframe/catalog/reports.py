@@ -165,17 +165,18 @@ def report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {INPUT} SELECT path, prediction, confidence, patient_id,
-  CASE WHEN has_meta THEN 6 ELSE 0 END AS n_lines FROM inp""")
+@query(f"""WITH {INPUT} SELECT path, prediction, confidence, patient_id, CASE WHEN has_meta THEN
+  'X-Ray Analysis Report' || chr(10) || 'Patient Id: ' || m_id || chr(10) || 'Patient Name: ' || m_name || chr(10) || 'Study Description: N/A'
+  || chr(10) || 'Inference Prediction: ' || coalesce(prediction, 'N/A') || chr(10)
+  || 'Inference Confidence: ' || CASE WHEN confidence IS NULL THEN 'N/A' ELSE printf('%.2f%%', confidence) END END AS text FROM inp""")
 def stored_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report documents written as JSON files and read back."""
     built = reports.build_reports(report_input(spark, sf_dir), _generated(), "keys")
     folder = reports.write_reports(built, work_dir(spark, "reports"), "20240305060708")
     schema = "path string, prediction string, confidence double, patient_id string, lines array<struct<text:string>>"
     stored = spark.read.schema(schema).json(folder)
-    return stored.select(
-        "path", "prediction", "confidence", "patient_id", F.coalesce(F.size("lines"), F.lit(0)).alias("n_lines")
-    )
+    text = F.array_join(F.transform("lines", lambda line: line["text"]), "\n")
+    return stored.select("path", "prediction", "confidence", "patient_id", text.alias("text"))
 
 
 @query(f"""WITH {INPUT} SELECT 'reports/' || replace(substr(path, 6), '/', '_') || '.pdf' AS report_path, confidence FROM inp

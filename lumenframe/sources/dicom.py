@@ -44,7 +44,9 @@ from lumenframe.sources.files import (
     first_files,
     list_images,
     locate,
+    reached_by_tasks,
     read_file,
+    spark_listing,
     spark_content,
     spread_listing,
     write_files,
@@ -328,8 +330,15 @@ def image_files(
     ``through_spark`` reads them with Spark's binary file source instead, all but
     those whose names or folders that source skips, which the tasks read.
     ``through_source`` reads them with the data source of ``image_source``, which
-    takes over filters on ``path`` and ``length``.
+    takes over filters on ``path`` and ``length``. A store that only Spark's
+    connectors reach is listed by Spark too.
     """
+    if listing is None and through_spark and not reached_by_tasks(base):
+        found = spark_listing(spark, base)
+        if max_images:
+            found = found.join(first_files(found, max_images).select("path"), "path", "left_semi")
+        content = binary_files(spark, base).select("path", "content", F.lit(None).cast("string").alias("fetch_error"))
+        return content.join(found.select("path"), "path", "left_semi") if max_images else content
     if listing is not None:
         listed = listing.select("path", "length")
         listed = first_files(listed, max_images) if max_images else listed

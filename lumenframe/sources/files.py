@@ -52,6 +52,24 @@ def list_images(spark: SparkSession, base: str, suffix: str = ".dcm", max_images
     return first_files(files, max_images)
 
 
+def spark_listing(spark: SparkSession, base: str, suffix: str = ".dcm") -> DataFrame:
+    """The same through Spark's file source, for stores that only its connectors reach; no content is read.
+
+    Spark keeps the names on the driver, and skips empty files and those with hidden names.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
+    return found.where(has_suffix(F.col("path"), suffix)).select("path", "length", "modificationTime")
+
+
+def reached_by_tasks(path: str) -> bool:
+    """Whether tasks can open a path themselves, by its scheme."""
+    try:
+        locate(path)
+    except (pa.ArrowInvalid, OSError, ValueError):
+        return False
+    return True
+
+
 def first_files(listing: DataFrame, n: int) -> DataFrame:
     """The first ``n`` files of a listing by path; no task merges them."""
     require_positive(max_images=n)
@@ -268,6 +286,7 @@ def write_files(df: DataFrame, out_dir: str) -> DataFrame:
 
     A file is written beside its target and moved over it, so a lost or repeated
     task leaves whole files only. The manifest is stored under ``_manifest``.
+    Two rows of one name are an error, found in the manifest.
     """
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,4 +309,8 @@ def write_files(df: DataFrame, out_dir: str) -> DataFrame:
 
     manifest = f"{out_dir.rstrip('/')}/_manifest"
     df.select("name", "content").mapInArrow(put, "path string, length long").write.mode("overwrite").parquet(manifest)
-    return df.sparkSession.read.parquet(manifest)
+    written = df.sparkSession.read.parquet(manifest)
+    twice = written.groupBy("path").count().where("count > 1").first()
+    if twice:
+        raise ValueError(f"{twice['count']} rows have the name of {twice['path']}")
+    return written

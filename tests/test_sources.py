@@ -113,3 +113,19 @@ def test_a_file_that_is_gone_is_an_error_row(spark, folder):
     rows = {r["path"][-8:]: r for r in image_source.image_source(spark, listing=listing).collect()}
     assert rows["gone.dcm"]["content"] is None and rows["gone.dcm"]["fetch_error"].startswith("Worker processing error")
     assert image_source.image_source(spark, listing=listing.limit(0)).count() == 0
+
+
+def test_a_store_that_only_spark_reaches(spark, folder):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.pictures.link./in", f"file://{folder}")
+    base = "viewfs://pictures/in"
+    assert not files.reached_by_tasks(base) and files.reached_by_tasks(folder)
+    rows = {r["path"].rsplit("/", 1)[-1]: r for r in dicom.read_dicom(spark, base, through_spark=True).collect()}
+    assert sorted(rows) == ["a.dcm", "b.DCM", "c.dcm"]  # Spark leaves out empty files and hidden names
+    assert rows["a.dcm"]["decode_error"] is None and rows["c.dcm"]["decode_error"]
+    assert len(dicom.read_dicom(spark, base, max_images=2, through_spark=True).collect()) == 2
+
+
+def test_two_rows_of_one_name(spark, tmp_path):
+    rows = spark.createDataFrame([("a", b"1"), ("b", b"2"), ("a", b"3")], "name string, content binary")
+    with pytest.raises(ValueError, match="have the name of"):
+        files.write_files(rows, str(tmp_path / "out"))
