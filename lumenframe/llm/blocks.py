@@ -13,8 +13,10 @@ directory, which stops the job instead of losing them.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumenframe.llm import words as W
 from lumenframe.session import ensure_checkpoint_dir
 
 #: Bytes of text in a chunk; bounds what a task holds at a time.
@@ -35,6 +38,22 @@ BLOCK = "bucket long, chunk long, body binary"
 _ARROW = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("body", pa.binary())])
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after which the worker process gives back what it no longer uses: it idles beside other stages' tasks."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            W.forget_tables()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # where the C library has it
+                trim(0)
+
+    return whole
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     parts = []
     for a in arrays:

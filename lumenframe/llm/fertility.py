@@ -170,7 +170,7 @@ def measured(docs: DataFrame, column: str, vocabulary: str | None = None, text:
                 found = pa.StructArray.from_arrays(B.batch(rows, _MEASURES).columns, names=_MEASURES.names)
                 yield pa.RecordBatch.from_arrays([*part.columns, found], names=[*part.schema.names, column])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.StructType.fromDDL(MEASURES))]))
+    return docs.mapInArrow(B.released(run), T.StructType([*docs.schema.fields, T.StructField(column, T.StructType.fromDDL(MEASURES))]))
 
 
 def base_failed(of: Callable[[str], Column]) -> Column:

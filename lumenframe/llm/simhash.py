@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", do
             fps = np.array([fingerprint(t, shingle) for t in part.column(2).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps.view(np.int64))], schema=_FINGERPRINTS)
 
-    return B.text_rows(docs, text, doc_id).mapInArrow(run, "id long, key long, fp long")
+    return B.text_rows(docs, text, doc_id).mapInArrow(B.released(run), "id long, key long, fp long")
 
 
 def position_sets(distance: int = DISTANCE, key_bytes: int = KEY_BYTES) -> list[tuple[int, ...]]:
@@ -142,7 +142,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, key_bytes: int = KEY_BYTES)
     posting = F.explode(F.array(*(F.struct(F.lit(i).alias("n"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed))))
     posted = fps.select("fp", posting.alias("p")).select("p.n", "p.key", "fp")
     dealt = posted.repartition(B.partitions(fps), "n", "key").sortWithinPartitions("n", "key")
-    return dealt.mapInArrow(link_postings(distance), "a long, b long")
+    return dealt.mapInArrow(B.released(link_postings(distance)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, key_bytes: int = KEY_BYTES, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -65,7 +65,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None, en
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), B.row_key(text, doc_id).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     dealt = rows.repartitionByRange(B.partitions(docs), "doc_id", "key").sortWithinPartitions("doc_id", "key")
-    stored = dealt.select("doc_id", "text").mapInArrow(encode(vocabulary or public_path(VOCABULARY), end), STORED)
+    stored = dealt.select("doc_id", "text").mapInArrow(B.released(encode(vocabulary or public_path(VOCABULARY), end)), STORED)
     stored.write.options(**ORC).mode("overwrite").orc(folder)
 
 
@@ -108,5 +108,5 @@ def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def checked_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """One row per stored document: ``doc_id``, ``start``, ``n_tokens``, ``ids_crc32``, all from the files."""
     rows = stored(spark, folder)
-    sums = rows.select("doc_id", "part", "start_in_part", "ids").mapInArrow(checksums, _SUMS)
+    sums = rows.select("doc_id", "part", "start_in_part", "ids").mapInArrow(B.released(checksums), _SUMS)
     return sums.join(bases(rows), "part").select("doc_id", (F.col("base") + F.col("start_in_part")).alias("start"), "n_tokens", "ids_crc32")

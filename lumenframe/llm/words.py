@@ -45,6 +45,12 @@ TOKENS = Powers(0xC2B2AE3D27D4EB4F)
 TOKENS_2 = Powers(0xD6E8FEB86659FD93)
 
 
+def forget_tables() -> None:
+    """Drop the powers that a large text made; they are made anew when one comes again."""
+    for powers in (BYTES, TOKENS, TOKENS_2):
+        powers.up = powers.down = np.ones(1, dtype=np.uint64)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over all 64 (one-to-one)."""
     x = x ^ (x >> np.uint64(32))
