@@ -213,9 +213,10 @@ def tasks_of_equal_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tasks.select(F.col("path").alias("name"), "length", "task")
 
 
-@query(f"""SELECT name, length, (row_number() OVER (ORDER BY name) - 1) // 100 AS slice, 1 AS n_times FROM ({DOCUMENT_FILES})""")
+@query(f"""WITH f AS (SELECT name, length, row_number() OVER (ORDER BY name) - 1 AS r, greatest(1, count(*) OVER () // 8) AS size FROM ({DOCUMENT_FILES}))
+SELECT name, length, r // size AS slice, 1 AS n_times FROM f""")
 def slices_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stored listing as a stream of slices: the first run breaks off in its third slice, half the files come later."""
+    """A stored listing as a stream of some eight slices: the first run breaks off in its third slice, half the files come later."""
     folder = work_dir(spark, "restarted")
     listed = document_files(spark, sf_dir).select(F.col("name").alias("path"), F.octet_length("content").cast("long").alias("length"))
     calls = []
@@ -226,10 +227,10 @@ def slices_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
         if calls == [0, 1, 2]:
             raise InterruptedError("lost while the third slice is being done")
 
-    half = ranks.global_rank(listed, "path")
-    whole_slices = half.count() // 200 * 100
-    for part in (half.where(F.col("rank") <= whole_slices), half):
-        slices.add_slices(spark, f"{folder}/plan", part, 100)
+    ranked = ranks.global_rank(listed, "path")
+    size = max(1, ranked.count() // 8)
+    for part in (ranked.where(F.col("rank") <= 4 * size), ranked):
+        slices.add_slices(spark, f"{folder}/plan", part, size)
         for _ in range(2):  # the second time goes on where the first one was lost
             try:
                 slices.run_slices(spark, f"{folder}/plan", handle, f"{folder}/checkpoint")
