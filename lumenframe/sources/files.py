@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from functools import lru_cache
 from itertools import islice
 
@@ -203,11 +203,11 @@ _LISTED = "path string, length long, modificationTime timestamp, is_folder boole
 Found = tuple[str, int | None, int | None, bool, int, int]
 
 
-def _local_share(folder: str, prefix: str, share: int, shares: int) -> Iterator[Found]:
-    """Entries of a local folder whose name belongs to a share; names are streamed, only those of the share are looked at."""
+def _local_share(folder: str, prefix: str, own: Collection[int], shares: int) -> Iterator[Found]:
+    """Entries of a local folder whose name belongs to one of a task's own shares; names are streamed once, only those are looked at."""
     with os.scandir(folder) as entries:
         for entry in entries:
-            if shares > 1 and zlib.crc32(os.fsencode(entry.name)) % shares != share:
+            if shares > 1 and zlib.crc32(os.fsencode(entry.name)) % shares not in own:
                 continue
             try:
                 is_folder, found = entry.is_dir(), entry.stat()
@@ -226,7 +226,7 @@ def _local_entries(folder: str, prefix: str, share: int, shares: int, most: int)
         if shares > 1:
             yield from ((f"{prefix}{folder}", None, None, True, k, shares) for k in range(shares))
             return
-    yield from _local_share(folder, prefix, share, shares)
+    yield from _local_share(folder, prefix, {share}, shares)
 
 
 def _store_entries(fs: pafs.FileSystem, folder: str, prefix: str) -> Iterator[Found]:
@@ -239,20 +239,32 @@ def folder_entries(path: str) -> Iterator[tuple[str, int | None, int | None, boo
     """(path, length, time in microseconds, is a folder) of what is in one folder."""
     fs, inner, prefix = locate(path)
     local = isinstance(fs, pafs.LocalFileSystem)
-    for found in _local_share(inner, prefix, 0, 1) if local else _store_entries(fs, inner, prefix):
+    for found in _local_share(inner, prefix, {0}, 1) if local else _store_entries(fs, inner, prefix):
         yield found[:4]
 
 
+def _listed(found: Iterator[Found]) -> Iterator[pa.RecordBatch]:
+    while part := list(islice(found, 10_000)):
+        columns = zip(*part, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LISTING, strict=True)], schema=_LISTING)
+
+
 def _lister(most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # shares of a folder that this task has: their names are streamed once for all of them, not once a share
+        own: dict[tuple[str, int], set[int]] = {}
         for batch in batches:
             for folder, share, shares in zip(*(batch.column(c).to_pylist() for c in ("path", "share", "shares")), strict=True):
                 fs, inner, prefix = locate(folder)
-                local = isinstance(fs, pafs.LocalFileSystem)
-                found = _local_entries(inner, prefix, share, shares, most) if local else _store_entries(fs, inner, prefix)
-                while part := list(islice(found, 10_000)):
-                    columns = zip(*part, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LISTING, strict=True)], schema=_LISTING)
+                if not isinstance(fs, pafs.LocalFileSystem):
+                    yield from _listed(_store_entries(fs, inner, prefix))
+                elif shares:
+                    own.setdefault((folder, shares), set()).add(share)
+                else:
+                    yield from _listed(_local_entries(inner, prefix, share, shares, most))
+        for (folder, shares), some in own.items():
+            _, inner, prefix = locate(folder)
+            yield from _listed(_local_share(inner, prefix, some, shares))
 
     return run
 
@@ -264,7 +276,7 @@ def walk_files(spark: SparkSession, base: str, most: int = FOLDER_NAMES) -> Data
     job per level of the tree, its folders spread over the executors, each level
     written to the shared folder. No listing passes through the driver. A local
     folder of more than ``most`` names is listed by several tasks, each of which
-    streams all names and looks at those of its share; the client of a store gives
+    streams all names once and looks at those of its shares; the client of a store gives
     the names of one folder at once, to one task.
     """
     out = work_dir(spark, "walk")

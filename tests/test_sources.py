@@ -2,7 +2,9 @@
 
 import os
 import statistics
+import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,6 +33,18 @@ def test_flat_folder_is_listed_by_many_tasks(spark, tmp_path):
     assert sum(sizes) == 3002 and max(sizes) < 300
 
 
+def test_a_task_reads_a_folder_once_for_all_its_shares(tmp_path, monkeypatch):
+    for i in range(500):
+        (tmp_path / f"f{i}.dcm").write_bytes(b"x")
+    scans, scandir = [], os.scandir
+    monkeypatch.setattr(os, "scandir", lambda folder: scans.append(folder) or scandir(folder))
+    shares = pa.RecordBatch.from_pydict({"path": [str(tmp_path)] * 20, "share": list(range(20)), "shares": [50] * 20})
+    found = [p for part in files._lister(10)(iter([shares.slice(0, 7), shares.slice(7)])) for p in part.column("path").to_pylist()]
+    assert len(scans) == 1
+    wanted = [f for f in os.listdir(tmp_path) if zlib.crc32(f.encode()) % 50 < 20]
+    assert sorted(p.rsplit("/", 1)[-1] for p in found) == sorted(wanted)
+
+
 def test_tasks_of_equal_bytes(spark):
     # one file in ten is a hundred times as large
     rows = [(f"/d/{i:05d}.dcm", 100_000_000 if i % 10 == 0 else 1_000_000) for i in range(2000)]
