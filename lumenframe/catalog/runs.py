@@ -126,17 +126,29 @@ def run_log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.parse_run_log(logged).select("event_id", "kind", "message", "progress")
 
 
+#: Files that a slice of events has, if it has enough rows.
+SLICE_FILES = 16
+
+
 def _event_files(spark: SparkSession, sf_dir: str, label: str, slices: int = 3) -> tuple[DataFrame, str, str]:
-    """Run events as a stream of files that arrive in time order, with an output and a checkpoint folder."""
+    """Run events as a stream of files that arrive in time order, a slice a batch, with an output and a checkpoint folder.
+
+    Every slice has the same number of files, or a batch would take files of several slices,
+    or some of a slice whose others then come later than the watermark allows.
+    """
     folder = work_dir(spark, label)
     source = f"{folder}/in"
     events = run_events(spark, sf_dir)
     first, last = events.agg(F.unix_micros(F.min("event_ts")), F.unix_micros(F.max("event_ts"))).first()
     width = (last - first) // slices + 1
     number = F.floor((F.unix_micros("event_ts") - first) / width)
+    sizes = events.where(number.between(0, slices - 1)).groupBy(number.alias("n")).count().collect()
+    least = min(r["count"] for r in sizes) if len(sizes) == slices else 0
+    # a task deals its rows out in turn, so one with as many rows as there are files leaves none without rows
+    files = max(1, min(SLICE_FILES, least // events.rdd.getNumPartitions()))
     for n in range(slices):
-        events.where(number == n).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        events.where(number == n).repartition(files).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(source)
     return stream, f"{folder}/out", f"{folder}/checkpoint"
 
 

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pandas as pd
 import pytest
 
+from lumenframe.catalog import runs as catalog_runs
 from lumenframe.streaming import run_state
 from lumenframe.streaming.incremental import run_available
 
@@ -79,3 +80,23 @@ def test_a_hot_job_is_combined_before_the_shuffle():
     assert runs["began"].tolist() == [times[0], times[3], times[5]]
     assert pd.concat(run_state._combine(None)([rows]))["status"].tolist() == ["f"]
     assert list(run_state._combine(None)([rows[:0]])) == []
+
+
+def test_a_slice_of_many_files_is_one_batch(spark, tmp_path):
+    """Events in four files: were a slice's files batches of their own, all but the newest events of the first would come too late."""
+    users = [(i, i % 5, T0 + timedelta(minutes=37 * i), ("purchase", "view", "error")[i % 3]) for i in range(300)]
+    rows = [(i, user, at, kind, 1.0, '{"k": 1}') for i, user, at, kind in users]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string, value double, props string")
+    df.repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    stated = [(str(u), at, i, {"purchase": "completed", "error": "error"}.get(kind, "running")) for i, u, at, kind in users]
+    found = catalog_runs.run_expired_stream(spark, str(tmp_path)).collect()
+    wanted = [(j, s, int((at - datetime(1970, 1, 1)).total_seconds() * 1_000_000)) for j, s, at in plain_expired(stated, users[-1][2], 3600, 3600)]
+    assert sorted(map(tuple, found)) == sorted(wanted) and len(wanted) > 100
+
+
+def test_jobs_of_a_shard_are_worked_through_together():
+    """The newest event so far, by job; of events alike the one known first counts."""
+    rows = pd.DataFrame({"job_id": list("aaabb"), "ts": [5, 9, 7, 3, 3], "event_id": [1, 2, 3, 4, 4]})
+    first, _, newest = run_state._ranked(rows)
+    assert first.tolist() == [True, False, False, True, False]
+    assert newest.tolist() == [0, 1, 1, 3, 3]
