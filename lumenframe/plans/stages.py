@@ -17,7 +17,8 @@ from lumenframe.operators.runs import EVENT_SCHEMA, SUCCESS_MESSAGE
 from lumenframe.operators.scoring import LinearHead, Model, score
 from lumenframe.operators.summaries import good_reports
 from lumenframe.sources.dicom import decode_table, image_files, preprocess_files, score_files
-from lumenframe.sources.snapshots import RUN, read_latest, read_run, write_snapshot
+from lumenframe.sources.files import carried
+from lumenframe.sources.snapshots import BATCH, RUN, read_latest, read_run, write_batches, write_snapshot
 
 STAGES = ("dicom", "preprocessed", "inference", "reports")
 NEEDED = {
@@ -81,7 +82,7 @@ def stage_plans(settings: Settings, run_ts: str) -> dict[str, Callable[[DataFram
         plans["inference"] = lambda df: score(df, settings.model)
     else:
         plans["inference"] = lambda df: score_files(df, settings.model, *image)
-    plans["reports"] = lambda df: build_reports(df, generated_at(run_ts), settings.layout, settings.naming)
+    plans["reports"] = lambda df: build_reports(df, generated_at(run_ts), settings.layout, settings.naming, keep=tuple(carried(df)))
     return plans
 
 
@@ -102,15 +103,19 @@ def with_thumbnails(reports: DataFrame, images: DataFrame, settings: Settings) -
     return reports.join(small.select("path", F.struct("rows", "cols", "pixels").alias("thumbnail")), "path", "left")
 
 
-def run_stages(
-    spark: SparkSession, files: DataFrame, out: str, settings: Settings, run_ts: str, batch: int | None = None
-) -> dict[str, dict[str, int]]:
-    """Take files, listed or with their content, through all stages; returns the counts of the written ones."""
+def check_settings(settings: Settings) -> None:
     unknown = set(settings.keep) - set(STAGES)
     if unknown or "reports" not in settings.keep:
         raise ValueError(f"keep must hold 'reports' and only names of {STAGES}")
     if settings.thumbnails and "dicom" not in settings.keep:
         raise ValueError("thumbnails are made from the 'dicom' snapshot, which keep must name")
+
+
+def run_stages(
+    spark: SparkSession, files: DataFrame, out: str, settings: Settings, run_ts: str, batch: int | None = None
+) -> dict[str, dict[str, int]]:
+    """Take files, listed or with their content, through all stages; returns the counts of the written ones."""
+    check_settings(settings)
     counts: dict[str, dict[str, int]] = {}
     current, images = files, None
     for stage, plan in stage_plans(settings, run_ts).items():
@@ -130,6 +135,26 @@ def run_stages(
     return counts
 
 
+def run_slices_stages(spark: SparkSession, files: DataFrame, out: str, settings: Settings, run_ts: str, numbers: range) -> dict[int, int]:
+    """Take the listed files of several slices (``batch``) through all stages at once; each slice has its own snapshots.
+
+    Returns the stored reports of each slice.
+    """
+    check_settings(settings)
+    current, done = files, {}
+    for stage, plan in stage_plans(settings, run_ts).items():
+        current = plan(current)
+        if stage not in settings.keep:
+            continue
+        if stage in SMALL_ROWS:
+            current = current.hint("rebalance", F.col(BATCH))
+        folders = write_batches(current, f"{out.rstrip('/')}/{stage}", run_ts, numbers)
+        current = spark.read.option("basePath", f"{out.rstrip('/')}/{stage}/{RUN}={run_ts}").schema(current.schema).parquet(*folders)
+        done = current.groupBy(BATCH).count()
+    sizes = {r[BATCH]: r["count"] for r in done.collect()}  # one row a slice
+    return {n: sizes.get(n, 0) for n in numbers}
+
+
 def run_stage(spark: SparkSession, out: str, stage: str, settings: Settings, run_ts: str) -> DataFrame:
     """Run one stage on the newest snapshot of the stage before it, as a job of its own.
 
@@ -154,14 +179,24 @@ def run_reports(spark: SparkSession, out: str, settings: Settings, run_ts: str)
     return good_reports(run_stage(spark, out, "reports", settings, run_ts))
 
 
+def event(
+    run_ts: str, event_id: int, now: datetime, status: str, message: str, processed: int = 0, total: int = 0, batch: int = 0
+) -> tuple:
+    """One row of the run event table."""
+    progress = 100.0 * processed / total if total else 0.0
+    return run_ts, now, event_id, status, message, progress, processed, total, batch
+
+
+def append_events(spark: SparkSession, out: str, *rows: tuple) -> None:
+    """Rows of the run event table, in one file."""
+    spark.createDataFrame(list(rows), EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{out.rstrip('/')}/run_events")
+
+
 def append_event(
     spark: SparkSession, out: str, run_ts: str, event_id: int, now: datetime, status: str, message: str,
     processed: int = 0, total: int = 0, batch: int = 0,
 ) -> None:
-    """One row of the run event table."""
-    progress = 100.0 * processed / total if total else 0.0
-    row = (run_ts, now, event_id, status, message, progress, processed, total, batch)
-    spark.createDataFrame([row], EVENT_SCHEMA).write.mode("append").parquet(f"{out.rstrip('/')}/run_events")
+    append_events(spark, out, event(run_ts, event_id, now, status, message, processed, total, batch))
 
 
 def run_pipeline(
@@ -178,7 +213,7 @@ def run_pipeline(
 
     ``listing`` (``path``, ``length``) names the files instead of ``src``;
     ``max_images`` takes the first so many by path. With ``batch_size`` they are
-    taken that many at a time, with an event after each slice, and a stopped run
+    cut into slices of that many, with an event for each slice, and a stopped run
     goes on behind its last whole slice.
     """
     require_positive(max_images=max_images, batch_size=batch_size)
@@ -193,11 +228,14 @@ def run_pipeline(
         else:
             from lumenframe.streaming.incremental import run_incremental
 
-            def progress(done: int, total: int, batch: int) -> None:
+            def progress(slices: list[tuple[int, int, int]]) -> None:
                 nonlocal steps
-                message = f"Processed batch {batch}"
-                append_event(spark, out, run_ts, steps, settings.clock(), "running", message, done, total, batch)
-                steps += 1
+                rows = [
+                    event(run_ts, steps + k, settings.clock(), "running", f"Processed batch {batch}", done, total, batch)
+                    for k, (done, total, batch) in enumerate(slices)
+                ]
+                append_events(spark, out, *rows)
+                steps += len(rows)
 
             files = image_files(spark, src, max_images, listing)
             counts = run_incremental(spark, files, out, settings, run_ts, batch_size, progress)

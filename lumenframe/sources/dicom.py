@@ -40,6 +40,7 @@ from lumenframe.sources.elements import (
 )
 from lumenframe.sources.files import (
     binary_files,
+    carried,
     fetch_files,
     first_files,
     list_images,
@@ -162,6 +163,7 @@ class _Step:
 
     def over_listing(self, listing: DataFrame) -> DataFrame:
         """``path``, ``_d``: every file is read by the task that works on it."""
+        kept = ["path", *carried(listing)]
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             finish = self.finisher()
@@ -171,9 +173,12 @@ class _Step:
                     part = paths[start : start + self.rows_per_yield]
                     rows = [self.of_path(path) for path in part.to_pylist()]
                     finish(rows)
-                    yield pa.RecordBatch.from_arrays([part, pa.array(rows, self.arrow_type)], ["path", "_d"])
+                    own = [batch.column(c)[start : start + len(part)] for c in kept]
+                    yield pa.RecordBatch.from_arrays([*own, pa.array(rows, self.arrow_type)], [*kept, "_d"])
 
-        return spread_listing(listing).mapInArrow(work, f"path string, _d {self.spark_type}")
+        spread = spread_listing(listing)
+        columns = ", ".join(f"{c} {t}" for c, t in spread.dtypes)
+        return spread.mapInArrow(work, f"{columns}, _d {self.spark_type}")
 
     def of_path(self, path: str) -> dict:
         try:
@@ -241,7 +246,7 @@ def _with_metadata(decoded: DataFrame, keys: dict[str, str], *rest: Column) -> D
     """``path``, ``metadata``, ``rest``, ``decode_error``, ``patient_id`` of a decoded file ``_d``."""
     error = F.col("decode_error")
     metadata = F.when(error.isNull(), canonical_metadata(_keyword, keys)).otherwise(error_metadata(error))
-    table = decoded.select("path", metadata.alias("metadata"), *rest, "decode_error")
+    table = decoded.select("path", metadata.alias("metadata"), *rest, "decode_error", *carried(decoded))
     return table.withColumn("patient_id", F.col("metadata")["patient_id"])
 
 

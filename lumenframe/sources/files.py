@@ -107,9 +107,15 @@ def task_numbers(listing: DataFrame, task_bytes: int = TASK_BYTES, least: int |
 
 
 def spread_listing(listing: DataFrame) -> DataFrame:
-    """Paths of a listing (``path``, ``length``), dealt out so that tasks get about equal bytes."""
-    numbered, n = task_numbers(listing.select("path", "length"))
-    return numbered.repartitionById(n, "task").select("path")
+    """Paths of a listing (``path``, ``length``), with their ``batch`` if they have one, dealt out so that tasks get about equal bytes."""
+    kept = ["path", *carried(listing)]
+    numbered, n = task_numbers(listing.select("length", *kept))
+    return numbered.repartitionById(n, "task").select(*kept)
+
+
+def carried(files: DataFrame) -> list[str]:
+    """The column that goes with a file through all stages, where there is one: the slice it belongs to."""
+    return [c for c in ("batch",) if c in files.columns]
 
 
 def read_file(path: str, attempts: int = 3) -> bytes:

@@ -10,7 +10,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RUN = "run_ts"
+RUN, BATCH = "run_ts", "batch"
 LOG = "_runs"
 # An image row may hold tens of megabytes: look at the size after every row, not
 # after the first hundred, or a row group would buffer gigabytes.
@@ -37,6 +37,24 @@ def write_snapshot(df: DataFrame, base: str, run_ts: str, batch: int | None = No
     return target
 
 
+def write_batches(df: DataFrame, base: str, run_ts: str, numbers: range) -> list[str]:
+    """Write several batches of a run by ``batch``, replacing what they had; returns their folders, each marked as whole."""
+    target = _folder(base, run_ts)
+    spark = df.sparkSession
+    _strike(spark, base, run_ts)
+    folders = [f"{target}/{BATCH}={n}" for n in numbers]
+    for folder in folders:  # not whole while they are written again
+        _, path, fs = _filesystem(spark, f"{folder}/_SUCCESS")
+        fs.delete(path, False)
+    # the marker of the whole run is not this write's to set
+    options = {**LARGE_ROWS, "partitionOverwriteMode": "dynamic", "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+    df.write.mode("overwrite").options(**options).partitionBy(BATCH).parquet(target)
+    for folder in folders:
+        _, path, fs = _filesystem(spark, f"{folder}/_SUCCESS")
+        fs.create(path, True).close()
+    return folders
+
+
 def _entry(base: str, run_ts: str) -> str:
     return f"{base.rstrip('/')}/{LOG}/{run_ts}"
 

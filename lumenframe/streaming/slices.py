@@ -1,9 +1,10 @@
 """Slices of a stored listing as a stream: ``spark.readStream.format("listing_slices")``.
 
 A plan is an append-only listing, cut into numbered slices of files. The stream
-hands out one slice a micro-batch; its offset is the number of the next one, so
-a restarted query goes on where its checkpoint says, and slices that were added
-to the plan meanwhile follow. What passes through the driver is a number.
+hands out one slice a micro-batch, or a run of slices that are waiting; its offset
+is the number of the next one, so a restarted query goes on where its checkpoint
+says, and slices that were added to the plan meanwhile follow. What passes
+through the driver are numbers.
 """
 
 from __future__ import annotations
@@ -41,6 +42,12 @@ def slice_files(spark: SparkSession, plan: str, n: int) -> DataFrame:
     return spark.read.schema(LISTED).parquet(f"{plan}/listing/batch={n}")
 
 
+def slices_files(spark: SparkSession, plan: str, numbers: range) -> DataFrame:
+    """``path``, ``length``, ``batch`` of a run of slices; the folders of others are not listed."""
+    folders = [f"{plan}/listing/batch={n}" for n in numbers]
+    return spark.read.option("basePath", f"{plan}/listing").schema(f"{LISTED}, batch long").parquet(*folders)
+
+
 def planned_files(spark: SparkSession, plan: str) -> DataFrame:
     """``path``, ``length``, ``batch`` of all slices of a plan."""
     n = planned_slices(plan)
@@ -72,24 +79,24 @@ def add_slices(spark: SparkSession, plan: str, listing: DataFrame, batch_size: i
 
 
 class SliceReader(SimpleDataSourceStreamReader):
-    def __init__(self, plan: str):
-        self.plan = plan
+    def __init__(self, plan: str, most: int = 1):
+        self.plan, self.most = plan, most
 
     def initialOffset(self) -> dict:
         return {"slice": 0}
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        n = start["slice"]
-        if n >= planned_slices(self.plan):
+        end = {"slice": min(start["slice"] + self.most, planned_slices(self.plan))}
+        if end["slice"] <= start["slice"]:
             return iter(()), start
-        return self.readBetweenOffsets(start, {"slice": n + 1}), {"slice": n + 1}
+        return self.readBetweenOffsets(start, end), end
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
         return iter([(n, f"{self.plan}/listing/batch={n}") for n in range(start["slice"], end["slice"])])
 
 
 class ListingSlices(DataSource):
-    """Option ``path``: the plan."""
+    """Option ``path``: the plan; ``most``: how many slices a micro-batch may have (1)."""
 
     @classmethod
     def name(cls) -> str:
@@ -99,7 +106,7 @@ class ListingSlices(DataSource):
         return "slice long, listing string"
 
     def simpleStreamReader(self, schema: StructType) -> SliceReader:
-        return SliceReader(self.options["path"])
+        return SliceReader(self.options["path"], int(self.options.get("most", "1")))
 
 
 def run_slices(spark: SparkSession, plan: str, handle: Callable[[int, DataFrame], None], checkpoint: str) -> None:
@@ -107,13 +114,20 @@ def run_slices(spark: SparkSession, plan: str, handle: Callable[[int, DataFrame]
 
     A slice is handed over again if the query broke off before it was done; what ``handle`` writes must replace itself.
     """
+    run_slices_together(spark, plan, lambda numbers: handle(numbers[0], slice_files(spark, plan, numbers[0])), checkpoint, 1)
+
+
+def run_slices_together(spark: SparkSession, plan: str, handle: Callable[[range], None], checkpoint: str, most: int) -> None:
+    """The same with the numbers of up to ``most`` waiting slices at a time."""
     spark.dataSource.register(ListingSlices)
 
     def each(batch: DataFrame, _: int) -> None:
-        for row in batch.orderBy("slice").collect():  # one row
-            handle(row["slice"], slice_files(spark, plan, row["slice"]))
+        numbers = sorted(row["slice"] for row in batch.select("slice").collect())  # ``most`` at most
+        if numbers:
+            handle(range(numbers[0], numbers[-1] + 1))
 
-    query = spark.readStream.format(FORMAT).load(plan).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).start()
+    stream = spark.readStream.format(FORMAT).option("most", most).load(plan)
+    query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).start()
     try:
         query.processAllAvailable()
     finally:

@@ -11,7 +11,7 @@ from lumenframe.operators import previews
 from lumenframe.operators.scoring import LinearHead
 from lumenframe.plans.stages import STAGES, Settings, run_pipeline, run_reports, run_stage
 from lumenframe.sources import dicom, files, snapshots
-from lumenframe.streaming import slices
+from lumenframe.streaming import incremental, slices
 
 HEAD = LinearHead((tuple(np.linspace(-1, 1, 16)), tuple(np.linspace(1, -1, 16))), (0.0, 0.1))
 RUN = "20240305060708"
@@ -207,6 +207,28 @@ def test_slices_are_appended_and_survive_a_broken_addition(spark, tmp_path):
     assert len(seen) == 5
 
 
+def test_waiting_slices_go_through_the_stages_together(spark, source, tmp_path, monkeypatch):
+    """Nine files in slices of two: three runs of the stages of two slices at most, each slice stored for itself."""
+    calls, run = [], incremental.run_slices_stages
+    monkeypatch.setattr(incremental, "run_slices_stages", lambda *args: calls.append(args[-1]) or run(*args))
+    monkeypatch.setattr(incremental, "TOGETHER_FILES", 4)
+    out, only = str(tmp_path / "out"), replace(SETTINGS, keep=("inference", "reports"))
+    reports = run_pipeline(spark, source, out, only, RUN, batch_size=2)
+    assert calls == [range(0, 2), range(2, 4), range(4, 5)]
+    assert result(reports) == result(run_pipeline(spark, source, str(tmp_path / "whole"), only, RUN))
+    assert {(r["batch"], r["count"]) for r in reports.groupBy("batch").count().collect()} == {(0, 2), (1, 2), (2, 2), (3, 2), (4, 1)}
+    events = spark.read.parquet(out + "/run_events").orderBy("event_id").collect()
+    assert [(e["processed"], e["current_batch"]) for e in events if e["message"].startswith("Processed")] == [(2, 1), (4, 2), (6, 3), (8, 4), (9, 5)]
+
+
+def test_the_run_is_not_whole_before_all_its_slices_are(spark, tmp_path):
+    rows, base = spark.range(6).selectExpr("id", "id div 2 AS batch"), str(tmp_path / "reports")
+    snapshots.write_batches(rows, base, RUN, range(0, 3))
+    assert snapshots.complete_batches(spark, base, RUN) == [0, 1, 2] and snapshots.list_runs(spark, base) == []
+    snapshots.write_batches(rows.where("batch = 1").selectExpr("id + 10 AS id", "batch"), base, RUN, range(1, 2))
+    assert sorted(r["id"] for r in spark.read.parquet(f"{base}/run_ts={RUN}").collect()) == [0, 1, 4, 5, 12, 13]
+
+
 def test_new_files_of_a_run_form_new_slices(spark, source, tmp_path):
     out, only = str(tmp_path / "out"), Settings(model=HEAD, size=(4, 4), keep=("reports",))
     listing = files.list_images(spark, source)
