@@ -36,6 +36,8 @@ LCS_ALONE, LCS_WITH_ANSWER = 0.8, 0.5
 ANSWER_WORDS, ANSWER_FOUND = 8, 0.85
 #: Benchmark passages that are searched for at a time; a larger benchmark is gone through in blocks.
 BLOCK_ITEMS = 2_000
+#: Bytes of text that a task works through at a time; nothing is sent a chunk, so small ones cost little.
+CHUNK = 2_000_000
 
 _TO_SPACE = bytes(32 if chr(i) in string.punctuation else i for i in range(256))
 
@@ -85,7 +87,7 @@ def word_frequencies(rows: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, steps = np.zeros(size, dtype=np.int64), 0
-        for _, _, some in B.chunks(batches):
+        for _, _, some in B.chunks(batches, CHUNK):
             words = Words([plain(t) for t in some])
             at = vocabulary.places(words.hash)
             seen += np.bincount(at[at >= 0], minlength=size)
@@ -178,7 +180,7 @@ def passages(rows: DataFrame, query: Query) -> DataFrame:
     is_seed[query.vocabulary.places(np.array(list(query.seeds), dtype=np.uint64))] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, keys, some in B.chunks(batches):
+        for ids, keys, some in B.chunks(batches, CHUNK):
             words = Words([plain(t) for t in some])
             if not len(words.hash):
                 continue

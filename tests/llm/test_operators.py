@@ -3,16 +3,18 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lumenframe.llm import decontaminate, fertility, lines, mixing, pitmanyor, simhash, substrings, suffixes, tokenfiles, toxicity, vocabularies
+from lumenframe.llm import blocks, decontaminate, fertility, lines, mixing, pitmanyor, simhash, substrings, suffixes, tokenfiles, toxicity, vocabularies
 from lumenframe.llm.queries import ORACLE, QUERIES
 from lumenframe.llm.vocabularies import ByteTokenizer, public_path, units
 from tests.compare import differences
@@ -452,3 +454,14 @@ def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES][:2] == ["quality rules", "SimHash near-dedup"]
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and 0 < out.count()
     assert out.join(documents, "doc_id", "left_anti").count() == 0
+
+
+def test_chunks_do_not_hold_a_whole_batch_twice():
+    n = 4000
+    part = pa.RecordBatch.from_pydict({"id": list(range(n)), "key": list(range(n)), "text": [b"x" * 5000] * n})
+    tracemalloc.start()
+    found = [(len(ids), sum(map(len, texts))) for ids, _, texts in blocks.chunks(iter([part]), 100_000)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(k for k, _ in found) == n and all(k == 20 for k, _ in found)
+    assert peak < 5_000_000  # 20 MB before
