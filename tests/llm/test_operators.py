@@ -359,6 +359,34 @@ def test_tables_are_drawn_from_the_stationary_distribution(pull, discount):
         assert abs(got.mean() - mean) < 5 * spread / math.sqrt(200) + 0.02
 
 
+def test_rounds_go_on_until_totals_have_settled(spark):
+    rng = np.random.default_rng(8)
+    words = []
+    for _ in range(150):  # each word has its own likely successors
+        k, some = 0, []
+        for step, jump in zip(np.minimum(rng.zipf(1.6, 400), 5000).tolist(), (rng.random(400) > 0.85).tolist()):
+            k = step if jump else (7 * k + step) % 3000
+            some.append(f"w{k}")
+        words.append(" ".join(some))
+    texts = blocks.text_rows(spark.createDataFrame(list(enumerate(words)), "doc_id long, text string").repartition(3))
+    hot = np.sort(pitmanyor.Words([b"w1 w2"]).hash)  # split by context
+    rows = texts.mapInArrow(pitmanyor.pair_blocks(hot, 8), blocks.BLOCK).repartition(4, "bucket").cache()
+    rounds = pitmanyor.all_rounds(rows, hot, 8, 24, 0)
+    settled = np.mean([r.parent_customers for r in rounds[12:]])
+    after = [abs(r.parent_customers / settled - 1) for r in rounds]
+    assert len(rounds) == 25 and after[1] > 0.01 and after[pitmanyor.BURN_IN] < 0.005  # one round alone is far off
+    assert all(r.tables.sum() == r.parent_customers for r in rounds)
+    # the same rounds with all in one place
+    held = dict(pitmanyor.own_buckets(iter(rows.toArrow().to_batches()), 8))
+    own = [pitmanyor.moving(pitmanyor.Bucket(k, b), hot)[0] for k, b in held.items() if k >= 0]
+    for n in range(3):
+        parts = [pitmanyor.moved_sums(m, m.seat_again(rounds[n], n, 0), 2) for m in own]
+        plain = pitmanyor.next_totals(rounds[n], [sum(x) for x in zip(*parts)], n, 0)
+        assert (plain.tables == rounds[n + 1].tables).all() and plain.parent_tables == rounds[n + 1].parent_tables
+        assert (plain.hot_customers == rounds[n + 1].hot_customers).all()
+    rows.unpersist()
+
+
 def test_decontamination(spark, docs, rows, empty):
     rng = random.Random(2)
     item = [f"item{n}" for n in range(40)]
