@@ -1,23 +1,23 @@
 """Documents that hold passages of a benchmark, also reworded: latent semantic retrieval, then word order.
 
-Documents are read as overlapping passages, weighted by root term frequency and
-inverse frequency over the benchmark's own words, named by 64-bit hashes and
-counted exactly; other words have no weight. Passages that can pass
-the word checks for an item (a bound, so nothing is lost: they hold one of its
-``seeds`` and enough of its words in any order) make a matrix; a randomised SVD, each step of it one sum over Spark's
-partitions, gives its leading directions. Benchmark items that these do not hold
-get directions of their own. Passages whose cosine to an item in that space is
-high enough, and those of the bound whatever their cosine, are compared word by
-word: longest common subsequence, and the item's answer, its last words. So the
-cosine ranks, but loses nothing.
+Documents are read once, as their words of the benchmark in order, named by 64-bit
+hashes and counted exactly; other words have no weight. All overlapping passages
+of them, weighted by root term frequency and inverse frequency, make a matrix. Its
+Gram matrix is one sum over Spark's partitions; a randomised SVD, each step of it
+a product with that matrix, gives the leading directions. Benchmark items that
+these do not hold get directions of their own. Every passage is searched: those
+whose cosine to an item in that space is high enough, and those with enough of
+its words in any order whatever their cosine, are compared word by word:
+longest common subsequence, and the item's answer, its last words. What shares too few
+words with an item in any order fails that at once. So the cosine ranks, but loses nothing.
 """
 
 from __future__ import annotations
 
 import math
 import string
-from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +34,10 @@ LEAST_COSINE = 0.3
 #: Share of an item's words found in order that is enough, and that is enough if the answer is there too.
 LCS_ALONE, LCS_WITH_ANSWER = 0.8, 0.5
 ANSWER_WORDS, ANSWER_FOUND = 8, 0.85
-#: Benchmark passages that are searched for at a time; a larger benchmark is gone through in blocks.
-BLOCK_ITEMS = 2_000
+#: Benchmark items that are searched for at a time; a larger benchmark is gone through in blocks.
+BLOCK_ITEMS = 500
+#: Numbers of the Gram matrix that a task adds up at a time, and of passages times items that it looks at.
+GRAM_SIZE, SEARCH_SIZE = 1 << 24, 1 << 19
 #: Bytes of text that a task works through at a time; nothing is sent a chunk, so small ones cost little.
 CHUNK = 2_000_000
 
@@ -81,24 +83,44 @@ def texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     return docs.select(B.row_id(doc_id).alias("id"), B.row_key(text, doc_id).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
+def known_words(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """The documents' words of the vocabulary, in order, by steps of ``STEP`` words; a row holds those of a chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, keys, some in B.chunks(batches, CHUNK):
+            words = Words([plain(t) for t in some])
+            t = vocabulary.places(words.hash)
+            steps = -(-words.counts // STEP)
+            step = (np.arange(len(t)) - words.first[words.text]) // STEP + (np.cumsum(steps) - steps)[words.text]
+            known = t >= 0
+            of_step = np.bincount(step[known], minlength=int(steps.sum())).astype(np.uint8)
+            yield B.block([(0, 0, B.pack(ids, keys, steps, of_step, t[known].astype(np.uint32)))])
+
+    return rows.mapInArrow(B.released(run), B.BLOCK)
+
+
 def word_frequencies(rows: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, int]:
     """How often each word of the vocabulary stands in the documents, and the number of steps of ``STEP`` words in them."""
-    parts, size = 64, len(vocabulary.hashes)
+    return frequencies(known_words(rows, vocabulary), len(vocabulary.hashes))
+
+
+def frequencies(held: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    parts = 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, steps = np.zeros(size, dtype=np.int64), 0
-        for _, _, some in B.chunks(batches, CHUNK):
-            words = Words([plain(t) for t in some])
-            at = vocabulary.places(words.hash)
-            seen += np.bincount(at[at >= 0], minlength=size)
-            steps += int((-(-words.counts // STEP)).sum())
+        for part in batches:
+            for body in part.column("body").to_pylist():
+                *_, of_step, t = B.unpack(body)
+                seen += np.bincount(t, minlength=size)
+                steps += len(of_step)
         yield B.block([(p, 0, B.pack(x)) for p, x in enumerate(np.array_split(seen, parts))] + [(parts, 0, B.pack(np.array([steps])))])
 
     def add(group: pa.Table) -> pa.Table:
         total = sum(B.unpack(b)[0] for b in group.column("body").to_pylist())
         return B.table([(group.column("bucket")[0].as_py(), 0, B.pack(np.asarray(total)))])
 
-    found = {r["bucket"]: B.unpack(bytes(r["body"]))[0] for r in rows.mapInArrow(B.released(run), B.BLOCK).groupBy("bucket").applyInArrow(add, B.BLOCK).collect()}
+    found = {r["bucket"]: B.unpack(bytes(r["body"]))[0] for r in held.mapInArrow(B.released(run), B.BLOCK).groupBy("bucket").applyInArrow(add, B.BLOCK).collect()}
     if not found:
         return np.zeros(size, dtype=np.int64), 0
     return np.concatenate([found[p] for p in range(parts)]), int(found[parts][0])
@@ -108,7 +130,7 @@ class Query:
     """Benchmark items, cut into pieces no longer than a passage, as vectors over the benchmark's own words."""
 
     def __init__(self, items: list[tuple[int | None, str]], known: Vocabulary, idf: np.ndarray):
-        self.item, self.words, self.answer = [], [], []
+        self.item, words, answer = [], [], []
         for item, text in items:
             hashes = Words([plain(text or "")]).hash
             for lo in range(0, len(hashes), 2 * STEP):
@@ -116,51 +138,29 @@ class Query:
                 if lo and len(piece) < STEP // 2:
                     continue  # the end of a long item, too little to tell by
                 self.item.append(item)
-                self.words.append(piece)
-                self.answer.append(hashes[-ANSWER_WORDS:])
-        own = np.unique(np.concatenate(self.words)) if self.words else np.zeros(0, np.uint64)
-        self.vocabulary = Vocabulary(own)
+                words.append(piece)
+                answer.append(hashes[-ANSWER_WORDS:])
+        own = np.unique(np.concatenate(words + answer)) if words else np.zeros(0, np.uint64)
+        self.width = len(own)
+        self.columns = np.full(len(known.hashes), -1, dtype=np.int32)  # of the words of the whole benchmark
+        self.columns[known.places(own)] = np.arange(len(own))
         self.idf = idf[known.places(own)]
-        every = [self.vocabulary.places(w) for w in self.words]
-        self.vectors = np.zeros((len(every), len(own)), dtype=np.float32)
-        for row, t in enumerate(every):
+        self.words, self.answer = ([np.searchsorted(own, w) for w in some] for some in (words, answer))
+        self.vectors = np.zeros((len(words), len(own)), dtype=np.float32)
+        for row, t in enumerate(self.words):
             columns, weights = weighted(t, self.idf)
             self.vectors[row, columns] = weights
-        self.seeds: dict[int, list[int]] = {}
-        for row, t in enumerate(every):
-            answer = self.vocabulary.places(self.answer[row])
-            for word in seeds(t, answer[answer >= 0], self.idf) if (answer >= 0).all() else seeds(t, t, self.idf):
-                self.seeds.setdefault(int(own[word]), []).append(row)
-        self.times = [Counter(w.tolist()) for w in self.words]
-        self.answer_times = [Counter(w.tolist()) for w in self.answer]
-
-    def possible(self, seen: np.ndarray) -> list[int]:
-        """Pieces for which these words may pass the word checks, by the words shared in any order."""
-        held, found = Counter(seen.tolist()), set()
-        for w in held.keys() & self.seeds.keys():
-            found.update(self.seeds[w])
-
-        def share(times: Counter) -> float:
-            return sum(min(n, held[w]) for w, n in times.items() if w in held) / times.total()
-
-        out = []
-        for row in found:
-            words = share(self.times[row])
-            if words >= LCS_ALONE or (words >= LCS_WITH_ANSWER and share(self.answer_times[row]) >= ANSWER_FOUND):
-                out.append(row)
-        return sorted(out)
-
-
-def seeds(piece: np.ndarray, answer: np.ndarray, idf: np.ndarray) -> set[int]:
-    """Words of which a text holds at least one if it passes the word checks for an item.
-
-    Who finds ``k`` of ``n`` words misses at most ``n - k``, so has one of any ``n - k + 1``; the rarest are taken.
-    """
-
-    def rarest(t: np.ndarray, share: float) -> set[int]:
-        return set(t[np.argsort(-idf[t], kind="stable")][: len(t) - math.ceil(share * len(t) - 1e-9) + 1].tolist())
-
-    return rarest(piece, LCS_ALONE) | max(rarest(piece, LCS_WITH_ANSWER), rarest(answer, ANSWER_FOUND), key=lambda s: idf[list(s)].min())
+        # of a word's places in each piece (at most 32), how many one, two ... of it in a text can fill; a row for each such number
+        self.most = np.ones(len(own), dtype=np.int64)
+        counts = [np.unique(t, return_counts=True) for t in self.words]
+        for some, n in counts:
+            self.most[some] = np.maximum(self.most[some], n)
+        self.fill = np.cumsum(self.most) - self.most  # where a word's rows start
+        self.fills = np.zeros((int(self.most.sum()), len(words)), dtype=np.uint8)
+        for row, (some, n) in enumerate(counts):
+            for w, k in zip(some.tolist(), n.tolist(), strict=True):
+                self.fills[self.fill[w] : self.fill[w] + self.most[w], row] = np.minimum(k, np.arange(1, self.most[w] + 1))
+        self.least = np.array([math.ceil(LCS_WITH_ANSWER * len(t) - 1e-9) for t in self.words], dtype=np.uint8)
 
 
 def weighted(t: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,82 +170,110 @@ def weighted(t: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return some, (np.sqrt(n) * idf[some] / max(norm, 1e-12)).astype(np.float32)
 
 
-_PASSAGE = "id long, key long, place long, columns binary, weights binary, words binary, pieces binary"
-_PASSAGES = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("place", pa.int64()), ("columns", pa.binary()), ("weights", pa.binary()), ("words", pa.binary()), ("pieces", pa.binary())])
-
-
-def passages(rows: DataFrame, query: Query) -> DataFrame:
-    """Passages whose neighbourhood may pass the word checks for an item; no other can."""
-    is_seed = np.zeros(len(query.vocabulary.hashes) + 1, dtype=bool)  # the last is for unknown words
-    is_seed[query.vocabulary.places(np.array(list(query.seeds), dtype=np.uint64))] = True
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, keys, some in B.chunks(batches, CHUNK):
-            words = Words([plain(t) for t in some])
-            if not len(words.hash):
-                continue
-            t = query.vocabulary.places(words.hash)
-            seeded = np.concatenate([[0], np.cumsum(is_seed[t])])
-            steps = np.maximum(1, -(-words.counts // STEP) - 1) * (words.counts > 0)  # the last passage ends with the text
-            doc = np.repeat(np.arange(len(some)), steps)
-            place = np.arange(len(doc)) - np.repeat(np.cumsum(steps) - steps, steps)
-            lo = words.first[doc] + place * STEP
-            hi = np.minimum(lo + 2 * STEP, words.first[doc + 1])
-            before, behind = np.maximum(words.first[doc], lo - STEP), np.minimum(words.first[doc + 1], hi + STEP)
-            out = []
-            for n in np.flatnonzero(seeded[behind] > seeded[before]):
-                around = words.hash[before[n] : behind[n]]
-                if pieces := query.possible(around):
-                    columns, weights = weighted(t[lo[n] : hi[n]], query.idf)
-                    d, some = doc[n], np.array(pieces, dtype=np.int32)
-                    out.append((int(ids[d]), int(keys[d]), int(place[n]), columns.astype(np.int32).tobytes(), weights.tobytes(), around.tobytes(), some.tobytes()))
-            if out:
-                yield B.batch(out, _PASSAGES)
-
-    return rows.mapInArrow(B.released(run), _PASSAGE)
-
-
-def _rows(part: pa.RecordBatch, width: int, lo: int, hi: int) -> np.ndarray:
-    """Some passages of a batch as dense rows."""
-    out = np.zeros((hi - lo, width), dtype=np.float32)
-    for k in range(lo, hi):
-        out[k - lo, np.frombuffer(part.column("columns")[k].as_py(), dtype=np.int32)] = np.frombuffer(part.column("weights")[k].as_py(), dtype=np.float32)
-    return out
-
-
-def gram_times(found: DataFrame, basis: np.ndarray) -> np.ndarray:
-    """A'(A basis) for the matrix A of passages: partial products a task, added up by blocks of rows."""
-    width, blocks = basis.shape[0], 16
-    edges = np.linspace(0, width, blocks + 1).astype(int)
+class Passages:
+    """All passages of a chunk: the steps that each spans, and those of its neighbourhood."""
+
+    def __init__(self, body: bytes, query: Query):
+        self.ids, self.keys, steps, of_step, t = B.unpack(body)
+        column = query.columns[t]
+        own = column >= 0
+        self.column, self.width = column[own].astype(np.int64), query.width
+        step = np.repeat(np.arange(len(of_step)), of_step)[own]
+        self.cuts = np.searchsorted(step, np.arange(len(of_step) + 1))  # where each step's words start
+        n = np.maximum(1, steps - 1) * (steps > 0)  # the last passage ends with the text
+        self.doc = np.repeat(np.arange(len(steps)), n)
+        first, end = (np.cumsum(steps) - steps)[self.doc], np.cumsum(steps)[self.doc]
+        self.lo = first + np.arange(len(self.doc)) - np.repeat(np.cumsum(n) - n, n)
+        self.hi = np.minimum(self.lo + 2, end)
+        self.before, self.behind = np.maximum(first, self.lo - 1), np.minimum(end, self.hi + 1)
+
+    def entries(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the different words of each span of steps start, their columns, and how often they stand in it."""
+        a, size = self.cuts[lo], self.cuts[hi] - self.cuts[lo]
+        at = np.repeat(a - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        key, n = np.unique(np.repeat(np.arange(len(lo)), size) * self.width + self.column[at], return_counts=True)
+        return np.searchsorted(key, np.arange(len(lo) + 1) * self.width), key % max(1, self.width), n
+
+    def around(self, n: int) -> np.ndarray:
+        return self.column[self.cuts[self.before[n]] : self.cuts[self.behind[n]]]
+
+    def vectors(self, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each passage's entries start, their columns and weights, as ``weighted`` has them."""
+        starts, column, n = self.entries(self.lo, self.hi)
+        of = np.repeat(np.arange(len(self.lo)), np.diff(starts))
+        norm = np.sqrt(np.bincount(of, weights=n * np.square(idf[column], dtype=np.float64), minlength=len(self.lo)))
+        return starts, column, (np.sqrt(n) * idf[column] / np.maximum(norm, 1e-12)[of]).astype(np.float32)
+
+
+def alike(starts: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of passages with equally many entries, and which these are, row by row; about ``size`` entries at a time."""
+    n = np.diff(starts)
+    order = np.argsort(n, kind="stable")
+    edges = np.searchsorted(n[order], np.arange(1, n.max(initial=0) + 2))
+    for k, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True), 1):
+        for at in range(lo, hi, step := max(1, size // k)):
+            some = order[at : min(at + step, hi)]
+            yield some, starts[some][:, None] + np.arange(k)
+
+
+def passages(held: DataFrame, query: Query) -> Iterator[DataFrame]:
+    """The Gram matrix of all passages of all documents, some rows of it at a time: (bucket, first row, rows)."""
+    width, idf = query.width, query.idf
+    height = max(1, GRAM_SIZE // width)
+
+    def of_rows(first: int, end: int) -> DataFrame:
+        edges = np.linspace(first, end, 17).astype(int).tolist()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((end - first) * width, dtype=np.float32)
+            for part in batches:
+                for body in part.column("body").to_pylist():
+                    starts, column, weight = Passages(body, query).vectors(idf)
+                    for _, at in alike(starts, 1 << 13):
+                        c, w = column[at], weight[at]
+                        place, value = (c[:, :, None] - first) * width + c[:, None, :], w[:, :, None] * w[:, None, :]
+                        if end - first < width:
+                            mine = np.broadcast_to(((c >= first) & (c < end))[:, :, None], place.shape)
+                            place, value = place[mine], value[mine]
+                        np.add.at(total, place.ravel(), value.ravel())
+            yield B.block((a, 0, B.pack(total[(a - first) * width : (b - first) * width])) for a, b in zip(edges, edges[1:], strict=False) if b > a)
+
+        def add(group: pa.Table) -> pa.Table:
+            total = 0.0
+            for body in group.column("body"):
+                total = total + B.unpack(body.as_py())[0].astype(np.float64)
+            return B.table([(group.column("bucket")[0].as_py(), 0, B.pack(total.astype(np.float32)))])
+
+        return held.mapInArrow(B.released(run), B.BLOCK).groupBy("bucket").applyInArrow(add, B.BLOCK)
+
+    for first in range(0, width, height):
+        yield of_rows(first, min(first + height, width))
+
+
+def gram_times(gram: DataFrame, basis: np.ndarray) -> np.ndarray:
+    """A'(A basis) for the matrix A of passages, by blocks of rows of its Gram matrix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros_like(basis)
         for part in batches:
-            for lo in range(0, part.num_rows, 256):
-                a = _rows(part, width, lo, min(lo + 256, part.num_rows))
-                total += a.T @ (a @ basis)
-        yield B.block((b, 0, B.pack(total[edges[b] : edges[b + 1]].ravel())) for b in range(blocks))
-
-    def add(group: pa.Table) -> pa.Table:
-        total = sum(B.unpack(b)[0].astype(np.float64) for b in group.column("body").to_pylist())
-        return B.table([(group.column("bucket")[0].as_py(), 0, B.pack(total.astype(np.float32)))])
+            for first, body in zip(part.column("bucket").to_pylist(), part.column("body").to_pylist(), strict=True):
+                yield B.block([(first, 0, B.pack((B.unpack(body)[0].reshape(-1, len(basis)) @ basis).ravel()))])
 
-    sums = found.select("columns", "weights").mapInArrow(B.released(run), B.BLOCK).groupBy("bucket").applyInArrow(add, B.BLOCK).collect()
     out = np.zeros_like(basis)
-    for r in sums:
-        out[edges[r["bucket"]] : edges[r["bucket"] + 1]] = B.unpack(bytes(r["body"]))[0].reshape(-1, basis.shape[1])
+    for r in gram.mapInArrow(B.released(run), B.BLOCK).collect():
+        product = B.unpack(bytes(r["body"]))[0].reshape(-1, basis.shape[1])
+        out[r["bucket"] : r["bucket"] + len(product)] = product
     return out
 
 
-def latent_basis(found: DataFrame, query: Query, rank: int, seed: int = 1) -> np.ndarray:
+def latent_basis(gram: DataFrame, query: Query, rank: int, seed: int = 1) -> np.ndarray:
     """Leading right singular directions of the passages and items, and one for each item they do not hold."""
-    width = len(query.vocabulary.hashes)
+    width = query.width
     size = min(width, rank + OVERSAMPLE)
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((width, size)))[0].astype(np.float32)
     for _ in range(POWER_STEPS):
-        product = gram_times(found, basis) + query.vectors.T @ (query.vectors @ basis)
+        product = gram_times(gram, basis) + query.vectors.T @ (query.vectors @ basis)
         basis = np.linalg.qr(product)[0].astype(np.float32)
-    inner = basis.T @ (gram_times(found, basis) + query.vectors.T @ (query.vectors @ basis))
+    inner = basis.T @ (gram_times(gram, basis) + query.vectors.T @ (query.vectors @ basis))
     basis = basis @ np.linalg.eigh((inner + inner.T) / 2)[1][:, ::-1][:, : min(rank, size)]
     rest = query.vectors - (query.vectors @ basis) @ basis.T
     rest = rest[np.linalg.norm(rest, axis=1) > 0.3]
@@ -269,30 +297,60 @@ _MATCH = "id long, key long, item_id long, cosine double, lcs double, answer boo
 _MATCHES = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs", pa.float64()), ("answer", pa.bool_())])
 
 
-def search(found: DataFrame, query: Query, basis: np.ndarray, least: float) -> DataFrame:
-    """Candidates, of a high cosine in the latent space or with enough of an item's words, that pass the word checks."""
-    items = (query.vectors @ basis).T
-    width, words, answers, names = len(query.vocabulary.hashes), query.words, query.answer, query.item
+def search(held: DataFrame, query: Query, basis: np.ndarray, least: float) -> DataFrame:
+    """Candidates, of a high cosine in the latent space or with enough of an item's words, that pass the word checks. Every passage is looked at."""
+    items = (basis @ (query.vectors @ basis).T).astype(np.float32)  # a passage's entries times these are its cosines
+    n_items, names = len(query.item), query.item
+
+    def possible(some: Passages) -> np.ndarray:
+        """Numbers of passage and piece that share enough words in any order; no others can pass the word checks."""
+        starts, column, n = some.entries(some.before, some.behind)
+        row = query.fill[column] + np.minimum(n, query.most[column]) - 1
+        out = [np.zeros(0, dtype=np.int64)]
+        for of, at in alike(starts, max(1, SEARCH_SIZE // n_items)):
+            k, q = np.nonzero(query.fills[row[at]].sum(axis=1, dtype=np.uint8) >= query.least)
+            out.append(of[k] * n_items + q)
+        return np.sort(np.concatenate(out))
+
+    def near(some: Passages) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of passage and piece whose cosine is high enough, ascending, and the cosines."""
+        starts, column, weight = some.vectors(query.idf)
+        keys, values = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.float32)]
+        for of, at in alike(starts, max(1, SEARCH_SIZE // n_items)):
+            cosines = np.matmul(weight[at][:, None, :], items[column[at]])[:, 0]
+            k, q = np.nonzero(cosines >= least)
+            keys.append(of[k] * n_items + q)
+            values.append(cosines[k, q])
+        key, value = np.concatenate(keys), np.concatenate(values)
+        order = np.argsort(key)
+        return key[order], value[order]
+
+    def cosine(some: Passages, n: int, q: int) -> float:
+        column, weights = weighted(some.column[some.cuts[some.lo[n]] : some.cuts[some.hi[n]]], query.idf)
+        return float(weights @ items[column, q])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            out = []
-            for lo in range(0, part.num_rows, 256):
-                hi = min(lo + 256, part.num_rows)
-                cosines = (_rows(part, width, lo, hi) @ basis) @ items
-                near = cosines >= least
-                for k in range(lo, hi):
-                    near[k - lo, np.frombuffer(part.column("pieces")[k].as_py(), dtype=np.int32)] = True
-                for k, q in zip(*np.nonzero(near), strict=True):
-                    seen = np.frombuffer(part.column("words")[lo + k].as_py(), dtype=np.uint64)
-                    lcs = common_subsequence(words[q], seen) / len(words[q])
-                    answer = common_subsequence(answers[q], seen) >= ANSWER_FOUND * len(answers[q])
-                    if lcs >= LCS_ALONE or (lcs >= LCS_WITH_ANSWER and answer):
-                        out.append((part.column("id")[lo + k].as_py(), part.column("key")[lo + k].as_py(), names[q], float(cosines[k, q]), lcs, bool(answer)))
-            if out:
-                yield B.batch(out, _MATCHES)
-
-    return found.mapInArrow(B.released(run), _MATCH)
+            for body in part.column("body").to_pylist():
+                some, out = Passages(body, query), []
+                key, value = near(some)
+                enough = possible(some)
+                # a candidate of the cosine with too few of the item's words in any order fails the word checks at once
+                for pair in np.union1d(key[np.isin(key, enough)], enough).tolist():
+                    n, q = divmod(pair, n_items)
+                    seen = some.around(n)
+                    lcs = common_subsequence(query.words[q], seen) / len(query.words[q])
+                    if lcs < LCS_WITH_ANSWER:
+                        continue
+                    answer = common_subsequence(query.answer[q], seen) >= ANSWER_FOUND * len(query.answer[q])
+                    if lcs >= LCS_ALONE or answer:
+                        at = int(np.searchsorted(key, pair))
+                        found = float(value[at]) if at < len(key) and key[at] == pair else cosine(some, n, q)
+                        out.append((int(some.ids[some.doc[n]]), int(some.keys[some.doc[n]]), names[q], found, lcs, bool(answer)))
+                if out:
+                    yield B.batch(out, _MATCHES)
+
+    return held.mapInArrow(B.released(run), _MATCH)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, least: float = LEAST_COSINE) -> DataFrame:
@@ -306,18 +364,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, least: floa
     rows = texts(docs)
     held = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
     known = Vocabulary(words_of(held))
-    found, steps = word_frequencies(rows, known)
-    idf = (np.log1p(steps / (1 + found)) + 0.01).astype(np.float32)
     blocks = -(-held.count() // BLOCK_ITEMS)
+    if not blocks or not len(known.hashes):
+        return docs.sparkSession.createDataFrame([], _MATCH)
+    read = B.checkpoint(known_words(rows, known))
+    found, steps = frequencies(read, len(known.hashes))
+    idf = (np.log1p(steps / (1 + found)) + 0.01).astype(np.float32)
     out = None
     for b in range(blocks):
         block = held.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
         query = Query([(r["item_id"], r["text"]) for r in block.collect()], known, idf)
         if not query.words:
             continue
-        near = B.checkpoint(passages(rows, query))
-        near = near.coalesce(max(8, B.partitions(docs) // 8))
-        some = search(near, query, latent_basis(near, query, rank), least)
+        gram = B.checkpoint(reduce(DataFrame.union, passages(read.coalesce(max(8, B.partitions(docs) // 8)), query)))
+        some = search(read, query, latent_basis(gram, query, rank), least)
         out = some if out is None else out.union(some)
     if out is None:
         return docs.sparkSession.createDataFrame([], _MATCH)

@@ -438,6 +438,42 @@ def test_verbatim_items_of_any_length_are_found(spark):
     assert set(found) == {(n, n) for n in items} and min(found.values()) >= 0.8  # the best passage may hold a part
 
 
+def test_all_passages_make_the_space_and_are_searched(spark, monkeypatch):
+    rng = random.Random(9)
+    words = [f"k{n}" for n in range(60)]
+    items = [(n, " ".join(rng.choice(words) for _ in range(rng.randint(5, 80)))) for n in range(12)]
+    texts = [" ".join(rng.choice(words if rng.random() < 0.4 else [f"u{n}"]) for _ in range(rng.choice([1, 15, 16, 17, 33, 200]))) for n in range(60)]
+    texts += [f"{texts[n]} {item} {texts[n + 1]}" for n, item in items] + ["", None]
+    some = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    known = decontaminate.Vocabulary(decontaminate.words_of(benchmark))
+    held = decontaminate.known_words(decontaminate.texts(some), known).cache()
+    idf = np.linspace(1, 3, len(known.hashes)).astype(np.float32)
+    query = decontaminate.Query(items, known, idf)
+    wanted, hits = np.zeros((query.width, query.width)), set()
+    for doc, text in enumerate(texts):
+        own = known.places(decontaminate.Words([decontaminate.plain(text or "")]).hash)
+        own = np.where(own >= 0, query.columns[own], -1)
+        for lo in range(0, max(1, len(own) - 16) if len(own) else 0, 16):
+            row = np.zeros(query.width)
+            columns, weights = decontaminate.weighted(own[lo : lo + 32], query.idf)
+            row[columns] = weights
+            wanted += np.outer(row, row)
+            around = own[max(0, lo - 16) : lo + 48]
+            for piece, answer, item in zip(query.words, query.answer, query.item):
+                lcs = decontaminate.common_subsequence(piece, around) / len(piece)
+                if lcs >= 0.8 or (lcs >= 0.5 and decontaminate.common_subsequence(answer, around) >= 0.85 * len(answer)):
+                    hits.add((doc, item))
+    for size in (1 << 24, 7 * query.width):  # in one go, and seven rows at a time
+        monkeypatch.setattr(decontaminate, "GRAM_SIZE", size)
+        rows = sorted((r["bucket"], bytes(r["body"])) for part in decontaminate.passages(held, query) for r in part.collect())
+        got = np.concatenate([blocks.unpack(b)[0].reshape(-1, query.width) for _, b in rows])
+        assert np.abs(got - wanted).max() < 1e-4 * wanted.max()
+    assert {(n + 60, n) for n, _ in items} <= hits
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(some, benchmark).collect()} == hits
+    held.unpersist()
+
+
 def test_frequencies_are_of_words_not_of_slots(spark):
     many = [(n, " ".join(f"z{n}-{k}-{k % 7}" for k in range(4000))) for n in range(100)]  # more words than any small table holds
     some = spark.createDataFrame([*many, (1000, "quince quince medlar")], "doc_id long, text string")
