@@ -127,10 +127,11 @@ class ByteTokenizer:
 
     def unit_ids(self, units: pa.Array) -> pa.LargeListArray:
         """Ids of different units that follow a space; new ones are remembered."""
-        at = pc.index_in(units, value_set=self.names)
-        known = at.is_valid().to_numpy(zero_copy_only=False)
+        at = pc.index_in(self.names, value_set=units)  # the side that is made a table of is the small one
+        which = at.drop_null().to_numpy()
+        known, place = np.zeros(len(units), dtype=bool), np.zeros(len(units), dtype=np.int64)
+        known[which], place[which] = True, np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
         new = units.filter(pa.array(~known))
-        place = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         place[~known] = len(self.names) + np.arange(len(new))
         names, ids = pa.concat_arrays([self.names, new]), pa.concat_arrays([self.ids, self._new(new)])
         found = ids.take(pa.array(place))

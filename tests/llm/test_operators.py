@@ -302,6 +302,15 @@ def test_token_files(spark, docs, rows, empty, tmp_path):
     assert tokenfiles.checked_tokens(spark, folder + "-empty").count() == 0
 
 
+def test_remembered_units_are_not_hashed_for_each_slice(monkeypatch):
+    tokenizer, plain, tables = ByteTokenizer(public_path("byte_bpe_50k.json")), Tokenizer.from_file(public_path("byte_bpe_50k.json")), []
+    index_in = vocabularies.pc.index_in
+    monkeypatch.setattr(vocabularies.pc, "index_in", lambda values, value_set: tables.append(len(value_set)) or index_in(values, value_set=value_set))
+    for texts in ([" ".join(f"word{n}" for n in range(5000))], ["and word7 then word8", "word4999 new"], ["", "word7 word7 other"]):
+        assert tokenizer.encode(texts, [0]).to_pylist() == [[*plain.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert tables[0] == 4999 and max(tables[1:]) < 10
+
+
 def test_language_model(spark, docs, rows, empty):
     got = pitmanyor.score_documents(docs).collect()
     texts = [(i, (t or "").encode().lower().split()) for i, t, *_ in rows]
