@@ -396,6 +396,43 @@ def test_rounds_go_on_until_totals_have_settled(spark):
     rows.unpersist()
 
 
+def test_contexts_are_told_apart(spark):
+    hashes = pitmanyor.Words([b"v984 v1984 v1102"]).hash
+    assert len({int(h >> np.uint64(20)) % 65535 for h in hashes[:2]}) == 1  # once one restaurant
+    held = [i for i in range(200, 300) if zlib.crc32(str(i).encode()) % 7 == 2]
+    texts = [(i, "v984 left" if i % 2 else "v1984 right") for i in range(120)]
+    texts += list(zip(held, ["v984 left", "v984 right", "v1984 left", "v1984 right", "v1102 left", "v1102 right"]))
+    got = pitmanyor.score_documents(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).collect()
+    score = {text: r["score"] for r in got for i, text in texts[120:] if i == r["doc_id"]}
+    assert score["v984 left"] > score["v984 right"] + 1 and score["v1984 right"] > score["v1984 left"] + 1
+    assert abs(score["v1102 left"] - score["v1102 right"]) < 0.5  # of a context that was never seen
+
+
+def test_totals_of_contexts_in_shards_are_those_of_the_array(spark):
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"w{k}" for k in np.minimum(rng.zipf(1.4, 60), 3000)) for _ in range(120)]
+    docs = spark.createDataFrame([(i % 110, t) for i, t in enumerate(texts)] + [(None, texts[0]), (7, None), (8, "")], "doc_id long, text string").repartition(3)
+    rows = blocks.text_rows(docs)
+    names = np.unique(pitmanyor.Words([t.encode() for t in texts]).hash)
+    hot = np.sort(pitmanyor.Words([b"w1 w2"]).hash)
+    pairs = rows.mapInArrow(pitmanyor.pair_blocks(hot, 8), blocks.BLOCK).repartition(4, "bucket").cache()
+    array = pitmanyor.all_rounds(pairs, hot, 8, 5, 0)
+    few = pitmanyor.all_rounds(pairs, hot, 8, 5, 0, np.append(pitmanyor.START, names[::5]))
+    pairs.unpersist()
+    assert len(few[0].known) < len(array[0].known) / 4 and array[0].tables[pitmanyor.OTHERS] == 0 < few[0].tables[pitmanyor.OTHERS]
+    places = pitmanyor.places_of(array[0].known, few[0].known)
+    for a, b in zip(array, few, strict=True):
+        assert (a.parent_customers, a.parent_tables, a.customers.sum(), a.tables.sum()) == (b.parent_customers, b.parent_tables, b.customers.sum(), b.tables.sum())
+        for x, y in ((a.customers, b.customers), (a.tables, b.tables), (a.fixed, b.fixed)):
+            assert (np.where(places == pitmanyor.OTHERS, 0, x[places]) == y[: len(places)]).all()
+    # as are the scores, however words are sent
+    some = [pitmanyor.scores(rows, hot, c, 3, 2, 0).collect() for c in (pitmanyor.NO_NAMES, np.append(pitmanyor.START, names), np.append(pitmanyor.START, names[::5]))]
+    key = lambda r: (order(r["doc_id"]), r["n_tokens"], r["base_score"], r["score"])
+    for other in some[1:]:
+        for x, y in zip(sorted(some[0], key=key), sorted(other, key=key), strict=True):
+            assert x[:5] == y[:5] and abs(x["base_score"] - y["base_score"]) < 1e-9 and abs(x["score"] - y["score"]) < 1e-4 * abs(x["score"])
+
+
 def test_decontamination(spark, docs, rows, empty):
     rng = random.Random(2)
     item = [f"item{n}" for n in range(40)]
